@@ -1,0 +1 @@
+"""Structured Streaming: ingest, windowed means and keyed upserts."""
