@@ -116,9 +116,12 @@ def data_cards(
 
 
 def card_text(cards: DataFrame) -> DataFrame:
-    """Numbers as text with two decimals."""
+    """Numbers as text with two decimals, rounded by their exact value."""
     return cards.withColumns(
-        {c: F.format_string("%.2f", F.col(c)) for c in ("Temperature", "Precipitation")}
+        {
+            c: F.call_function("format_number", F.col(c), F.lit("0.00"))
+            for c in ("Temperature", "Precipitation")
+        }
     )
 
 

@@ -244,10 +244,12 @@ def _leaf_columns(schema: T.StructType, get) -> Iterator[tuple[str, Column, T.Da
 
 def _leaf_pickers(schema: T.StructType):
     """Leaves of a list element, as functions of the element."""
-    return [
-        (leaf, lambda element, i=i: list(_leaf_columns(schema, element.getField))[i][1], kind)
-        for i, (leaf, _, kind) in enumerate(_leaf_columns(schema, F.col("_").getField))
-    ]
+
+    def picker(i: int):
+        return lambda element: list(_leaf_columns(schema, element.getField))[i][1]
+
+    leaves = _leaf_columns(schema, F.col("_").getField)
+    return [(leaf, picker(i), kind) for i, (leaf, _, kind) in enumerate(leaves)]
 
 
 def flatten_by_leaf(df: DataFrame) -> DataFrame:

@@ -50,11 +50,13 @@ def write_archive(
     features: Sequence[str] = ARCHIVE_FEATURES,
     text: str = "value",
 ) -> None:
-    """Manifest first, then descriptors and data as CSV, split by location.
+    """Manifest first, then descriptors and data as CSV, the data split by location.
 
-    When the manifest cannot be written, nothing else is.
+    When the manifest cannot be written, nothing else is. The rebalance brings the rows of a small
+    location into one file and cuts those of a large one into several.
     """
     described, data, names = archive_tables(payloads, stamp, features, text)
     append_rows(names, f"{folder}/manifest")
-    write_csv(described, f"{folder}/descriptor", ["latitude", "longitude"], "append")
-    write_csv(data, f"{folder}/data", ["latitude", "longitude"], "append")
+    write_csv(described, f"{folder}/descriptor", mode="append")
+    place = ["latitude", "longitude"]
+    write_csv(data.hint("rebalance", *place), f"{folder}/data", place, "append")

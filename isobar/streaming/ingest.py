@@ -21,11 +21,15 @@ def ingest_batch(
     records: DataFrame, batch_id: int, topic: str, store: str, created_at: Column | None = None
 ) -> None:
     """One micro-batch: good records to the topic's documents, the others to its quarantine."""
-    parsed = parse_envelopes(records, topic)
-    save_new_documents(RESHAPERS[topic](good_records(parsed), created_at), batch_id, f"{store}/{topic}")
-    rejected_records(parsed).write.mode("overwrite").parquet(
-        f"{store}/_quarantine/{topic}/batch={batch_id}"
-    )
+    parsed = parse_envelopes(records, topic).persist()
+    try:
+        documents = RESHAPERS[topic](good_records(parsed), created_at)
+        save_new_documents(documents, batch_id, f"{store}/{topic}")
+        rejected_records(parsed).write.mode("overwrite").parquet(
+            f"{store}/_quarantine/{topic}/batch={batch_id}"
+        )
+    finally:
+        parsed.unpersist()
 
 
 def start_ingest(

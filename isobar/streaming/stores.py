@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -38,6 +39,17 @@ def read_documents(spark: SparkSession, folder: str, schema: T.StructType) -> Da
     return read_folder(spark, folder, schema)
 
 
+def spread_by_day(df: DataFrame, day: str, days: int, salt: Sequence[str]) -> DataFrame:
+    """Shuffles rows so that few tasks write each day, yet all tasks have work.
+
+    With many days a day goes to one task; with few, its rows are salted over several. Rows of a
+    micro-batch mostly fall on one day, so the day alone would put them into one task.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = max(1, math.ceil(tasks / days))
+    return df.repartition(tasks, F.col(day), F.pmod(F.xxhash64(*salt), F.lit(shares)))
+
+
 def save_new_documents(documents: DataFrame, batch_id: int, folder: str) -> None:
     """Adds the documents whose id is not stored yet; the first of each id wins.
 
@@ -55,7 +67,8 @@ def save_new_documents(documents: DataFrame, batch_id: int, folder: str) -> None
         (F.col("batch") != batch_id) & F.col("id_date").between(F.lit(first), F.lit(last))
     )
     fresh = insert_if_absent(dated, stored, "_id", "partition", "offset")
-    fresh.write.mode("overwrite").partitionBy("id_date").parquet(f"{folder}/batch={batch_id}")
+    spread = spread_by_day(fresh, "id_date", (last - first).days + 1, ["_id"])
+    spread.write.mode("overwrite").partitionBy("id_date").parquet(f"{folder}/batch={batch_id}")
 
 
 def upsert_folder(
@@ -79,9 +92,10 @@ def upsert_folder(
     if not days:
         return
     stored = read_folder(spark, folder, dated.schema).filter(F.col("event_date").isin(days))
-    merged = upsert_latest(stored, dated, keys, version).checkpoint()
+    merged = upsert_latest(stored, dated, keys, version)
+    staged = spread_by_day(merged, "event_date", len(days), keys).checkpoint()
     (
-        merged.write.mode("overwrite")
+        staged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date")
         .parquet(folder)
