@@ -82,8 +82,7 @@ def label(ts: Column | str) -> Column:
 
 def zoned_text(epoch_seconds: Column | str, zone: str = JAKARTA, offset: str = "+07:00") -> Column:
     """Epoch seconds as wall-clock text of `zone` with its (fixed) offset."""
-    instant = F.timestamp_seconds(as_column(epoch_seconds))
-    wall = F.convert_timezone(F.current_timezone(), F.lit(zone), instant.cast("timestamp_ntz"))
+    wall = wall_clock(F.timestamp_seconds(as_column(epoch_seconds)), zone)
     return F.concat(F.date_format(wall, "yyyy-MM-dd HH:mm:ss"), F.lit(offset))
 
 
@@ -96,6 +95,13 @@ def t_text(ts: Column | str) -> Column:
     return F.date_format(as_column(ts), T_FORM)
 
 
+def wall_clock(ts: Column | str, zone: str = JAKARTA) -> Column:
+    """Wall clock of an instant in a zone."""
+    return F.convert_timezone(
+        F.current_timezone(), F.lit(zone), as_column(ts).cast("timestamp_ntz")
+    )
+
+
 def append_seconds(text: Column | str, suffix: str = ":00") -> Column:
     """`yyyy-MM-ddTHH:mm` text as `yyyy-MM-dd HH:mm` plus a suffix such as `:00` or `:00-07`."""
     return F.concat(F.replace(as_column(text), F.lit("T"), F.lit(" ")), F.lit(suffix))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -125,7 +125,7 @@ def fix_kelvin_by_provider(
     return df.withColumns({c: F.col(c) - shift for c in columns})
 
 
-def scale_units(df: DataFrame, factors: dict[str, float]) -> DataFrame:
+def scale_units(df: DataFrame, factors: Mapping[str, float]) -> DataFrame:
     """Optional unit factors per column, such as m/s to km/h for one provider."""
     return df.withColumns({c: F.col(c) * f for c, f in factors.items() if c in df.columns})
 

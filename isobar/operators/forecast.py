@@ -161,6 +161,13 @@ def prepare(
     return df.select(*series, F.col(date).alias("ds"), F.col(target).cast("double").alias("y"), *kept)
 
 
+def with_regressors(
+    future: DataFrame, known: DataFrame, regressors: Sequence[str], series: Sequence[str] = ("series",)
+) -> DataFrame:
+    """Future times with the regressors of the rows at the same time."""
+    return future.join(known.select(*series, "ds", *regressors), [*series, "ds"], "inner")
+
+
 def _time_features(daily: int, yearly: int) -> dict[str, Column]:
     seconds = _seconds().cast("double")
     features = {"t_trend": _hours() / (24.0 * 365.25)}

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from isobar.functions.ids import concat_id
+from isobar.functions.times import iso_text
 from isobar.schemas import (
     CANONICAL_NAMES,
     DEFAULT_LOCATION,
@@ -42,6 +44,12 @@ def with_constants(df: DataFrame, **values) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name, value in values.items()})
 
 
+def with_metadata(df: DataFrame, *parts: str, as_of: Column | None = None) -> DataFrame:
+    """Adds `_id`, a hash of the parts, and `last_updated`."""
+    updated = F.current_timestamp() if as_of is None else as_of
+    return df.withColumns({"_id": concat_id(*parts), "last_updated": iso_text(updated)})
+
+
 def drop_present(df: DataFrame, *names: str) -> DataFrame:
     """Drops the names that exist; the others are no error."""
     return df.drop(*names)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,16 +40,15 @@ def _finish(df: DataFrame, topic: str, columns: Mapping[str, Column], created_at
 def free_weather_documents(
     parsed: DataFrame, created_at: Column | None = None, offset_in_id: bool = False
 ) -> DataFrame:
-    data = F.col("envelope.data")
     return _finish(
         parsed,
         FREE_WEATHER,
         {
             "_id": _record_id(offset_in_id),
             "provider": F.col("envelope.provider"),
-            "location": data["location"],
-            "current_weather": data["current"],
-            "last_updated": data["current"]["last_updated"],
+            "location": F.col("envelope.data.location"),
+            "current_weather": F.col("envelope.data.current"),
+            "last_updated": F.col("envelope.data.current.last_updated"),
             "id_time": F.col("timestamp"),
         },
         created_at,
@@ -57,55 +57,54 @@ def free_weather_documents(
 
 def content_id_documents(parsed: DataFrame, created_at: Column | None = None) -> DataFrame:
     """free-weather documents whose id hashes location and update time, so polls collapse."""
-    data = F.col("envelope.data")
-    key = concat_id(F.to_json(data["location"]), data["current"]["last_updated"])
+    location = F.to_json("envelope.data.location")
     return _finish(
-        parsed.filter(data["current"].isNotNull()),
+        parsed.filter(F.col("envelope.data.current").isNotNull()),
         FREE_WEATHER,
         {
-            "_id": key,
+            "_id": concat_id(location, "envelope.data.current.last_updated"),
             "provider": F.col("envelope.provider"),
-            "location": data["location"],
-            "current_weather": data["current"],
-            "last_updated": data["current"]["last_updated"],
-            "id_time": F.timestamp_seconds(data["current"]["last_updated_epoch"]),
+            "location": F.col("envelope.data.location"),
+            "current_weather": F.col("envelope.data.current"),
+            "last_updated": F.col("envelope.data.current.last_updated"),
+            "id_time": F.timestamp_seconds("envelope.data.current.last_updated_epoch"),
         },
         created_at,
     )
 
 
+def _data(*paths: str) -> list[Column]:
+    return [F.col(f"envelope.data.{path}") for path in paths]
+
+
 def open_weather_documents(parsed: DataFrame, created_at: Column | None = None) -> DataFrame:
-    """Regrouped readings; the id comes from the reading time, so repeated readings collapse."""
-    data = F.col("envelope.data")
-    main, wind = data["main"], data["wind"]
-    last_updated = zoned_text(data["dt"])
+    """Regrouped readings; the id comes from the reading time, so repeated readings collapse.
+
+    The fields of each struct are listed in the order of the stored schema. A reading without a
+    visibility counts as 0, other missing fields are null.
+    """
+    last_updated = zoned_text("envelope.data.dt")
     return _finish(
         parsed,
         OPEN_WEATHER,
         {
             "_id": binary_text_id(last_updated),
             "provider": F.col("envelope.provider"),
-            "location": F.struct(
-                data["coord"]["lat"], data["coord"]["lon"], data["name"], data["sys"]["country"]
-            ),
+            "location": F.struct(*_data("coord.lat", "coord.lon", "name", "sys.country")),
             "current_weather": F.struct(
-                data["clouds"],
+                *_data("clouds"),
                 F.struct(
-                    main["feels_like"],
-                    main["grnd_level"],
-                    main["humidity"],
-                    main["pressure"],
-                    main["sea_level"],
-                    main["temp"],
-                    F.coalesce(data["visibility"], F.lit(0)),
-                    wind["deg"],
-                    wind["speed"],
-                    wind["gust"],
+                    *_data(
+                        "main.feels_like", "main.grnd_level", "main.humidity", "main.pressure",
+                        "main.sea_level", "main.temp",
+                    ),
+                    F.coalesce("envelope.data.visibility", F.lit(0)),
+                    *_data("wind.deg", "wind.speed", "wind.gust"),
                 ),
-                data["weather"],
+                *_data("weather"),
             ),
             "last_updated": last_updated,
-            "id_time": F.timestamp_seconds(data["dt"]),
+            "id_time": F.timestamp_seconds("envelope.data.dt"),
         },
         created_at,
     )
@@ -114,19 +113,17 @@ def open_weather_documents(parsed: DataFrame, created_at: Column | None = None)
 def open_meteo_documents(
     parsed: DataFrame, created_at: Column | None = None, offset_in_id: bool = False
 ) -> DataFrame:
-    envelope = F.col("envelope")
-    data = envelope["data"]
     return _finish(
         parsed,
         OPEN_METEO,
         {
             "_id": _record_id(offset_in_id),
-            "provider": envelope["provider"],
+            "provider": F.col("envelope.provider"),
             "location": F.struct(
-                envelope["latitude"], envelope["longitude"], data["latitude"], data["longitude"]
+                "envelope.latitude", "envelope.longitude", "envelope.data.latitude", "envelope.data.longitude"
             ),
-            "current_weather": data["current"],
-            "last_updated": data["current"]["time"],
+            "current_weather": F.col("envelope.data.current"),
+            "last_updated": F.col("envelope.data.current.time"),
             "id_time": F.col("timestamp"),
         },
         created_at,
@@ -161,34 +158,52 @@ def _is_struct_list(kind: T.DataType) -> bool:
     return isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType)
 
 
+def _plain_paths(
+    schema: T.StructType, prefix: tuple[str, ...] = ()
+) -> Iterator[tuple[tuple[str, ...], T.DataType]]:
+    """Paths of everything that is no struct, through structs only."""
+    for field in schema.fields:
+        path = (*prefix, field.name)
+        if isinstance(field.dataType, T.StructType):
+            yield from _plain_paths(field.dataType, path)
+        else:
+            yield path, field.dataType
+
+
+def _dotted(path: tuple[str, ...]) -> str:
+    return ".".join(f"`{key}`" for key in path)
+
+
+def _inside(element: Column, dotted: str) -> Column:
+    for key in dotted.strip("`").split("`.`"):
+        element = element[key]
+    return element
+
+
 def _path_columns(
     schema: T.StructType,
-    get,
+    get: Callable[[str], Column],
     prefix: str,
     separator: str,
     items: Mapping[str, int],
     default_items: int,
 ) -> Iterator[tuple[str, Column]]:
-    for field in schema.fields:
-        name = f"{prefix}{separator}{field.name}" if prefix else field.name
-        value = get(field.name)
-        if isinstance(field.dataType, T.StructType):
-            yield from _path_columns(
-                field.dataType, value.getField, name, separator, items, default_items
-            )
-        elif _is_struct_list(field.dataType):
+    for path, kind in _plain_paths(schema):
+        name = separator.join([prefix, *path] if prefix else path)
+        value = get(_dotted(path))
+        if _is_struct_list(kind):
             for i in range(items.get(name, default_items)):
                 item = F.try_element_at(value, F.lit(i + 1))
                 yield from _path_columns(
-                    field.dataType.elementType,
-                    item.getField,
+                    kind.elementType,
+                    partial(_inside, item),
                     f"{name}{separator}{i}",
                     separator,
                     items,
                     default_items,
                 )
-        elif isinstance(field.dataType, T.ArrayType):
-            yield name, _python_list_text(value, field.dataType.elementType)
+        elif isinstance(kind, T.ArrayType):
+            yield name, _python_list_text(value, kind.elementType)
         else:
             yield name, value
 
@@ -204,58 +219,62 @@ def flatten_by_path(
     A column set has to be fixed before the data is read, so `items` says how many elements of each
     list of structs get columns (`list_lengths` finds the longest); rows with fewer have nulls.
     """
-    columns = _path_columns(
-        df.schema, lambda name: F.col(f"`{name}`"), "", separator, items or {}, default_items
-    )
+    columns = _path_columns(df.schema, F.col, "", separator, items or {}, default_items)
     return df.select(*[column.alias(name) for name, column in columns])
 
 
 def list_lengths(df: DataFrame, separator: str = "_") -> dict[str, int]:
     """Longest length of each list of structs that is not inside another list (one aggregate row)."""
-
-    def walk(schema: T.StructType, get, prefix: str):
-        for field in schema.fields:
-            name = f"{prefix}{separator}{field.name}" if prefix else field.name
-            if isinstance(field.dataType, T.StructType):
-                yield from walk(field.dataType, get(field.name).getField, name)
-            elif _is_struct_list(field.dataType):
-                yield F.max(F.size(get(field.name))).alias(name)
-
-    sizes = list(walk(df.schema, lambda name: F.col(f"`{name}`"), ""))
+    sizes = [
+        F.max(F.size(_dotted(path))).alias(separator.join(path))
+        for path, kind in _plain_paths(df.schema)
+        if _is_struct_list(kind)
+    ]
     if not sizes:
         return {}
     return {name: max(n or 0, 0) for name, n in df.agg(*sizes).first().asDict().items()}
 
 
-def _leaf_columns(schema: T.StructType, get) -> Iterator[tuple[str, Column, T.DataType]]:
-    for field in schema.fields:
-        value = get(field.name)
-        if isinstance(field.dataType, T.StructType):
-            yield from _leaf_columns(field.dataType, value.getField)
-        elif _is_struct_list(field.dataType):
-            # Per leaf the last element that has it, as each element overwrites the one before.
-            for leaf, pick, kind in _leaf_pickers(field.dataType.elementType):
-                yield leaf, F.try_element_at(
-                    F.filter(F.transform(value, pick), lambda v: v.isNotNull()), F.lit(-1)
-                ), kind
-        else:
-            yield field.name, value, field.dataType
+def _leaf_columns(
+    schema: T.StructType, get: Callable[[str], Column]
+) -> Iterator[tuple[str, Column, T.DataType]]:
+    for path, kind in _plain_paths(schema):
+        value = get(_dotted(path))
+        if not _is_struct_list(kind):
+            yield path[-1], value, kind
+            continue
+        # Per leaf the last element that has it, as each element overwrites the one before.
+        for leaf, pick, leaf_kind in _leaf_pickers(kind.elementType):
+            found = F.filter(F.transform(value, pick), lambda v: v.isNotNull())
+            yield leaf, F.try_element_at(found, F.lit(-1)), leaf_kind
 
 
 def _leaf_pickers(schema: T.StructType):
     """Leaves of a list element, as functions of the element."""
+    for path, kind in _plain_paths(schema):
+        if _is_struct_list(kind):
+            for leaf, pick, leaf_kind in _leaf_pickers(kind.elementType):
+                yield leaf, _last_of(path, pick), leaf_kind
+        else:
+            yield path[-1], _at(path), kind
+
+
+def _at(path: tuple[str, ...]):
+    return lambda element: _inside(element, _dotted(path))
+
 
-    def picker(i: int):
-        return lambda element: list(_leaf_columns(schema, element.getField))[i][1]
+def _last_of(path: tuple[str, ...], pick):
+    def last(element: Column) -> Column:
+        inner = F.transform(_inside(element, _dotted(path)), pick)
+        return F.try_element_at(F.filter(inner, lambda v: v.isNotNull()), F.lit(-1))
 
-    leaves = _leaf_columns(schema, F.col("_").getField)
-    return [(leaf, picker(i), kind) for i, (leaf, _, kind) in enumerate(leaves)]
+    return last
 
 
 def flatten_by_leaf(df: DataFrame) -> DataFrame:
     """Columns named by their last key. Of leaves with one name the last that has a value wins."""
     leaves: dict[str, list[tuple[Column, T.DataType]]] = {}
-    for leaf, column, kind in _leaf_columns(df.schema, lambda name: F.col(f"`{name}`")):
+    for leaf, column, kind in _leaf_columns(df.schema, F.col):
         leaves.setdefault(leaf, []).append((column, kind))
     out = []
     for leaf, found in leaves.items():

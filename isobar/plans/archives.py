@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from isobar.operators.aggregate import union_all
 from isobar.operators.quality import distinct_rows
 from isobar.schemas import ARCHIVE_FEATURES, DISTRICT_FEATURES
-from isobar.sources.archive import descriptors, hourly_rows, manifest, parse_payloads
+from isobar.sources.archive import (
+    descriptors,
+    hourly_rows,
+    location_name,
+    manifest,
+    parse_payloads,
+)
 from isobar.sources.files import append_rows, write_csv
 
 DISTRICT_COLUMNS = ("district", "latitude", "longitude")
@@ -50,7 +56,7 @@ def write_archive(
     features: Sequence[str] = ARCHIVE_FEATURES,
     text: str = "value",
 ) -> None:
-    """Manifest first, then descriptors and data as CSV, the data split by location.
+    """Manifest first, then descriptors and data as CSV, the data in one folder per location.
 
     When the manifest cannot be written, nothing else is. The rebalance brings the rows of a small
     location into one file and cuts those of a large one into several.
@@ -58,5 +64,5 @@ def write_archive(
     described, data, names = archive_tables(payloads, stamp, features, text)
     append_rows(names, f"{folder}/manifest")
     write_csv(described, f"{folder}/descriptor", mode="append")
-    place = ["latitude", "longitude"]
-    write_csv(data.hint("rebalance", *place), f"{folder}/data", place, "append")
+    placed = data.withColumn("location", location_name(F.col("latitude"), F.col("longitude")))
+    write_csv(placed.hint("rebalance", "location"), f"{folder}/data", ["location"], "append")

@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.functions.times import CREATED_FORM, parse_reading_time
-from isobar.operators.aggregate import fix_kelvin, hourly_means, mean_over_frames
+from isobar.operators.aggregate import (
+    fix_kelvin,
+    hourly_means,
+    mean_over_frames,
+    round_coordinates,
+    scale_units,
+)
 from isobar.operators.project import standardize_names, with_location
 from isobar.operators.reshape import flatten_by_leaf
 from isobar.schemas import HOURLY_AGGREGATE, PLACE_COLUMNS
@@ -25,18 +31,30 @@ def recent_documents(
 
 
 def provider_observations(
-    documents: DataFrame, zone: str | None = None, parity: bool = False
+    documents: DataFrame,
+    zone: str | None = None,
+    parity: bool = False,
+    factors: Mapping[str, float] | None = None,
+    coordinate_places: int | None = None,
 ) -> DataFrame:
-    """One provider's documents as canonical observations with a real timestamp, in Celsius."""
+    """One provider's documents as canonical observations with a real timestamp, in Celsius.
+
+    `factors` scale measures given in another unit. `coordinate_places` rounds coordinates, so that
+    providers which place a city slightly differently meet in one group.
+    """
     flat = flatten_by_leaf(documents)
     canonical = standardize_names(flat, keep=() if parity else ("name",))
     located = with_location(canonical)
     celsius = fix_kelvin(located, parity=parity)
+    if factors:
+        celsius = scale_units(celsius, factors)
+    if coordinate_places is not None:
+        celsius = round_coordinates(celsius, coordinate_places)
     return celsius.withColumn("timestamp", parse_reading_time("date", zone)).drop("date")
 
 
-def provider_hours(documents: DataFrame, zone: str | None = None, parity: bool = False) -> DataFrame:
-    return hourly_means(provider_observations(documents, zone, parity))
+def provider_hours(documents: DataFrame, zone: str | None = None, parity: bool = False, **options):
+    return hourly_means(provider_observations(documents, zone, parity, **options))
 
 
 def hourly_aggregate(
@@ -48,15 +66,25 @@ def hourly_aggregate(
     zone: str | None = None,
     parity: bool = False,
     newest_first: bool = True,
+    factors: Mapping[str, Mapping[str, float]] | None = None,
+    coordinate_places: int | None = None,
 ) -> DataFrame:
     """Mean over providers of their hourly means, newest hour first.
 
-    One provider passes through alone; with none the result is empty but has its columns.
+    `documents` and `factors` are keyed by topic. One provider passes through alone; with none the result is empty but has its columns.
     """
     frames = []
-    for table in documents.values():
+    for topic, table in documents.items():
         recent = table if as_of is None else recent_documents(table, as_of, lookback, limit)
-        frames.append(provider_hours(recent, zone, parity))
+        frames.append(
+            provider_hours(
+                recent,
+                zone,
+                parity,
+                factors=(factors or {}).get(topic),
+                coordinate_places=coordinate_places,
+            )
+        )
     if not frames:
         return spark.createDataFrame([], HOURLY_AGGREGATE)
     out = mean_over_frames(frames, [*PLACE_COLUMNS, "timestamp"], single=not parity)

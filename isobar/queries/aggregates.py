@@ -28,6 +28,7 @@ from isobar.queries.registry import (
     payload_k,
     query,
     r6,
+    r8,
     table,
 )
 from isobar.sources.weather_codes import WEATHER_CODES, weather_codes
@@ -35,29 +36,29 @@ from isobar.sources.weather_codes import WEATHER_CODES, weather_codes
 
 @query(
     "hourly_mean_by_provider",
-    """SELECT event_type, user_id, date_trunc('hour', ts) AS timestamp, round(avg(value), 6) AS avg_value
+    """SELECT event_type, user_id, date_trunc('hour', ts) AS timestamp, round(avg(value), 8) AS avg_value
     FROM events GROUP BY ALL""",
 )
 def hourly_mean_by_provider(spark, sf):
     means = hourly_means(events(spark, sf), "ts", ("event_type", "user_id"), ["value"])
-    return means.select("event_type", "user_id", ntz("ts").alias("timestamp"), r6("value").alias("avg_value"))
+    return means.select("event_type", "user_id", ntz("ts").alias("timestamp"), r8("value").alias("avg_value"))
 
 
 @query(
     "mean_of_provider_means",
-    """SELECT user_id, h AS timestamp, round(avg(v), 6) AS avg_value FROM (
+    """SELECT user_id, h AS timestamp, round(avg(v), 8) AS avg_value FROM (
         SELECT user_id, event_type, date_trunc('hour', ts) AS h, avg(value) AS v FROM events GROUP BY ALL)
     GROUP BY ALL""",
 )
 def mean_of_provider_means(spark, sf):
     rows = events(spark, sf).withColumn("timestamp", hour_of("ts"))
     out = mean_of_means(rows, "event_type", ["user_id", "timestamp"], ["value"])
-    return out.select("user_id", ntz("timestamp").alias("timestamp"), r6("avg_value").alias("avg_value"))
+    return out.select("user_id", ntz("timestamp").alias("timestamp"), r8("avg_value").alias("avg_value"))
 
 
 @query(
     "common_column_union",
-    f"""SELECT user_id, h AS timestamp, round(avg(v), 6) AS avg_value, round(avg(k), 6) AS avg_k FROM (
+    f"""SELECT user_id, h AS timestamp, round(avg(v), 8) AS avg_value, round(avg(k), 8) AS avg_k FROM (
         SELECT user_id, event_type IN ('click', 'view') AS web, date_trunc('hour', ts) AS h,
             avg(value) AS v, avg({SQL_K}) AS k
         FROM events GROUP BY ALL) GROUP BY ALL""",
@@ -71,7 +72,7 @@ def common_column_union(spark, sf):
     second = hourly_means(other, "ts", ["user_id"], ["twice", "k", "value"])
     out = mean_over_frames([first, second], ["user_id", "ts"])
     return out.select(
-        "user_id", ntz("ts").alias("timestamp"), r6("avg_value").alias("avg_value"), r6("avg_k").alias("avg_k")
+        "user_id", ntz("ts").alias("timestamp"), r8("avg_value").alias("avg_value"), r8("avg_k").alias("avg_k")
     )
 
 
@@ -128,11 +129,11 @@ def unit_switch_whole_frame(spark, sf):
 
 @query(
     "group_means_per_timestamp",
-    """SELECT date_trunc('hour', ts) AS timestamp, round(avg(value), 6) AS value FROM events GROUP BY ALL""",
+    """SELECT date_trunc('hour', ts) AS timestamp, round(avg(value), 8) AS value FROM events GROUP BY ALL""",
 )
 def group_means_per_timestamp(spark, sf):
     rows = events(spark, sf).withColumn("timestamp", hour_of("ts"))
-    return group_means(rows, ["timestamp"], ["value"]).select(ntz("timestamp").alias("timestamp"), r6("value").alias("value"))
+    return group_means(rows, ["timestamp"], ["value"]).select(ntz("timestamp").alias("timestamp"), r8("value").alias("value"))
 
 
 @query(

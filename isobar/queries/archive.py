@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from isobar.operators.aggregate import kelvin_to_celsius
+from isobar.operators.project import with_metadata
 from isobar.operators.serving import top_newest
 from isobar.plans.archives import archive_tables, district_history, fill_gap, write_archive
 from isobar.plans.city import city_history
@@ -16,37 +17,45 @@ from isobar.sources.files import append_rows, iso_timestamps, read_csv, write_ag
 _FEATURES = ("temperature_2m", "cloud_cover")
 
 
-def _payloads(spark, sf, shift_hours=0):
-    """One payload text per vector: its values are hourly temperatures from a start day of its own."""
+def _payloads(spark, sf):
+    """One payload text per vector: its values are hourly temperatures, its label the district.
+
+    Every vector starts where the one before it ends, so a district has many payloads.
+    """
     vectors = table(spark, sf, "embeddings")
-    days = (F.col("vec_id") % 365).cast("int")
-    start = F.date_add(F.lit("2017-01-01").cast("date"), days).cast("timestamp_ntz") + F.make_dt_interval(
-        hours=F.lit(shift_hours)
-    )
+    first = F.make_dt_interval(hours=(F.col("vec_id") * F.size("embedding")).cast("int"))
+    start = F.lit("2017-01-01").cast("timestamp_ntz") + first
     values = F.transform("embedding", lambda x: x.cast("double"))
     times = F.transform(
         F.sequence(F.lit(0), F.size("embedding") - 1),
         lambda i: F.date_format(start + F.make_dt_interval(hours=i), "yyyy-MM-dd'T'HH:mm"),
     )
-    lat, lon = -F.col("vec_id") / 8.0, F.lit(112.5)
+    lat, lon = -F.col("label") / 8.0, F.lit(112.5)
     hourly = F.struct(
-        times.alias("time"), values.alias("temperature_2m"), F.transform(values, lambda x: x * 2).alias("cloud_cover")
+        times.alias("time"),
+        values.alias("temperature_2m"),
+        F.transform(values, lambda x: x * 2).alias("cloud_cover"),
     )
     body = F.struct(
-        lat.alias("latitude"), lon.alias("longitude"), F.lit(25200).alias("utc_offset_seconds"),
-        F.lit("Asia/Bangkok").alias("timezone"), F.lit("GMT+7").alias("timezone_abbreviation"),
+        lat.alias("latitude"),
+        lon.alias("longitude"),
+        F.lit(25200).alias("utc_offset_seconds"),
+        F.lit("Asia/Bangkok").alias("timezone"),
+        F.lit("GMT+7").alias("timezone_abbreviation"),
         hourly.alias("hourly"),
     )
     return vectors.select(
         "vec_id",
         F.concat(F.lit("district "), F.col("label").cast("string")).alias("district"),
-        lat.alias("latitude"), lon.alias("longitude"), F.to_json(body).alias("value"),
+        lat.alias("latitude"),
+        lon.alias("longitude"),
+        F.to_json(body).alias("value"),
     )
 
 
-_SQL_ROWS = """(SELECT vec_id, 'district ' || label AS district, -vec_id / 8.0 AS latitude, 112.5 AS longitude,
-    strftime(TIMESTAMP '2017-01-01' + (vec_id % 365) * INTERVAL 1 DAY + (i - 1) * INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M')
-        AS time, CAST(embedding[i] AS DOUBLE) AS x, i
+_SQL_ROWS = """(SELECT vec_id, 'district ' || label AS district, -label / 8.0 AS latitude, 112.5 AS longitude,
+    strftime(TIMESTAMP '2017-01-01' + CAST(vec_id * len(embedding) + i - 1 AS INT) * INTERVAL 1 HOUR,
+        '%Y-%m-%dT%H:%M') AS time, CAST(embedding[i] AS DOUBLE) AS x, i
     FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings))"""
 
 
@@ -72,7 +81,7 @@ def merged_archive_rows(spark, sf):
 
 @query(
     "archive_descriptors",
-    """SELECT -vec_id / 8.0 AS latitude, 112.5 AS longitude, 25200 AS utc_offset_seconds,
+    """SELECT -label / 8.0 AS latitude, 112.5 AS longitude, 25200 AS utc_offset_seconds,
         'Asia/Bangkok' AS timezone, 'GMT+7' AS timezone_abbreviation FROM embeddings""",
 )
 def archive_descriptors(spark, sf):
@@ -80,10 +89,10 @@ def archive_descriptors(spark, sf):
     return archive_tables(_payloads(spark, sf), stamp, _FEATURES)[0]
 
 
-_SQL_MANIFEST = """(SELECT DISTINCT -vec_id / 8.0 AS latitude, 112.5 AS longitude,
-    replace(CAST(-vec_id / 8.0 AS VARCHAR), '.', '_') || '_112_5_descriptor_2025-05-19_18_13_02_157939.csv'
+_SQL_MANIFEST = """(SELECT DISTINCT -label / 8.0 AS latitude, 112.5 AS longitude,
+    replace(CAST(-label / 8.0 AS VARCHAR), '.', '_') || '_112_5_descriptor_2025-05-19_18_13_02_157939.csv'
         AS descriptor_file_name,
-    replace(CAST(-vec_id / 8.0 AS VARCHAR), '.', '_') || '_112_5_data_2025-05-19_18_13_02_157939.csv'
+    replace(CAST(-label / 8.0 AS VARCHAR), '.', '_') || '_112_5_data_2025-05-19_18_13_02_157939.csv'
         AS data_file_name FROM embeddings)"""
 
 
@@ -107,12 +116,24 @@ def archive_written(spark, sf):
     folder = shared_folder(spark, "archive")
     write_archive(_payloads(spark, sf), folder, F.lit("2025-05-19 18:13:02.157939"), _FEATURES)
     rows = read_csv(
-        spark, f"{folder}/data",
-        "datetime STRING, temperature_2m DOUBLE, cloud_cover DOUBLE, latitude DOUBLE, longitude DOUBLE",
+        spark,
+        f"{folder}/data",
+        "latitude DOUBLE, longitude DOUBLE, datetime STRING, temperature_2m DOUBLE, cloud_cover DOUBLE",
     )
     return rows.select("latitude", "longitude", "datetime", r6("temperature_2m").alias("temperature_2m"))
 
 
+@query(
+    "row_metadata",
+    f"""SELECT sha256(district || time) AS _id, '2025-06-01T00:00:00' AS last_updated, time, vec_id FROM {_SQL_ROWS}""",
+)
+def row_metadata(spark, sf):
+    parsed = parse_payloads(_payloads(spark, sf), features=_FEATURES)
+    rows = hourly_rows(parsed, _FEATURES, ["district", "vec_id"])
+    stamped = with_metadata(rows, "district", "time", as_of=F.lit("2025-06-01").cast("timestamp"))
+    return stamped.select("_id", "last_updated", "time", "vec_id")
+
+
 @query(
     "district_history",
     f"""SELECT district, latitude, longitude, count(*) AS n, min(time) AS first_time, max(time) AS last_time,
@@ -160,21 +181,21 @@ def _wide(spark, sf):
         FROM {SQL_GAPPED} GROUP BY ALL),
     old AS (SELECT strftime(h - INTERVAL 10 HOUR, '%Y-%m-%dT%H:%M') AS datetime,
         coalesce(t, lead(t) OVER (ORDER BY h)) - 273.15 AS temperature FROM w),
-    new AS (SELECT strftime(o_orderdate, '%Y-%m-%dT%H:%M') AS datetime, avg(o_totalprice) AS temperature
+    new AS (SELECT strftime(o_orderdate, '%Y-%m-%dT%H:%M') AS datetime, min(o_totalprice) AS temperature
         FROM orders GROUP BY ALL),
     kept AS (SELECT datetime, temperature FROM (SELECT *, row_number() OVER (ORDER BY datetime) AS rn FROM new)
         WHERE rn > 15)
-    SELECT replace(datetime, 'T', ' ') || ':00-07' AS datetime, round(temperature, 8) AS temperature FROM (
+    SELECT replace(datetime, 'T', ' ') || ':00-07' AS datetime, round(temperature, 6) AS temperature FROM (
         SELECT * FROM old WHERE temperature IS NOT NULL UNION ALL SELECT * FROM kept)""",
 )
 def city_rows(spark, sf):
     newer = (
         table(spark, sf, "orders")
         .groupBy(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm").alias("datetime"))
-        .agg(F.avg("o_totalprice").alias("temperature"))
+        .agg(F.min("o_totalprice").alias("temperature"))
     )
     rows = city_history(_wide(spark, sf), "click", newer)
-    return rows.select("datetime", F.round("temperature", 8).alias("temperature"))
+    return rows.select("datetime", r6("temperature").alias("temperature"))
 
 
 @query(

@@ -249,14 +249,14 @@ def provider_hour_means(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-_SQL_AGGREGATE = (
+SQL_AGGREGATE = (
     "SELECT location_name, latitude, longitude, timestamp, "
     + ", ".join(f"round(avg({name}), 6) AS avg_{name}" for name in _MEASURES)
     + f" FROM {_SQL_PROVIDER_HOURS} GROUP BY ALL"
 )
 
 
-@query("hourly_aggregate_job", _SQL_AGGREGATE)
+@query("hourly_aggregate_job", SQL_AGGREGATE)
 def hourly_aggregate_job(spark, sf):
     """Three message logs to hourly means over providers."""
     out = hourly_aggregate(spark, all_documents(spark, sf), zone=JAKARTA)

@@ -6,111 +6,63 @@ errors open-meteo ones. Every event is one message; the place is the user.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.functions.times import JAKARTA, PLAIN_FORM, T_FORM
 from isobar.operators.reshape import provider_documents
 from isobar.operators.serving import first_write_wins
-from isobar.queries.registry import SQL_K, events, payload_k
-from isobar.schemas import FREE_WEATHER, OPEN_METEO, OPEN_WEATHER, TOPICS
+from isobar.queries.registry import SQL_K, events
+from isobar.schemas import TOPICS
 
-TOPIC_OF = {
-    "click": FREE_WEATHER,
-    "view": FREE_WEATHER,
-    "purchase": OPEN_WEATHER,
-    "signup": OPEN_WEATHER,
-    "error": OPEN_METEO,
-}
-
-
-def _topic() -> Column:
-    kind = F.col("event_type")
-    return (
-        F.when(kind.isin("click", "view"), FREE_WEATHER)
-        .when(kind.isin("purchase", "signup"), OPEN_WEATHER)
-        .otherwise(OPEN_METEO)
-    )
-
-
-def _jakarta(form: str) -> Column:
-    wall = F.convert_timezone(F.current_timezone(), F.lit(JAKARTA), F.col("ts").cast("timestamp_ntz"))
-    return F.date_format(wall, form)
-
-
-def _named(**columns: Column) -> Column:
-    return F.struct(*[c.alias(name) for name, c in columns.items()])
-
-
-def _messages() -> Column:
-    """JSON envelope of the row's provider."""
-    k, value = payload_k(), F.col("value")
-    number = k.cast("int")
-    lat, lon = -F.col("user_id") / 16.0, F.lit(112.0) + F.col("user_id") / 16.0
-    epoch = F.unix_seconds("ts")
-    free = _named(
-        location=_named(
-            name=F.lit("Malang"), region=F.lit("East Java"), country=F.lit("Indonesia"),
-            lat=lat, lon=lon, tz_id=F.lit(JAKARTA), localtime_epoch=epoch,
-            localtime=_jakarta(PLAIN_FORM),
-        ),
-        current=_named(
-            last_updated_epoch=epoch, last_updated=_jakarta(PLAIN_FORM), temp_c=value,
-            is_day=F.lit(1), condition=_named(
-                text=F.col("event_type"), icon=F.concat(F.col("event_type"), F.lit(".png")),
-                code=number,
-            ),
-            wind_kph=value / 4, pressure_mb=1000.0 + k, precip_mm=k / 10, humidity=number,
-            cloud=number, feelslike_c=k.cast("double"), gust_kph=value / 2,
-        ),
-    )
-    sky = _named(
-        id=number, main=F.lit("Clouds"), description=F.col("event_type"), icon=F.lit("04d")
-    )
-    open_weather = _named(
-        coord=_named(lon=lon, lat=lat),
-        weather=F.array(sky),
-        main=_named(
-            temp=value + 273.15, feels_like=k + 273.15, pressure=number + 1000, humidity=number,
-            sea_level=number + 1000, grnd_level=number + 900,
-        ),
-        visibility=F.when(k >= 50, F.lit(10000)),
-        wind=_named(speed=value / 4, deg=number, gust=value / 2),
-        clouds=_named(all=number),
-        dt=epoch,
-        sys=_named(country=F.lit("ID")),
-        name=F.lit("Malang"),
-    )
-    meteo = _named(
-        latitude=lat, longitude=lon, elevation=F.lit(502.0),
-        current=_named(
-            time=_jakarta(T_FORM), interval=F.lit(900), temperature_2m=value,
-            apparent_temperature=k.cast("double"), relative_humidity_2m=number,
-            precipitation=k / 10, weather_code=number, cloud_cover=number,
-            wind_speed_10m=value / 4, wind_direction_10m=number, pressure_msl=1000.0 + k,
-            wind_gusts_10m=value / 2,
-        ),
-    )
-
-    def envelope(provider: str, data: Column) -> Column:
-        return F.to_json(_named(provider=F.lit(provider), latitude=lat, longitude=lon, data=data))
-
-    return (
-        F.when(_topic() == FREE_WEATHER, envelope("FreeWeatherAPI", free))
-        .when(_topic() == OPEN_WEATHER, envelope("OpenWeatherMap", open_weather))
-        .otherwise(envelope("Open-Meteo", meteo))
-    )
+_TOPIC = """CASE WHEN event_type IN ('click', 'view') THEN 'free-weather'
+    WHEN event_type IN ('purchase', 'signup') THEN 'open-weather' ELSE 'open-meteo' END"""
+_PLACE = "'latitude', lat, 'longitude', lon"
+# Payload of each provider over `k`, `number` (k as an integer), `value`, `lat`, `lon`, `local`, `epoch`.
+_FREE = """named_struct(
+    'location', named_struct('name', 'Malang', 'region', 'East Java', 'country', 'Indonesia', 'lat', lat,
+        'lon', lon, 'tz_id', 'Asia/Jakarta', 'localtime_epoch', epoch,
+        'localtime', date_format(local, 'yyyy-MM-dd HH:mm')),
+    'current', named_struct('last_updated_epoch', epoch,
+        'last_updated', date_format(local, 'yyyy-MM-dd HH:mm'), 'temp_c', value, 'is_day', 1,
+        'condition', named_struct('text', event_type, 'icon', event_type || '.png', 'code', number),
+        'wind_kph', value / 4, 'pressure_mb', 1000D + k, 'precip_mm', k / 10, 'humidity', number,
+        'cloud', number, 'feelslike_c', double(k), 'gust_kph', value / 2))"""
+_OPEN_WEATHER = """named_struct(
+    'coord', named_struct('lon', lon, 'lat', lat),
+    'weather', array(named_struct('id', number, 'main', 'Clouds', 'description', event_type, 'icon', '04d')),
+    'main', named_struct('temp', value + 273.15D, 'feels_like', k + 273.15D, 'pressure', number + 1000,
+        'humidity', number, 'sea_level', number + 1000, 'grnd_level', number + 900),
+    'visibility', CASE WHEN k >= 50 THEN 10000 END,
+    'wind', named_struct('speed', value / 4, 'deg', number, 'gust', value / 2),
+    'clouds', named_struct('all', number), 'dt', epoch, 'sys', named_struct('country', 'ID'), 'name', 'Malang')"""
+_METEO = """named_struct(
+    'latitude', lat, 'longitude', lon, 'elevation', 502D,
+    'current', named_struct('time', date_format(local, "yyyy-MM-dd'T'HH:mm"), 'interval', 900,
+        'temperature_2m', value, 'apparent_temperature', double(k), 'relative_humidity_2m', number,
+        'precipitation', k / 10, 'weather_code', number, 'cloud_cover', number, 'wind_speed_10m', value / 4,
+        'wind_direction_10m', number, 'pressure_msl', 1000D + k, 'wind_gusts_10m', value / 2))"""
+
+
+def _envelope(provider: str, data: str) -> str:
+    return f"to_json(named_struct('provider', '{provider}', {_PLACE}, 'data', {data}))"
+
+
+_MESSAGE = f"""CASE topic WHEN 'free-weather' THEN {_envelope("FreeWeatherAPI", _FREE)}
+    WHEN 'open-weather' THEN {_envelope("OpenWeatherMap", _OPEN_WEATHER)}
+    ELSE {_envelope("Open-Meteo", _METEO)} END"""
 
 
 def as_records(rows: DataFrame) -> DataFrame:
     """Events as Kafka-shaped records; works on a stream of events as well."""
-    return rows.select(
-        F.lit(None).cast("binary").alias("key"),
-        _messages().cast("binary").alias("value"),
-        _topic().alias("topic"),
-        F.lit(0).alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.col("ts").alias("timestamp"),
+    inputs = rows.selectExpr(
+        "event_id", "ts", "event_type", "value", f"{_TOPIC} AS topic",
+        "bigint(get_json_object(props, '$.k')) AS k", "int(get_json_object(props, '$.k')) AS number",
+        "-user_id / 16D AS lat", "112D + user_id / 16D AS lon", "unix_seconds(ts) AS epoch",
+        "convert_timezone(current_timezone(), 'Asia/Jakarta', CAST(ts AS TIMESTAMP_NTZ)) AS local",
+    )
+    return inputs.selectExpr(
+        "binary(null) AS key", f"binary({_MESSAGE}) AS value", "topic", "0 AS partition",
+        "event_id AS offset", "ts AS timestamp",
     )
 
 
@@ -118,14 +70,19 @@ def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_records(events(spark, sf_dir))
 
 
+def _stored(log: DataFrame, topic: str) -> DataFrame:
+    made = provider_documents(log, topic, F.col("timestamp"))
+    return first_write_wins(made, "_id", "partition", "offset").drop("id_time", "partition", "offset")
+
+
 def documents(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """Stored documents of one provider: the first message of every id, created when it was sent."""
-    made = provider_documents(message_log(spark, sf_dir), topic, F.col("timestamp"))
-    return first_write_wins(made, "_id", "partition", "offset").drop("id_time", "partition", "offset")
+    return _stored(message_log(spark, sf_dir), topic)
 
 
 def all_documents(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {topic: documents(spark, sf_dir, topic) for topic in TOPICS}
+    log = message_log(spark, sf_dir)
+    return {topic: _stored(log, topic) for topic in TOPICS}
 
 
 SQL_TOPIC = """CASE WHEN event_type IN ('click', 'view') THEN 'free-weather'

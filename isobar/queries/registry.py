@@ -61,3 +61,8 @@ def ntz(column: Column | str) -> Column:
 
 def r6(column: Column | str) -> Column:
     return F.round(F.col(column) if isinstance(column, str) else column, 6)
+
+
+def r8(column: Column | str) -> Column:
+    """For means of few values, which may end on a five at the seventh place."""
+    return F.round(F.col(column) if isinstance(column, str) else column, 8)

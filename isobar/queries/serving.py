@@ -269,11 +269,11 @@ def _hourly_series(spark, sf):
 
 @query(
     "forecast_trend_season",
-    sql_forecast(_SQL_SERIES, "series", 3600, 12) + " SELECT series, ds, round(yhat, 4) AS yhat FROM p",
+    sql_forecast(_SQL_SERIES, "series", 3600, 12) + " SELECT series, ds, round(yhat, 6) AS yhat FROM p",
 )
 def forecast_trend_season(spark, sf):
     ahead = forecast.forecast(_hourly_series(spark, sf), 12)
-    return ahead.select("series", ntz("ds").alias("ds"), F.round("yhat", 4).alias("yhat"))
+    return ahead.select("series", ntz("ds").alias("ds"), r6("yhat").alias("yhat"))
 
 
 @query(
@@ -286,14 +286,14 @@ def forecast_trend_season(spark, sf):
             + coalesce(residual, 0) AS yhat
         FROM (SELECT *, CAST(floor(epoch_us(ds) / 1000000) AS BIGINT) % 86400 // 900 AS slot FROM s JOIN m USING (series))
         LEFT JOIN r USING (series, slot))
-    SELECT series, ds, round(yhat, 4) AS yhat FROM p UNION ALL SELECT series, ds, round(yhat, 4) FROM h""",
+    SELECT series, ds, round(yhat, 6) AS yhat FROM p UNION ALL SELECT series, ds, round(yhat, 6) FROM h""",
 )
 def forecast_with_history(spark, sf):
     rows = events(spark, sf).groupBy(F.col("user_id").alias("series"), quarter_hour_of("ts").alias("ds")).agg(
         F.avg("value").alias("y")
     )
     fitted = forecast.forecast(rows, 16, "15min", only_future=False)
-    return fitted.select("series", ntz("ds").alias("ds"), F.round("yhat", 4).alias("yhat"))
+    return fitted.select("series", ntz("ds").alias("ds"), r6("yhat").alias("yhat"))
 
 
 @query(
@@ -306,6 +306,24 @@ def future_grid(spark, sf):
     return forecast.future_grid(last, 24).withColumn("ds", ntz("ds"))
 
 
+@query(
+    "regressors_joined",
+    f"""WITH s AS (SELECT event_type AS series, date_trunc('hour', ts) AS ds, round(avg({SQL_K}), 6) AS k,
+        FROM events GROUP BY ALL),
+    g AS (SELECT series, max(ds) - 48 * INTERVAL 1 HOUR + i * INTERVAL 1 HOUR AS ds
+        FROM s, (SELECT unnest(range(1, 49)) AS i) GROUP BY series, i)
+    SELECT series, ds, k FROM g JOIN s USING (series, ds)""",
+)
+def regressors_joined(spark, sf):
+    """The grid of the last 48 hours with the regressor known for them."""
+    known = events(spark, sf).groupBy(F.col("event_type").alias("series"), hour_of("ts").alias("ds")).agg(
+        r6(F.avg(payload_k())).alias("k")
+    )
+    start = known.groupBy("series").agg((F.max("ds") - F.expr("INTERVAL 48 HOURS")).alias("ds"))
+    joined = forecast.with_regressors(forecast.future_grid(start, 48), known, ["k"])
+    return joined.withColumn("ds", ntz("ds"))
+
+
 _SQL_METRICS = f"""SELECT place, metric, ds, avg(y) AS y FROM (
     SELECT user_id AS place, date_trunc('hour', ts) AS ds, unnest([
         {{'metric': 'temperature', 'y': CAST(value AS DOUBLE)}}, {{'metric': 'humidity', 'y': CAST({SQL_K} AS DOUBLE)}},
@@ -320,10 +338,10 @@ _SQL_METRICS = f"""SELECT place, metric, ds, avg(y) AS y FROM (
             PARTITION BY place, metric ORDER BY ds DESC) AS rn FROM s) WHERE rn <= 8
         UNION ALL SELECT place, metric, ds, yhat FROM p)
     SELECT place, ds AS slot, strftime(ds, '%m-%d %H:%M') AS Hour,
-        round(avg(v) FILTER (metric = 'temperature'), 4) AS Temperature,
-        round(avg(v) FILTER (metric = 'humidity'), 4) AS Humidity,
-        round(avg(v) FILTER (metric = 'feels_like'), 4) AS Feels_Like,
-        round(avg(v) FILTER (metric = 'precipitation'), 4) AS Precipitation
+        round(avg(v) FILTER (metric = 'temperature'), 6) AS Temperature,
+        round(avg(v) FILTER (metric = 'humidity'), 6) AS Humidity,
+        round(avg(v) FILTER (metric = 'feels_like'), 6) AS Feels_Like,
+        round(avg(v) FILTER (metric = 'precipitation'), 6) AS Precipitation
     FROM rows_ GROUP BY place, ds""",
 )
 def dashboard_frame(spark, sf):
@@ -331,7 +349,7 @@ def dashboard_frame(spark, sf):
     hourly = _weather_data(spark, sf).withColumn("timestamp", hour_of("timestamp"))
     stacked = dashboard.stack_metrics(hourly, columns, ["place"])
     frame = dashboard.dashboard_frame(stacked, "hour", ["place"])
-    rounded = {c: F.round(c, 4) for c in ("Temperature", "Humidity", "Feels_Like", "Precipitation")}
+    rounded = {c: r6(c) for c in ("Temperature", "Humidity", "Feels_Like", "Precipitation")}
     return frame.withColumns({"slot": ntz("slot"), **rounded})
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from isobar.functions import times as tf
 from isobar.functions.ids import binary_text_id, concat_id
 from isobar.queries.feed import sql_binary_id
-from isobar.queries.registry import events, ntz, query, r6
+from isobar.queries.registry import events, ntz, query, r8
 
 _MINUTE = "date_part('minute', ts)"
 
@@ -37,12 +37,12 @@ def near_slot_wrapped(spark, sf):
 
 @query(
     "bucket_15min",
-    """SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS slot, count(*) AS n, round(avg(value), 6) AS avg_value
+    """SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS slot, count(*) AS n, round(avg(value), 8) AS avg_value
     FROM events GROUP BY ALL""",
 )
 def bucket_15min(spark, sf):
     slots = events(spark, sf).groupBy(tf.quarter_hour_of("ts").alias("slot"))
-    return slots.agg(F.count(F.lit(1)).alias("n"), r6(F.avg("value")).alias("avg_value")).withColumn("slot", ntz("slot"))
+    return slots.agg(F.count(F.lit(1)).alias("n"), r8(F.avg("value")).alias("avg_value")).withColumn("slot", ntz("slot"))
 
 
 @query(
@@ -92,6 +92,15 @@ def epoch_zoned_text(spark, sf):
     )
 
 
+@query(
+    "wall_clock_hour",
+    "SELECT event_id, date_trunc('hour', ts + INTERVAL 7 HOUR) AS local_hour FROM events",
+)
+def wall_clock_hour(spark, sf):
+    local = tf.hour_of(tf.wall_clock("ts").cast("timestamp"))
+    return events(spark, sf).select("event_id", ntz(local).alias("local_hour"))
+
+
 @query(
     "date_arithmetic",
     """SELECT event_id, ts - INTERVAL 2 HOUR AS two_hours_before, CAST(ts AS DATE) - 3 AS three_days_before

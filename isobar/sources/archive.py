@@ -59,13 +59,16 @@ def descriptors(payloads: DataFrame, keep: Sequence[str | Column] = ()) -> DataF
     )
 
 
+def location_name(latitude: Column, longitude: Column) -> Column:
+    """`<lat>_<lon>` with dots as underscores."""
+    dots = [F.replace(c.cast("string"), F.lit("."), F.lit("_")) for c in (latitude, longitude)]
+    return F.concat_ws("_", *dots)
+
+
 def archive_name(latitude: Column, longitude: Column, kind: str, stamp: Column) -> Column:
-    """`<lat>_<lon>_<kind>_<stamp>.csv` with dots, blanks and colons as underscores."""
-    dots = lambda c: F.replace(c.cast("string"), F.lit("."), F.lit("_"))
+    """`<lat>_<lon>_<kind>_<stamp>.csv`, the stamp with dots, blanks and colons as underscores."""
     clean = F.regexp_replace(stamp.cast("string"), "[ .:]", "_")
-    return F.concat(
-        dots(latitude), F.lit("_"), dots(longitude), F.lit(f"_{kind}_"), clean, F.lit(".csv")
-    )
+    return F.concat(location_name(latitude, longitude), F.lit(f"_{kind}_"), clean, F.lit(".csv"))
 
 
 def manifest(descriptor_rows: DataFrame, stamp: Column) -> DataFrame:
