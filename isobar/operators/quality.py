@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from isobar.operators.ordered import with_next, with_row_index
 from isobar.operators.project import numeric_columns
+from isobar.session import shared_root
 
 QUANTILE_CELLS = 1_000
 
@@ -111,6 +112,10 @@ def exact_quantiles(
             ]
         ).alias("_b"),
     )
+    # Two sketches of the same rows may differ, and all counts have to use the same brackets: they
+    # are made once and kept.
+    shared_root(df.sparkSession)
+    brackets = brackets.checkpoint()
     inside = F.try_divide(F.col("x") - F.col("b.lo"), F.col("b.hi") - F.col("b.lo"))
     cell = (
         F.when(F.col("x") < F.col("b.lo"), -1)
@@ -124,7 +129,11 @@ def exact_quantiles(
         .select("column_name", "x", F.explode("_b").alias("b"))
         .select("column_name", F.col("b.q").alias("q"), F.col("b.position").alias("position"), "x", cell.alias("cell"))
         .groupBy(*keys, "cell", F.when(F.col("cell").between(0, QUANTILE_CELLS), F.col("x")).alias("at"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            # Rounding can put a rank next to the bracket: the last one below or the first above.
+            F.when(F.col("cell") < 0, F.max("x")).otherwise(F.min("x")).alias("x"),
+        )
     )
     along_cells = Window.partitionBy("column_name", "q").orderBy("cell")
     low, high = F.floor("position"), F.ceil("position")

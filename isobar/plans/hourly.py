@@ -15,7 +15,7 @@ from isobar.operators.aggregate import (
     round_coordinates,
     scale_units,
 )
-from isobar.operators.project import standardize_names, with_location
+from isobar.operators.project import pick, standardize_names, with_location
 from isobar.operators.reshape import flatten_by_leaf
 from isobar.schemas import HOURLY_AGGREGATE, PLACE_COLUMNS
 from isobar.sources.documents import find, since
@@ -87,5 +87,7 @@ def hourly_aggregate(
         )
     if not frames:
         return spark.createDataFrame([], HOURLY_AGGREGATE)
-    out = mean_over_frames(frames, [*PLACE_COLUMNS, "timestamp"], single=not parity)
+    means = mean_over_frames(frames, [*PLACE_COLUMNS, "timestamp"], single=not parity)
+    known = HOURLY_AGGREGATE.names
+    out = pick(means, [*known, *[c for c in means.columns if c not in known]])
     return out.orderBy(F.desc("timestamp")) if newest_first else out
