@@ -10,6 +10,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from isobar.operators.joins import join_per_key
 from isobar.operators.ordered import newest, split_newest
 
 # Step of a frequency in seconds.
@@ -17,6 +18,8 @@ STEP_SECONDS = {"H": 3600, "h": 3600, "15min": 900}
 DAY_SECONDS = 86_400
 # Hours are counted from here, which keeps their squares small.
 ORIGIN_SECONDS = 1_577_836_800
+# Series whose models, of up to 96 residuals each, are sent to every task.
+SEASON_ROWS = 10_000
 # Fixed value: smallest denominator of the percentage error.
 MAPE_FLOOR = 2.220446049250313e-16
 
@@ -53,25 +56,45 @@ def future_grid(last: DataFrame, periods: int, freq: str = "H", ds: str = "ds")
     return last.withColumn(ds, F.explode(F.sequence(start, stop, step)))
 
 
+# Model of a series from the moments of its cells: within-cell plus between-cell parts.
+_TOTAL = "aggregate(cells, 0D, (a, c) -> a + c.n)"
+_MODEL = (
+    {
+        "tx": f"aggregate(cells, 0D, (a, c) -> a + c.n * c.mx) / {_TOTAL}",
+        "ty": f"aggregate(cells, 0D, (a, c) -> a + c.n * c.my) / {_TOTAL}",
+    },
+    {
+        "slope": """coalesce(try_divide(
+            aggregate(cells, 0D, (a, c) -> a + c.n * (c.cxy + (c.mx - tx) * (c.my - ty))),
+            aggregate(cells, 0D, (a, c) -> a + c.n * (c.vx + (c.mx - tx) * (c.mx - tx)))), 0D)""",
+    },
+    {"intercept": "ty - slope * tx"},
+    {
+        "season": """map_from_entries(transform(cells,
+            c -> struct(c.slot, c.my - slope * c.mx - intercept)))""",
+    },
+)
+
+
 class TrendSeason:
     """Linear trend plus mean residual per slot of the day, per series.
 
-    `fit` declares one grouped aggregate: the moments of every (series, slot) cell. The trend of a
-    series and the residuals of its slots both follow from those cells, so the rows are shuffled
-    once, pre-aggregated, however long or uneven the series are.
+    The rows are read and shuffled once, as partial moments per series and slot, so long and uneven
+    series cost no more than short ones. A series then has one row: as many cells as the day has
+    slots (24 or 96), from which trend and residuals follow without another pass.
     """
 
     def __init__(self, freq: str = "H", series: Sequence[str] = ("series",)):
         self.step = _step(freq)
         self.freq = freq
         self.series = list(series)
-        self.history: DataFrame | None = None
+        self.model: DataFrame | None = None
 
     def fit(self, df: DataFrame) -> TrendSeason:
         _need_columns(df, "ds", "y", *self.series)
         x, y = _hours(), F.col("y")
         cells = (
-            df.filter(y.isNotNull())
+            df.filter(y.isNotNull() & F.col("ds").isNotNull())
             .groupBy(*self.series, _slot(self.step).alias("slot"))
             .agg(
                 F.count(F.lit(1)).cast("double").alias("n"),
@@ -82,51 +105,28 @@ class TrendSeason:
                 F.max(F.col("ds").cast("timestamp")).alias("ds"),
             )
         )
-        # Moments of a series from those of its cells: within-cell plus between-cell parts.
-        means = cells.groupBy(*self.series).agg(
+        model = cells.groupBy(*self.series).agg(
             F.max("ds").alias("ds"),
-            (F.sum(F.col("n") * F.col("mx")) / F.sum("n")).alias("tx"),
-            (F.sum(F.col("n") * F.col("my")) / F.sum("n")).alias("ty"),
-        )
-        dx, dy = F.col("mx") - F.col("tx"), F.col("my") - F.col("ty")
-        slopes = (
-            cells.drop("ds")
-            .join(means, self.series)
-            .groupBy(*self.series, "ds", "tx", "ty")
-            .agg(
-                F.coalesce(
-                    F.try_divide(
-                        F.sum(F.col("n") * (F.col("cxy") + dx * dy)),
-                        F.sum(F.col("n") * (F.col("vx") + dx * dx)),
-                    ),
-                    F.lit(0.0),
-                ).alias("slope")
-            )
-        )
-        self.trend = slopes.select(
-            *self.series, "ds", "slope", (F.col("ty") - F.col("slope") * F.col("tx")).alias("intercept")
-        )
-        self.season = cells.join(self.trend.drop("ds"), self.series).select(
-            *self.series,
-            "slot",
-            (F.col("my") - F.col("slope") * F.col("mx") - F.col("intercept")).alias("residual"),
+            F.sort_array(F.collect_list(F.struct("slot", "n", "mx", "my", "vx", "cxy"))).alias("cells"),
         )
+        for step in _MODEL:
+            model = model.withColumns({name: F.expr(text) for name, text in step.items()})
+        self.model = model.select(*self.series, "ds", "slope", "intercept", "season")
         self.history = df
         return self
 
     def predict(self, periods: int, only_future: bool = True) -> DataFrame:
-        """`(series, ds, yhat)` of the next steps, after the history's fit if that is wanted too."""
-        if self.history is None:
+        """`(series, ds, yhat)` of the next steps, and of the history if that is wanted too."""
+        if self.model is None:
             raise ValueError("call fit first")
-        future = future_grid(self.trend, periods, self.freq)
+        times = future_grid(self.model, periods, self.freq)
         if not only_future:
             known = self.history.select(*self.series, F.col("ds").cast("timestamp").alias("ds"))
-            future = known.join(self.trend.drop("ds"), self.series).unionByName(future)
-        base = future.withColumn("slot", _slot(self.step))
-        yhat = F.col("slope") * _hours() + F.col("intercept") + F.coalesce("residual", F.lit(0.0))
-        return base.join(self.season, [*self.series, "slot"], "left").select(
-            *self.series, "ds", yhat.alias("yhat")
-        )
+            fitted = join_per_key(known, self.model.drop("ds"), self.series, "inner", SEASON_ROWS)
+            times = fitted.unionByName(times)
+        residual = F.coalesce(F.try_element_at("season", _slot(self.step)), F.lit(0.0))
+        yhat = F.col("slope") * _hours() + F.col("intercept") + residual
+        return times.select(*self.series, "ds", yhat.alias("yhat"))
 
 
 def forecast(
@@ -210,7 +210,7 @@ class RegressorForecast:
         _need_columns(train, "ds", "y", *self.series, *self.regressors)
         known = train.filter(F.col("y").isNotNull())
         self.levels = known.groupBy(*self.series).agg(F.avg("y").alias("_level"))
-        centered = known.join(self.levels, self.series).withColumn("_y", F.col("y") - F.col("_level"))
+        centered = join_per_key(known, self.levels, self.series, "inner").withColumn("_y", F.col("y") - F.col("_level"))
         regression = LinearRegression(
             featuresCol="features", labelCol="_y", predictionCol="_p", solver="normal", regParam=self.ridge
         )
@@ -221,7 +221,7 @@ class RegressorForecast:
         """Adds `yhat` to rows that hold `ds` and the regressors; rows with gaps have no forecast."""
         if self.model is None:
             raise ValueError("call fit first")
-        rows = self._assembled(future.join(self.levels, self.series))
+        rows = self._assembled(join_per_key(future, self.levels, self.series, "inner"))
         return (
             self.model.transform(rows)
             .withColumn("yhat", F.col("_p") + F.col("_level"))
@@ -256,13 +256,13 @@ def holdout_forecast(
         train_stats = spread(train)
         back = spread(test) if parity else train_stats
         train = (
-            train.join(train_stats, list(series))
+            join_per_key(train, train_stats, series, "inner")
             .withColumn("y", F.try_divide(F.col("y") - F.col("_m"), F.col("_s")))
             .drop("_m", "_s")
         )
     predicted = RegressorForecast(names, series).fit(train).predict(test)
     if normalise:
-        predicted = predicted.join(back, list(series)).withColumn(
+        predicted = join_per_key(predicted, back, series, "inner").withColumn(
             "yhat", F.col("yhat") * F.col("_s") + F.col("_m")
         )
     return predicted.select(*series, "ds", "y", "yhat")

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isobar.operators.joins import join_per_key
+
 # At most this many slices can hold more than their share, so their list is small enough to broadcast.
 MAX_HOT_SLICES = 65_536
 
@@ -138,7 +140,7 @@ def _bound(edge: DataFrame, series: Sequence[str], order: Sequence[str], pick) -
 def _with_bound(df: DataFrame, bound: DataFrame, series: Sequence[str]) -> DataFrame:
     if not series:
         return df.withColumn("_bound", bound.scalar())
-    return df.join(bound, list(series), "left")
+    return join_per_key(df, bound, series)
 
 
 def split_newest(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isobar.operators.joins import join_per_key
 from isobar.operators.ordered import with_next, with_row_index
 from isobar.operators.project import numeric_columns
 from isobar.session import shared_root
@@ -77,6 +78,26 @@ def _melt(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(F.array(*cells))).filter(F.col("x").isNotNull())
 
 
+def _column_stats(melted: DataFrame, quantiles: Sequence[float], accuracy: int) -> DataFrame:
+    """Moments of each column and, for every quantile, an approximate value on both sides of it.
+
+    Kept as a checkpoint: two sketches of the same rows may differ, and all later counts have to use
+    the same brackets.
+    """
+    margin = 5.0 / accuracy
+    sides = [max(q - margin, 0.0) for q in quantiles] + [min(q + margin, 1.0) for q in quantiles]
+    stats = melted.groupBy("column_name").agg(
+        F.count("x").alias("n"),
+        F.avg("x").alias("mean"),
+        F.stddev_samp("x").alias("std"),
+        F.min("x").alias("min"),
+        F.max("x").alias("max"),
+        F.percentile_approx("x", sides, accuracy).alias("_sides"),
+    )
+    shared_root(melted.sparkSession)
+    return stats.checkpoint()
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -88,34 +109,27 @@ def exact_quantiles(
     An approximate sketch gives a narrow bracket around each quantile, which is cut into cells. Rows
     are counted below the bracket, at each value inside it, and above it. Running counts over the
     cells (a fixed number) tell which cells hold the wanted ranks, and only the values of those
-    cells are put in order.
+    cells are put in order. The rows are read twice.
     """
     melted = _melt(df, columns)
-    margin = 5.0 / accuracy
-    lows = [max(q - margin, 0.0) for q in quantiles]
-    highs = [min(q + margin, 1.0) for q in quantiles]
-    sketch = melted.groupBy("column_name").agg(
-        F.percentile_approx("x", [*lows, *highs], accuracy).alias("_p"),
-        F.count(F.lit(1)).alias("_total"),
-    )
-    brackets = sketch.select(
+    return _quantiles(melted, _column_stats(melted, quantiles, accuracy), quantiles)
+
+
+def _quantiles(melted: DataFrame, stats: DataFrame, quantiles: Sequence[float]) -> DataFrame:
+    brackets = stats.select(
         "column_name",
         F.array(
             *[
                 F.struct(
                     F.lit(float(q)).alias("q"),
-                    F.col("_p")[i].alias("lo"),
-                    F.col("_p")[len(quantiles) + i].alias("hi"),
-                    ((F.col("_total") - 1) * F.lit(float(q))).alias("position"),
+                    F.col("_sides")[i].alias("lo"),
+                    F.col("_sides")[len(quantiles) + i].alias("hi"),
+                    ((F.col("n") - 1) * F.lit(float(q))).alias("position"),
                 )
                 for i, q in enumerate(quantiles)
             ]
         ).alias("_b"),
     )
-    # Two sketches of the same rows may differ, and all counts have to use the same brackets: they
-    # are made once and kept.
-    shared_root(df.sparkSession)
-    brackets = brackets.checkpoint()
     inside = F.try_divide(F.col("x") - F.col("b.lo"), F.col("b.hi") - F.col("b.lo"))
     cell = (
         F.when(F.col("x") < F.col("b.lo"), -1)
@@ -135,6 +149,7 @@ def exact_quantiles(
             F.when(F.col("cell") < 0, F.max("x")).otherwise(F.min("x")).alias("x"),
         )
     )
+    counted = counted.checkpoint()
     along_cells = Window.partitionBy("column_name", "q").orderBy("cell")
     low, high = F.floor("position"), F.ceil("position")
     cells = (
@@ -167,27 +182,17 @@ def exact_quantiles(
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = 10_000) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum of each column."""
-    columns = list(columns or numeric_columns(df))
-    moments = (
-        _melt(df, columns)
-        .groupBy("column_name")
-        .agg(
-            F.count("x").alias("n"),
-            F.avg("x").alias("mean"),
-            F.stddev_samp("x").alias("std"),
-            F.min("x").alias("min"),
-            F.max("x").alias("max"),
-        )
-    )
-    at = lambda q, name: F.max(F.when(F.col("q") == q, F.col("value"))).alias(name)
-    quartiles = (
-        exact_quantiles(df, columns)
+    melted = _melt(df, list(columns or numeric_columns(df)))
+    quartiles = {0.25: "q1", 0.5: "median", 0.75: "q3"}
+    stats = _column_stats(melted, list(quartiles), accuracy)
+    wide = (
+        _quantiles(melted, stats, list(quartiles))
         .groupBy("column_name")
-        .agg(at(0.25, "q1"), at(0.5, "median"), at(0.75, "q3"))
+        .agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(name) for q, name in quartiles.items()])
     )
-    return moments.join(quartiles, "column_name").select(
+    return stats.join(wide, "column_name").select(
         "column_name", "n", "mean", "std", "min", "q1", "median", "q3", "max"
     )
 
@@ -221,7 +226,7 @@ def zscore(df: DataFrame, column: str, series: Sequence[str] = (), train: Column
     mean, std = _center_and_spread(value)
     if series:
         stats = df.groupBy(*series).agg(mean.alias("mean"), std.alias("std"))
-        out = df.join(stats, list(series), "left")
+        out = join_per_key(df, stats, series)
     else:
         stat = df.agg(F.struct(mean.alias("mean"), std.alias("std"))).scalar()
         out = df.withColumn("_s", stat).withColumns({"mean": F.col("_s.mean"), "std": F.col("_s.std")}).drop("_s")

@@ -5,8 +5,10 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from isobar.operators import ordered, quality
+from isobar.operators.joins import join_per_key
 
 SLICINGS = [{}, {"width_seconds": 60, "target_rows": 2}, {"width_seconds": 3600, "target_rows": 5}]
 
@@ -97,3 +99,24 @@ def test_series_shorter_than_the_tail(spark):
     assert ordered.newest(df, 24, ["series"], ["id"]).count() == 2
     assert ordered.split_newest(df, 24, ["series"], ["id"]).filter("is_test").count() == 2
     assert ordered.skip_oldest(df, 15, ["series"], ["id"]).count() == 0
+
+
+def test_null_series_and_times_are_kept(spark, rows):
+    df = spark.createDataFrame(
+        [(1, None, 5, None), (2, None, 7, 2.0), (3, "a", None, None), (4, "a", 3, 4.0), (5, "a", 4000, 5.0)],
+        "id INT, series STRING, s LONG, x DOUBLE",
+    ).withColumn("ts", F.timestamp_seconds("s"))
+    filled = quality.backfill_one(df, "x", ["series"], "ts", ["id"])
+    assert sorted(rows(filled, "id", "x")) == [(1, 2.0), (2, 2.0), (3, 4.0), (4, 4.0), (5, 5.0)]
+    indexed = ordered.with_row_index(df, "ts", ["id"], ["series"])
+    assert sorted(rows(indexed, "id", "row_index")) == [(1, 0), (2, 1), (3, 0), (4, 1), (5, 2)]
+    marked = ordered.split_newest(df, 1, ["series"], ["ts", "id"])
+    assert sorted(rows(marked, "id", "is_test")) == [(1, False), (2, True), (3, False), (4, False), (5, True)]
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_join_per_key_with_and_without_broadcast(spark, rows, limit):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k STRING, v INT")
+    sums = df.filter("v < 3").groupBy("k").agg(F.sum("v").alias("total"))
+    out = join_per_key(df, sums, ["k"], "left", limit)
+    assert sorted(rows(out, "k", "v", "total"), key=str) == [("a", 1, 1), ("b", 3, None), (None, 2, 2)]
