@@ -29,13 +29,18 @@ def hourly_means(
     ts: str = "timestamp",
     keys: Sequence[str] = PLACE_COLUMNS,
     values: Sequence[str] | None = None,
+    counted: str | None = None,
 ) -> DataFrame:
-    """Mean per key and full hour; the hour replaces the reading time."""
+    """Mean per key and full hour; the hour replaces the reading time.
+
+    `counted` names a value whose number of readings is added as `n_readings`.
+    """
     if values is None:
         values = numeric_columns(df, [*keys, ts])
+    counts = [F.count(counted).alias("n_readings")] if counted else []
     return (
         df.groupBy(*keys, hour_of(ts).alias("_hour"))
-        .agg(*[F.avg(v).alias(v) for v in values])
+        .agg(*[F.avg(v).alias(v) for v in values], *counts)
         .withColumnRenamed("_hour", ts)
     )
 
@@ -93,17 +98,27 @@ def kelvin_to_celsius(value: Column | str) -> Column:
 
 
 def fix_kelvin(
-    df: DataFrame, columns: Sequence[str] = ("temperature_c", "feels_like_c"), parity: bool = False
+    df: DataFrame,
+    columns: Sequence[str] = ("temperature_c", "feels_like_c"),
+    parity: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """Celsius columns of one provider's frame, whose mean of the first column tells the unit.
 
-    With `parity` only the first column is converted. The mean is a scalar subquery over one column:
-    no shuffle of the rows and no trip to the driver.
+    With `parity` only the first column is converted. On rows that are means already, `weight` names
+    the column with the number of readings behind each mean of the first column. The mean is a
+    scalar subquery: no shuffle of the rows and no trip to the driver. It takes all numeric columns,
+    so that it can share the shuffle of an aggregated frame with the query around it.
     """
     first = columns[0]
-    mean = df.agg(F.coalesce(F.avg(first), F.lit(0.0))).scalar()
+    if weight is None:
+        mean = F.avg(first)
+    else:
+        mean = F.try_divide(F.sum(F.col(first) * F.col(weight)), F.sum(weight))
+    others = [c for c in numeric_columns(df) if c not in (first, weight)] if weight else []
+    facts = df.agg(F.struct(mean.alias("mean"), *[F.max(c).alias(c) for c in others])).scalar()
     targets = [c for c in ([first] if parity else columns) if c in df.columns]
-    shift = F.when(mean > KELVIN_ZERO, F.lit(KELVIN_ZERO)).otherwise(F.lit(0.0))
+    shift = F.when(facts["mean"] > KELVIN_ZERO, F.lit(KELVIN_ZERO)).otherwise(F.lit(0.0))
     return df.withColumns({c: F.col(c) - shift for c in targets})
 
 

@@ -1,53 +1,77 @@
 """Order-dependent work on long series: time slices that are handled alone and then stitched.
 
-A window over a whole series puts that series into one task. Here the rows of a series are cut into
-time slices, each slice is a window partition of its own, and only one small row per slice goes
-through the window that runs along the series. The number of slices depends on the time span, not on
-the number of rows; slices that hold too many rows are cut finer.
+A window over a whole series puts that series into one task. Series are counted first: when all are
+short a plain window does. Else the rows of the long ones are cut into time slices, each slice is a
+window partition of its own, and only one small row per slice goes through the window that runs along
+the series. The number of slices depends on the time span, not on the number of rows; slices that
+still hold too many rows are cut finer.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.operators.joins import join_per_key
+from isobar.session import shared_root
 
-# At most this many slices can hold more than their share, so their list is small enough to broadcast.
-MAX_HOT_SLICES = 65_536
+# At most this many series or slices can hold more than their share of all rows, so their list is
+# small enough to broadcast.
+MAX_HOT = 65_536
+TARGET_ROWS = 1_000_000
 
 
 def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+def _hot_series(df: DataFrame, series: Sequence[str], target_rows: int) -> tuple[DataFrame, int]:
+    """Keys with more rows than a task should sort, and that number of rows."""
+    shared_root(df.sparkSession)
+    sizes = df.groupBy(F.struct(*series).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    share = max(target_rows, math.ceil(total / MAX_HOT))
+    return sizes.filter(F.col("_n") > share).select("_key", F.lit(True).alias("_hot")).checkpoint(), share
+
+
 def with_slices(
     df: DataFrame,
     series: Sequence[str],
     ts: str,
     width_seconds: int = 3600,
-    target_rows: int = 1_000_000,
-) -> DataFrame:
+    target_rows: int = TARGET_ROWS,
+) -> DataFrame | None:
     """Adds `_slice`, a struct of the series columns, the time bucket and its part.
 
-    Ordering by bucket and part agrees with ordering by `ts`; rows of equal `ts` share a slice.
+    Ordering by bucket and part agrees with ordering by `ts`; rows of equal `ts` share a slice. Short
+    series are one slice. Without any long series there is nothing to cut and the result is None. A
+    whole table (no series columns) is always cut.
     """
     width = width_seconds * 1_000_000
     micros = _micros(ts)
     bucket = F.floor(micros / F.lit(width)).cast("long")
+    if series:
+        hot, share = _hot_series(df, series, target_rows)
+        if hot.isEmpty():
+            return None
+        keyed = df.withColumn("_key", F.struct(*series)).join(F.broadcast(hot), "_key", "left").drop("_key")
+        bucket = F.when(F.col("_hot"), bucket).otherwise(F.lit(0))
+        long_rows = keyed.filter("_hot")
+    else:
+        keyed = long_rows = df.withColumn("_hot", F.lit(True))
+        share = max(target_rows, math.ceil(df.count() / MAX_HOT))
     cell = F.struct(*[F.col(s) for s in series], bucket.alias("_bucket"))
-    counts = df.groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
-    share = F.greatest(F.lit(target_rows), F.ceil(total / F.lit(MAX_HOT_SLICES)))
-    hot = counts.filter(F.col("_n") > share).select(
+    cells = long_rows.groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
+    parts = cells.filter(F.col("_n") > share).select(
         "_cell", F.ceil(F.col("_n") / share).cast("long").alias("_parts")
     )
     part = F.floor(F.pmod(micros, F.lit(width)) * F.col("_parts") / F.lit(width)).cast("long")
     return (
-        df.withColumn("_cell", cell)
-        .join(F.broadcast(hot), "_cell", "left")
+        keyed.withColumn("_cell", cell)
+        .join(F.broadcast(parts), "_cell", "left")
         .withColumn(
             "_slice",
             F.struct(
@@ -56,7 +80,7 @@ def with_slices(
                 F.coalesce(part, F.lit(0)).alias("_part"),
             ),
         )
-        .drop("_cell", "_parts")
+        .drop("_cell", "_parts", "_hot")
     )
 
 
@@ -79,6 +103,8 @@ def with_next(
     """Adds the value the following row of the series has; null on the last row."""
     order = [F.col(c) for c in (ts, *tiebreak)]
     sliced = with_slices(df, series, ts, **slicing)
+    if sliced is None:
+        return df.withColumn(out, F.lead(column).over(Window.partitionBy(*series).orderBy(*order)))
     boxed = F.struct(F.col(column).alias("v"))
     heads = (
         sliced.groupBy("_slice")
@@ -102,14 +128,17 @@ def with_row_index(
     **slicing,
 ) -> DataFrame:
     """Adds the zero-based position in time order, over all rows or per series."""
+    order = [F.col(c) for c in (ts, *tiebreak)]
     sliced = with_slices(df, series, ts, **slicing)
+    if sliced is None:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*series).orderBy(*order)) - 1)
     before = _along(series).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy("_slice")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    inside = Window.partitionBy("_slice").orderBy(*[F.col(c) for c in (ts, *tiebreak)])
+    inside = Window.partitionBy("_slice").orderBy(*order)
     return (
         sliced.withColumn("_rank", F.row_number().over(inside))
         .join(offsets, "_slice", "left")

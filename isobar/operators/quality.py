@@ -72,30 +72,27 @@ def schema_facts(df: DataFrame) -> DataFrame:
     )
 
 
-def _melt(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """`(column_name, x)` for every value that is not null."""
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns]
-    return df.select(F.inline(F.array(*cells))).filter(F.col("x").isNotNull())
-
-
-def _column_stats(melted: DataFrame, quantiles: Sequence[float], accuracy: int) -> DataFrame:
-    """Moments of each column and, for every quantile, an approximate value on both sides of it.
-
-    Kept as a checkpoint: two sketches of the same rows may differ, and all later counts have to use
-    the same brackets.
-    """
+def _moments(df: DataFrame, columns: Sequence[str], sides: Sequence[float], accuracy: int) -> dict:
+    """Per column: moments and approximate values at the given ranks. One aggregate row in all."""
+    row = df.agg(
+        *[
+            F.struct(
+                F.count(x).alias("n"),
+                F.avg(x).alias("mean"),
+                F.stddev_samp(x).alias("std"),
+                F.min(x).alias("min"),
+                F.max(x).alias("max"),
+                F.percentile_approx(x, list(sides), accuracy).alias("sides"),
+            ).alias(c)
+            for c, x in ((c, F.col(c).cast("double")) for c in columns)
+        ]
+    ).first()
+    return {c: row[c] for c in columns if row[c]["n"]}
+
+
+def _sides(quantiles: Sequence[float], accuracy: int) -> list[float]:
     margin = 5.0 / accuracy
-    sides = [max(q - margin, 0.0) for q in quantiles] + [min(q + margin, 1.0) for q in quantiles]
-    stats = melted.groupBy("column_name").agg(
-        F.count("x").alias("n"),
-        F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"),
-        F.max("x").alias("max"),
-        F.percentile_approx("x", sides, accuracy).alias("_sides"),
-    )
-    shared_root(melted.sparkSession)
-    return stats.checkpoint()
+    return [max(q - margin, 0.0) for q in quantiles] + [min(q + margin, 1.0) for q in quantiles]
 
 
 def exact_quantiles(
@@ -106,93 +103,110 @@ def exact_quantiles(
 ) -> DataFrame:
     """`(column_name, q, value)`, linearly interpolated and exact at any size.
 
-    An approximate sketch gives a narrow bracket around each quantile, which is cut into cells. Rows
-    are counted below the bracket, at each value inside it, and above it. Running counts over the
-    cells (a fixed number) tell which cells hold the wanted ranks, and only the values of those
-    cells are put in order. The rows are read twice.
+    An approximate sketch gives a narrow bracket around each quantile. One pass counts the rows
+    below it and finds the values next to it; another counts each value inside it. Only the values
+    inside go on. Cut into cells (a fixed number), their running counts tell which cells hold the
+    wanted ranks, and the values of those cells are put in order.
     """
-    melted = _melt(df, columns)
-    return _quantiles(melted, _column_stats(melted, quantiles, accuracy), quantiles)
-
-
-def _quantiles(melted: DataFrame, stats: DataFrame, quantiles: Sequence[float]) -> DataFrame:
-    brackets = stats.select(
-        "column_name",
-        F.array(
-            *[
-                F.struct(
-                    F.lit(float(q)).alias("q"),
-                    F.col("_sides")[i].alias("lo"),
-                    F.col("_sides")[len(quantiles) + i].alias("hi"),
-                    ((F.col("n") - 1) * F.lit(float(q))).alias("position"),
-                )
-                for i, q in enumerate(quantiles)
-            ]
-        ).alias("_b"),
-    )
-    inside = F.try_divide(F.col("x") - F.col("b.lo"), F.col("b.hi") - F.col("b.lo"))
-    cell = (
-        F.when(F.col("x") < F.col("b.lo"), -1)
-        .when(F.col("x") > F.col("b.hi"), QUANTILE_CELLS + 1)
-        .otherwise(F.coalesce(F.floor(inside * QUANTILE_CELLS), F.lit(0)))
-    ).cast("int")
-    keys = ["column_name", "q", "position"]
-    # The brackets are one row per column of the input, so their list is as long as the schema.
-    counted = (
-        melted.join(F.broadcast(brackets), "column_name")
-        .select("column_name", "x", F.explode("_b").alias("b"))
-        .select("column_name", F.col("b.q").alias("q"), F.col("b.position").alias("position"), "x", cell.alias("cell"))
-        .groupBy(*keys, "cell", F.when(F.col("cell").between(0, QUANTILE_CELLS), F.col("x")).alias("at"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            # Rounding can put a rank next to the bracket: the last one below or the first above.
-            F.when(F.col("cell") < 0, F.max("x")).otherwise(F.min("x")).alias("x"),
+    return _quantiles(df, _moments(df, columns, _sides(quantiles, accuracy), accuracy), quantiles)
+
+
+def _quantiles(df: DataFrame, moments: dict, quantiles: Sequence[float]) -> DataFrame:
+    spark = df.sparkSession
+    shared_root(spark)
+    # As many brackets as columns times quantiles.
+    brackets = [
+        (c, float(q), (m["n"] - 1) * q, m["sides"][i], m["sides"][len(quantiles) + i])
+        for c, m in moments.items()
+        for i, q in enumerate(quantiles)
+    ]
+    value = {c: F.col(c).cast("double") for c in moments}
+    beside = df.agg(
+        F.lit(0).alias("none"),
+        *[
+            F.struct(
+                F.count_if(value[c] < lo).alias("below"),
+                F.max(F.when(value[c] < lo, value[c])).alias("last_below"),
+                F.min(F.when(value[c] > hi, value[c])).alias("first_above"),
+            ).alias(f"b{i}")
+            for i, (c, _, _, lo, hi) in enumerate(brackets)
+        ],
+    ).first()
+    bracket_rows = spark.createDataFrame(
+        [(*b, *beside[f"b{i}"]) for i, b in enumerate(brackets)],
+        "column_name STRING, q DOUBLE, position DOUBLE, lo DOUBLE, hi DOUBLE, below LONG, "
+        "last_below DOUBLE, first_above DOUBLE",
+    )
+    hits = [
+        F.when(
+            value[c].between(lo, hi),
+            F.struct(F.lit(c).alias("column_name"), F.lit(q).alias("q"), value[c].alias("x")),
         )
+        for c, q, _, lo, hi in brackets
+    ]
+    hits = F.array_compact(F.array(*hits)) if hits else F.expr(
+        "CAST(array() AS ARRAY<STRUCT<column_name: STRING, q: DOUBLE, x: DOUBLE>>)"
+    )
+    inside = F.try_divide(F.col("x") - F.col("lo"), F.col("hi") - F.col("lo"))
+    counted = (
+        df.select(F.inline(hits))
+        .groupBy("column_name", "q", "x")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .join(F.broadcast(bracket_rows), ["column_name", "q"])
+        .withColumn("cell", F.coalesce(F.floor(inside * QUANTILE_CELLS), F.lit(0)).cast("int"))
+        .checkpoint()
     )
-    counted = counted.checkpoint()
     along_cells = Window.partitionBy("column_name", "q").orderBy("cell")
     low, high = F.floor("position"), F.ceil("position")
     cells = (
-        counted.groupBy(*keys, "cell")
+        counted.groupBy("column_name", "q", "cell", "position", "below")
         .agg(F.sum("n").alias("n"))
-        .withColumn("upto", F.sum("n").over(along_cells))
+        .withColumn("upto", F.col("below") + F.sum("n").over(along_cells))
         .withColumn("before", F.col("upto") - F.col("n"))
-        .filter(((F.col("before") <= low) & (low < F.col("upto"))) | ((F.col("before") <= high) & (high < F.col("upto"))))
+        .filter((F.col("before") <= high) & (low < F.col("upto")))
         .select("column_name", "q", "cell", "before")
     )
     along_values = Window.partitionBy("column_name", "q", "cell").orderBy("x")
-    # Two cells per quantile and column at most.
+    # Two cells per bracket at most.
     ranked = (
         counted.join(F.broadcast(cells), ["column_name", "q", "cell"])
         .withColumn("upto", F.col("before") + F.sum("n").over(along_values))
         .withColumn("from", F.col("upto") - F.col("n"))
     )
     holds = lambda rank: (F.col("from") <= rank) & (rank < F.col("upto"))
-    return (
-        ranked.groupBy(*keys)
-        .agg(
-            F.min(F.when(holds(low), F.col("x"))).alias("_low"),
-            F.min(F.when(holds(high), F.col("x"))).alias("_high"),
-        )
-        .select(
-            "column_name",
-            "q",
-            (F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("position") - low)).alias("value"),
-        )
+    found = ranked.groupBy("column_name", "q").agg(
+        F.min(F.when(holds(low), F.col("x"))).alias("_low"),
+        F.min(F.when(holds(high), F.col("x"))).alias("_high"),
+    )
+    # Rounding can put a rank next to its bracket: the last value below or the first above.
+    beside_or = lambda rank, name: F.when(rank < F.col("below"), F.col("last_below")).otherwise(
+        F.coalesce(name, "first_above")
+    )
+    placed = bracket_rows.join(found, ["column_name", "q"], "left").withColumns(
+        {"_low": beside_or(low, "_low"), "_high": beside_or(high, "_high")}
+    )
+    return placed.select(
+        "column_name",
+        "q",
+        (F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("position") - low)).alias("value"),
     )
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = 10_000) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum of each column."""
-    melted = _melt(df, list(columns or numeric_columns(df)))
     quartiles = {0.25: "q1", 0.5: "median", 0.75: "q3"}
-    stats = _column_stats(melted, list(quartiles), accuracy)
+    names = list(columns or numeric_columns(df))
+    moments = _moments(df, names, _sides(list(quartiles), accuracy), accuracy)
     wide = (
-        _quantiles(melted, stats, list(quartiles))
+        _quantiles(df, moments, list(quartiles))
         .groupBy("column_name")
         .agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(name) for q, name in quartiles.items()])
     )
-    return stats.join(wide, "column_name").select(
+    rows = [(c, *[m[k] for k in ("n", "mean", "std", "min", "max")]) for c, m in moments.items()]
+    facts = df.sparkSession.createDataFrame(
+        rows, "column_name STRING, n LONG, mean DOUBLE, std DOUBLE, min DOUBLE, max DOUBLE"
+    )
+    return facts.join(wide, "column_name").select(
         "column_name", "n", "mean", "std", "min", "q1", "median", "q3", "max"
     )
 

@@ -31,30 +31,35 @@ def recent_documents(
 
 
 def provider_observations(
+    documents: DataFrame, zone: str | None = None, parity: bool = False, places: int | None = None
+) -> DataFrame:
+    """One provider's documents as canonical observations with a real timestamp, in its own units.
+
+    `places` rounds coordinates, so that providers which locate a city slightly differently meet.
+    """
+    canonical = standardize_names(flatten_by_leaf(documents), keep=() if parity else ("name",))
+    located = with_location(canonical)
+    if places is not None:
+        located = round_coordinates(located, places)
+    return located.withColumn("timestamp", parse_reading_time("date", zone)).drop("date")
+
+
+def provider_hours(
     documents: DataFrame,
     zone: str | None = None,
     parity: bool = False,
+    places: int | None = None,
     factors: Mapping[str, float] | None = None,
-    coordinate_places: int | None = None,
 ) -> DataFrame:
-    """One provider's documents as canonical observations with a real timestamp, in Celsius.
+    """Hourly means of one provider in common units. `factors` scale measures of other units.
 
-    `factors` scale measures given in another unit. `coordinate_places` rounds coordinates, so that
-    providers which place a city slightly differently meet in one group.
+    The unit is told by the mean over all readings, taken from the hours and their counts: the
+    documents are read once.
     """
-    flat = flatten_by_leaf(documents)
-    canonical = standardize_names(flat, keep=() if parity else ("name",))
-    located = with_location(canonical)
-    celsius = fix_kelvin(located, parity=parity)
-    if factors:
-        celsius = scale_units(celsius, factors)
-    if coordinate_places is not None:
-        celsius = round_coordinates(celsius, coordinate_places)
-    return celsius.withColumn("timestamp", parse_reading_time("date", zone)).drop("date")
-
-
-def provider_hours(documents: DataFrame, zone: str | None = None, parity: bool = False, **options):
-    return hourly_means(provider_observations(documents, zone, parity, **options))
+    observations = provider_observations(documents, zone, parity, places)
+    hours = hourly_means(observations, counted="temperature_c")
+    celsius = fix_kelvin(hours, parity=parity, weight="n_readings").drop("n_readings")
+    return scale_units(celsius, factors) if factors else celsius
 
 
 def hourly_aggregate(
@@ -67,7 +72,7 @@ def hourly_aggregate(
     parity: bool = False,
     newest_first: bool = True,
     factors: Mapping[str, Mapping[str, float]] | None = None,
-    coordinate_places: int | None = None,
+    places: int | None = None,
 ) -> DataFrame:
     """Mean over providers of their hourly means, newest hour first.
 
@@ -76,15 +81,7 @@ def hourly_aggregate(
     frames = []
     for topic, table in documents.items():
         recent = table if as_of is None else recent_documents(table, as_of, lookback, limit)
-        frames.append(
-            provider_hours(
-                recent,
-                zone,
-                parity,
-                factors=(factors or {}).get(topic),
-                coordinate_places=coordinate_places,
-            )
-        )
+        frames.append(provider_hours(recent, zone, parity, places, (factors or {}).get(topic)))
     if not frames:
         return spark.createDataFrame([], HOURLY_AGGREGATE)
     means = mean_over_frames(frames, [*PLACE_COLUMNS, "timestamp"], single=not parity)

@@ -13,7 +13,7 @@ from isobar.operators.aggregate import fix_kelvin_by_provider, group_means
 from isobar.operators.project import standardize_names, with_location
 from isobar.operators.reshape import SOURCE_COLUMNS, flatten_by_leaf, provider_documents
 from isobar.schemas import COMMON_MEASURES, PLACE_COLUMNS, TOPICS
-from isobar.streaming.stores import upsert_folder
+from isobar.streaming.stores import spread_by_day, upsert_folder
 from isobar.streaming.windows import windowed_means
 
 HOUR_KEYS = ("provider", *PLACE_COLUMNS, "timestamp")
@@ -56,25 +56,21 @@ def publish_hours(batch: DataFrame, hours: str, summary: str) -> None:
 
     The unit test takes the mean of a provider's hours on those days.
     """
-    changed = batch.persist()
-    try:
-        upsert_folder(changed, hours, HOUR_KEYS, ["n"])
-        days = [row[0] for row in changed.select(F.to_date("timestamp")).distinct().collect()]
-        if not days:
-            return
-        stored = batch.sparkSession.read.parquet(hours).filter(F.col("event_date").isin(days))
-        celsius = fix_kelvin_by_provider(stored, "provider", TOPICS, ["temperature_c", "feels_like_c"])
-        means = group_means(
-            celsius, [*PLACE_COLUMNS, "timestamp", "event_date"], COMMON_MEASURES, prefix="avg_"
-        )
-        (
-            means.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("event_date")
-            .parquet(summary)
-        )
-    finally:
-        changed.unpersist()
+    days = upsert_folder(batch, hours, HOUR_KEYS, ["n"])
+    if not days:
+        return
+    stored = batch.sparkSession.read.parquet(hours).filter(F.col("event_date").isin(days))
+    celsius = fix_kelvin_by_provider(stored, "provider", TOPICS, ["temperature_c", "feels_like_c"])
+    means = group_means(
+        celsius, [*PLACE_COLUMNS, "timestamp", "event_date"], COMMON_MEASURES, prefix="avg_"
+    )
+    (
+        spread_by_day(means, "event_date", len(days), [*PLACE_COLUMNS, "timestamp"])
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date")
+        .parquet(summary)
+    )
 
 
 def start_hourly_aggregate(

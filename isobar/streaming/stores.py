@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -77,26 +78,30 @@ def upsert_folder(
     keys: Sequence[str],
     version: Sequence[str],
     ts: str = "timestamp",
-) -> None:
+) -> list[date]:
     """Merges rows into a table partitioned by day, one row per key, the highest version kept.
 
-    Only the days of the incoming rows are read and rewritten. The merged rows are checkpointed
-    before the old partitions are replaced, so nothing reads the files it overwrites; running the
-    same batch again gives the same table. `ts` has to be one of the keys.
+    Only the days of the incoming rows are read and rewritten; they are returned. The merged rows
+    are checkpointed before the old partitions are replaced, so nothing reads the files it
+    overwrites; running the same batch again gives the same table. `ts` has to be one of the keys.
     """
     spark = incoming.sparkSession
     shared_root(spark)
-    dated = incoming.withColumn("event_date", F.to_date(ts))
-    # One value per calendar day.
-    days = [row[0] for row in dated.select("event_date").distinct().collect()]
-    if not days:
-        return
-    stored = read_folder(spark, folder, dated.schema).filter(F.col("event_date").isin(days))
-    merged = upsert_latest(stored, dated, keys, version)
-    staged = spread_by_day(merged, "event_date", len(days), keys).checkpoint()
+    dated = incoming.withColumn("event_date", F.to_date(ts)).persist()
+    try:
+        # One value per calendar day.
+        days = [row[0] for row in dated.select("event_date").distinct().collect()]
+        if not days:
+            return []
+        stored = read_folder(spark, folder, dated.schema).filter(F.col("event_date").isin(days))
+        merged = upsert_latest(stored, dated, keys, version)
+        staged = spread_by_day(merged, "event_date", len(days), keys).checkpoint()
+    finally:
+        dated.unpersist()
     (
         staged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date")
         .parquet(folder)
     )
+    return days

@@ -56,7 +56,7 @@ def test_lookback_and_limit(spark):
 def test_units_and_coordinates(spark):
     docs = documents(spark)
     out = hourly_aggregate(
-        spark, {OPEN_WEATHER: docs[OPEN_WEATHER]}, factors={OPEN_WEATHER: {"wind_speed_kmph": 3.6}}, coordinate_places=0
+        spark, {OPEN_WEATHER: docs[OPEN_WEATHER]}, factors={OPEN_WEATHER: {"wind_speed_kmph": 3.6}}, places=0
     ).first()
     assert out["avg_wind_speed_kmph"] == pytest.approx(0.42 * 3.6)
     assert (out["latitude"], out["longitude"]) == (-8.0, 113.0)

@@ -54,10 +54,13 @@ def test_row_index(df, pdf, slicing):
 
 
 def test_hot_slices_are_cut(df):
-    plain = ordered.with_slices(df, ["series"], "ts")
+    assert ordered.with_slices(df, ["series"], "ts") is None
+    plain = ordered.with_slices(df, ["series"], "ts", target_rows=130)
     cut = ordered.with_slices(df, ["series"], "ts", target_rows=20)
     biggest = lambda d: d.groupBy("_slice").count().agg({"count": "max"}).first()[0]
-    assert biggest(plain) > 100 and biggest(cut) < 45
+    assert biggest(plain) > 60 and biggest(cut) < 45
+    # Short series stay whole.
+    assert plain.filter("series <> 'hot'").select("_slice").distinct().count() == 3
     assert cut.count() == df.count()
 
 
@@ -106,9 +109,10 @@ def test_null_series_and_times_are_kept(spark, rows):
         [(1, None, 5, None), (2, None, 7, 2.0), (3, "a", None, None), (4, "a", 3, 4.0), (5, "a", 4000, 5.0)],
         "id INT, series STRING, s LONG, x DOUBLE",
     ).withColumn("ts", F.timestamp_seconds("s"))
-    filled = quality.backfill_one(df, "x", ["series"], "ts", ["id"])
+    cut = {"target_rows": 1}
+    filled = quality.backfill_one(df, "x", ["series"], "ts", ["id"], **cut)
     assert sorted(rows(filled, "id", "x")) == [(1, 2.0), (2, 2.0), (3, 4.0), (4, 4.0), (5, 5.0)]
-    indexed = ordered.with_row_index(df, "ts", ["id"], ["series"])
+    indexed = ordered.with_row_index(df, "ts", ["id"], ["series"], **cut)
     assert sorted(rows(indexed, "id", "row_index")) == [(1, 0), (2, 1), (3, 0), (4, 1), (5, 2)]
     marked = ordered.split_newest(df, 1, ["series"], ["ts", "id"])
     assert sorted(rows(marked, "id", "is_test")) == [(1, False), (2, True), (3, False), (4, False), (5, True)]
