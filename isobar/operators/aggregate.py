@@ -97,52 +97,60 @@ def kelvin_to_celsius(value: Column | str) -> Column:
     return (F.col(value) if isinstance(value, str) else value) - F.lit(KELVIN_ZERO)
 
 
+def _shift(mean: Column) -> Column:
+    return F.when(mean > KELVIN_ZERO, F.lit(KELVIN_ZERO)).otherwise(F.lit(0.0))
+
+
 def fix_kelvin(
-    df: DataFrame,
-    columns: Sequence[str] = ("temperature_c", "feels_like_c"),
-    parity: bool = False,
-    weight: str | None = None,
+    df: DataFrame, columns: Sequence[str] = ("temperature_c", "feels_like_c"), parity: bool = False
 ) -> DataFrame:
     """Celsius columns of one provider's frame, whose mean of the first column tells the unit.
 
-    With `parity` only the first column is converted. On rows that are means already, `weight` names
-    the column with the number of readings behind each mean of the first column. The mean is a
-    scalar subquery: no shuffle of the rows and no trip to the driver. It takes all numeric columns,
-    so that it can share the shuffle of an aggregated frame with the query around it.
+    With `parity` only the first column is converted. The mean is a scalar subquery over one column:
+    no shuffle of the rows and no trip to the driver.
     """
     first = columns[0]
-    if weight is None:
-        mean = F.avg(first)
-    else:
-        mean = F.try_divide(F.sum(F.col(first) * F.col(weight)), F.sum(weight))
-    others = [c for c in numeric_columns(df) if c not in (first, weight)] if weight else []
-    facts = df.agg(F.struct(mean.alias("mean"), *[F.max(c).alias(c) for c in others])).scalar()
+    mean = df.agg(F.avg(first)).scalar()
     targets = [c for c in ([first] if parity else columns) if c in df.columns]
-    shift = F.when(facts["mean"] > KELVIN_ZERO, F.lit(KELVIN_ZERO)).otherwise(F.lit(0.0))
-    return df.withColumns({c: F.col(c) - shift for c in targets})
+    return df.withColumns({c: F.col(c) - _shift(mean) for c in targets})
 
 
 def fix_kelvin_by_provider(
-    df: DataFrame, provider: str, providers: Sequence[str], columns: Sequence[str]
+    df: DataFrame,
+    provider: str,
+    providers: Sequence[str],
+    columns: Sequence[str] = ("temperature_c", "feels_like_c"),
+    parity: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """`fix_kelvin` on a frame that holds several declared providers.
 
     All means come from one pass as one row, as wide as the declared list, so nothing is shuffled on
-    the provider, of which one may hold most rows.
+    the provider, of which one may hold most rows. On rows that are means already, `weight` names
+    the column with the number of readings behind each mean of the first column.
     """
     first = columns[0]
     entries: list[Column] = []
     for name in providers:
-        entries += [F.lit(name), F.coalesce(F.avg(F.when(F.col(provider) == name, F.col(first))), F.lit(0.0))]
+        own = F.col(provider) == name
+        if weight is None:
+            mean = F.avg(F.when(own, F.col(first)))
+        else:
+            total = F.sum(F.when(own, F.col(first) * F.col(weight)))
+            mean = F.try_divide(total, F.sum(F.when(own & F.col(first).isNotNull(), F.col(weight))))
+        entries += [F.lit(name), mean]
     means = df.agg(F.create_map(*entries)).scalar()
-    mean = F.coalesce(F.try_element_at(means, F.col(provider)), F.lit(0.0))
-    shift = F.when(mean > KELVIN_ZERO, F.lit(KELVIN_ZERO)).otherwise(F.lit(0.0))
-    return df.withColumns({c: F.col(c) - shift for c in columns})
+    shift = _shift(F.try_element_at(means, F.col(provider)))
+    targets = [c for c in ([first] if parity else columns) if c in df.columns]
+    return df.withColumns({c: F.col(c) - shift for c in targets})
 
 
-def scale_units(df: DataFrame, factors: Mapping[str, float]) -> DataFrame:
+def scale_units(df: DataFrame, factors: Mapping[str, float], where: Column | None = None) -> DataFrame:
     """Optional unit factors per column, such as m/s to km/h for one provider."""
-    return df.withColumns({c: F.col(c) * f for c, f in factors.items() if c in df.columns})
+    scaled = {c: F.col(c) * f for c, f in factors.items() if c in df.columns}
+    if where is not None:
+        scaled = {c: F.when(where, x).otherwise(F.col(c)) for c, x in scaled.items()}
+    return df.withColumns(scaled)
 
 
 def round_coordinates(df: DataFrame, places: int) -> DataFrame:

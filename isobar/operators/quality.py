@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -137,19 +139,18 @@ def _quantiles(df: DataFrame, moments: dict, quantiles: Sequence[float]) -> Data
         "column_name STRING, q DOUBLE, position DOUBLE, lo DOUBLE, hi DOUBLE, below LONG, "
         "last_below DOUBLE, first_above DOUBLE",
     )
+    tests = [value[c].between(lo, hi) for c, _, _, lo, hi in brackets]
     hits = [
-        F.when(
-            value[c].between(lo, hi),
-            F.struct(F.lit(c).alias("column_name"), F.lit(q).alias("q"), value[c].alias("x")),
-        )
-        for c, q, _, lo, hi in brackets
+        F.when(test, F.struct(F.lit(c).alias("column_name"), F.lit(q).alias("q"), value[c].alias("x")))
+        for test, (c, q, *_) in zip(tests, brackets)
     ]
+    hit_rows = df.filter(reduce(or_, tests, F.lit(False)))
     hits = F.array_compact(F.array(*hits)) if hits else F.expr(
         "CAST(array() AS ARRAY<STRUCT<column_name: STRING, q: DOUBLE, x: DOUBLE>>)"
     )
     inside = F.try_divide(F.col("x") - F.col("lo"), F.col("hi") - F.col("lo"))
     counted = (
-        df.select(F.inline(hits))
+        hit_rows.select(F.inline(hits))
         .groupBy("column_name", "q", "x")
         .agg(F.count(F.lit(1)).alias("n"))
         .join(F.broadcast(bracket_rows), ["column_name", "q"])

@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 
 from isobar.functions.times import CREATED_FORM, parse_reading_time
 from isobar.operators.aggregate import (
-    fix_kelvin,
+    fix_kelvin_by_provider,
+    group_means,
     hourly_means,
-    mean_over_frames,
     round_coordinates,
     scale_units,
+    union_common,
 )
-from isobar.operators.project import pick, standardize_names, with_location
+from isobar.operators.project import numeric_columns, pick, standardize_names, with_location
 from isobar.operators.reshape import flatten_by_leaf
 from isobar.schemas import HOURLY_AGGREGATE, PLACE_COLUMNS
+from isobar.session import shared_root
 from isobar.sources.documents import find, since
 
 
@@ -45,21 +47,30 @@ def provider_observations(
 
 
 def provider_hours(
-    documents: DataFrame,
+    documents: Mapping[str, DataFrame],
     zone: str | None = None,
     parity: bool = False,
     places: int | None = None,
-    factors: Mapping[str, float] | None = None,
+    factors: Mapping[str, Mapping[str, float]] | None = None,
 ) -> DataFrame:
-    """Hourly means of one provider in common units. `factors` scale measures of other units.
+    """Hourly means of every provider in common units, over the measures all of them have.
 
-    The unit is told by the mean over all readings, taken from the hours and their counts: the
-    documents are read once.
+    Whether a provider reports Kelvin is told by the mean over all its readings. That mean is taken
+    from the hours and their counts, and the hours are kept as a checkpoint for it, so the documents
+    are read once.
     """
-    observations = provider_observations(documents, zone, parity, places)
-    hours = hourly_means(observations, counted="temperature_c")
-    celsius = fix_kelvin(hours, parity=parity, weight="n_readings").drop("n_readings")
-    return scale_units(celsius, factors) if factors else celsius
+    frames = [
+        hourly_means(provider_observations(table, zone, parity, places), counted="temperature_c")
+        .withColumn("provider", F.lit(topic))
+        for topic, table in documents.items()
+    ]
+    together = union_common(frames)
+    shared_root(together.sparkSession)
+    hours = together.checkpoint()
+    out = fix_kelvin_by_provider(hours, "provider", list(documents), parity=parity, weight="n_readings")
+    for topic, own in (factors or {}).items():
+        out = scale_units(out, own, F.col("provider") == topic)
+    return out.drop("n_readings")
 
 
 def hourly_aggregate(
@@ -76,15 +87,18 @@ def hourly_aggregate(
 ) -> DataFrame:
     """Mean over providers of their hourly means, newest hour first.
 
-    `documents` and `factors` are keyed by topic. One provider passes through alone; with none the result is empty but has its columns.
+    `documents` and `factors` are keyed by topic. One provider passes through alone, except under
+    `parity`; with none the result is empty but has its columns.
     """
-    frames = []
-    for topic, table in documents.items():
-        recent = table if as_of is None else recent_documents(table, as_of, lookback, limit)
-        frames.append(provider_hours(recent, zone, parity, places, (factors or {}).get(topic)))
-    if not frames:
+    if not documents:
         return spark.createDataFrame([], HOURLY_AGGREGATE)
-    means = mean_over_frames(frames, [*PLACE_COLUMNS, "timestamp"], single=not parity)
+    if parity and len(documents) < 2:
+        raise ValueError("at least two providers are needed")
+    if as_of is not None:
+        documents = {t: recent_documents(d, as_of, lookback, limit) for t, d in documents.items()}
+    hours = provider_hours(documents, zone, parity, places, factors)
+    keys = [*PLACE_COLUMNS, "timestamp"]
+    means = group_means(hours, keys, numeric_columns(hours, keys), prefix="avg_")
     known = HOURLY_AGGREGATE.names
     out = pick(means, [*known, *[c for c in means.columns if c not in known]])
     return out.orderBy(F.desc("timestamp")) if newest_first else out

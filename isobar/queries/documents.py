@@ -237,16 +237,8 @@ _SQL_PROVIDER_HOURS = f"""(SELECT topic, 'Malang' AS location_name, lat AS latit
 )
 def provider_hour_means(spark, sf):
     """Standardized, unit-fixed and time-aligned hourly means of each provider."""
-    parts = []
-    for topic, docs in all_documents(spark, sf).items():
-        hours = provider_hours(docs, JAKARTA)
-        parts.append(
-            hours.select(
-                F.lit(topic).alias("topic"), "location_name", "latitude", "longitude",
-                ntz("timestamp").alias("timestamp"), *[r6(c).alias(c) for c in COMMON_MEASURES],
-            )
-        )
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    hours = provider_hours(all_documents(spark, sf), JAKARTA).withColumnRenamed("provider", "topic")
+    return hours.withColumns({"timestamp": ntz("timestamp"), **{c: r6(c) for c in COMMON_MEASURES}})
 
 
 SQL_AGGREGATE = (

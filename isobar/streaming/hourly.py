@@ -60,7 +60,7 @@ def publish_hours(batch: DataFrame, hours: str, summary: str) -> None:
     if not days:
         return
     stored = batch.sparkSession.read.parquet(hours).filter(F.col("event_date").isin(days))
-    celsius = fix_kelvin_by_provider(stored, "provider", TOPICS, ["temperature_c", "feels_like_c"])
+    celsius = fix_kelvin_by_provider(stored, "provider", TOPICS, weight="n")
     means = group_means(
         celsius, [*PLACE_COLUMNS, "timestamp", "event_date"], COMMON_MEASURES, prefix="avg_"
     )

@@ -45,6 +45,13 @@ def test_parity_keeps_feels_like_and_place(spark):
     assert {r["location_name"] for r in out} == {"Malang"}
 
 
+def test_one_provider_alone(spark):
+    one = {OPEN_METEO: documents(spark)[OPEN_METEO]}
+    assert [r["avg_temperature_c"] for r in hourly_aggregate(spark, one).collect()] == [27.0]
+    with pytest.raises(ValueError):
+        hourly_aggregate(spark, one, parity=True)
+
+
 def test_lookback_and_limit(spark):
     as_of = F.lit("2025-05-13 03:00:00").cast("timestamp")
     docs = documents(spark)
@@ -89,6 +96,10 @@ def test_kelvin_switch_by_provider(spark):
     df = spark.createDataFrame([("a", 300.15), ("a", 310.15), ("b", 20.0), ("c", 999.0)], "p STRING, t DOUBLE")
     out = fix_kelvin_by_provider(df, "p", ["a", "b"], ["t"]).collect()
     assert [round(r["t"], 6) for r in out] == [27.0, 37.0, 20.0, 999.0]
+    # Means of hours count by their readings: (300 * 1 + 20 * 9) / 10 is no Kelvin.
+    hours = spark.createDataFrame([("a", 300.0, 1), ("a", 20.0, 9), ("a", None, 5)], "p STRING, t DOUBLE, n INT")
+    assert [r["t"] for r in fix_kelvin_by_provider(hours, "p", ["a"], ["t"], weight="n").collect()] == [300.0, 20.0, None]
+    assert fix_kelvin_by_provider(hours, "p", ["a"], ["t"]).first()["t"] == 300.0
 
 
 def test_mean_over_frames_guards(spark):
