@@ -122,7 +122,7 @@ class TrendSeason:
         times = future_grid(self.model, periods, self.freq)
         if not only_future:
             known = self.history.select(*self.series, F.col("ds").cast("timestamp").alias("ds"))
-            fitted = join_per_key(known, self.model.drop("ds"), self.series, "inner", SEASON_ROWS)
+            fitted = join_per_key(known, self.model.drop("ds"), self.series, "left", SEASON_ROWS)
             times = fitted.unionByName(times)
         residual = F.coalesce(F.try_element_at("season", _slot(self.step)), F.lit(0.0))
         yhat = F.col("slope") * _hours() + F.col("intercept") + residual
@@ -203,12 +203,12 @@ class RegressorForecast:
 
     def _assembled(self, df: DataFrame) -> DataFrame:
         inputs = list(self.time) + self.regressors
-        assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip")
+        assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
         return assembler.transform(df.withColumns(self.time))
 
     def fit(self, train: DataFrame) -> RegressorForecast:
         _need_columns(train, "ds", "y", *self.series, *self.regressors)
-        known = train.filter(F.col("y").isNotNull())
+        known = train.na.drop(subset=["ds", "y", *self.regressors])
         self.levels = known.groupBy(*self.series).agg(F.avg("y").alias("_level"))
         centered = join_per_key(known, self.levels, self.series, "inner").withColumn("_y", F.col("y") - F.col("_level"))
         regression = LinearRegression(
@@ -218,13 +218,14 @@ class RegressorForecast:
         return self
 
     def predict(self, future: DataFrame) -> DataFrame:
-        """Adds `yhat` to rows that hold `ds` and the regressors; rows with gaps have no forecast."""
+        """Adds `yhat` to rows that hold `ds` and the regressors; it is null in rows with gaps."""
         if self.model is None:
             raise ValueError("call fit first")
-        rows = self._assembled(join_per_key(future, self.levels, self.series, "inner"))
+        rows = self._assembled(join_per_key(future, self.levels, self.series))
         return (
             self.model.transform(rows)
             .withColumn("yhat", F.col("_p") + F.col("_level"))
+            .withColumn("yhat", F.when(~F.isnan("yhat"), F.col("yhat")))
             .drop("features", "_p", "_level", *self.time)
         )
 

@@ -111,9 +111,9 @@ def keyset_page(spark, sf):
     return page_after(_keyed_orders(spark, sf), "000000500", 500)
 
 
-@query("equality_filter", "SELECT event_id, value FROM events WHERE user_id = 7")
+@query("equality_filter", "SELECT event_id, value FROM events WHERE event_type = 'view'")
 def equality_filter(spark, sf):
-    return where_equal(events(spark, sf), "user_id", 7).select("event_id", "value")
+    return where_equal(events(spark, sf), "event_type", "view").select("event_id", "value")
 
 
 @query(

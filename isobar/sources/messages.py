@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,23 +71,25 @@ def parse_envelopes(records: DataFrame, topic: str) -> DataFrame:
     )
 
 
-def _is_good() -> Column:
-    """Well-formed JSON that names its provider and holds a payload."""
-    return F.coalesce(
-        F.col("envelope._corrupt_record").isNull()
-        & F.col("envelope.provider").isNotNull()
-        & F.col("envelope.data").isNotNull(),
-        F.lit(False),
-    )
+# What a message needs for its id and its document; other missing fields become nulls.
+REQUIRED = ("location", "current", "dt")
+
+
+def _is_good(parsed: DataFrame) -> Column:
+    """Well-formed JSON that names its provider and holds the required parts of its payload."""
+    payload = parsed.schema["envelope"].dataType["data"].dataType
+    present = ["provider", *[f"data.{name}" for name in REQUIRED if name in payload.names]]
+    tests = [F.col(f"envelope.{path}").isNotNull() for path in present]
+    return F.coalesce(reduce(and_, tests, F.col("envelope._corrupt_record").isNull()), F.lit(False))
 
 
 def good_records(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(_is_good())
+    return parsed.filter(_is_good(parsed))
 
 
 def rejected_records(parsed: DataFrame) -> DataFrame:
     """What `good_records` leaves out, as raw text for the quarantine sink."""
-    return parsed.filter(~_is_good()).select(
+    return parsed.filter(~_is_good(parsed)).select(
         "topic",
         "partition",
         "offset",

@@ -95,6 +95,10 @@ def test_coefficients_against_least_squares(spark):
     X[:, 1] -= X[:, 1].mean()
     beta, *_ = np.linalg.lstsq(X, y, rcond=None)
     assert [got[d[0]] for d in data] == pytest.approx(list(X @ beta), abs=1e-3)
+    gaps = rows.limit(2).withColumn("u", F.lit(None).cast("double"))
+    assert [r["yhat"] for r in model.predict(gaps).collect()] == [None, None]
+    unknown = rows.limit(2).withColumn("series", F.lit("new"))
+    assert [r["yhat"] for r in model.predict(unknown).collect()] == [None, None]
     with pytest.raises(ValueError):
         fc.RegressorForecast(["u"]).predict(rows)
 

@@ -89,6 +89,17 @@ def test_bad_messages_are_kept_aside(spark, rows):
     ]
 
 
+def test_messages_without_an_id_or_reading_are_kept_aside(spark, rows):
+    no_time = open_weather(300.0)
+    del no_time["data"]["dt"]
+    no_reading = meteo(20.0)
+    del no_reading["data"]["current"]
+    for topic, message in ((OPEN_WEATHER, no_time), (OPEN_METEO, no_reading)):
+        parsed = parse_envelopes(log(spark, record(topic, message, 7)), topic)
+        assert rows(rejected_records(parsed), "offset") == [(7,)]
+        assert good_records(parsed).count() == 0
+
+
 def test_envelope_round_trip(spark, rows):
     payloads = spark.sql(
         """SELECT -7.95D AS latitude, 112.61D AS longitude, named_struct('current', named_struct('temp_c', 1.5D)) AS data
