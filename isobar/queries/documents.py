@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from isobar.functions.paths import json_path
 from isobar.functions.times import JAKARTA, parse_mixed_time
 from isobar.operators.project import standardize_names, weather_data_rows, weather_summary_rows
-from isobar.operators.reshape import content_id_documents, flatten_by_leaf, flatten_by_path, provider_documents
+from isobar.operators.reshape import content_id_documents, flatten_by_leaf, flatten_by_path
 from isobar.plans.exports import dataset, mapped_dataset
 from isobar.plans.hourly import hourly_aggregate, provider_hours
 from isobar.plans.serving import data_backfill, increment_rows, summary_backfill
