@@ -13,7 +13,13 @@ from isobar.operators.aggregate import fix_kelvin_by_provider, group_means
 from isobar.operators.project import standardize_names, with_location
 from isobar.operators.reshape import SOURCE_COLUMNS, flatten_by_leaf, provider_documents
 from isobar.schemas import COMMON_MEASURES, PLACE_COLUMNS, TOPICS
-from isobar.streaming.stores import spread_by_day, upsert_folder
+from isobar.streaming.stores import (
+    read_folder,
+    replace_partitions,
+    rows_per_day,
+    spread_by_day,
+    upsert_folder,
+)
 from isobar.streaming.windows import windowed_means
 
 HOUR_KEYS = ("provider", *PLACE_COLUMNS, "timestamp")
@@ -59,18 +65,15 @@ def publish_hours(batch: DataFrame, hours: str, summary: str) -> None:
     days = upsert_folder(batch, hours, HOUR_KEYS, ["n"])
     if not days:
         return
-    stored = batch.sparkSession.read.parquet(hours).filter(F.col("event_date").isin(days))
+    schema = batch.schema.add("event_date", "date")
+    stored = read_folder(batch.sparkSession, hours, schema, "event_date", days)
     celsius = fix_kelvin_by_provider(stored, "provider", TOPICS, weight="n")
     means = group_means(
         celsius, [*PLACE_COLUMNS, "timestamp", "event_date"], COMMON_MEASURES, prefix="avg_"
     )
-    (
-        spread_by_day(means, "event_date", len(days), [*PLACE_COLUMNS, "timestamp"])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
-        .parquet(summary)
-    )
+    counts = rows_per_day(stored, "event_date")
+    spread = spread_by_day(means, "event_date", counts, [*PLACE_COLUMNS, "timestamp"])
+    replace_partitions(spread, summary, "event_date")
 
 
 def start_hourly_aggregate(

@@ -15,10 +15,22 @@ from isobar.operators.serving import insert_if_absent, upsert_latest
 from isobar.session import shared_root
 
 
-def read_folder(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """The folder's rows, or no rows when nothing has been written yet."""
+def read_folder(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    day_column: str | None = None,
+    days: Sequence[date] = (),
+) -> DataFrame:
+    """The folder's rows, or no rows when nothing has been written yet.
+
+    With days only their partitions are listed and read, however many others there are.
+    """
+    path = folder
+    if day_column is not None:
+        path = f"{folder}/{day_column}={{{','.join(str(day) for day in days)}}}"
     try:
-        return spark.read.schema(schema).parquet(folder)
+        return spark.read.schema(schema).option("basePath", folder).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -30,8 +42,8 @@ def document_schema(documents: DataFrame) -> T.StructType:
     return T.StructType(
         [
             *documents.schema.fields,
-            T.StructField("batch", T.LongType()),
             T.StructField("id_date", T.DateType()),
+            T.StructField("batch", T.LongType()),
         ]
     )
 
@@ -40,36 +52,51 @@ def read_documents(spark: SparkSession, folder: str, schema: T.StructType) -> Da
     return read_folder(spark, folder, schema)
 
 
-def spread_by_day(df: DataFrame, day: str, days: int, salt: Sequence[str]) -> DataFrame:
-    """Shuffles rows so that few tasks write each day, yet all tasks have work.
+def rows_per_day(df: DataFrame, column: str) -> dict[date, int]:
+    """Rows of each date of a batch: one entry per calendar day."""
+    return dict(df.groupBy(column).count().collect())
+
 
-    With many days a day goes to one task; with few, its rows are salted over several. Rows of a
-    micro-batch mostly fall on one day, so the day alone would put them into one task.
+def spread_by_day(df: DataFrame, day: str, counts: dict[date, int], salt: Sequence[str]) -> DataFrame:
+    """Shuffles rows so that few tasks write each day and no task has much more than its share.
+
+    A day with more than a task's share of the rows is salted over as many tasks as it fills. Rows
+    of a micro-batch mostly fall on one day, so the day alone would put them into one task.
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = max(1, math.ceil(tasks / days))
-    return df.repartition(tasks, F.col(day), F.pmod(F.xxhash64(*salt), F.lit(shares)))
+    total = sum(counts.values())
+    # No more entries than tasks, as each is more than one share.
+    full = {d: math.ceil(tasks * n / total) for d, n in counts.items() if tasks * n > total}
+    shares = F.lit(1)
+    if full:
+        entries = [F.lit(x) for pair in full.items() for x in pair]
+        shares = F.coalesce(F.try_element_at(F.create_map(*entries), F.col(day)), shares)
+    return df.repartition(tasks, F.col(day), F.pmod(F.xxhash64(*salt), shares))
 
 
 def save_new_documents(documents: DataFrame, batch_id: int, folder: str) -> None:
     """Adds the documents whose id is not stored yet; the first of each id wins.
 
     An id is made from a time (`id_time`), so copies share its date and only the stored ids of the
-    batch's dates are read. Every batch owns one sub-folder and replaces it when it is run again, so
-    a retry after a failure leaves no copies.
+    batch's dates are read. Every batch owns a partition of each date and replaces it when it is run
+    again, so a retry after a failure leaves no copies.
     """
     spark = documents.sparkSession
     schema = document_schema(documents)
     dated = documents.withColumn("id_date", F.to_date("id_time"))
-    first, last = dated.agg(F.min("id_date"), F.max("id_date")).first()
-    if first is None:
+    counts = rows_per_day(dated, "id_date")
+    if not counts:
         return
-    stored = read_folder(spark, folder, schema).filter(
-        (F.col("batch") != batch_id) & F.col("id_date").between(F.lit(first), F.lit(last))
-    )
+    stored = read_folder(spark, folder, schema, "id_date", list(counts)).filter(F.col("batch") != batch_id)
     fresh = insert_if_absent(dated, stored, "_id", "partition", "offset")
-    spread = spread_by_day(fresh, "id_date", (last - first).days + 1, ["_id"])
-    spread.write.mode("overwrite").partitionBy("id_date").parquet(f"{folder}/batch={batch_id}")
+    spread = spread_by_day(fresh, "id_date", counts, ["_id"])
+    replace_partitions(spread.withColumn("batch", F.lit(batch_id)), folder, "id_date", "batch")
+
+
+def replace_partitions(df: DataFrame, folder: str, *columns: str) -> None:
+    """Writes the partitions the rows fall into; others stay."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*columns).parquet(folder)
 
 
 def upsert_folder(
@@ -89,19 +116,13 @@ def upsert_folder(
     shared_root(spark)
     dated = incoming.withColumn("event_date", F.to_date(ts)).persist()
     try:
-        # One value per calendar day.
-        days = [row[0] for row in dated.select("event_date").distinct().collect()]
+        days = list(rows_per_day(dated, "event_date"))
         if not days:
             return []
-        stored = read_folder(spark, folder, dated.schema).filter(F.col("event_date").isin(days))
-        merged = upsert_latest(stored, dated, keys, version)
-        staged = spread_by_day(merged, "event_date", len(days), keys).checkpoint()
+        stored = read_folder(spark, folder, dated.schema, "event_date", days)
+        merged = upsert_latest(stored, dated, keys, version).checkpoint()
     finally:
         dated.unpersist()
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
-        .parquet(folder)
-    )
+    spread = spread_by_day(merged, "event_date", rows_per_day(merged, "event_date"), keys)
+    replace_partitions(spread, folder, "event_date")
     return days

@@ -11,7 +11,13 @@ from isobar.schemas import TOPICS
 from isobar.sources.messages import kafka_options, stream_landed
 from isobar.streaming.hourly import start_hourly_aggregate
 from isobar.streaming.ingest import ingest_batch, start_all
-from isobar.streaming.stores import document_schema, read_documents, upsert_folder
+from isobar.streaming.stores import (
+    document_schema,
+    read_documents,
+    rows_per_day,
+    spread_by_day,
+    upsert_folder,
+)
 from isobar.streaming.windows import start_append, start_upserts, windowed_means
 
 READINGS = "p STRING, ts TIMESTAMP, x DOUBLE"
@@ -145,6 +151,19 @@ def test_upsert_is_repeatable(spark, rows, tmp_path):
     assert sorted(rows(spark.read.parquet(folder), "k", "v")) == [("a", 2), ("b", 1), ("c", 1)]
 
 
+def test_a_full_day_is_spread_over_tasks(spark):
+    df = spark.sql(
+        """SELECT id, CASE WHEN id % 3 = 0 THEN DATE '2024-01-01' ELSE date_add(DATE '2024-01-02', CAST(id % 40 AS INT)) END AS d
+        FROM range(6000)"""
+    )
+    spread = spread_by_day(df, "d", rows_per_day(df, "d"), ["id"])
+    tasks = spread.withColumn("t", F.spark_partition_id())
+    hot = tasks.filter("d = DATE '2024-01-01'")
+    assert hot.select("t").distinct().count() > 1
+    assert tasks.filter("d <> DATE '2024-01-01'").groupBy("d").agg(F.countDistinct("t").alias("n")).agg(F.max("n")).first()[0] == 1
+    assert spread.count() == 6000
+
+
 def test_kafka_options():
     options = kafka_options("host:9092", maxOffsetsPerTrigger="1000")
     assert options["subscribe"] == "free-weather,open-weather,open-meteo"
