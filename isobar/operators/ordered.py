@@ -28,13 +28,18 @@ def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def _hot_series(df: DataFrame, series: Sequence[str], target_rows: int) -> tuple[DataFrame, int]:
-    """Keys with more rows than a task should sort, and that number of rows."""
-    shared_root(df.sparkSession)
+def _hot_series(
+    df: DataFrame, series: Sequence[str], target_rows: int
+) -> tuple[DataFrame | None, int]:
+    """Keys with more rows than a task should sort, if there are any, and that number of rows."""
     sizes = df.groupBy(F.struct(*series).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    share = max(target_rows, math.ceil(total / MAX_HOT))
-    return sizes.filter(F.col("_n") > share).select("_key", F.lit(True).alias("_hot")).checkpoint(), share
+    total, longest = sizes.agg(F.sum("_n"), F.max("_n")).first()
+    share = max(target_rows, math.ceil((total or 0) / MAX_HOT))
+    if (longest or 0) <= share:
+        return None, share
+    shared_root(df.sparkSession)
+    hot = sizes.filter(F.col("_n") > share).select("_key", F.lit(True).alias("_hot"))
+    return hot.checkpoint(), share
 
 
 def with_slices(
@@ -55,7 +60,7 @@ def with_slices(
     bucket = F.floor(micros / F.lit(width)).cast("long")
     if series:
         hot, share = _hot_series(df, series, target_rows)
-        if hot.isEmpty():
+        if hot is None:
             return None
         keyed = df.withColumn("_key", F.struct(*series)).join(F.broadcast(hot), "_key", "left").drop("_key")
         bucket = F.when(F.col("_hot"), bucket).otherwise(F.lit(0))

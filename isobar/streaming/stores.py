@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 from isobar.operators.serving import insert_if_absent, upsert_latest
 from isobar.session import shared_root
 
+# Folder name of rows without a day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
 
 def read_folder(
     spark: SparkSession,
@@ -28,7 +31,8 @@ def read_folder(
     """
     path = folder
     if day_column is not None:
-        path = f"{folder}/{day_column}={{{','.join(str(day) for day in days)}}}"
+        names = [NO_DAY if day is None else str(day) for day in days]
+        path = f"{folder}/{day_column}={{{','.join(names)}}}"
     try:
         return spark.read.schema(schema).option("basePath", folder).parquet(path)
     except AnalysisException as error:
@@ -66,7 +70,7 @@ def spread_by_day(df: DataFrame, day: str, counts: dict[date, int], salt: Sequen
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = sum(counts.values())
     # No more entries than tasks, as each is more than one share.
-    full = {d: math.ceil(tasks * n / total) for d, n in counts.items() if tasks * n > total}
+    full = {d: math.ceil(tasks * n / total) for d, n in counts.items() if d and tasks * n > total}
     shares = F.lit(1)
     if full:
         entries = [F.lit(x) for pair in full.items() for x in pair]

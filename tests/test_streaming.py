@@ -149,6 +149,9 @@ def test_upsert_is_repeatable(spark, rows, tmp_path):
         upsert_folder(batch, folder, ["k", "timestamp"], ["v"])
     upsert_folder(batch.limit(0), folder, ["k", "timestamp"], ["v"])
     assert sorted(rows(spark.read.parquet(folder), "k", "v")) == [("a", 2), ("b", 1), ("c", 1)]
+    for v in (1, 2):
+        upsert_folder(make(("n", None, v)), folder, ["k", "timestamp"], ["v"])
+    assert rows(spark.read.parquet(folder).filter("k = 'n'"), "v") == [(2,)]
 
 
 def test_a_full_day_is_spread_over_tasks(spark):
