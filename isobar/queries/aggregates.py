@@ -129,11 +129,11 @@ def unit_switch_whole_frame(spark, sf):
 
 @query(
     "group_means_per_timestamp",
-    """SELECT date_trunc('hour', ts) AS timestamp, round(avg(value), 8) AS value FROM events GROUP BY ALL""",
+    """SELECT date_trunc('hour', ts) AS timestamp, round(avg(value), 10) AS value FROM events GROUP BY ALL""",
 )
 def group_means_per_timestamp(spark, sf):
     rows = events(spark, sf).withColumn("timestamp", hour_of("ts"))
-    return group_means(rows, ["timestamp"], ["value"]).select(ntz("timestamp").alias("timestamp"), r8("value").alias("value"))
+    return group_means(rows, ["timestamp"], ["value"]).select(ntz("timestamp").alias("timestamp"), F.round("value", 10).alias("value"))
 
 
 @query(
