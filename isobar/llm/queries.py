@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from isobar.llm.mixing import mix
 from isobar.llm.warc import pages_from_records, read_warc, write_warc
 from isobar.queries.registry import table
 from isobar.session import shared_folder
@@ -42,3 +43,8 @@ def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_from_records(read_warc(spark, folder)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("op3_mixing")
+def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).drop("source", "spot")
