@@ -23,8 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from isobar.llm.ordering import ranked
-from isobar.operators.joins import join_per_key
-from isobar.session import shared_root
+from isobar.llm.staging import join_counted, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPREAD = 1 << 38
@@ -44,7 +43,7 @@ def with_targets(sources: DataFrame, weights: Sequence[float], share: float, lim
     The level is raised until no source above its limit is left; each round is one small aggregate.
     """
     pattern = F.array(*[F.lit(float(w)) for w in weights])
-    weighted = sources.withColumn("weight", F.element_at(pattern, (F.col("number") % len(weights) + 1).cast("int"))).checkpoint()
+    weighted = sources.withColumn("weight", F.element_at(pattern, (F.col("number") % len(weights) + 1).cast("int"))).transform(staged)
     cap, level = F.col("source_size") * float(limit), -1.0
     total = weighted.agg(F.sum("source_size")).first()[0] or 0
     while True:
@@ -91,7 +90,7 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
         nodes = (
             nodes.groupBy("low", "high")
             .applyInPandas(_split(seed, total, shards), "number long, low long, high long, quota long")
-            .checkpoint()
+            .transform(staged)
         )
         width = -(-width // 2**LEVELS)
     along = Window.partitionBy("number").orderBy("shard")
@@ -125,20 +124,19 @@ def mix(
     `shards` has the output shard of each copy drawn, `spot` the hash by which a shard is shuffled inside.
     """
     spark = documents.sparkSession
-    shared_root(spark)
     rows = documents.select(
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id), F.col(source), F.col(text)), F.lit(SPREAD)).alias("spot"),
         F.monotonically_increasing_id().alias("row"),
-    ).checkpoint()
+    ).transform(staged)
     sources = with_targets(_numbered_sources(rows), weights, share, limit)
     size = F.greatest(F.col("source_size"), F.lit(1))
     sources = sources.withColumn("blocks", F.ceil(size / block_words).cast("long"))
     sources = sources.withColumn("times", F.floor(F.col("target") / size).cast("long"))
-    sources = sources.withColumn("rest", F.col("target") - F.col("times") * F.col("source_size")).checkpoint()
-    placed = join_per_key(rows, sources.drop("weight"), ["source"]).withColumn(
+    sources = sources.withColumn("rest", F.col("target") - F.col("times") * F.col("source_size")).transform(staged)
+    placed = join_counted(rows, sources.drop("weight"), ["source"]).withColumn(
         "block", F.floor(F.col("spot") * F.col("blocks") / F.lit(float(SPREAD))).cast("long")
     )
 
@@ -147,7 +145,7 @@ def mix(
         placed.groupBy("number", "block", "rest")
         .agg(F.sum("size").alias("words"))
         .withColumn("stretch", F.floor(F.col("block") / COARSE))
-        .checkpoint()
+        .transform(staged)
     )
     along = Window.partitionBy("number").orderBy("stretch")
     stretches = blocks.groupBy("number", "stretch").agg(F.sum("words").alias("all"))
@@ -159,8 +157,8 @@ def mix(
         .filter((F.col("so_far") <= F.col("rest")) & (F.col("rest") < F.col("so_far") + F.col("words")))
         .select("number", F.col("block").alias("last"), (F.col("rest") - F.col("so_far")).alias("room"))
     )
-    ends = ends.checkpoint()
-    placed = join_per_key(placed.filter("size > 0"), ends, ["number"])
+    ends = ends.transform(staged)
+    placed = join_counted(placed.filter("size > 0"), ends, ["number"])
     at_end = placed.filter("block = last").select("row", "spot", "doc_id", "size", "room", "number")
     extra = at_end.groupBy("number").applyInPandas(_fill, "row long, extra boolean").filter("extra")
     placed = placed.join(extra, "row", "left")
@@ -170,10 +168,10 @@ def mix(
     more = F.when((F.col("block") < F.col("last")) | F.col("extra"), F.array(drawn)).otherwise(F.array().cast("array<bigint>"))
     copies = placed.select("row", "number", F.explode(F.concat(whole.cast("array<bigint>"), more)).alias("draw"))
 
-    quotas = join_per_key(sources.filter("source_size > 0"), ends, ["number"]).select(
+    quotas = join_counted(sources.filter("source_size > 0"), ends, ["number"]).select(
         "number", (F.col("times") * F.col("blocks") + F.coalesce(F.col("last") + 1, F.lit(0))).alias("quota")
     )
-    quotas = quotas.checkpoint()
+    quotas = quotas.transform(staged)
     shards = max(1, -(-int(quotas.agg(F.sum("quota")).first()[0] or 0) // blocks_per_shard))
     runs = split_quotas(quotas, shards, seed).filter("quota > 0")
     dealt = runs.select("number", "shard", F.explode(F.sequence("first", F.col("first") + F.col("quota") - 1)).alias("draw"))
@@ -182,7 +180,7 @@ def mix(
         .groupBy("row")
         .agg(F.count("*").alias("times_taken"), F.sort_array(F.collect_list("shard")).alias("shards"))
     )
-    result = join_per_key(rows, sources.select("source", "source_size", "target"), ["source"]).join(taken, "row", "left")
+    result = join_counted(rows, sources.select("source", "source_size", "target"), ["source"]).join(taken, "row", "left")
     return result.select(
         "doc_id",
         "source",

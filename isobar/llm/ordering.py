@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from isobar.session import shared_root
+from isobar.llm.staging import staged
+
 
 
 def ranked(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
@@ -18,9 +19,8 @@ def ranked(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFr
     break ties to the order, or equal rows share a partition.
     """
     spark = df.sparkSession
-    shared_root(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).checkpoint()
+    dealt = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).transform(staged)
     # One row per partition.
     parts = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
     base = parts.withColumn("_base", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).drop("_n")
