@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from isobar.llm.mixing import mix
+from isobar.llm.spaced_seeds import with_hits
 from isobar.llm.warc import pages_from_records, read_warc, write_warc
 from isobar.queries.registry import table
 from isobar.session import shared_folder
@@ -48,3 +50,17 @@ def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_mixing")
 def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("source", "spot")
+
+
+@query("op9_spaced_seeds")
+def spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct("hits.item"))
+    spans = F.transform("hits", lambda h: F.concat_ws(":", h["item"], h["start"], h["end"]))
+    return found.select(
+        "doc_id",
+        (F.size("hits") > 0).alias("contaminated"),
+        F.size(items).cast("long").alias("n_items"),
+        items.alias("items"),
+        F.array_join(spans, ",").alias("spans"),
+    )
