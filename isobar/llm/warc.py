@@ -25,8 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from isobar.operators.joins import join_per_key
-from isobar.session import shared_root
+from isobar.llm.staging import join_counted, staged
 
 VERSION = "WARC/1.1\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -56,7 +55,7 @@ def with_record_type(pages: DataFrame, page_id: str, url: str, payload: str, min
         .filter((F.col("n") > 1) & F.col("least").isNotNull())
         .select("digest", "least")
     )
-    joined = join_per_key(rows, repeated, ["digest"])
+    joined = join_counted(rows, repeated, ["digest"])
     refers = F.when(F.col("least").isNotNull() & ~F.col("least").eqNullSafe(F.col("page")), F.col("least"))
     return joined.withColumn("first", refers).drop("least", "size")
 
@@ -191,7 +190,7 @@ def reachable(candidates: DataFrame) -> DataFrame:
         exits = (
             edges.groupBy("file", "part")
             .applyInPandas(_exits, "file string, part long, offset long, leaves long")
-            .checkpoint()
+            .transform(staged)
         )
         targets = exits.select("file", F.col("leaves").alias("offset")).distinct()
         jump = exits.join(targets.union(starts).distinct(), ["file", "offset"], "left_semi").select("file", "offset", "leaves")
@@ -202,28 +201,23 @@ def reachable(candidates: DataFrame) -> DataFrame:
             reached = reached.union(step).distinct()
             if k + 1 < rounds:
                 after = jump.select("file", F.col("offset").alias("leaves"), F.col("leaves").alias("beyond"))
-                jump = jump.join(after, ["file", "leaves"]).select("file", "offset", F.col("beyond").alias("leaves")).checkpoint()
-                reached = reached.checkpoint()
+                jump = jump.join(after, ["file", "leaves"]).select("file", "offset", F.col("beyond").alias("leaves")).transform(staged)
+                reached = reached.transform(staged)
+        entries = reached.withColumn("entry", F.lit(True))
+        entered = edges.join(entries, ["file", "offset"], "left").withColumn("entry", F.coalesce("entry", F.lit(False)))
     else:
-        reached = starts
-    entries = reached.withColumn("entry", F.lit(True))
-    return (
-        edges.join(entries, ["file", "offset"], "left")
-        .withColumn("entry", F.coalesce("entry", F.lit(False)))
-        .groupBy("file", "part")
-        .applyInPandas(_marked, "file string, offset long")
-    )
+        entered = edges.withColumn("entry", F.col("offset") == 0)
+    return entered.groupBy("file", "part").applyInPandas(_marked, "file string, offset long")
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record: file, offset, type, address, ids, the stated digest, and length and digest of the payload read."""
-    shared_root(spark)
     size = len(VERSION)
     pieces = _with(_segments(spark, folder), _parse(F.col("value"))).select(
         "file", "part", "row", F.octet_length("value").alias("size"), "head_size", "length", "whole", *FIELDS
     )
     within = Window.partitionBy("file", "part").orderBy("row")
-    pieces = pieces.withColumn("before", F.sum(F.col("size") + size).over(within) - F.col("size") - size).checkpoint()
+    pieces = pieces.withColumn("before", F.sum(F.col("size") + size).over(within) - F.col("size") - size).transform(staged)
     totals = pieces.groupBy("file", "part").agg(F.sum(F.col("size") + size).alias("total"))
     along = Window.partitionBy("file").orderBy("part")
     base = totals.withColumn("base", F.sum("total").over(along) - F.col("total")).drop("total")
@@ -233,9 +227,9 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
         .filter("offset >= 0")
         .withColumn("following", F.col("offset") + size + F.col("head_size") + 2 * len(GAP) + F.col("length"))
     )
-    chain = reachable(placed).withColumn("record", F.lit(True)).checkpoint()
+    chain = reachable(placed).withColumn("record", F.lit(True)).transform(staged)
     placed = placed.join(chain, ["file", "offset"], "left")
-    records = placed.filter("record").select("file", "offset", "whole", *FIELDS).checkpoint()
+    records = placed.filter("record").select("file", "offset", "whole", *FIELDS).transform(staged)
     out = records.filter("whole").drop("whole")
     if records.filter("NOT whole").isEmpty():
         return out
