@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.llm.mixing import mix
+from isobar.llm.ordinal import fit_ordinal, rating_column
 from isobar.llm.spaced_seeds import with_hits
+from isobar.llm.toxicity import contract_split, fit_toxicity, score_column
 from isobar.llm.warc import pages_from_records, read_warc, write_warc
 from isobar.queries.registry import table
 from isobar.session import shared_folder
@@ -64,3 +66,30 @@ def spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         items.alias("items"),
         F.array_join(spans, ",").alias("spans"),
     )
+
+
+@query("op7_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(documents, table(spark, sf_dir, "labels"), train=~contract_split())
+    scored = documents.select("doc_id", contract_split().alias("held_out"), score_column(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+#: Grade 0 is low quality, 1 good but toxic, 2 good.
+GRADE = "CASE WHEN quality = 0 THEN 0 WHEN quality = 1 THEN CASE WHEN toxic = 1 THEN 1 ELSE 2 END END"
+
+
+@query("op6_ordinal_quality")
+def ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_ordinal(documents, table(spark, sf_dir, "labels"), F.expr(GRADE), 3, train=~contract_split())
+    rated = documents.select("doc_id", contract_split().alias("held_out"), rating_column(model, F.col("text")).alias("r"))
+    return rated.select(
+        "doc_id",
+        "held_out",
+        F.col("r")[0].alias("expected_grade"),
+        F.col("r")[1].alias("tail_good"),
+        F.col("r")[2].alias("tail_clean"),
+        (F.col("r")[1] >= 0.5).cast("int").alias("selected"),
+    )
