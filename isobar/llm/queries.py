@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isobar.llm.lsh_forest import jaccard_groups
 from isobar.llm.mixing import mix
 from isobar.llm.ordinal import fit_ordinal, rating_column
 from isobar.llm.spaced_seeds import with_hits
@@ -93,3 +94,8 @@ def ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r")[2].alias("tail_clean"),
         (F.col("r")[1] >= 0.5).cast("int").alias("selected"),
     )
+
+
+@query("op10_lsh_forest")
+def lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(table(spark, sf_dir, "documents")).drop("t1", "t2", "root")
