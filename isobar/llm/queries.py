@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from isobar.llm.lsh_forest import jaccard_groups
 from isobar.llm.mixing import mix
 from isobar.llm.ordinal import fit_ordinal, rating_column
+from isobar.llm.sentence_spans import drop_repeated_spans
 from isobar.llm.spaced_seeds import with_hits
 from isobar.llm.toxicity import contract_split, fit_toxicity, score_column
 from isobar.llm.warc import pages_from_records, read_warc, write_warc
@@ -99,3 +100,16 @@ def ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_lsh_forest")
 def lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents")).drop("t1", "t2", "root")
+
+
+@query("op1_sentence_spans")
+def sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = drop_repeated_spans(table(spark, sf_dir, "documents"))
+    return clean.select(
+        "doc_id",
+        F.col("n_sentences").cast("long"),
+        F.col("n_removed").cast("long"),
+        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"),
+        F.length("text").cast("long").alias("n_chars_left"),
+        F.sha2("text", 256).alias("clean_sha256"),
+    )
