@@ -14,6 +14,7 @@ from isobar.llm.sentence_spans import drop_repeated_spans
 from isobar.llm.spaced_seeds import with_hits
 from isobar.llm.toxicity import contract_split, fit_toxicity, score_column
 from isobar.llm.warc import pages_from_records, read_warc, write_warc
+from isobar.llm.winnowing import as_string, compare_with_edited, likeness
 from isobar.queries.registry import table
 from isobar.session import shared_folder
 
@@ -113,3 +114,16 @@ def sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("text").cast("long").alias("n_chars_left"),
         F.sha2("text", 256).alias("clean_sha256"),
     )
+
+
+@query("op4_winnowing")
+def winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_edited(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        as_string("own").alias("fingerprint"),
+        as_string("new").alias("edited_fingerprint"),
+        likeness("own_h", "new_h").alias("near_edited"),
+        likeness("own_h", "next_own_h").alias("near_next"),
+    )
