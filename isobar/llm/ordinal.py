@@ -120,13 +120,9 @@ def fit_ordinal(
 
 def rating_column(model: OrdinalModel, text: Column) -> Column:
     """A list: the expected grade, then the chance of at least grade 1, 2 and so on."""
-    from pyspark.sql import SparkSession
-
-    shared = SparkSession.getActiveSession().sparkContext.broadcast(model)
-
     @F.arrow_udf("array<double>")
     def rate(texts: pa.Array) -> pa.Array:
-        tails = shared.value.tails(texts)
+        tails = model.tails(texts)
         return pa.array(list(np.concatenate([tails.sum(1, keepdims=True), tails], 1)), pa.list_(pa.float64()))
 
     return rate(text)

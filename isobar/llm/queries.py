@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isobar.llm.features import split_by_crc
+from isobar.llm.kneser_ney import score_column as lm_column
+from isobar.llm.kneser_ney import train as train_lm
 from isobar.llm.lsh_forest import jaccard_groups
 from isobar.llm.mixing import mix
 from isobar.llm.ordinal import fit_ordinal, rating_column
@@ -127,3 +130,14 @@ def winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         likeness("own_h", "new_h").alias("near_edited"),
         likeness("own_h", "next_own_h").alias("near_next"),
     )
+
+
+@query("op8_kneser_ney")
+def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = split_by_crc(F.col("doc_id"), 7, 2)
+    model = train_lm(documents.filter(~held))
+    scored = documents.select("doc_id", held.alias("held_out"), lm_column(model, F.col("text")).alias("s"))
+    return scored.select(
+        "doc_id", "held_out", "s.n_tokens", "s.n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "s.base_score", "s.score"
+    )

@@ -157,13 +157,9 @@ def _hits(texts: pa.Array, items: Items, overlap: int, same: float) -> pa.Array:
 
 def hits_column(items: Items, text: Column, overlap: int, same: float) -> Column:
     """The overlaps of a text with a block of items: item, code points, equal tokens and tokens."""
-    from pyspark.sql import SparkSession
-
-    shared = SparkSession.getActiveSession().sparkContext.broadcast(items)
-
     @F.arrow_udf(HIT)
     def hits(texts: pa.Array) -> pa.Array:
-        return _hits(texts, shared.value, overlap, same)
+        return _hits(texts, items, overlap, same)
 
     return hits(text)
 
