@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.llm.features import split_by_crc
@@ -13,6 +13,7 @@ from isobar.llm.kneser_ney import train as train_lm
 from isobar.llm.lsh_forest import jaccard_groups
 from isobar.llm.mixing import mix
 from isobar.llm.ordinal import fit_ordinal, rating_column
+from isobar.llm.pii import KINDS, fit_field, spans_column
 from isobar.llm.sentence_spans import drop_repeated_spans
 from isobar.llm.spaced_seeds import with_hits
 from isobar.llm.toxicity import contract_split, fit_toxicity, score_column
@@ -141,3 +142,16 @@ def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", "held_out", "s.n_tokens", "s.n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "s.base_score", "s.score"
     )
+
+
+@query("op2_skip_chain")
+def skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = documents.select("doc_id", spans_column(fit_field(documents), F.col("text")).alias("found"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("found", lambda s: s["base"])
+    counts = [F.expr(f"CAST(size(filter(found, s -> s.base AND s.kind = '{kind}')) AS BIGINT) AS n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
