@@ -160,8 +160,17 @@ def _of(bucketed: DataFrame, buckets: DataFrame) -> DataFrame:
     return bucketed.join(F.broadcast(buckets) if few else buckets, "bucket")
 
 
-def similar_classes(documents: DataFrame, similarity: float = 0.8, words_per_gram: int = 5, trees: int = 16, depth: int = 8,
-                    recall: float = 0.99, small: int = 12, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+def similar_classes(
+    documents: DataFrame,
+    similarity: float = 0.8,
+    words_per_gram: int = 5,
+    trees: int = 16,
+    depth: int = 8,
+    recall: float = 0.99,
+    small: int = 12,
+    text: str = "text",
+    doc_id: str = "doc_id",
+) -> tuple[DataFrame, DataFrame]:
     """(documents, links): documents as (doc_id, t1, t2, cid, class_size), links as (a, b, similarity) between classes."""
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keyed = rows.select("doc_id", "text", *text_key(F.col("text")))
@@ -247,3 +256,28 @@ def jaccard_groups(documents: DataFrame, **options) -> DataFrame:
     return joined.select(
         "doc_id", "t1", "t2", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "group_id", "root"
     )
+
+
+def one_per_group(documents: DataFrame, **options) -> DataFrame:
+    """The documents without all but one of each group: the one with the smallest id, then by hash of the text.
+
+    All columns stay. Of rows equal in id and text one stays.
+    """
+    text, doc_id = options.get("text", "text"), options.get("doc_id", "doc_id")
+    names = ["doc_id", "t1", "t2"]
+    keys = staged(jaccard_groups(documents, **options).groupBy("root", *names).agg(F.count("*").alias("n")), "keys")
+    own = F.struct(F.col("doc_id").isNull().alias("none"), *names)
+    kept = keys.groupBy("root").agg(F.min(own).alias("kept")).select("root", F.col("kept.doc_id").alias("k0"), F.col("kept.t1").alias("k1"), F.col("kept.t2").alias("k2"))
+    stays = F.col("doc_id").eqNullSafe(F.col("k0")) & (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2"))
+    # Most documents are neither removed nor repeated; only the others are joined.
+    others = keys.join(kept, "root").withColumn("stays", stays).filter("NOT stays OR n > 1")
+    others = staged(others.select(*[F.col(c).alias(f"_key_{c}") for c in names], "stays"), "others")
+    few = others.count() <= BROADCAST_ROWS
+    others = F.broadcast(others) if few else others
+    t1, t2 = text_key(F.coalesce(documents[text], F.lit("")))
+    same = documents[doc_id].eqNullSafe(others["_key_doc_id"]) & (t1 == others["_key_t1"]) & (t2 == others["_key_t2"])
+    alone = documents.join(others, same, "left_anti")
+    if others.filter("stays").isEmpty():
+        return alone
+    twice = documents.join(others.filter("stays"), same).dropDuplicates(["_key_doc_id", "_key_t1", "_key_t2"])
+    return alone.unionByName(twice.select(*[documents[c] for c in documents.columns]))

@@ -164,30 +164,37 @@ def hits_column(items: Items, text: Column, overlap: int, same: float) -> Column
     return hits(text)
 
 
-def with_hits(
-    documents: DataFrame,
+def found_column(
     benchmark: DataFrame,
-    text: str = "text",
-    name: str = "hits",
+    text: Column,
     item_id: str = "item_id",
     item_text: str = "text",
     masks: Sequence[str] = MASKS,
     overlap: int = 13,
     same: float = 0.8,
     block_tokens: int = 500_000,
-) -> DataFrame:
-    """The documents with one more column: their verified overlaps with the test items."""
+) -> Column:
+    """The verified overlaps of a text with all test items."""
     items = benchmark.select(F.col(item_id).cast("long").alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("passage"))
     normal = F.trim(F.regexp_replace(F.lower("passage"), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
     items = items.groupBy(normal.alias("normal")).agg(F.min("item").alias("item"), F.min("passage").alias("passage"))
     total = items.agg(F.sum(F.size(F.split("normal", " ")))).first()[0] or 0
-    blocks = max(1, -(-2 * total // block_tokens)) if total > block_tokens else 1
+    blocks = -(-2 * total // block_tokens) if total > block_tokens else 1
     items = items.withColumn("block", F.pmod(F.xxhash64("normal"), F.lit(blocks)))
-    found = F.array().cast(HIT)
+    found = []
     for block in range(blocks):
         some = items.filter(F.col("block") == block).orderBy("item", "normal").select("item", "passage").toArrow()
         if some.num_rows:
             index = index_items(some["item"].to_pylist(), some["passage"], masks)
-            column = hits_column(index, F.col(text), overlap, same)
-            found = column if blocks == 1 else F.concat(found, column)
-    return documents.withColumn(name, found)
+            found.append(hits_column(index, text, overlap, same))
+    return F.concat(*found) if found else F.array().cast(HIT)
+
+
+def with_hits(documents: DataFrame, benchmark: DataFrame, text: str = "text", name: str = "hits", **options) -> DataFrame:
+    """The documents with one more column: their verified overlaps with the test items."""
+    return documents.withColumn(name, found_column(benchmark, F.col(text), **options))
+
+
+def without_overlaps(documents: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The documents that overlap no test item, all columns as they are."""
+    return documents.filter(F.size(found_column(benchmark, F.col(text), **options)) == 0)
