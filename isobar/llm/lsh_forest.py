@@ -5,11 +5,12 @@ signature of a class is dealt to `trees` trees; a tree sorts the classes by thei
 common prefix are neighbours. The matched prefix starts at the whole depth and is shortened until the chance to meet in some
 tree, at the wanted similarity, reaches `recall`.
 
-Classes that share such a prefix are candidates. A bucket of up to `small` classes gives all its pairs. A larger one first
-gives the pairs of its small sub-tries; then, in rounds, all are compared with one pivot. By the triangle inequality of the
-Jaccard distance, classes near the pivot need no comparison with classes far from it; what may still hold a link across goes to
-the next round, until the rest is small. So a large group of near copies costs one comparison each, and no group is lost.
-Every candidate is verified on the whole shingle sets.
+Classes that share such a prefix are candidates. A bucket of up to `small` classes gives all its pairs. A larger one gives the
+pairs of its small sub-tries, and all its classes are compared with a few pivots. What is then linked to the first pivot, over
+any links, is one group. Only classes outside it go on to another round, with those inside that one of them may still be linked
+to: by the triangle inequality of the Jaccard distance, two classes whose distances from a pivot differ by more than the link
+distance have no link. So a large group of near copies costs a few comparisons each, and no group is lost. Every candidate is
+verified on the whole shingle sets.
 
 Defined results: texts of fewer words than a shingle are one shingle; null and empty texts, and others without words, are
 alike only if they are equal; rows with one id count each; a null id is no class id, unless all ids of a group are null; an
@@ -24,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from isobar.llm.components import components
 from isobar.llm.staging import BROADCAST_ROWS, staged
@@ -167,7 +169,8 @@ def similar_classes(
     trees: int = 16,
     depth: int = 8,
     recall: float = 0.99,
-    small: int = 12,
+    small: int = 48,
+    pivots: int = 8,
     text: str = "text",
     doc_id: str = "doc_id",
 ) -> tuple[DataFrame, DataFrame]:
@@ -190,6 +193,7 @@ def similar_classes(
         part = F.substring("signature", F.col("tree") * (4 * depth) + 1, F.lit(4 * prefix))
         return tree.select("cid", F.xxhash64("tree", part).alias("bucket"))
 
+    names = ["doc_id", "t1", "t2"]
     whole = bucketed(d)
     sizes = staged(_sized(whole).filter("n > 1"), "buckets")
     pairs = sizes.filter("n = 2").select(F.col("pivot").alias("a"), F.col("top").alias("b"))
@@ -204,11 +208,15 @@ def similar_classes(
 
     known, sets, far = None, None, 1 - similarity
     while True:
-        # One round: the pairs of small buckets, and each larger bucket with its pivot.
-        pivots = staged(_sized(open_), "buckets")
-        star = _of(open_, pivots.filter(F.col("n") > small).select("bucket", "pivot"))
-        pairs = pairs.unionAll(_all_pairs(_of(open_, pivots.filter((F.col("n") > 1) & (F.col("n") <= small)).select("bucket"))))
-        pairs = pairs.unionAll(star.filter("cid != pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b"))).distinct()
+        # One round: all pairs of small buckets, and of larger ones all members with the pivots.
+        sizes = staged(_sized(open_), "buckets")
+        pairs = pairs.unionAll(_all_pairs(_of(open_, sizes.filter((F.col("n") > 1) & (F.col("n") <= small)).select("bucket"))))
+        crowded = _of(open_, sizes.filter(F.col("n") > small).select("bucket"))
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("cid"))
+        chosen = crowded.withColumn("rank", rank).filter(F.col("rank") <= pivots)
+        chosen = staged(chosen.select("bucket", F.col("cid").alias("pivot"), "rank"), "pivots")
+        star = _of(crowded, chosen).filter("cid != pivot")
+        pairs = pairs.unionAll(star.select(F.least("pivot", "cid").alias("a"), F.greatest("pivot", "cid").alias("b"))).distinct()
         pairs = staged(pairs if known is None else pairs.join(known, ["a", "b"], "left_anti"), "pairs")
         many = pairs.groupBy("a").agg(F.count("*").alias("of"))
         involved = pairs.select(F.col("a").alias("cid")).unionAll(pairs.select(F.col("b").alias("cid"))).distinct()
@@ -216,25 +224,34 @@ def similar_classes(
             involved = involved.join(sets.select("cid"), "cid", "left_anti")
         new = staged(classes.join(involved, "cid").select("cid", "least.doc_id", "least.t1", "least.t2"), "involved")
         few = new.count() <= BROADCAST_ROWS
-        same = [keyed[c].eqNullSafe(new[c]) for c in ("doc_id", "t1", "t2")]
+        same = [keyed[c].eqNullSafe(new[c]) for c in names]
         found = keyed.join(F.broadcast(new) if few else new, same).select("cid", keyed["text"])
         more = staged(found.mapInArrow(_sets(words_per_gram), "cid long, grams binary").dropDuplicates(["cid"]), "sets")
         sets = more if sets is None else sets.unionAll(more)
         compared = staged(verified(pairs.join(many, "a"), sets), "compared")
         known = compared if known is None else known.unionAll(compared)
-        left = pivots.filter(F.col("n") > small)
-        if left.isEmpty():
+        links = known.filter(F.col("similarity") >= similarity - _EDGE)
+        if chosen.isEmpty():
             break
-        # Who may have a link that the pivot does not stand for: all beyond it, and those near enough to one just beyond it.
-        close = known.select(F.col("a").alias("pivot"), F.col("b").alias("cid"), (1 - F.col("similarity")).alias("away"))
-        placed = staged(star.filter("cid != pivot").join(close, ["pivot", "cid"]), "placed")
-        ring = placed.filter(F.col("away") > far + _EDGE).groupBy("bucket").agg(F.min("away").alias("ring"))
-        rest = placed.join(ring, "bucket").filter((F.col("away") > far + _EDGE) | (F.col("away") >= F.col("ring") - far - _EDGE))
-        open_ = staged(rest.select("bucket", "cid"), "open")
+        # Members outside the first pivot's group, and members inside that may have a link to one of them.
+        roots = components(links).withColumnRenamed("node", "cid")
+        rooted = staged(crowded.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid")), "rooted")
+        main = rooted.join(chosen.filter("rank = 1").select("bucket", F.col("pivot").alias("cid")), ["bucket", "cid"])
+        main = main.select("bucket", F.col("root").alias("main"))
+        rooted = _of(rooted, staged(main, "main")).withColumn("out", F.col("root") != F.col("main"))
+        rooted = rooted.join(chosen.select("bucket", F.col("pivot").alias("cid")), ["bucket", "cid"], "left_anti")
+        away = known.select("a", "b", (1 - F.col("similarity")).alias("away"))
+        away = away.select(F.col("a").alias("pivot"), F.col("b").alias("cid"), "away").unionAll(
+            away.select(F.col("b").alias("pivot"), F.col("a").alias("cid"), "away")
+        )
+        placed = _of(rooted.select("bucket", "cid", "out"), chosen.select("bucket", "pivot")).join(away, ["pivot", "cid"])
+        placed = staged(placed, "placed")
+        least = placed.filter("out").groupBy("bucket", "pivot").agg(F.min("away").alias("least"))
+        reach = placed.join(least, ["bucket", "pivot"]).groupBy("bucket", "cid", "out").agg(F.min(F.col("away") - F.col("least")).alias("slack"))
+        open_ = staged(reach.filter(F.col("out") | (F.col("slack") >= -far - _EDGE)).select("bucket", "cid"), "open")
         if open_.isEmpty():
             break
-        pairs = pairs.limit(0).select("a", "b")
-    links = known.filter(F.col("similarity") >= similarity - _EDGE)
+        pairs = known.select("a", "b").limit(0)
     joined = slim.join(classes.select("n", "s1", "s2", "cid", "class_size"), ["n", "s1", "s2"])
     return joined.select("doc_id", "t1", "t2", "cid", "class_size"), staged(links, "links")
 

@@ -98,12 +98,15 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 
 
 def _fill(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Takes the documents of one block, in permuted order, that still fit into the room."""
+    """Takes the documents of one block, in permuted order, that still fit into the room, and one more if that is nearer."""
     pdf = pdf.sort_values(["spot", "doc_id", "size"])
     room, taken = float(pdf["room"].iloc[0]), []
     for size in pdf["size"]:
         taken.append(size <= room)
         room -= size if size <= room else 0
+    left = [(size, k) for k, size in enumerate(pdf["size"]) if not taken[k]]
+    if left and min(left)[0] < 2 * room:
+        taken[min(left)[1]] = True
     return pdf.assign(extra=taken)[["row", "extra"]]
 
 

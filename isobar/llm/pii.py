@@ -256,7 +256,7 @@ def _agreement(counts: np.ndarray, least: float) -> np.ndarray:
     """How much likelier two labels meet than by chance, as a bounded logarithm; equal labels get at least `least`."""
     both = counts + counts.T + 0.5
     share = both / both.sum()
-    out = np.clip(np.log(share / np.outer(share.sum(1), share.sum(0))), -3, 3)
+    out = np.clip(np.log(share / np.outer(share.sum(1), share.sum(0))), -4, 4)
     diagonal = np.arange(1, LABELS)
     out[diagonal, diagonal] = np.maximum(out[diagonal, diagonal], least)
     return out
@@ -275,7 +275,7 @@ def fit_field(documents: DataFrame, text: str = "text", sure: float = 0.6) -> Fi
     prior = (by_shape.sum(0) + [10.0, *[0.1] * len(KINDS)]) / (by_shape.sum() + 10 + 0.1 * len(KINDS))
     unary = np.log((by_shape + prior) / (by_shape.sum(1, keepdims=True) + 1))
     chain = _agreement(counts[SHAPES : SHAPES + LABELS], 0.0)
-    skip = _agreement(counts[SHAPES + LABELS :], 2.0)
+    skip = _agreement(counts[SHAPES + LABELS :], 3.0)
     return Field(np.maximum(unary, -8.0), chain, skip, sure)
 
 

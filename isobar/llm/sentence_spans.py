@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isobar.llm.staging import BROADCAST_ROWS, staged
-from isobar.llm.textarrays import PLAIN_WORDS, Words, lists, mix, powers, words
+from isobar.llm.textarrays import PLAIN_WORDS, Words, mix, powers, words
 
 _STOPS = np.zeros(256, bool)
 _STOPS[list(b".!?")] = True
@@ -78,7 +78,9 @@ def _runs_of(sentences: int, enough: int, least: int):
     return run
 
 
-@F.arrow_udf("struct<text: string, n_sentences: int, n_removed: int, removed: array<int>>")
+CLEANED = "struct<text: string, n_sentences: int, n_removed: int, removed: array<int>>"
+
+
 def without_spans(texts: pa.Array, spots: pa.Array) -> pa.Array:
     """The text without the sentences of the given runs, and the removed stretches as code points."""
     runs_of, kept, total, gone, cut = spots.to_pylist(), [], [], [], []
@@ -131,5 +133,5 @@ def drop_repeated_spans(documents: DataFrame, sentences: int = 3, enough: int =
     few = (size[0] or 0) + (size[1] or 0) <= BROADCAST_ROWS
     other = per_doc.select(F.col("doc_id").alias("d"), F.col("t").alias("u"), "spots")
     joined = rows.join(F.broadcast(other) if few else other, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("t") == F.col("u")), "left")
-    cleaned = joined.select("doc_id", without_spans("text", "spots").alias("c"))
+    cleaned = joined.select("doc_id", F.arrow_udf(without_spans, CLEANED)("text", "spots").alias("c"))
     return cleaned.select("doc_id", "c.text", "c.n_sentences", "c.n_removed", "c.removed")
