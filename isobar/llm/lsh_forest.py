@@ -5,12 +5,17 @@ signature of a class is dealt to `trees` trees; a tree sorts the classes by thei
 common prefix are neighbours. The matched prefix starts at the whole depth and is shortened until the chance to meet in some
 tree, at the wanted similarity, reaches `recall`.
 
-Classes that share such a prefix are candidates. A bucket of up to `small` classes gives all its pairs. A larger one gives the
-pairs of its small sub-tries, and all its classes are compared with a few pivots. What is then linked to the first pivot, over
-any links, is one group. Only classes outside it go on to another round, with those inside that one of them may still be linked
-to: by the triangle inequality of the Jaccard distance, two classes whose distances from a pivot differ by more than the link
-distance have no link. So a large group of near copies costs a few comparisons each, and no group is lost. Every candidate is
-verified on the whole shingle sets.
+Classes that share such a prefix are candidates, and all pairs of a bucket are verified on the whole shingle sets. A bucket is
+cut into blocks of about `block` classes; each pair of blocks is one group, which multiplies the sets as a matrix and gives back
+a spanning forest of the links it found and a number of links per class, so what leaves it grows with its classes and not with
+their pairs. Buckets with the same members in several trees are compared once, and a link is counted in the first tree in which
+its ends meet.
+
+Buckets of more than `crowd` classes, as thousands of near copies make them, are thinned first: all their classes are compared
+with a few pivots. What is then linked to the first pivot, over any links, is one group. Only classes outside it go on, with
+those inside that one of them may still be linked to: by the triangle inequality of the Jaccard distance, two classes whose
+distances from a pivot differ by more than the link distance have no link. So no group is lost, and a crowd of copies costs a
+few comparisons each.
 
 Defined results: texts of fewer words than a shingle are one shingle; null and empty texts, and others without words, are
 alike only if they are equal; rows with one id count each; a null id is no class id, unless all ids of a group are null; an
@@ -56,11 +61,23 @@ def gram_sets(texts: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, n
         yield w.first, w.n, (key >> _SHIFT).astype(np.int64), key & _MASK
 
 
-def _signatures(k: int, trees: int, depth: int):
+def _hashes(number: int) -> tuple[np.ndarray, np.ndarray]:
     draw = np.random.Generator(np.random.Philox(key=[41, 17]))
-    xor = draw.integers(0, 1 << 32, trees * depth, np.uint32)
-    factor = draw.integers(0, 1 << 32, trees * depth, np.uint32) | np.uint32(1)
+    return draw.integers(0, 1 << 32, number, np.uint32), draw.integers(0, 1 << 32, number, np.uint32) | np.uint32(1)
+
+
+def _minima(gram: np.ndarray, begin: np.ndarray, number: int) -> np.ndarray:
+    """Minimum hashes of the runs of shingles that start at `begin`."""
+    xor, factor = _hashes(number)
+    x = (_spread(gram) >> np.uint64(32)).astype(np.uint32)
+    return np.stack([np.minimum.reduceat((x ^ xor[j]) * factor[j], begin) for j in range(number)], 1)
+
 
+def _spread(gram: np.ndarray) -> np.ndarray:
+    return mix(gram ^ np.uint64(0x5DEECE66D))
+
+
+def _signatures(k: int, trees: int, depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = len(batch)
@@ -73,11 +90,8 @@ def _signatures(k: int, trees: int, depth: int):
                 own = first + doc[begin]
                 count[own] = np.diff(np.append(begin, len(doc)))
                 s1[own] = np.add.reduceat(mix(gram), begin)
-                spread = mix(gram ^ np.uint64(0x5DEECE66D))
-                s2[own] = np.add.reduceat(spread, begin)
-                x = (spread >> np.uint64(32)).astype(np.uint32)
-                for j in range(trees * depth):
-                    signature[own, j] = np.minimum.reduceat((x ^ xor[j]) * factor[j], begin)
+                s2[own] = np.add.reduceat(_spread(gram), begin)
+                signature[own] = _minima(gram, begin, trees * depth)
             rows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * trees * depth), n, [None, pa.py_buffer(signature.tobytes())])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -95,15 +109,24 @@ def _signatures(k: int, trees: int, depth: int):
     return run
 
 
-def _sets(k: int):
+def _sets(k: int, trees: int, depth: int, prefix: int):
+    """Packed shingles of each text, and one number per tree that stands for its prefix."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out, labels = [], []
             for _, n, doc, gram in gram_sets(batch.column("text"), k):
                 raw = np.ascontiguousarray(gram.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
                 edge = np.searchsorted(doc, np.arange(n + 1))
                 out += [raw[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array(out, pa.binary())], ["cid", "grams"])
+                # Every text here has a shingle.
+                low = _minima(gram, edge[:-1], trees * depth).reshape(n, trees, depth)[:, :, :prefix].astype(np.uint64)
+                label = np.zeros((n, trees), np.uint64)
+                for j in range(prefix):
+                    label = mix(label ^ low[:, :, j]) + np.uint64(j)
+                labels += [row.tobytes() for row in label]
+            columns = [batch.column("cid"), pa.array(out, pa.binary()), pa.array(labels, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["cid", "grams", "labels"])
 
     return run
 
@@ -135,25 +158,96 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return wanted.groupBy("a", "salt").applyInArrow(_compare, "a long, b long, similarity double")
 
 
-def _pairs_of(members: Column) -> Column:
-    return F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.size(members) - 1),
-            lambda i: F.transform(
-                F.slice(members, i + 1, F.size(members)), lambda y: F.struct(F.element_at(members, i).alias("a"), y.alias("b"))
-            ),
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Numbers of common elements of the sets at `left` and those at `right`."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, element, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    column = (np.cumsum(shared) - 1)[element]
+    owner, column = owner[shared[element]], column[shared[element]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, int(shared.sum()), 4096):
+        a, b = np.searchsorted(column, [first, first + 4096])
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[owner[a:b], column[a:b] - first] = 1
+        out += part[left] @ part[right].T
+    return out
+
+
+def _forest(hit: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the links of a symmetric matrix."""
+    open_, edges = np.ones(len(hit), bool), []
+    for root in range(len(hit)):
+        if not open_[root]:
+            continue
+        open_[root], frontier = False, [root]
+        while frontier:
+            at = frontier.pop()
+            found = np.flatnonzero(hit[at] & open_)
+            open_[found] = False
+            edges += [(at, int(x)) for x in found]
+            frontier += found.tolist()
+    return edges
+
+
+def _verify_blocks(similarity: float):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("cid")
+        cid, tree = table["cid"].to_numpy(), int(table["tree"][0].as_py())
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        sets = [_unpack(x.as_py()) for x in table["grams"]]
+        labels = np.stack([np.frombuffer(x.as_py(), np.uint64) for x in table["labels"]])
+        block = table["own"].to_numpy()
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        common = _common(sets, left, right)
+        size = np.array([len(x) for x in sets])
+        alike = common / (size[left][:, None] + size[right][None, :] - common)
+        hit = (alike >= similarity - _EDGE) & (left[:, None] != right[None, :])
+        met = np.zeros(hit.shape, bool)
+        for t in range(tree):
+            met |= labels[left, t][:, None] == labels[right, t][None, :]
+        whole, value = np.zeros((len(cid), len(cid)), bool), np.zeros((len(cid), len(cid)), np.float64)
+        whole[np.ix_(left, right)], value[np.ix_(left, right)] = hit, alike
+        whole, value = whole | whole.T, np.maximum(value, value.T)
+        new = np.zeros_like(whole)
+        new[np.ix_(left, right)] = hit & ~met
+        count = (new | new.T).sum(1)
+        edges = np.array(_forest(whole), np.int64).reshape(-1, 2)
+        linked = np.flatnonzero(count)
+        # The float of the matrix is not the quotient of the numbers; that is made again for the links told.
+        a, b = np.sort(cid[edges], 1).T if len(edges) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        exact = [len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in edges]
+        quotient = [n / (size[x] + size[y] - n) for n, (x, y) in zip(exact, edges, strict=True)]
+        none = [None] * len(linked)
+        return pa.table(
+            {
+                "a": pa.array(np.concatenate([a, cid[linked]])),
+                "b": pa.array([*b.tolist(), *none], pa.int64()),
+                "similarity": pa.array([*quotient, *none], pa.float64()),
+                "n": pa.array([*[None] * len(a), *count[linked].tolist()], pa.int64()),
+            }
         )
-    )
+
+    return run
 
 
-def _all_pairs(bucketed: DataFrame) -> DataFrame:
-    """(a, b), a < b, of buckets that are known to be small."""
-    members = bucketed.groupBy("bucket").agg(F.array_sort(F.collect_set("cid")).alias("m")).filter(F.size("m") > 1)
-    return members.select(F.explode(_pairs_of(F.col("m"))).alias("p")).select("p.a", "p.b")
+def _verified_buckets(members: DataFrame, sets: DataFrame, similarity: float, block: int) -> DataFrame:
+    """(a, b, similarity, null) of links and (a, null, null, n) of numbers of links, from (bucket, tree, n, cid)."""
+    blocks = F.ceil(F.col("n") / block).cast("long")
+    own = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+    other = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = other.select("bucket", "tree", "cid", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return (
+        dealt.join(sets, "cid")
+        .groupBy("bucket", "i", "j")
+        .applyInArrow(_verify_blocks(similarity), "a long, b long, similarity double, n long")
+    )
 
 
 def _sized(bucketed: DataFrame) -> DataFrame:
-    return bucketed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("cid").alias("pivot"), F.max("cid").alias("top"))
+    return bucketed.groupBy("bucket").agg(F.count("*").alias("n"))
 
 
 def _of(bucketed: DataFrame, buckets: DataFrame) -> DataFrame:
@@ -169,12 +263,14 @@ def similar_classes(
     trees: int = 16,
     depth: int = 8,
     recall: float = 0.99,
-    small: int = 48,
+    block: int = 384,
+    crowd: int = 2048,
     pivots: int = 8,
     text: str = "text",
     doc_id: str = "doc_id",
-) -> tuple[DataFrame, DataFrame]:
-    """(documents, links): documents as (doc_id, t1, t2, cid, class_size), links as (a, b, similarity) between classes."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, links, degrees): documents as (doc_id, t1, t2, cid, class_size); links between classes as (a, b, similarity),
+    enough of them to join all groups; degrees as (node, n_links), the number of all links of a class."""
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keyed = rows.select("doc_id", "text", *text_key(F.col("text")))
     shape = "doc_id long, t1 long, t2 long, n long, s1 long, s2 long, signature binary"
@@ -187,54 +283,64 @@ def similar_classes(
     classes = staged(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     d = matched_depth(similarity, depth, trees, recall)
+    tree = classes.filter("n > 0").select("cid", "signature", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    part = F.substring("signature", F.col("tree") * (4 * depth) + 1, F.lit(4 * d))
+    whole = tree.select("cid", "tree", F.xxhash64("tree", part).alias("bucket"))
+    sized = whole.groupBy("bucket", "tree").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("cid")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(3), "cid")).alias("x2")
+    )
+    # Of buckets with the same members, those of the first tree.
+    first = F.min(F.struct("tree", "bucket")).alias("f")
+    sizes = staged(sized.filter("n > 1").groupBy("n", "x1", "x2").agg(first).select("f.tree", "f.bucket", "n"), "buckets")
+    members = staged(_of(whole.drop("tree"), sizes), "members")
+
+    new = classes.join(members.select("cid").distinct(), "cid").select("cid", "least.doc_id", "least.t1", "least.t2")
+    new = staged(new, "involved")
+    few = new.count() <= BROADCAST_ROWS
+    same = [keyed[c].eqNullSafe(new[c]) for c in ("doc_id", "t1", "t2")]
+    found = keyed.join(F.broadcast(new) if few else new, same).select("cid", keyed["text"])
+    sets = found.mapInArrow(_sets(words_per_gram, trees, depth, d), "cid long, grams binary, labels binary")
+    sets = staged(sets.dropDuplicates(["cid"]), "sets")
+
+    crowded = members.filter(F.col("n") > crowd)
+    rest, pivot_links = members.filter(F.col("n") <= crowd), None
+    if not crowded.isEmpty():
+        thinned, pivot_links = _thin(crowded.select("bucket", "tree", "cid"), sets.select("cid", "grams"), similarity, crowd, pivots)
+        rest = rest.select("bucket", "tree", "n", "cid").unionByName(thinned)
+    told = staged(_verified_buckets(rest, sets, similarity, block), "told")
+    links = told.filter("b IS NOT NULL").select("a", "b", "similarity")
+    degree = told.filter("n IS NOT NULL").select(F.col("a").alias("node"), "n")
+    if pivot_links is not None:
+        links = links.unionAll(pivot_links)
+        ends = pivot_links.select(F.col("a").alias("node")).unionAll(pivot_links.select(F.col("b").alias("node")))
+        degree = degree.unionAll(ends.withColumn("n", F.lit(1).cast("long")))
+    links = staged(links.dropDuplicates(["a", "b"]), "links")
+    degree = degree.groupBy("node").agg(F.sum("n").alias("n_links"))
+    joined = slim.join(classes.select("n", "s1", "s2", "cid", "class_size"), ["n", "s1", "s2"])
+    return joined.select("doc_id", "t1", "t2", "cid", "class_size"), links, degree
 
-    def bucketed(prefix: int) -> DataFrame:
-        tree = classes.filter("n > 0").select("cid", "signature", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-        part = F.substring("signature", F.col("tree") * (4 * depth) + 1, F.lit(4 * prefix))
-        return tree.select("cid", F.xxhash64("tree", part).alias("bucket"))
 
-    names = ["doc_id", "t1", "t2"]
-    whole = bucketed(d)
-    sizes = staged(_sized(whole).filter("n > 1"), "buckets")
-    pairs = sizes.filter("n = 2").select(F.col("pivot").alias("a"), F.col("top").alias("b"))
-    pairs = pairs.unionAll(_all_pairs(_of(whole, sizes.filter((F.col("n") > 2) & (F.col("n") <= small)).select("bucket"))))
-    open_ = staged(_of(whole, sizes.filter(F.col("n") > small).select("bucket")), "open")
-    if not open_.isEmpty():
-        crowd = open_.select("cid").distinct()
-        for longer in range(d + 1, depth + 1):
-            below = bucketed(longer).join(crowd, "cid", "left_semi")
-            tight = _sized(below).filter((F.col("n") > 1) & (F.col("n") <= small)).select("bucket")
-            pairs = pairs.unionAll(_all_pairs(_of(below, staged(tight, "buckets"))))
-
-    known, sets, far = None, None, 1 - similarity
+def _thin(open_: DataFrame, sets: DataFrame, similarity: float, crowd: int, pivots: int) -> tuple[DataFrame, DataFrame]:
+    """What is left of crowded buckets when no group can be lost by leaving out the others, and the links found on the way."""
+    known, left, far = None, None, 1 - similarity
     while True:
-        # One round: all pairs of small buckets, and of larger ones all members with the pivots.
         sizes = staged(_sized(open_), "buckets")
-        pairs = pairs.unionAll(_all_pairs(_of(open_, sizes.filter((F.col("n") > 1) & (F.col("n") <= small)).select("bucket"))))
-        crowded = _of(open_, sizes.filter(F.col("n") > small).select("bucket"))
+        done = _of(open_, sizes.filter(F.col("n") <= crowd)).select("bucket", "tree", "n", "cid")
+        left = done if left is None else left.unionAll(done)
+        crowded = staged(_of(open_, sizes.filter(F.col("n") > crowd).select("bucket")), "crowded")
+        if crowded.isEmpty():
+            return left, known.filter(F.col("similarity") >= similarity - _EDGE)
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("cid"))
         chosen = crowded.withColumn("rank", rank).filter(F.col("rank") <= pivots)
         chosen = staged(chosen.select("bucket", F.col("cid").alias("pivot"), "rank"), "pivots")
         star = _of(crowded, chosen).filter("cid != pivot")
-        pairs = pairs.unionAll(star.select(F.least("pivot", "cid").alias("a"), F.greatest("pivot", "cid").alias("b"))).distinct()
+        pairs = star.select(F.least("pivot", "cid").alias("a"), F.greatest("pivot", "cid").alias("b")).distinct()
         pairs = staged(pairs if known is None else pairs.join(known, ["a", "b"], "left_anti"), "pairs")
         many = pairs.groupBy("a").agg(F.count("*").alias("of"))
-        involved = pairs.select(F.col("a").alias("cid")).unionAll(pairs.select(F.col("b").alias("cid"))).distinct()
-        if sets is not None:
-            involved = involved.join(sets.select("cid"), "cid", "left_anti")
-        new = staged(classes.join(involved, "cid").select("cid", "least.doc_id", "least.t1", "least.t2"), "involved")
-        few = new.count() <= BROADCAST_ROWS
-        same = [keyed[c].eqNullSafe(new[c]) for c in names]
-        found = keyed.join(F.broadcast(new) if few else new, same).select("cid", keyed["text"])
-        more = staged(found.mapInArrow(_sets(words_per_gram), "cid long, grams binary").dropDuplicates(["cid"]), "sets")
-        sets = more if sets is None else sets.unionAll(more)
         compared = staged(verified(pairs.join(many, "a"), sets), "compared")
-        known = compared if known is None else known.unionAll(compared)
-        links = known.filter(F.col("similarity") >= similarity - _EDGE)
-        if chosen.isEmpty():
-            break
+        known = compared if known is None else staged(known.unionAll(compared), "compared")
         # Members outside the first pivot's group, and members inside that may have a link to one of them.
-        roots = components(links).withColumnRenamed("node", "cid")
+        roots = components(known.filter(F.col("similarity") >= similarity - _EDGE)).withColumnRenamed("node", "cid")
         rooted = staged(crowded.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid")), "rooted")
         main = rooted.join(chosen.filter("rank = 1").select("bucket", F.col("pivot").alias("cid")), ["bucket", "cid"])
         main = main.select("bucket", F.col("root").alias("main"))
@@ -244,27 +350,22 @@ def similar_classes(
         away = away.select(F.col("a").alias("pivot"), F.col("b").alias("cid"), "away").unionAll(
             away.select(F.col("b").alias("pivot"), F.col("a").alias("cid"), "away")
         )
-        placed = _of(rooted.select("bucket", "cid", "out"), chosen.select("bucket", "pivot")).join(away, ["pivot", "cid"])
-        placed = staged(placed, "placed")
+        placed = _of(rooted.select("bucket", "tree", "cid", "out"), chosen.select("bucket", "pivot"))
+        placed = staged(placed.join(away, ["pivot", "cid"]), "placed")
         least = placed.filter("out").groupBy("bucket", "pivot").agg(F.min("away").alias("least"))
-        reach = placed.join(least, ["bucket", "pivot"]).groupBy("bucket", "cid", "out").agg(F.min(F.col("away") - F.col("least")).alias("slack"))
-        open_ = staged(reach.filter(F.col("out") | (F.col("slack") >= -far - _EDGE)).select("bucket", "cid"), "open")
-        if open_.isEmpty():
-            break
-        pairs = known.select("a", "b").limit(0)
-    joined = slim.join(classes.select("n", "s1", "s2", "cid", "class_size"), ["n", "s1", "s2"])
-    return joined.select("doc_id", "t1", "t2", "cid", "class_size"), staged(links, "links")
+        slack = F.min(F.col("away") - F.col("least")).alias("slack")
+        reach = placed.join(least, ["bucket", "pivot"]).groupBy("bucket", "tree", "cid", "out").agg(slack)
+        open_ = staged(reach.filter(F.col("out") | (F.col("slack") >= -far - _EDGE)).select("bucket", "tree", "cid"), "open")
 
 
 def jaccard_groups(documents: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, t1, t2 (hash of the text), class_id, class_size, n_links, group_id.
 
     `class_id` and `group_id` are the smallest ids of the documents with equal shingle sets and of the linked group. `n_links`
-    counts the classes that were found similar to the document's; in large buckets the pivot stands for its neighbours.
+    is the number of classes found similar to the document's; in a crowd, pivots may stand for some of them.
     """
-    rows, links = similar_classes(documents, **options)
+    rows, links, degree = similar_classes(documents, **options)
     roots = components(links)
-    degree = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
     per_class = rows.groupBy("cid").agg(F.min("doc_id").alias("class_id"))
     placed = per_class.join(roots, F.col("cid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cid")).drop("node")
     least = placed.groupBy("root").agg(F.min("class_id").alias("group_id"))

@@ -126,8 +126,8 @@ def drop_repeated_spans(documents: DataFrame, sentences: int = 3, enough: int =
     few = again.count() <= BROADCAST_ROWS
     hits = staged(found.join(F.broadcast(again) if few else again, "run"), "runs")
     own = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "t", "spot")
-    firsts = hits.groupBy("run").agg(F.min(own).alias("first"))
-    later = hits.join(firsts, "run").filter(own != F.col("first"))
+    firsts = staged(hits.groupBy("run").agg(F.min(own).alias("first")), "firsts")
+    later = hits.join(F.broadcast(firsts) if few else firsts, "run").filter(own != F.col("first"))
     per_doc = staged(later.groupBy("doc_id", "t").agg(F.collect_set("spot").alias("spots")), "spots")
     size = per_doc.agg(F.count("*"), F.sum(F.size("spots"))).first()
     few = (size[0] or 0) + (size[1] or 0) <= BROADCAST_ROWS

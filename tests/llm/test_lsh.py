@@ -59,7 +59,7 @@ def test_equals_all_pairs(spark):
     want, links, _ = groups_of(rows)
     keys = df.selectExpr("doc_id", "coalesce(text, '') AS text", "xxhash64(coalesce(text, '')) AS t1").collect()
     text_of = {r.t1: r.text for r in keys}
-    got = jaccard_groups(df).collect()
+    got = jaccard_groups(df, block=5).collect()
     assert len(got) == len(rows)
     for r in got:
         text = text_of[r.t1]
@@ -78,14 +78,14 @@ def test_crowded_buckets_lose_no_group(spark, pivots):
     rows = [(k, t) for k, t in enumerate(rows)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want, _, _ = groups_of(rows)
-    got = {r.doc_id: r.group_id for r in jaccard_groups(df, small=4, pivots=pivots, trees=24).collect()}
+    got = {r.doc_id: r.group_id for r in jaccard_groups(df, block=7, crowd=25, pivots=pivots, trees=24).collect()}
     wrong = [i for i, t in rows if got[i] != want[t]]
     assert not wrong
 
 
 def test_links_are_exact_similarities(spark):
     rows = [(k, t) for k, t in enumerate(near_copies(60, 10, 3, 5))]
-    documents, links = similar_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    documents, links, _ = similar_classes(spark.createDataFrame(rows, "doc_id long, text string"))
     of = {r.cid: r.doc_id for r in documents.collect()}
     sets = {i: brute.shingles(t) for i, t in rows}
     found = {(of[r.a], of[r.b]): r.similarity for r in links.collect()}
