@@ -126,7 +126,8 @@ def fix_kelvin_by_provider(
     """`fix_kelvin` on a frame that holds several declared providers.
 
     All means come from one pass as one row, as wide as the declared list, so nothing is shuffled on
-    the provider, of which one may hold most rows. On rows that are means already, `weight` names
+    the provider, of which one may hold most rows. A row of an undeclared provider fails the job, as
+    its unit would be unknown. On rows that are means already, `weight` names
     the column with the number of readings behind each mean of the first column.
     """
     first = columns[0]
@@ -140,11 +141,33 @@ def fix_kelvin_by_provider(
             mean = F.try_divide(total, F.sum(F.when(own & F.col(first).isNotNull(), F.col(weight))))
         entries += [F.lit(name), mean]
     means = df.agg(F.create_map(*entries)).scalar()
-    shift = _shift(F.try_element_at(means, F.col(provider)))
+    unknown = F.raise_error(F.concat(F.lit("undeclared provider "), F.coalesce(F.col(provider), F.lit("null"))))
+    known = F.col(provider).isin(list(providers))
+    shift = F.when(known, _shift(F.try_element_at(means, F.col(provider)))).otherwise(unknown.cast("double"))
     targets = [c for c in ([first] if parity else columns) if c in df.columns]
     return df.withColumns({c: F.col(c) - shift for c in targets})
 
 
+def fix_kelvin_by_day(
+    df: DataFrame,
+    provider: str,
+    day: str,
+    weight: str,
+    columns: Sequence[str] = ("temperature_c", "feels_like_c"),
+) -> DataFrame:
+    """`fix_kelvin` on hourly means, the unit told by the mean of each provider's stored day.
+
+    So the unit of an hour does not depend on which other days are at hand.
+    """
+    first = columns[0]
+    told = F.when(F.col(first).isNotNull(), F.col(weight))
+    mean = F.try_divide(F.sum(F.col(first) * F.col(weight)), F.sum(told))
+    days = df.groupBy(F.col(provider).alias("_p"), F.col(day).alias("_d")).agg(_shift(mean).alias("_shift"))
+    same = F.col(provider).eqNullSafe(F.col("_p")) & F.col(day).eqNullSafe(F.col("_d"))
+    shifted = df.join(days, same, "left")
+    return shifted.withColumns({c: F.col(c) - F.col("_shift") for c in columns if c in df.columns}).drop("_p", "_d", "_shift")
+
+
 def scale_units(df: DataFrame, factors: Mapping[str, float], where: Column | None = None) -> DataFrame:
     """Optional unit factors per column, such as m/s to km/h for one provider."""
     scaled = {c: F.col(c) * f for c, f in factors.items() if c in df.columns}

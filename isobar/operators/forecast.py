@@ -164,8 +164,8 @@ def prepare(
 def with_regressors(
     future: DataFrame, known: DataFrame, regressors: Sequence[str], series: Sequence[str] = ("series",)
 ) -> DataFrame:
-    """Future times with the regressors of the rows at the same time."""
-    return future.join(known.select(*series, "ds", *regressors), [*series, "ds"], "inner")
+    """Future times with the regressors of the rows at the same time; null where there are none."""
+    return future.join(known.select(*series, "ds", *regressors), [*series, "ds"], "left")
 
 
 def _time_features(daily: int, yearly: int) -> dict[str, Column]:

@@ -1,10 +1,9 @@
-"""Order-dependent work on long series: time slices that are handled alone and then stitched.
+"""Order-dependent work on long series: slices that are handled alone and then stitched.
 
-A window over a whole series puts that series into one task. Series are counted first: when all are
-short a plain window does. Else the rows of the long ones are cut into time slices, each slice is a
-window partition of its own, and only one small row per slice goes through the window that runs along
-the series. The number of slices depends on the time span, not on the number of rows; slices that
-still hold too many rows are cut finer.
+A window over a whole series puts that series into one task. When a series is long, the rows go to range
+partitions of the whole order instead: series, time, tiebreaks and, last, a hash of the row, so that not
+even rows of one and the same time have to share a task. Each range is a window partition of its own, and
+only one small row per range goes through the window that runs along the series.
 """
 
 from __future__ import annotations
@@ -12,88 +11,49 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from isobar.operators.joins import join_per_key
 from isobar.session import shared_root
 
-# At most this many series or slices can hold more than their share of all rows, so their list is
-# small enough to broadcast.
-MAX_HOT = 65_536
 TARGET_ROWS = 1_000_000
 
 
-def _micros(ts: str) -> Column:
-    return F.unix_micros(F.col(ts).cast("timestamp"))
-
-
-def _hot_series(
-    df: DataFrame, series: Sequence[str], target_rows: int
-) -> tuple[DataFrame | None, int]:
-    """Keys with more rows than a task should sort, if there are any, and that number of rows."""
-    sizes = df.groupBy(F.struct(*series).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    total, longest = sizes.agg(F.sum("_n"), F.max("_n")).first()
-    share = max(target_rows, math.ceil((total or 0) / MAX_HOT))
-    if (longest or 0) <= share:
-        return None, share
-    shared_root(df.sparkSession)
-    hot = sizes.filter(F.col("_n") > share).select("_key", F.lit(True).alias("_hot"))
-    return hot.checkpoint(), share
-
-
 def with_slices(
     df: DataFrame,
     series: Sequence[str],
     ts: str,
-    width_seconds: int = 3600,
+    tiebreak: Sequence[str] = (),
     target_rows: int = TARGET_ROWS,
 ) -> DataFrame | None:
-    """Adds `_slice`, a struct of the series columns, the time bucket and its part.
+    """Adds `_slice`, a struct of the series columns and the range its row falls into.
 
-    Ordering by bucket and part agrees with ordering by `ts`; rows of equal `ts` share a slice. Short
-    series are one slice. Without any long series there is nothing to cut and the result is None. A
-    whole table (no series columns) is always cut.
+    None when no series has more than `target_rows`: a plain window does then. Without series columns
+    all rows are one series, which is always sliced. The sliced rows are kept as a checkpoint, so a range
+    holds the same rows whenever it is read.
     """
-    width = width_seconds * 1_000_000
-    micros = _micros(ts)
-    bucket = F.floor(micros / F.lit(width)).cast("long")
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if series:
-        hot, share = _hot_series(df, series, target_rows)
-        if hot is None:
+        sizes = df.groupBy(*series).agg(F.count(F.lit(1)).alias("_n"))
+        total, longest = sizes.agg(F.sum("_n"), F.max("_n")).first()
+        if (longest or 0) <= target_rows:
             return None
-        keyed = df.withColumn("_key", F.struct(*series)).join(F.broadcast(hot), "_key", "left").drop("_key")
-        bucket = F.when(F.col("_hot"), bucket).otherwise(F.lit(0))
-        long_rows = keyed.filter("_hot")
-    else:
-        keyed = long_rows = df.withColumn("_hot", F.lit(True))
-        share = max(target_rows, math.ceil(df.count() / MAX_HOT))
-    cell = F.struct(*[F.col(s) for s in series], bucket.alias("_bucket"))
-    cells = long_rows.groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
-    parts = cells.filter(F.col("_n") > share).select(
-        "_cell", F.ceil(F.col("_n") / share).cast("long").alias("_parts")
-    )
-    part = F.floor(F.pmod(micros, F.lit(width)) * F.col("_parts") / F.lit(width)).cast("long")
-    return (
-        keyed.withColumn("_cell", cell)
-        .join(F.broadcast(parts), "_cell", "left")
-        .withColumn(
-            "_slice",
-            F.struct(
-                *[F.col(s) for s in series],
-                F.col("_cell._bucket").alias("_bucket"),
-                F.coalesce(part, F.lit(0)).alias("_part"),
-            ),
-        )
-        .drop("_cell", "_parts", "_hot")
-    )
+        ranges = max(ranges, math.ceil(total / target_rows))
+    shared_root(spark)
+    # Maps have no hash; rows that differ in nothing else may lie in any order.
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    mixed = df.withColumn("_mix", F.xxhash64(*hashed))
+    dealt = mixed.repartitionByRange(ranges, *series, ts, *tiebreak, "_mix").drop("_mix")
+    part = F.struct(*[F.col(s) for s in series], F.spark_partition_id().alias("_part"))
+    return dealt.withColumn("_slice", part).checkpoint()
 
 
 def _along(series: Sequence[str]):
     """Window over the slices of a series."""
-    return Window.partitionBy(*[F.col(f"_slice.{s}") for s in series]).orderBy(
-        F.col("_slice._bucket"), F.col("_slice._part")
-    )
+    return Window.partitionBy(*[F.col(f"_slice.{s}") for s in series]).orderBy(F.col("_slice._part"))
 
 
 def with_next(
@@ -107,7 +67,7 @@ def with_next(
 ) -> DataFrame:
     """Adds the value the following row of the series has; null on the last row."""
     order = [F.col(c) for c in (ts, *tiebreak)]
-    sliced = with_slices(df, series, ts, **slicing)
+    sliced = with_slices(df, series, ts, tiebreak, **slicing)
     if sliced is None:
         return df.withColumn(out, F.lead(column).over(Window.partitionBy(*series).orderBy(*order)))
     boxed = F.struct(F.col(column).alias("v"))
@@ -134,9 +94,10 @@ def with_row_index(
 ) -> DataFrame:
     """Adds the zero-based position in time order, over all rows or per series."""
     order = [F.col(c) for c in (ts, *tiebreak)]
-    sliced = with_slices(df, series, ts, **slicing)
+    sliced = with_slices(df, series, ts, tiebreak, **slicing)
     if sliced is None:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*series).orderBy(*order)) - 1)
+        rank = F.row_number().over(Window.partitionBy(*series).orderBy(*order)) - 1
+        return df.withColumn(out, rank.cast("long"))
     before = _along(series).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy("_slice")

@@ -103,14 +103,17 @@ def exact_quantiles(
     quantiles: Sequence[float] = (0.25, 0.5, 0.75),
     accuracy: int = 10_000,
 ) -> DataFrame:
-    """`(column_name, q, value)`, linearly interpolated and exact at any size.
+    """`(column_name, q, value)`, linearly interpolated and exact at any size; null for a column without values.
 
     An approximate sketch gives a narrow bracket around each quantile. One pass counts the rows
     below it and finds the values next to it; another counts each value inside it. Only the values
     inside go on. Cut into cells (a fixed number), their running counts tell which cells hold the
     wanted ranks, and the values of those cells are put in order.
     """
-    return _quantiles(df, _moments(df, columns, _sides(quantiles, accuracy), accuracy), quantiles)
+    moments = _moments(df, columns, _sides(quantiles, accuracy), accuracy)
+    empty = [(c, float(q), None) for c in columns if c not in moments for q in quantiles]
+    found = _quantiles(df, moments, quantiles)
+    return found.unionByName(df.sparkSession.createDataFrame(empty, found.schema)) if empty else found
 
 
 def _quantiles(df: DataFrame, moments: dict, quantiles: Sequence[float]) -> DataFrame:
@@ -203,11 +206,13 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int
         .groupBy("column_name")
         .agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(name) for q, name in quartiles.items()])
     )
-    rows = [(c, *[m[k] for k in ("n", "mean", "std", "min", "max")]) for c, m in moments.items()]
+    names_of = ("n", "mean", "std", "min", "max")
+    # A column without values has no moments but its count of 0.
+    rows = [(c, *[moments[c][k] for k in names_of]) if c in moments else (c, 0, None, None, None, None) for c in names]
     facts = df.sparkSession.createDataFrame(
         rows, "column_name STRING, n LONG, mean DOUBLE, std DOUBLE, min DOUBLE, max DOUBLE"
     )
-    return facts.join(wide, "column_name").select(
+    return facts.join(wide, "column_name", "left").select(
         "column_name", "n", "mean", "std", "min", "q1", "median", "q3", "max"
     )
 

@@ -186,13 +186,15 @@ def _path_columns(
     prefix: str,
     separator: str,
     items: Mapping[str, int],
-    default_items: int,
+    plain: str = "",
 ) -> Iterator[tuple[str, Column]]:
+    """`plain` is the prefix without the places in lists, by which `items` names a list."""
     for path, kind in _plain_paths(schema):
         name = separator.join([prefix, *path] if prefix else path)
+        listed = separator.join([plain, *path] if plain else path)
         value = get(_dotted(path))
         if _is_struct_list(kind):
-            for i in range(items.get(name, default_items)):
+            for i in range(items[listed]):
                 item = F.try_element_at(value, F.lit(i + 1))
                 yield from _path_columns(
                     kind.elementType,
@@ -200,7 +202,7 @@ def _path_columns(
                     f"{name}{separator}{i}",
                     separator,
                     items,
-                    default_items,
+                    listed,
                 )
         elif isinstance(kind, T.ArrayType):
             yield name, _python_list_text(value, kind.elementType)
@@ -212,24 +214,40 @@ def flatten_by_path(
     df: DataFrame,
     separator: str = "_",
     items: Mapping[str, int] | None = None,
-    default_items: int = 1,
 ) -> DataFrame:
     """Columns named by their path: `a_b_c`, `list_0_b`; lists of plain values as text.
 
-    A column set has to be fixed before the data is read, so `items` says how many elements of each
-    list of structs get columns (`list_lengths` finds the longest); rows with fewer have nulls.
+    Every element of every list of structs gets columns, also of lists inside lists; rows with fewer
+    have nulls. A column set has to be fixed before the data is read: the longest lengths are found
+    first (`list_lengths`, one more pass), unless `items` gives the length of each list.
     """
-    columns = _path_columns(df.schema, F.col, "", separator, items or {}, default_items)
+    lengths = dict(items or {})
+    if any(separator.join(path) not in lengths for path, _ in _list_sizes(df.schema)):
+        lengths = list_lengths(df, separator) | lengths
+    columns = _path_columns(df.schema, F.col, "", separator, lengths)
     return df.select(*[column.alias(name) for name, column in columns])
 
 
+def _list_sizes(
+    schema: T.StructType, prefix: tuple[str, ...] = ()
+) -> Iterator[tuple[tuple[str, ...], Callable[[Callable[[str], Column]], Column]]]:
+    """Path of each list of structs, and its length in a row; of a list inside a list the longest one."""
+    for path, kind in _plain_paths(schema):
+        if not _is_struct_list(kind):
+            continue
+        dotted, name = _dotted(path), (*prefix, *path)
+        yield name, lambda get, d=dotted: F.size(get(d))
+        for below, measure in _list_sizes(kind.elementType, name):
+            yield below, partial(_longest, dotted, measure)
+
+
+def _longest(dotted: str, measure: Callable, get: Callable[[str], Column]) -> Column:
+    return F.array_max(F.transform(get(dotted), lambda element: measure(partial(_inside, element))))
+
+
 def list_lengths(df: DataFrame, separator: str = "_") -> dict[str, int]:
-    """Longest length of each list of structs that is not inside another list (one aggregate row)."""
-    sizes = [
-        F.max(F.size(_dotted(path))).alias(separator.join(path))
-        for path, kind in _plain_paths(df.schema)
-        if _is_struct_list(kind)
-    ]
+    """Longest length of each list of structs, by its path without places in lists (one aggregate row)."""
+    sizes = [F.max(size(F.col)).alias(separator.join(path)) for path, size in _list_sizes(df.schema)]
     if not sizes:
         return {}
     return {name: max(n or 0, 0) for name, n in df.agg(*sizes).first().asDict().items()}

@@ -30,9 +30,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame
 
 
 def latest_today_else_latest(df: DataFrame, ts: str, as_of: Column, *tiebreak: str) -> DataFrame:
-    """The newest row of the day of `as_of`, or the newest of all when the day has none."""
+    """The newest row up to `as_of` on its day, or the newest of all up to it when the day has none."""
     today = F.col(ts) >= F.date_trunc("day", as_of)
-    return df.orderBy(today.desc(), F.desc(ts), *[F.desc(c) for c in tiebreak]).limit(1)
+    return df.filter(F.col(ts) <= as_of).orderBy(today.desc(), F.desc(ts), *[F.desc(c) for c in tiebreak]).limit(1)
 
 
 def first_write_wins(df: DataFrame, key: str, *order: str) -> DataFrame:
@@ -77,5 +77,8 @@ def join_on_time(
 
 
 def lookup(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Adds the columns of a fixed-size dimension; unknown keys get nulls."""
-    return facts.join(F.broadcast(dimension), key, "left")
+    """Adds the columns of a dimension with one row per key; unknown keys get nulls.
+
+    Spark broadcasts the dimension if its own size estimate allows it.
+    """
+    return facts.join(dimension, key, "left")

@@ -6,20 +6,19 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 
-from isobar.operators.reshape import flatten_by_path, list_lengths
+from isobar.operators.reshape import flatten_by_path
 from isobar.schemas import FREE_WEATHER_EXPORT
 from isobar.sources.documents import export_mapped, scan_all, sorted_columns
 from isobar.sources.files import write_csv
 
 
 def dataset(documents: DataFrame, items: Mapping[str, int] | None = None) -> DataFrame:
-    """Path-flattened documents with sorted columns. Lists get as many columns as `items` says."""
+    """Path-flattened documents with sorted columns, wide enough for the longest of each list."""
     return sorted_columns(flatten_by_path(scan_all(documents), items=items))
 
 
 def write_dataset(documents: DataFrame, folder: str) -> None:
-    """As `dataset`, wide enough for the longest list."""
-    write_csv(dataset(documents, list_lengths(documents)), folder)
+    write_csv(dataset(documents), folder)
 
 
 def mapped_dataset(

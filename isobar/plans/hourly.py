@@ -101,4 +101,4 @@ def hourly_aggregate(
     means = group_means(hours, keys, numeric_columns(hours, keys), prefix="avg_")
     known = HOURLY_AGGREGATE.names
     out = pick(means, [*known, *[c for c in means.columns if c not in known]])
-    return out.orderBy(F.desc("timestamp")) if newest_first else out
+    return out.orderBy(F.desc("timestamp"), *PLACE_COLUMNS) if newest_first else out

@@ -53,7 +53,8 @@ def summary_backfill(
     timed = plain.withColumn(ts, F.try_to_timestamp(F.col(ts).cast("string")))
     means = strip_prefix(group_means(timed, [*PLACE_COLUMNS, ts]))
     kept = means if latitude is None else where_equal(means, "latitude", latitude)
-    return kept.orderBy(F.desc(ts))
+    # Places break ties, so that an hour that many share is no single range of the sort.
+    return kept.orderBy(F.desc(ts), *PLACE_COLUMNS)
 
 
 def data_backfill(
@@ -71,7 +72,7 @@ def data_backfill(
     plain = distinct_rows(drop_present(timed, *READING_EXTRAS)).drop("localtime")
     rows = plain.withColumn("timestamp", quarter_hour_of("_ts")).drop("_ts")
     names = list(WEATHER_DATA_DEFAULTS)
-    return pick(rows, [*names[:6], "timestamp", *names[6:]]).orderBy(F.desc("timestamp"))
+    return pick(rows, [*names[:6], "timestamp", *names[6:]]).orderBy(F.desc("timestamp"), *DATA_KEYS[:3])
 
 
 def newest_reading(documents: DataFrame, as_of: Column) -> DataFrame:

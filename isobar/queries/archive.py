@@ -11,7 +11,7 @@ from isobar.plans.archives import archive_tables, district_history, fill_gap, wr
 from isobar.plans.city import city_history
 from isobar.queries.registry import EVENT_TYPES, SQL_GAPPED, gapped_events, ntz, query, r6, table
 from isobar.session import shared_folder
-from isobar.sources.archive import hourly_rows, newest_file, parse_payloads, payload_parts
+from isobar.sources.archive import hourly_rows, newest_file, parse_payloads, payload_parts, rejected_payloads
 from isobar.sources.files import append_rows, iso_timestamps, read_csv, write_aggregate, write_csv
 
 _FEATURES = ("temperature_2m", "cloud_cover")
@@ -85,25 +85,25 @@ def merged_archive_rows(spark, sf):
         'Asia/Bangkok' AS timezone, 'GMT+7' AS timezone_abbreviation FROM embeddings""",
 )
 def archive_descriptors(spark, sf):
-    stamp = F.lit("2025-05-19 18:13:02.157939")
+    stamp = F.lit("2031-02-03 04:05:06.789012")
     return archive_tables(_payloads(spark, sf), stamp, _FEATURES)[0]
 
 
 _SQL_MANIFEST = """(SELECT DISTINCT -label / 8.0 AS latitude, 112.5 AS longitude,
-    replace(CAST(-label / 8.0 AS VARCHAR), '.', '_') || '_112_5_descriptor_2025-05-19_18_13_02_157939.csv'
+    replace(CAST(-label / 8.0 AS VARCHAR), '.', '_') || '_112_5_descriptor_2031-02-03_04_05_06_789012.csv'
         AS descriptor_file_name,
-    replace(CAST(-label / 8.0 AS VARCHAR), '.', '_') || '_112_5_data_2025-05-19_18_13_02_157939.csv'
+    replace(CAST(-label / 8.0 AS VARCHAR), '.', '_') || '_112_5_data_2031-02-03_04_05_06_789012.csv'
         AS data_file_name FROM embeddings)"""
 
 
 @query("archive_manifest", f"SELECT * FROM {_SQL_MANIFEST}")
 def archive_manifest(spark, sf):
-    return archive_tables(_payloads(spark, sf), F.lit("2025-05-19 18:13:02.157939"), _FEATURES)[2]
+    return archive_tables(_payloads(spark, sf), F.lit("2031-02-03 04:05:06.789012"), _FEATURES)[2]
 
 
 @query("newest_archive_file", f"SELECT data_file_name FROM {_SQL_MANIFEST} ORDER BY data_file_name DESC LIMIT 1")
 def newest_archive_file(spark, sf):
-    names = archive_tables(_payloads(spark, sf), F.lit("2025-05-19 18:13:02.157939"), _FEATURES)[2]
+    names = archive_tables(_payloads(spark, sf), F.lit("2031-02-03 04:05:06.789012"), _FEATURES)[2]
     return newest_file(names).select("data_file_name")
 
 
@@ -112,9 +112,10 @@ def newest_archive_file(spark, sf):
     f"SELECT latitude, longitude, time AS datetime, round(x, 6) AS temperature_2m FROM {_SQL_ROWS}",
 )
 def archive_written(spark, sf):
-    """Payloads written as CSV by location after their manifest, and the data read back."""
+    """Payloads written twice as CSV by location after their manifest, and the data read back."""
     folder = shared_folder(spark, "archive")
-    write_archive(_payloads(spark, sf), folder, F.lit("2025-05-19 18:13:02.157939"), _FEATURES)
+    for _ in range(2):
+        write_archive(_payloads(spark, sf), folder, F.lit("2031-02-03 04:05:06.789012"), _FEATURES)
     rows = read_csv(
         spark,
         f"{folder}/data",
@@ -123,6 +124,26 @@ def archive_written(spark, sf):
     return rows.select("latitude", "longitude", "datetime", r6("temperature_2m").alias("temperature_2m"))
 
 
+@query(
+    "rejected_payloads",
+    """SELECT vec_id, CASE WHEN vec_id % 5 = 0 THEN 'cut' WHEN vec_id % 5 = 1 THEN 'error' ELSE 'text' END AS kind
+    FROM embeddings WHERE vec_id % 5 < 3""",
+)
+def rejected(spark, sf):
+    """Payloads cut short, error answers and plain text among whole ones."""
+    part = F.col("vec_id") % 5
+    damaged = _payloads(spark, sf).withColumn(
+        "value",
+        F.when(part == 0, F.substring("value", 1, 60))
+        .when(part == 1, '{"error": true, "reason": "limit"}')
+        .when(part == 2, "no payload")
+        .otherwise(F.col("value")),
+    )
+    bad = rejected_payloads(parse_payloads(damaged, features=_FEATURES))
+    kind = F.when(F.col("value").startswith('{"error'), "error").when(F.col("value").startswith("{"), "cut")
+    return bad.select("vec_id", kind.otherwise("text").alias("kind"))
+
+
 @query(
     "row_metadata",
     f"""SELECT sha256(district || time) AS _id, '2025-06-01T00:00:00' AS last_updated, time, vec_id FROM {_SQL_ROWS}""",
@@ -159,7 +180,7 @@ def fill_recent_gap(spark, sf):
     cold = F.col("temperature_2m") < 0
     recent = history.withColumn("temperature_2m", F.when(cold, F.col("temperature_2m") * 2).otherwise(F.col("temperature_2m")))
     out = fill_gap(history, recent, ordered=False)
-    return out.withColumn("temperature_2m", r6("temperature_2m")).distinct()
+    return out.withColumn("temperature_2m", r6("temperature_2m"))
 
 
 @query("newest_archive_rows", f"SELECT time, vec_id FROM {_SQL_ROWS} ORDER BY time DESC, vec_id DESC LIMIT 5")

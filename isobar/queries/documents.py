@@ -79,7 +79,7 @@ def open_meteo_documents(spark, sf):
 
 @query(
     "content_id_documents",
-    f"""SELECT user_id, {_LOCAL} AS last_updated, count(*) AS polls
+    f"""SELECT user_id, {_LOCAL} AS last_updated, 1 AS ids, count(*) AS polls
     FROM events WHERE event_type IN ('click', 'view') GROUP BY ALL""",
 )
 def content_ids(spark, sf):
@@ -87,11 +87,9 @@ def content_ids(spark, sf):
     parsed = good_records(parse_envelopes(message_log(spark, sf), FREE_WEATHER))
     # The local time is part of the location, so equal ids are equal places and minutes.
     docs = content_id_documents(parsed, F.col("timestamp"))
-    return docs.groupBy("_id").agg(
-        F.first((F.col("location.lat") * -16).cast("long")).alias("user_id"),
-        F.first("last_updated").alias("last_updated"),
-        F.count(F.lit(1)).alias("polls"),
-    ).groupBy("user_id", "last_updated").agg(F.sum("polls").alias("polls"))
+    place = (F.col("location.lat") * -16).cast("long").alias("user_id")
+    ids = F.countDistinct("_id").cast("int").alias("ids")
+    return docs.groupBy(place, "last_updated").agg(ids, F.count(F.lit(1)).alias("polls"))
 
 
 @query(
@@ -119,24 +117,26 @@ def envelope_sink(spark, sf):
 
 @query(
     "rejected_messages",
-    """SELECT event_id AS "offset", props AS value FROM events""",
+    """SELECT event_id AS "offset", props AS value FROM events WHERE event_type NOT IN ('click', 'view')""",
 )
 def rejected_messages(spark, sf):
-    """Payload texts are JSON but no envelopes, so all go to the quarantine."""
-    rows = events(spark, sf).select(
+    """Payload texts are JSON but no envelopes, so they go to the quarantine; the good messages among them do not."""
+    good = message_log(spark, sf).filter(F.col("topic") == FREE_WEATHER)
+    rows = events(spark, sf).filter(~F.col("event_type").isin("click", "view")).select(
         F.lit(FREE_WEATHER).alias("topic"),
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("ts").alias("timestamp"),
         F.col("props").cast("binary").alias("value"),
     )
-    return rejected_records(parse_envelopes(rows, FREE_WEATHER)).select("offset", "value")
+    mixed = rows.unionByName(good.select(*rows.columns))
+    return rejected_records(parse_envelopes(mixed, FREE_WEATHER)).select("offset", "value")
 
 
 @query(
     "tolerant_json",
     """SELECT event_id, k AS as_double, k AS as_int, CASE WHEN event_type = 'error' THEN text END AS bad_text
-    FROM (SELECT event_id, event_type, k, CASE WHEN event_type = 'error' THEN props || '}{' END AS text
+    FROM (SELECT event_id, event_type, k, '{' || props AS text
         FROM (SELECT *, CASE WHEN event_type <> 'error' THEN CAST(regexp_extract(props, '[0-9]+') AS BIGINT) END AS k
             FROM events))""",
 )
@@ -148,13 +148,9 @@ def tolerant_json(spark, sf):
     text = F.when(
         F.col("event_type") == "error", F.concat(F.lit("{"), F.col("props"))
     ).otherwise(F.concat(F.lit('{"as_double": '), number, F.lit(', "as_int": '), number, F.lit(".0}")))
-    rows = events(spark, sf).select("event_id", "event_type", "props", text.alias("text"))
+    rows = events(spark, sf).select("event_id", text.alias("text"))
     parsed = rows.withColumn("p", parse_json(F.col("text"), record("as_double DOUBLE, as_int INT")))
-    broken = F.col("p._corrupt_record").isNotNull()
-    return parsed.select(
-        "event_id", "p.as_double", "p.as_int",
-        F.when(broken, F.concat(F.col("props"), F.lit("}{"))).alias("bad_text"),
-    )
+    return parsed.select("event_id", "p.as_double", "p.as_int", F.col("p._corrupt_record").alias("bad_text"))
 
 
 def _nested(spark, sf):
@@ -182,6 +178,30 @@ def flatten_path(spark, sf):
     return flatten_by_path(_nested(spark, sf), items={"sky": 2})
 
 
+def _sql_listed():
+    columns = []
+    for i in range(3):
+        there = f"k % 3 >= {i}"
+        columns.append(f"CASE WHEN {there} THEN k + {i} END AS sky_{i}_code")
+        columns.append(f"CASE WHEN {there} THEN k * 10 + {i} END AS sky_{i}_parts_0_y")
+        second = f"CASE WHEN {there} THEN k * 20 + {i} END" if i == 1 else "CAST(NULL AS BIGINT)"
+        columns.append(f"{second} AS sky_{i}_parts_1_y")
+    return f"SELECT CAST(event_id AS VARCHAR) AS _id, {', '.join(columns)} FROM (SELECT *, {SQL_K} AS k FROM events)"
+
+
+@query("csv_list_elements", _sql_listed())
+def csv_list_elements(spark, sf):
+    """One to three list elements per document, each with a list of one or two inside."""
+    k = payload_k()
+
+    def item(i):
+        parts = [F.struct((k * 10 * (j + 1) + i).alias("y")) for j in range(1 + i % 2)]
+        return F.struct((k + i).alias("code"), F.array(*parts).alias("parts"))
+
+    sky = F.slice(F.array(*[item(i) for i in range(3)]), F.lit(1), (k % 3 + 1).cast("int"))
+    return dataset(events(spark, sf).select(F.col("event_id").cast("string").alias("_id"), sky.alias("sky")))
+
+
 @query(
     "flatten_leaf",
     f"""SELECT event_id AS _id, k AS name, value AS c, k + 1 AS code, event_type AS text, k AS level_0
@@ -346,21 +366,21 @@ def summary_rows(spark, sf):
     return rows.withColumn("timestamp", ntz("timestamp"))
 
 
-def _sql_increment(bucket):
+def _sql_increment(bucket, as_of):
     return f"""SELECT 'Malang' AS place, lat, lon, {bucket} AS timestamp, value AS temp
-    FROM {SQL_FREE} ORDER BY ts DESC LIMIT 1"""
+    FROM {SQL_FREE} WHERE ts <= TIMESTAMP '{as_of}' ORDER BY ts DESC LIMIT 1"""
 
 
-@query("increment_quarter", _sql_increment("time_bucket(INTERVAL 15 MINUTE, ts)"))
+@query("increment_quarter", _sql_increment("time_bucket(INTERVAL 15 MINUTE, ts)", "2024-01-28 13:20:00"))
 def increment_quarter(spark, sf):
-    as_of = F.lit("2024-01-30 23:59:00").cast("timestamp")
+    as_of = F.lit("2024-01-28 13:20:00").cast("timestamp")
     row = increment_rows(documents(spark, sf, FREE_WEATHER), "quarter", as_of, JAKARTA)
     return row.select(
         F.col("name").alias("place"), "lat", "lon", ntz("timestamp").alias("timestamp"), F.col("temp_c").alias("temp")
     )
 
 
-@query("increment_hour", _sql_increment("date_trunc('hour', ts)"))
+@query("increment_hour", _sql_increment("date_trunc('hour', ts)", "2024-02-10 08:00:00"))
 def increment_hour(spark, sf):
     as_of = F.lit("2024-02-10 08:00:00").cast("timestamp")
     row = increment_rows(documents(spark, sf, FREE_WEATHER), "hour", as_of, JAKARTA)

@@ -33,16 +33,16 @@ def _today(spark, sf, as_of):
     return picked.select("event_id", ntz("ts").alias("ts"))
 
 
-_SQL_TODAY = """SELECT event_id, ts FROM events
-    ORDER BY ts >= TIMESTAMP '{day} 00:00:00' DESC, ts DESC, event_id DESC LIMIT 1"""
+_SQL_TODAY = """SELECT event_id, ts FROM events WHERE ts <= TIMESTAMP '{as_of}'
+    ORDER BY ts >= date_trunc('day', TIMESTAMP '{as_of}') DESC, ts DESC, event_id DESC LIMIT 1"""
 
 
-@query("latest_of_today", _SQL_TODAY.format(day="2024-01-30"))
+@query("latest_of_today", _SQL_TODAY.format(as_of="2024-01-29 18:00:00"))
 def latest_of_today(spark, sf):
-    return _today(spark, sf, "2024-01-30 18:00:00")
+    return _today(spark, sf, "2024-01-29 18:00:00")
 
 
-@query("latest_today_else_latest", _SQL_TODAY.format(day="2024-02-01"))
+@query("latest_today_else_latest", _SQL_TODAY.format(as_of="2024-02-01 09:00:00"))
 def latest_today_else_latest(spark, sf):
     return _today(spark, sf, "2024-02-01 09:00:00")
 
@@ -312,7 +312,7 @@ def future_grid(spark, sf):
         FROM events GROUP BY ALL),
     g AS (SELECT series, max(ds) - 48 * INTERVAL 1 HOUR + i * INTERVAL 1 HOUR AS ds
         FROM s, (SELECT unnest(range(1, 49)) AS i) GROUP BY series, i)
-    SELECT series, ds, k FROM g JOIN s USING (series, ds)""",
+    SELECT series, ds, k FROM g LEFT JOIN s USING (series, ds)""",
 )
 def regressors_joined(spark, sf):
     """The grid of the last 48 hours with the regressor known for them."""

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from isobar.functions.times import JAKARTA
 from isobar.operators.reshape import provider_documents
 from isobar.queries.documents import SQL_AGGREGATE
-from isobar.queries.feed import SQL_DOCS, SQL_ID, as_records, message_log
-from isobar.queries.registry import ntz, query, r6, r8, table
+from isobar.queries.feed import SQL_DOCS, SQL_ID, message_log
+from isobar.queries.registry import events, ntz, query, r6, r8, table
 from isobar.schemas import COMMON_MEASURES, TOPICS
 from isobar.session import shared_folder
 from isobar.streaming.hourly import start_hourly_aggregate
@@ -18,10 +18,36 @@ from isobar.streaming.stores import document_schema, read_documents, upsert_fold
 from isobar.streaming.windows import start_upserts, windowed_means
 
 
-def _stream(spark, sf) -> DataFrame:
-    schema = table(spark, sf, "events").schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+def land(df: DataFrame, ts: str, folder: str, files: int, *by: str) -> None:
+    """Writes the rows in as many files, one after the other in time order, so that a stream can take them in turn."""
+    low, high = df.agg(F.min(ts), F.max(ts)).first()
+    width = (high - low) / files
+    for k in range(files):
+        # The last file holds the end.
+        part = df.filter(F.col(ts) >= F.lit(low + k * width))
+        if k + 1 < files:
+            part = part.filter(F.col(ts) < F.lit(low + (k + 1) * width))
+        part.coalesce(1).write.mode("append").partitionBy(*by).parquet(folder)
+
+
+def in_turn(spark, schema, path: str) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(path)
+
+
+def log_by_topic(spark, sf, folder: str, files: int):
+    """The message log landed by topic; gives the stream of one topic, a file per batch."""
+    log = message_log(spark, sf)
+    if files > 1:
+        land(log, "timestamp", folder, files, "topic")
+    else:
+        log.write.partitionBy("topic").parquet(folder)
+
+    def read(topic: str) -> DataFrame:
+        schema = log.drop("topic").schema
+        rows = in_turn(spark, schema, f"{folder}/topic={topic}") if files > 1 else spark.readStream.schema(schema).parquet(f"{folder}/topic={topic}")
+        return rows.withColumn("topic", F.lit(topic)).select(*log.columns)
+
+    return read
 
 
 def _drain(*queries) -> None:
@@ -35,9 +61,11 @@ def _drain(*queries) -> None:
     FROM events GROUP BY ALL""",
 )
 def windowed_mean_stream(spark, sf):
-    """Hourly means of a drained stream, kept current in a keyed folder by update mode."""
+    """Hourly means of a drained stream of several files, kept current in a keyed folder by update mode."""
     folder = shared_folder(spark, "windows")
-    means = windowed_means(_stream(spark, sf), "ts", ["event_type"], ["value"])
+    rows = events(spark, sf).select("event_type", "ts", "value")
+    land(rows, "ts", f"{folder}/in", 3)
+    means = windowed_means(in_turn(spark, rows.schema, f"{folder}/in"), "ts", ["event_type"], ["value"])
     _drain(start_upserts(means, f"{folder}/table", f"{folder}/checkpoint", ["event_type", "timestamp"], ["n"]))
     return spark.read.parquet(f"{folder}/table").select(
         "event_type", ntz("timestamp").alias("timestamp"), r8("value").alias("value"), "n"
@@ -60,8 +88,8 @@ def _stored(spark, sf, folder) -> DataFrame:
 def stream_ingest(spark, sf):
     """Three ingest queries over one log; first write per id wins."""
     folder = shared_folder(spark, "ingest")
-    records = as_records(_stream(spark, sf))
-    _drain(*start_all(records, folder, f"{folder}/checkpoints", F.col("timestamp")))
+    log = log_by_topic(spark, sf, f"{folder}/log", 1)
+    _drain(*start_all(log, folder, f"{folder}/checkpoints", F.col("timestamp")))
     return _stored(spark, sf, folder)
 
 
@@ -76,6 +104,24 @@ def replayed_ingest(spark, sf):
     return _stored(spark, sf, folder)
 
 
+@query("restarted_ingest", _SQL_STORED)
+def restarted_ingest(spark, sf):
+    """A log ingested in two batches, then by a query with a new checkpoint, in other batches and without
+    its first part, which the log no longer holds: what was stored stays."""
+    folder = shared_folder(spark, "restart")
+    log = message_log(spark, sf)
+    last = log.agg(F.max("offset")).first()[0]
+    offset = F.col("offset")
+    half, gone = last // 2, last // 4
+    for topic in TOPICS:
+        ingest_batch(log.filter(offset <= half), 0, topic, folder, F.col("timestamp"), "first")
+        ingest_batch(log.filter(offset > half), 1, topic, folder, F.col("timestamp"), "first")
+        for batch, (low, high) in enumerate(((gone, half + gone), (half + gone, last))):
+            part = log.filter((offset > low) & (offset <= high))
+            ingest_batch(part, batch, topic, folder, F.col("timestamp"), "second")
+    return _stored(spark, sf, folder)
+
+
 @query(
     "distinct_within_watermark",
     f"SELECT {SQL_ID} AS _id FROM {SQL_DOCS} WHERE topic = 'open-weather'",
@@ -83,7 +129,8 @@ def replayed_ingest(spark, sf):
 def distinct_within_watermark(spark, sf):
     """Copies dropped by bounded state alone, in a stream."""
     folder = shared_folder(spark, "distinct")
-    docs = provider_documents(as_records(_stream(spark, sf)), "open-weather", F.col("timestamp"))
+    log = log_by_topic(spark, sf, f"{folder}/log", 3)("open-weather")
+    docs = provider_documents(log, "open-weather", F.col("timestamp"))
     stream = (
         distinct_within(docs, "2 hours").select("_id").writeStream.format("parquet")
         .option("path", f"{folder}/ids").option("checkpointLocation", f"{folder}/checkpoint")
@@ -97,8 +144,8 @@ def distinct_within_watermark(spark, sf):
 def hourly_aggregate_stream(spark, sf):
     """The hourly aggregate over providers, from a drained stream of messages."""
     folder = shared_folder(spark, "hourly")
-    records = as_records(_stream(spark, sf))
-    _drain(start_hourly_aggregate(records, folder, f"{folder}/checkpoint", JAKARTA))
+    log = log_by_topic(spark, sf, f"{folder}/log", 3)
+    _drain(*start_hourly_aggregate(log, folder, f"{folder}/checkpoint", JAKARTA))
     summary = spark.read.parquet(f"{folder}/summary").drop("event_date")
     return summary.withColumns(
         {"timestamp": ntz("timestamp"), **{f"avg_{c}": r6(f"avg_{c}") for c in COMMON_MEASURES}}

@@ -21,6 +21,21 @@ def read_payloads(spark: SparkSession, path: str, features=ARCHIVE_FEATURES) ->
     return parse_payloads(spark.read.text(path), "value", features)
 
 
+def _is_whole(parsed: DataFrame) -> Column:
+    """Well-formed JSON with a place and its hours."""
+    present = F.col("payload.latitude").isNotNull() & F.col("payload.hourly.time").isNotNull()
+    return F.coalesce(F.col("payload._corrupt_record").isNull() & present, F.lit(False))
+
+
+def whole_payloads(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(_is_whole(parsed))
+
+
+def rejected_payloads(parsed: DataFrame) -> DataFrame:
+    """What `whole_payloads` leaves out, without the parsed struct, for the quarantine."""
+    return parsed.filter(~_is_whole(parsed)).drop("payload")
+
+
 def hourly_rows(
     payloads: DataFrame,
     features: Sequence[str] = ARCHIVE_FEATURES,

@@ -18,11 +18,6 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType | None =
     return reader.json(path)
 
 
-def rows_with_schema(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
-    """Frame of in-memory rows (fixtures, small lookups) under a declared schema."""
-    return spark.createDataFrame(rows, schema)
-
-
 def scan_all(documents: DataFrame, key: str = "_id") -> DataFrame:
     """Every document but the design documents."""
     return documents.filter(~F.col(key).startswith("_design/"))
@@ -41,7 +36,10 @@ def find(
     sort: Sequence[Column] | None = None,
     limit: int | None = 100,
 ) -> DataFrame:
-    """Selector, projection, sort and limit. Sort and limit together stay a per-task top-k."""
+    """Selector, projection, sort and limit. Sort and limit together stay a per-task top-k.
+
+    A find gives 100 documents unless another limit is asked for; None gives all.
+    """
     out = documents if selector is None else documents.filter(selector)
     if sort:
         out = out.orderBy(*sort)

@@ -47,6 +47,7 @@ def document_schema(documents: DataFrame) -> T.StructType:
         [
             *documents.schema.fields,
             T.StructField("id_date", T.DateType()),
+            T.StructField("run", T.StringType()),
             T.StructField("batch", T.LongType()),
         ]
     )
@@ -78,12 +79,18 @@ def spread_by_day(df: DataFrame, day: str, counts: dict[date, int], salt: Sequen
     return df.repartition(tasks, F.col(day), F.pmod(F.xxhash64(*salt), shares))
 
 
-def save_new_documents(documents: DataFrame, batch_id: int, folder: str) -> None:
+def run_of(batch: DataFrame, default: str = "batch") -> str:
+    """Id of the streaming query that made a micro-batch; it stays the same as long as its checkpoint does."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or default
+
+
+def save_new_documents(documents: DataFrame, batch_id: int, folder: str, run: str = "batch") -> None:
     """Adds the documents whose id is not stored yet; the first of each id wins.
 
     An id is made from a time (`id_time`), so copies share its date and only the stored ids of the
-    batch's dates are read. Every batch owns a partition of each date and replaces it when it is run
-    again, so a retry after a failure leaves no copies.
+    batch's dates are read. Every batch of a run owns a partition of each date and replaces it when it
+    is run again, so a retry after a failure leaves no copies. Batch numbers start anew with a new
+    checkpoint, and a backfill has its own, so `run` keeps theirs apart: one never replaces the other's.
     """
     spark = documents.sparkSession
     schema = document_schema(documents)
@@ -91,10 +98,11 @@ def save_new_documents(documents: DataFrame, batch_id: int, folder: str) -> None
     counts = rows_per_day(dated, "id_date")
     if not counts:
         return
-    stored = read_folder(spark, folder, schema, "id_date", list(counts)).filter(F.col("batch") != batch_id)
+    stored = read_folder(spark, folder, schema, "id_date", list(counts)).filter((F.col("run") != run) | (F.col("batch") != batch_id))
     fresh = insert_if_absent(dated, stored, "_id", "partition", "offset")
     spread = spread_by_day(fresh, "id_date", counts, ["_id"])
-    replace_partitions(spread.withColumn("batch", F.lit(batch_id)), folder, "id_date", "batch")
+    owned = spread.withColumns({"run": F.lit(run), "batch": F.lit(batch_id)})
+    replace_partitions(owned, folder, "id_date", "run", "batch")
 
 
 def replace_partitions(df: DataFrame, folder: str, *columns: str) -> None:

@@ -112,4 +112,4 @@ def test_context_and_joined_regressors(spark):
     grid = fc.future_grid(df.groupBy("series").agg((F.max("ds") - F.expr("INTERVAL 3 HOURS")).alias("ds")), 5)
     known = df.withColumnRenamed("y", "u")
     joined = fc.with_regressors(grid, known, ["u"]).orderBy("ds").collect()
-    assert [r["u"] for r in joined] == [97.0, 98.0, 99.0]
+    assert [r["u"] for r in joined] == [97.0, 98.0, 99.0, None, None]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from isobar.operators.aggregate import (
     common_columns,
     fix_kelvin,
+    fix_kelvin_by_day,
     fix_kelvin_by_provider,
     hourly_means,
     mean_of_means,
@@ -93,9 +94,15 @@ def test_kelvin_switch_is_on_the_mean(spark, temps, want):
 
 
 def test_kelvin_switch_by_provider(spark):
-    df = spark.createDataFrame([("a", 300.15), ("a", 310.15), ("b", 20.0), ("c", 999.0)], "p STRING, t DOUBLE")
+    df = spark.createDataFrame([("a", 300.15), ("a", 310.15), ("b", 20.0)], "p STRING, t DOUBLE")
     out = fix_kelvin_by_provider(df, "p", ["a", "b"], ["t"]).collect()
-    assert [round(r["t"], 6) for r in out] == [27.0, 37.0, 20.0, 999.0]
+    assert [round(r["t"], 6) for r in out] == [27.0, 37.0, 20.0]
+    # The unit of a provider that is not declared is unknown.
+    with pytest.raises(Exception, match="undeclared provider b"):
+        fix_kelvin_by_provider(df, "p", ["a"], ["t"]).collect()
+    days = spark.createDataFrame([("a", 1, 300.0, 1), ("a", 2, 20.0, 9), ("b", 1, 280.0, 2), ("b", 1, None, 5)], "p STRING, d INT, t DOUBLE, n INT")
+    by_day = fix_kelvin_by_day(days, "p", "d", "n", ["t"]).collect()
+    assert sorted((r["p"], r["d"], round(r["t"], 2)) for r in by_day if r["t"] is not None) == [("a", 1, 26.85), ("a", 2, 20.0), ("b", 1, 6.85)]
     # Means of hours count by their readings: (300 * 1 + 20 * 9) / 10 is no Kelvin.
     hours = spark.createDataFrame([("a", 300.0, 1), ("a", 20.0, 9), ("a", None, 5)], "p STRING, t DOUBLE, n INT")
     assert [r["t"] for r in fix_kelvin_by_provider(hours, "p", ["a"], ["t"], weight="n").collect()] == [300.0, 20.0, None]

@@ -12,7 +12,7 @@ from isobar.plans.exports import dataset, mapped_dataset, write_dataset, write_m
 from isobar.schemas import ARCHIVE_FEATURES, DISTRICT_FEATURES, FREE_WEATHER_EXPORT
 from isobar.sources import files
 from isobar.sources.archive import hourly_rows, newest_file, parse_payloads, payload_parts, read_payloads
-from isobar.sources.documents import align_to_header, read_documents, rows_with_schema
+from isobar.sources.documents import align_to_header, read_documents
 from isobar.sources.weather_codes import weather_codes
 from isobar.operators.serving import lookup
 
@@ -29,13 +29,13 @@ def payload(lat=-7.98, lon=112.5, hours=3, features=ARCHIVE_FEATURES, start="201
 
 def test_payload_rows_and_descriptor(spark, rows):
     texts = spark.createDataFrame([(payload(),), ("{broken",)], "value STRING")
-    described, data, names = archive_tables(texts, F.lit("2025-05-19 18:13:02.157939"))
+    described, data, names = archive_tables(texts, F.lit("2031-02-03 04:05:06.789012"))
     assert rows(data, "datetime", "temperature_2m", "is_day") == [
         ("2017-01-01T00:00", None, None), ("2017-01-01T01:00", 1.0, 1.0), ("2017-01-01T02:00", 2.0, 2.0),
     ]
     assert rows(described) == [(-7.98, 112.5, 25200, "Asia/Bangkok", "GMT+7")]
     assert rows(names, "descriptor_file_name", "data_file_name") == [
-        ("-7_98_112_5_descriptor_2025-05-19_18_13_02_157939.csv", "-7_98_112_5_data_2025-05-19_18_13_02_157939.csv")
+        ("-7_98_112_5_descriptor_2031-02-03_04_05_06_789012.csv", "-7_98_112_5_data_2031-02-03_04_05_06_789012.csv")
     ]
     merged = payload_parts(parse_payloads(texts))
     assert len(merged.columns) == 5 + 1 + 18
@@ -44,7 +44,10 @@ def test_payload_rows_and_descriptor(spark, rows):
 def test_archive_is_written_manifest_first(spark, rows, tmp_path):
     folder = str(tmp_path / "archive")
     texts = spark.createDataFrame([(payload(lat=x),) for x in (-7.98, -8.5)], "value STRING")
-    write_archive(texts, folder, F.lit("2025-05-19 18:13:02"))
+    broken = spark.createDataFrame([("{broken",), ("{}",)], "value STRING")
+    for _ in range(2):
+        write_archive(texts.union(broken), folder, F.lit("2031-02-03 04:05:06"))
+    assert sorted(rows(spark.read.parquet(f"{folder}/quarantine"), "value")) == [("{broken",), ("{}",)]
     assert spark.read.parquet(f"{folder}/manifest").count() == 2
     assert files.read_csv(spark, f"{folder}/descriptor", "latitude DOUBLE, longitude DOUBLE").count() == 2
     data = spark.read.option("header", True).csv(f"{folder}/data")
@@ -91,7 +94,8 @@ def test_exports(spark, rows, tmp_path):
     back = spark.read.option("header", True).csv(str(tmp_path / "ow"))
     assert back.columns == sorted(back.columns) and "current_weather_weather_1_id" in back.columns
     assert sorted(rows(back, "current_weather_weather_1_id"), key=str) == [("2",), (None,)]
-    assert "current_weather_weather_1_id" not in dataset(docs).columns
+    assert "current_weather_weather_1_id" in dataset(docs).columns
+    assert "current_weather_weather_1_id" not in dataset(docs, {"current_weather_weather": 1}).columns
     free_docs = provider_documents(records, FREE_WEATHER).drop("id_time", "partition", "offset")
     mapped = mapped_dataset(free_docs, {**FREE_WEATHER_EXPORT, "gone": "location.nope.deeper"})
     row = mapped.first()
@@ -128,6 +132,6 @@ def test_tables_and_files(spark, rows, tmp_path):
     files.append_rows(df, str(tmp_path / "rows"), ["id"])
     assert spark.read.parquet(str(tmp_path / "rows")).count() == 3
     schema = weather_codes(spark).schema
-    facts = rows_with_schema(spark, [("95", "x"), ("zz", "y")], schema).drop("description")
+    facts = spark.createDataFrame([("95", "x"), ("zz", "y")], schema).drop("description")
     found = dict(rows(lookup(facts, weather_codes(spark), "code")))
     assert found["95"].startswith("Thunderstorm, slight or moderate") and found["zz"] is None

@@ -37,6 +37,10 @@ def test_describe(spark):
     row = quality.describe(frame(spark, [*values, None]), ["x"]).first()
     assert row["n"] == 6 and row["std"] == pytest.approx(values.std(ddof=1))
     assert (row["q1"], row["median"], row["q3"]) == tuple(np.quantile(values, [0.25, 0.5, 0.75]))
+    empty = frame(spark, [1.0, 2.0]).withColumn("gone", F.lit(None).cast("double"))
+    facts = {r["column_name"]: r for r in quality.describe(empty, ["x", "gone"]).collect()}
+    assert facts["x"]["n"] == 2 and facts["gone"]["n"] == 0 and facts["gone"]["mean"] is facts["gone"]["median"] is None
+    assert {r["value"] for r in quality.exact_quantiles(empty, ["gone"]).collect()} == {None}
 
 
 def test_null_counts_shares_and_report(spark, rows):

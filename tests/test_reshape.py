@@ -123,6 +123,11 @@ def nested(spark):
 def test_flatten_by_path(spark):
     df = nested(spark)
     assert list_lengths(df) == {"w": 2}
+    deep = spark.sql("SELECT 1 AS a, array(named_struct('k', array(named_struct('y', 5), named_struct('y', 6))), named_struct('k', array(named_struct('y', 7)))) AS m")
+    assert list_lengths(deep) == {"m": 2, "m_k": 2}
+    assert flatten_by_path(deep).first().asDict() == {"a": 1, "m_0_k_0_y": 5, "m_0_k_1_y": 6, "m_1_k_0_y": 7, "m_1_k_1_y": None}
+    # Lists that are not named get their longest length.
+    assert "m_1_k_1_y" in flatten_by_path(deep, items={"m": 2}).columns
     flat = flatten_by_path(df, items=list_lengths(df))
     assert flat.columns == [
         "a_x", "a_name", "a_deep_name", "w_0_id", "w_0_main", "w_1_id", "w_1_main", "n", "s", "e", "name",

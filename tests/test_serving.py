@@ -42,7 +42,10 @@ def test_insert_if_absent(spark, rows):
 def test_latest_of_today_else_latest(spark):
     df = spark.sql("SELECT timestamp_seconds(id * 3600) AS ts, id FROM range(48)")
     at = lambda text: F.lit(text).cast("timestamp")
-    assert serving.latest_today_else_latest(df, "ts", at("1970-01-02 05:00:00")).first()["id"] == 47
+    # Rows after the moment are not known yet.
+    assert serving.latest_today_else_latest(df, "ts", at("1970-01-02 05:00:00")).first()["id"] == 29
+    assert serving.latest_today_else_latest(df.filter("id < 20 OR id > 30"), "ts", at("1970-01-02 05:00:00")).first()["id"] == 19
+    assert serving.latest_today_else_latest(df, "ts", at("1960-01-02 05:00:00")).first() is None
     assert serving.latest_today_else_latest(df, "ts", at("1980-01-01 05:00:00")).first()["id"] == 47
 
 
@@ -111,7 +114,8 @@ def test_serving_folder_never_repeats_a_key(spark, rows, tmp_path):
     as_of = F.lit("2025-05-13 03:07:30").cast("timestamp")
     for temp in (20.0, 21.0, 21.0):
         update_serving(free_documents(spark, (free(temp, "2025-05-13 09:17"), "2025-05-13 02:20:00")), folder, "quarter", as_of, "Asia/Jakarta")
-    update_serving(free_documents(spark, (free(9.0, "2025-05-14 09:17"), "2025-05-14 02:20:00")), folder, "quarter", as_of, "Asia/Jakarta")
+    later = as_of + F.expr("INTERVAL 1 DAY")
+    update_serving(free_documents(spark, (free(9.0, "2025-05-14 09:17"), "2025-05-14 02:20:00")), folder, "quarter", later, "Asia/Jakarta")
     assert sorted(rows(spark.read.parquet(folder), "temp_c")) == [(9.0,), (21.0,)]
     assert set(WEATHER_DATA_DEFAULTS) < set(spark.read.parquet(folder).columns)
 

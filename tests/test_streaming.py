@@ -10,7 +10,7 @@ from isobar.plans.hourly import hourly_aggregate
 from isobar.schemas import TOPICS
 from isobar.sources.messages import kafka_options, stream_landed
 from isobar.streaming.hourly import start_hourly_aggregate
-from isobar.streaming.ingest import ingest_batch, start_all
+from isobar.streaming.ingest import ingest_batch, keep_running, start_all
 from isobar.streaming.stores import (
     document_schema,
     read_documents,
@@ -50,7 +50,7 @@ def test_ingest_replay_and_quarantine(spark, rows, tmp_path):
     )
 
     def run(checkpoints):
-        drain(start_all(stream_landed(spark, str(landed)), store, str(tmp_path / checkpoints)))
+        drain(start_all(lambda t: stream_landed(spark, str(landed)), store, str(tmp_path / checkpoints)))
 
     run("c1")
     assert rows(stored(spark, store, FREE_WEATHER), "current_weather.temp_c") == [(20.0,)]
@@ -131,7 +131,7 @@ def test_stream_of_all_providers_equals_the_batch(spark, rows, tmp_path):
     ]
     for part in (first, second):
         land(spark, landed, *part)
-        drain(start_hourly_aggregate(stream_landed(spark, str(landed)), folder, str(tmp_path / "c"), "Asia/Jakarta"))
+        drain(start_hourly_aggregate(lambda t: stream_landed(spark, str(landed)), folder, str(tmp_path / "c"), "Asia/Jakarta"))
     records = log(spark, *first, *second)
     docs = {t: provider_documents(records, t).dropDuplicates(["_id"]).drop("id_time", "partition", "offset") for t in TOPICS}
     columns = ["location_name", "timestamp", "avg_temperature_c", "avg_feels_like_c", "avg_wind_gust_kmph"]
@@ -140,6 +140,52 @@ def test_stream_of_all_providers_equals_the_batch(spark, rows, tmp_path):
     assert show(streamed) == show(hourly_aggregate(spark, docs, zone="Asia/Jakarta"))
 
 
+def test_a_second_checkpoint_deletes_nothing(spark, rows, tmp_path):
+    store = str(tmp_path / "store")
+
+    def run(name, *records):
+        land(spark, tmp_path / name, *records)
+        drain(start_all(lambda t: stream_landed(spark, str(tmp_path / name)), store, str(tmp_path / f"c-{name}")))
+
+    run("live", record(OPEN_WEATHER, open_weather(300.0), 0), record(OPEN_WEATHER, open_weather(301.0, dt=1747103500), 1))
+    # Another query's batch 0 with one new document of the same day.
+    run("backfill", record(OPEN_WEATHER, open_weather(302.0, dt=1747103600), 5))
+    temps = sorted(rows(stored(spark, store, OPEN_WEATHER), "current_weather.main.temp"))
+    assert temps == [(300.0,), (301.0,), (302.0,)]
+    assert stored(spark, store, OPEN_WEATHER).select("run").distinct().count() == 2
+
+
+def test_a_provider_that_is_behind_loses_nothing(spark, rows, tmp_path):
+    landed, folder = tmp_path / "landed", str(tmp_path / "out")
+    start = lambda: drain(start_hourly_aggregate(
+        lambda t: stream_landed(spark, str(landed)), folder, str(tmp_path / "c"), "Asia/Jakarta"
+    ))
+    land(spark, landed, record(OPEN_METEO, meteo(27.0, "2025-05-13T15:30"), 0))
+    start()
+    # Six hours earlier, from another provider and after the first one's watermark has passed.
+    land(spark, landed, record(FREE_WEATHER, free(20.0, "2025-05-13 09:15"), 0, "2025-05-13 02:16:00"))
+    start()
+    hours = rows(spark.read.parquet(f"{folder}/summary"), "timestamp", "avg_temperature_c")
+    assert sorted((t.hour, v) for t, v in hours) == [(2, 20.0), (8, 27.0)]
+
+
+def test_a_failed_query_is_started_again(spark, tmp_path):
+    landed, calls = tmp_path / "landed", []
+    land(spark, landed, record(OPEN_METEO, meteo(27.0), 0))
+
+    def start(topic):
+        def batch(df, batch_id):
+            calls.append(batch_id)
+            if len(calls) == 1:
+                raise RuntimeError("lost")
+
+        stream = stream_landed(spark, str(landed)).writeStream.foreachBatch(batch)
+        return stream.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+
+    keep_running(start, ["t"], wait=0, restarts=2)
+    assert calls == [0, 0]
+
+
 def test_upsert_is_repeatable(spark, rows, tmp_path):
     folder = str(tmp_path / "t")
     make = lambda *v: spark.createDataFrame(list(v), "k STRING, timestamp TIMESTAMP, v INT")
