@@ -100,7 +100,7 @@ def _document(location: T.StructType, current_weather: T.StructType) -> T.Struct
     )
 
 
-# Stored documents, one table per provider.
+# Stored documents, one table per provider.
 DOCUMENTS = {
     FREE_WEATHER: _document(FREE_WEATHER_LOCATION, FREE_WEATHER_CURRENT),
     OPEN_WEATHER: _document(
@@ -153,7 +153,7 @@ CANONICAL_NAMES = {
     "lon": "longitude",
 }
 
-# Measures every provider has, so the set is the same in a stream whatever has arrived.
+# Measures every provider has, so the set is the same in a stream whatever has arrived.
 COMMON_MEASURES = (
     "temperature_c",
     "feels_like_c",
@@ -166,6 +166,7 @@ COMMON_MEASURES = (
 PLACE_COLUMNS = ("location_name", "latitude", "longitude")
 DEFAULT_LOCATION = "Malang"
 
+# Columns of the hourly aggregate.
 HOURLY_AGGREGATE = record(
     "location_name STRING, latitude DOUBLE, longitude DOUBLE, timestamp TIMESTAMP, "
     + ", ".join(f"avg_{name} DOUBLE" for name in COMMON_MEASURES)

@@ -20,11 +20,11 @@ from isobar.schemas import HOURLY_AGGREGATE, TOPICS
 def documents(spark):
     records = log(
         spark,
-        record(FREE_WEATHER, free(20.0, "2025-05-13 09:15"), 0, "2025-05-13 02:16:00"),
-        record(FREE_WEATHER, free(22.0, "2025-05-13 09:45"), 1, "2025-05-13 02:46:00"),
-        record(FREE_WEATHER, free(30.0, "2025-05-13 06:45"), 2, "2025-05-12 23:46:00"),
+        record(FREE_WEATHER, free(20.0, "2031-03-09 09:15"), 0, "2031-03-09 02:16:00"),
+        record(FREE_WEATHER, free(22.0, "2031-03-09 09:45"), 1, "2031-03-09 02:46:00"),
+        record(FREE_WEATHER, free(30.0, "2031-03-09 06:45"), 2, "2031-03-08 23:46:00"),
         record(OPEN_WEATHER, open_weather(300.15), 0),
-        record(OPEN_METEO, meteo(27.0, "2025-05-13T09:30"), 0),
+        record(OPEN_METEO, meteo(27.0, "2031-03-09T09:30"), 0),
     )
     return {t: provider_documents(records, t, F.col("timestamp")).drop("id_time", "partition", "offset") for t in TOPICS}
 
@@ -33,16 +33,16 @@ def test_three_providers_unweighted(spark):
     out = hourly_aggregate(spark, documents(spark), zone="Asia/Jakarta")
     assert out.columns == HOURLY_AGGREGATE.names
     newest, older = out.collect()
-    assert str(newest["timestamp"]) == "2025-05-13 02:00:00"
+    assert str(newest["timestamp"]) == "2031-03-09 02:00:00"
     # Providers have 21, 27 and 27 degrees; how many readings each has does not count.
     assert newest["avg_temperature_c"] == pytest.approx(25.0)
-    assert newest["avg_feels_like_c"] == pytest.approx((25.3 + 38.7 + 32.0) / 3)
+    assert newest["avg_feels_like_c"] == pytest.approx((22.25 + 32.35 + 29.5) / 3)
     assert older["avg_temperature_c"] == 30.0
 
 
 def test_parity_keeps_feels_like_and_place(spark):
     out = hourly_aggregate(spark, documents(spark), zone="Asia/Jakarta", parity=True).collect()
-    assert out[0]["avg_feels_like_c"] == pytest.approx((25.3 + 311.85 + 32.0) / 3)
+    assert out[0]["avg_feels_like_c"] == pytest.approx((22.25 + 305.5 + 29.5) / 3)
     assert {r["location_name"] for r in out} == {"Malang"}
 
 
@@ -54,7 +54,7 @@ def test_one_provider_alone(spark):
 
 
 def test_lookback_and_limit(spark):
-    as_of = F.lit("2025-05-13 03:00:00").cast("timestamp")
+    as_of = F.lit("2031-03-09 03:00:00").cast("timestamp")
     docs = documents(spark)
     assert len(hourly_aggregate(spark, docs, as_of, zone="Asia/Jakarta").collect()) == 1
     newest = hourly_aggregate(spark, {FREE_WEATHER: docs[FREE_WEATHER]}, as_of, limit=1, zone="Asia/Jakarta")
@@ -66,8 +66,8 @@ def test_units_and_coordinates(spark):
     out = hourly_aggregate(
         spark, {OPEN_WEATHER: docs[OPEN_WEATHER]}, factors={OPEN_WEATHER: {"wind_speed_kmph": 3.6}}, places=0
     ).first()
-    assert out["avg_wind_speed_kmph"] == pytest.approx(0.42 * 3.6)
-    assert (out["latitude"], out["longitude"]) == (-8.0, 113.0)
+    assert out["avg_wind_speed_kmph"] == pytest.approx(2.5 * 3.6)
+    assert (out["latitude"], out["longitude"]) == (-6.0, 107.0)
 
 
 def test_no_provider_gives_empty_table(spark):
@@ -77,7 +77,7 @@ def test_no_provider_gives_empty_table(spark):
 
 def test_different_coordinates_do_not_meet(spark):
     records = log(
-        spark, record(FREE_WEATHER, free(20.0), 0), record(OPEN_METEO, meteo(30.0, lat=-7.95, lon=112.61), 0)
+        spark, record(FREE_WEATHER, free(20.0), 0), record(OPEN_METEO, meteo(30.0, lat=-6.29, lon=107.37), 0)
     )
     docs = {t: provider_documents(records, t).drop("id_time", "partition", "offset") for t in (FREE_WEATHER, OPEN_METEO)}
     assert sorted(r["avg_temperature_c"] for r in hourly_aggregate(spark, docs).collect()) == [20.0, 30.0]

@@ -17,7 +17,7 @@ from isobar.sources.weather_codes import weather_codes
 from isobar.operators.serving import lookup
 
 
-def payload(lat=-7.98, lon=112.5, hours=3, features=ARCHIVE_FEATURES, start="2017-01-01T00:00"):
+def payload(lat=-6.34, lon=112.5, hours=3, features=ARCHIVE_FEATURES, start="2017-01-01T00:00"):
     t0 = datetime.fromisoformat(start)
     hourly = {"time": [(t0 + timedelta(hours=i)).strftime("%Y-%m-%dT%H:%M") for i in range(hours)]}
     hourly |= {f: [float(i) if i else None for i in range(hours)] for f in features}
@@ -33,9 +33,9 @@ def test_payload_rows_and_descriptor(spark, rows):
     assert rows(data, "datetime", "temperature_2m", "is_day") == [
         ("2017-01-01T00:00", None, None), ("2017-01-01T01:00", 1.0, 1.0), ("2017-01-01T02:00", 2.0, 2.0),
     ]
-    assert rows(described) == [(-7.98, 112.5, 25200, "Asia/Bangkok", "GMT+7")]
+    assert rows(described) == [(-6.34, 112.5, 25200, "Asia/Bangkok", "GMT+7")]
     assert rows(names, "descriptor_file_name", "data_file_name") == [
-        ("-7_98_112_5_descriptor_2031-02-03_04_05_06_789012.csv", "-7_98_112_5_data_2031-02-03_04_05_06_789012.csv")
+        ("-6_34_112_5_descriptor_2031-02-03_04_05_06_789012.csv", "-6_34_112_5_data_2031-02-03_04_05_06_789012.csv")
     ]
     merged = payload_parts(parse_payloads(texts))
     assert len(merged.columns) == 5 + 1 + 18
@@ -43,7 +43,7 @@ def test_payload_rows_and_descriptor(spark, rows):
 
 def test_archive_is_written_manifest_first(spark, rows, tmp_path):
     folder = str(tmp_path / "archive")
-    texts = spark.createDataFrame([(payload(lat=x),) for x in (-7.98, -8.5)], "value STRING")
+    texts = spark.createDataFrame([(payload(lat=x),) for x in (-6.34, -8.5)], "value STRING")
     broken = spark.createDataFrame([("{broken",), ("{}",)], "value STRING")
     for _ in range(2):
         write_archive(texts.union(broken), folder, F.lit("2031-02-03 04:05:06"))
@@ -51,7 +51,7 @@ def test_archive_is_written_manifest_first(spark, rows, tmp_path):
     assert spark.read.parquet(f"{folder}/manifest").count() == 2
     assert files.read_csv(spark, f"{folder}/descriptor", "latitude DOUBLE, longitude DOUBLE").count() == 2
     data = spark.read.option("header", True).csv(f"{folder}/data")
-    assert data.count() == 6 and set(r[0] for r in rows(data.select("location"))) == {"-7_98_112_5", "-8_5_112_5"}
+    assert data.count() == 6 and set(r[0] for r in rows(data.select("location"))) == {"-6_34_112_5", "-8_5_112_5"}
     newest = newest_file(spark.read.parquet(f"{folder}/manifest")).first()
     assert newest["data_file_name"].startswith("-8_5")
     # A manifest that cannot be written stops the rest.
@@ -69,8 +69,8 @@ def test_payload_files(spark, tmp_path):
 
 
 def test_history_of_all_districts_and_gap(spark, rows):
-    texts = [("Klojen", -7.97, 112.63, payload(features=DISTRICT_FEATURES)),
-             ("Sukun", -7.99, 112.61, payload(features=DISTRICT_FEATURES, start="2018-01-01T00:00"))]
+    texts = [("Klojen", -6.33, 107.42, payload(features=DISTRICT_FEATURES)),
+             ("Sukun", -6.35, 107.37, payload(features=DISTRICT_FEATURES, start="2018-01-01T00:00"))]
     frame = spark.createDataFrame(texts, "district STRING, latitude DOUBLE, longitude DOUBLE, value STRING")
     history = district_history(frame)
     assert history.count() == 6 and len(history.columns) == 3 + 1 + 20
@@ -99,7 +99,7 @@ def test_exports(spark, rows, tmp_path):
     free_docs = provider_documents(records, FREE_WEATHER).drop("id_time", "partition", "offset")
     mapped = mapped_dataset(free_docs, {**FREE_WEATHER_EXPORT, "gone": "location.nope.deeper"})
     row = mapped.first()
-    assert (row["weather_code"], row["temp_c"], row["gone"], row["uv"]) == (1063, 20.0, None, None)
+    assert (row["weather_code"], row["temp_c"], row["gone"], row["uv"]) == (7, 20.0, None, None)
     write_mapped(free_docs, str(tmp_path / "fw"))
     assert spark.read.option("header", True).csv(str(tmp_path / "fw")).columns == list(FREE_WEATHER_EXPORT)
     assert rows(align_to_header(free_docs, ["zzz", "provider"])) == [(None, "FreeWeatherAPI")]
@@ -122,13 +122,13 @@ def test_city_history(spark, rows):
 
 
 def test_tables_and_files(spark, rows, tmp_path):
-    df = spark.sql("SELECT id, TIMESTAMP '2025-05-13 02:00:00' AS timestamp FROM range(3)")
+    df = spark.sql("SELECT id, TIMESTAMP '2031-03-09 02:00:00' AS timestamp FROM range(3)")
     files.replace_table(df, "serving_test")
     files.replace_table(df.limit(2), "serving_test")
     assert files.read_table(spark, "serving_test").count() == 2
     files.write_aggregate(df, str(tmp_path / "agg"))
     inferred = read_documents(spark, str(tmp_path / "agg"))
-    assert rows(inferred.select("timestamp").distinct()) == [("2025-05-13T02:00:00",)]
+    assert rows(inferred.select("timestamp").distinct()) == [("2031-03-09T02:00:00",)]
     files.append_rows(df, str(tmp_path / "rows"), ["id"])
     assert spark.read.parquet(str(tmp_path / "rows")).count() == 3
     schema = weather_codes(spark).schema

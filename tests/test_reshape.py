@@ -21,10 +21,10 @@ def digest(text):
 def test_free_weather_document(spark):
     docs = provider_documents(log(spark, record(FREE_WEATHER, free(23.1), 0)), FREE_WEATHER, F.col("timestamp"))
     doc = docs.first()
-    assert doc["_id"] == digest("1747102800123")
-    assert doc["location"]["name"] == "Malang" and doc["current_weather"]["condition"]["code"] == 1063
-    assert doc["created_at"] == "2025-05-13 02:20:00.123000"
-    assert doc["last_updated"] == "2025-05-13 09:15"
+    assert doc["_id"] == digest("1930789200123")
+    assert doc["location"]["name"] == "Malang" and doc["current_weather"]["condition"]["code"] == 7
+    assert doc["created_at"] == "2031-03-09 02:20:00.123000"
+    assert doc["last_updated"] == "2031-03-09 09:15"
     stored = docs.select(*DOCUMENTS[FREE_WEATHER].names)
     assert stored.schema.simpleString() == DOCUMENTS[FREE_WEATHER].simpleString()
 
@@ -39,9 +39,9 @@ def test_open_weather_document(spark):
         OPEN_WEATHER,
     ).orderBy("offset")
     full, gaps = docs.collect()
-    assert full["_id"] == digest("2025-05-13 09:30:02+07:00") == gaps["_id"]
+    assert full["_id"] == digest("2031-03-09 09:30:02+07:00") == gaps["_id"]
     main = full["current_weather"]["main"]
-    assert (main["pressure_ground_level"], main["wind_dir"], main["visibility"]) == (920, 195, 10000)
+    assert (main["pressure_ground_level"], main["wind_dir"], main["visibility"]) == (955, 260, 7500)
     assert gaps["current_weather"]["main"]["visibility"] == 0
     assert gaps["current_weather"]["main"]["wind_gust"] is None
     assert gaps["current_weather"]["main"]["temp"] == 300.0
@@ -51,7 +51,7 @@ def test_open_meteo_document_and_offset_ids(spark):
     records = log(spark, record(OPEN_METEO, meteo(27.4), 0), record(OPEN_METEO, meteo(27.5), 1))
     docs = provider_documents(records, OPEN_METEO)
     assert docs.select("_id").distinct().count() == 1
-    assert docs.first()["location"].asDict() == {"lat": -7.98, "lon": 112.63, "grid_lat": -8.0, "grid_lon": 112.625}
+    assert docs.first()["location"].asDict() == {"lat": -6.34, "lon": 107.42, "grid_lat": -6.25, "grid_lon": 107.375}
     from isobar.operators.reshape import open_meteo_documents
 
     parsed = good_records(parse_envelopes(records, OPEN_METEO))
@@ -62,8 +62,8 @@ def test_content_ids_collapse_polls(spark):
     records = log(
         spark,
         record(FREE_WEATHER, free(23.1), 0),
-        record(FREE_WEATHER, free(23.1), 1, "2025-05-13 02:25:00"),
-        record(FREE_WEATHER, free(24.0, "2025-05-13 09:30"), 2),
+        record(FREE_WEATHER, free(23.1), 1, "2031-03-09 02:25:00"),
+        record(FREE_WEATHER, free(24.0, "2031-03-09 09:30"), 2),
     )
     docs = content_id_documents(good_records(parse_envelopes(records, FREE_WEATHER)))
     assert docs.select("_id").distinct().count() == 2
@@ -102,12 +102,12 @@ def test_messages_without_an_id_or_reading_are_kept_aside(spark, rows):
 
 def test_envelope_round_trip(spark, rows):
     payloads = spark.sql(
-        """SELECT -7.95D AS latitude, 112.61D AS longitude, named_struct('current', named_struct('temp_c', 1.5D)) AS data
+        """SELECT -6.29D AS latitude, 107.37D AS longitude, named_struct('current', named_struct('temp_c', 1.5D)) AS data
         UNION ALL SELECT 0D, 0D, NULL"""
     )
     sent = envelope_records(payloads, FREE_WEATHER, "FreeWeatherAPI")
     assert rows(sent) == [
-        (FREE_WEATHER, '{"provider":"FreeWeatherAPI","latitude":-7.95,"longitude":112.61,"data":{"current":{"temp_c":1.5}}}')
+        (FREE_WEATHER, '{"provider":"FreeWeatherAPI","latitude":-6.29,"longitude":107.37,"data":{"current":{"temp_c":1.5}}}')
     ]
 
 

@@ -95,34 +95,34 @@ def test_latest_projection_uses_cloud(spark):
 def test_increment_row_has_the_reading_time(spark, rows):
     docs = free_documents(
         spark,
-        (free(20.0, "2025-05-13 09:17"), "2025-05-13 02:20:00"),
-        (free(25.0, "2025-05-13 09:48"), "2025-05-13 02:50:00"),
+        (free(20.0, "2031-03-09 09:17"), "2031-03-09 02:20:00"),
+        (free(25.0, "2031-03-09 09:48"), "2031-03-09 02:50:00"),
     )
-    as_of = F.lit("2025-05-13 03:07:30").cast("timestamp")
+    as_of = F.lit("2031-03-09 03:07:30").cast("timestamp")
     row = increment_rows(docs, "quarter", as_of, "Asia/Jakarta").first()
-    assert (row["temp_c"], str(row["timestamp"]), row["temp_f"]) == (25.0, "2025-05-13 02:45:00", 0.0)
+    assert (row["temp_c"], str(row["timestamp"]), row["temp_f"]) == (25.0, "2031-03-09 02:45:00", 0.0)
     hour = increment_rows(docs, "hour", as_of, "Asia/Jakarta").first()
-    assert (hour["temperature_c"], str(hour["timestamp"]), hour["location_name"]) == (25.0, "2025-05-13 02:00:00", "Malang")
+    assert (hour["temperature_c"], str(hour["timestamp"]), hour["location_name"]) == (25.0, "2031-03-09 02:00:00", "Malang")
     parity = increment_rows(docs, "quarter", as_of, "Asia/Jakarta", parity=True).first()
-    assert str(parity["timestamp"]) == "2025-05-13 03:07:00"
+    assert str(parity["timestamp"]) == "2031-03-09 03:07:00"
     with pytest.raises(ValueError):
         increment_rows(docs, "day", as_of)
 
 
 def test_serving_folder_never_repeats_a_key(spark, rows, tmp_path):
     folder = str(tmp_path / "data")
-    as_of = F.lit("2025-05-13 03:07:30").cast("timestamp")
+    as_of = F.lit("2031-03-09 03:07:30").cast("timestamp")
     for temp in (20.0, 21.0, 21.0):
-        update_serving(free_documents(spark, (free(temp, "2025-05-13 09:17"), "2025-05-13 02:20:00")), folder, "quarter", as_of, "Asia/Jakarta")
+        update_serving(free_documents(spark, (free(temp, "2031-03-09 09:17"), "2031-03-09 02:20:00")), folder, "quarter", as_of, "Asia/Jakarta")
     later = as_of + F.expr("INTERVAL 1 DAY")
-    update_serving(free_documents(spark, (free(9.0, "2025-05-14 09:17"), "2025-05-14 02:20:00")), folder, "quarter", later, "Asia/Jakarta")
+    update_serving(free_documents(spark, (free(9.0, "2031-03-10 09:17"), "2031-03-10 02:20:00")), folder, "quarter", later, "Asia/Jakarta")
     assert sorted(rows(spark.read.parquet(folder), "temp_c")) == [(9.0,), (21.0,)]
     assert set(WEATHER_DATA_DEFAULTS) < set(spark.read.parquet(folder).columns)
 
 
 def test_summary_from_cross_provider_aggregate(spark, rows, tmp_path):
     aggregate = spark.sql(
-        "SELECT 'Malang' AS location_name, -7.98D AS latitude, 112.63D AS longitude, TIMESTAMP '2025-05-13 02:00:00' AS timestamp, 21.0D AS avg_temperature_c"
+        "SELECT 'Malang' AS location_name, -6.34D AS latitude, 107.42D AS longitude, TIMESTAMP '2031-03-09 02:00:00' AS timestamp, 21.0D AS avg_temperature_c"
     )
     row = summary_from_aggregate(aggregate).first()
     assert row["temperature_c"] == 21.0 and row["pressure"] == 0.0
@@ -134,30 +134,30 @@ def test_summary_from_cross_provider_aggregate(spark, rows, tmp_path):
 def test_summary_backfill(spark, rows):
     stored = spark.createDataFrame(
         [
-            ("1", "Malang", -7.98, 112.63, "2025-05-13T01:00:00", 20.0, None),
-            ("2", "Malang", -7.98, 112.63, "2025-05-13T01:00:00", 20.0, None),
-            ("3", "Malang", -7.98, 112.63, "2025-05-13T01:00:00", 26.0, None),
-            ("4", "Malang", -7.98, 112.63, "2025-05-13T02:00:00", 99.0, None),
-            ("5", "Malang", -7.95, 112.61, "2025-05-13T02:00:00", 30.0, None),
+            ("1", "Malang", -6.34, 107.42, "2031-03-09T01:00:00", 20.0, None),
+            ("2", "Malang", -6.34, 107.42, "2031-03-09T01:00:00", 20.0, None),
+            ("3", "Malang", -6.34, 107.42, "2031-03-09T01:00:00", 26.0, None),
+            ("4", "Malang", -6.34, 107.42, "2031-03-09T02:00:00", 99.0, None),
+            ("5", "Malang", -6.29, 107.37, "2031-03-09T02:00:00", 30.0, None),
         ],
         "_id STRING, location_name STRING, latitude DOUBLE, longitude DOUBLE, timestamp STRING, avg_temperature_c DOUBLE, avg_date STRING",
     )
     rejects = spark.createDataFrame([("4",)], "_id STRING")
-    out = summary_backfill(stored, rejects, -7.98)
+    out = summary_backfill(stored, rejects, -6.34)
     # Equal rows count once.
-    assert rows(out, "latitude", "temperature_c") == [(-7.98, 23.0)]
+    assert rows(out, "latitude", "temperature_c") == [(-6.34, 23.0)]
 
 
 def test_data_backfill(spark, rows):
     docs = free_documents(
         spark,
-        (free(20.0, "2025-05-13 09:17"), "2025-05-13 02:20:00"),
-        (free(21.0, "2025-05-13 09:22"), "2025-05-13 02:25:00"),
-        (free(22.0, "no time"), "2025-05-13 02:26:00"),
-        (free(20.0, "2025-05-13 09:17"), "2025-05-13 02:27:00"),
+        (free(20.0, "2031-03-09 09:17"), "2031-03-09 02:20:00"),
+        (free(21.0, "2031-03-09 09:22"), "2031-03-09 02:25:00"),
+        (free(22.0, "no time"), "2031-03-09 02:26:00"),
+        (free(20.0, "2031-03-09 09:17"), "2031-03-09 02:27:00"),
     )
     out = data_backfill(docs, zone="Asia/Jakarta")
-    assert [(str(t), c) for t, c in rows(out, "timestamp", "temp_c")] == [("2025-05-13 02:15:00", 20.0)]
+    assert [(str(t), c) for t, c in rows(out, "timestamp", "temp_c")] == [("2031-03-09 02:15:00", 20.0)]
     assert out.columns[6] == "timestamp" and "_id" not in out.columns
 
 

@@ -45,7 +45,7 @@ def test_ingest_replay_and_quarantine(spark, rows, tmp_path):
         record(FREE_WEATHER, free(99.0), 1),  # same millisecond, same id
         record(FREE_WEATHER, "{broken", 2),
         record(OPEN_WEATHER, open_weather(300.0), 0),
-        record(OPEN_WEATHER, open_weather(301.0), 1, "2025-05-13 04:00:00"),  # repeated reading
+        record(OPEN_WEATHER, open_weather(301.0), 1, "2031-03-09 04:00:00"),  # repeated reading
         record(OPEN_METEO, meteo(27.0), 0),
     )
 
@@ -58,7 +58,7 @@ def test_ingest_replay_and_quarantine(spark, rows, tmp_path):
     assert rows(spark.read.parquet(f"{store}/_quarantine/{FREE_WEATHER}"), "offset", "value") == [(2, "{broken")]
 
     # The same id in a later batch, and a new one.
-    land(spark, landed, record(OPEN_WEATHER, open_weather(302.0), 2), record(OPEN_WEATHER, open_weather(303.0, dt=1747107002), 3))
+    land(spark, landed, record(OPEN_WEATHER, open_weather(302.0), 2), record(OPEN_WEATHER, open_weather(303.0, dt=1930793402), 3))
     run("c1")
     assert sorted(rows(stored(spark, store, OPEN_WEATHER), "current_weather.main.temp")) == [(300.0,), (303.0,)]
 
@@ -120,14 +120,14 @@ def test_late_rows_and_open_windows(spark, rows, tmp_path):
 def test_stream_of_all_providers_equals_the_batch(spark, rows, tmp_path):
     landed, folder = tmp_path / "landed", str(tmp_path / "out")
     first = [
-        record(FREE_WEATHER, free(20.0, "2025-05-13 09:15"), 0, "2025-05-13 02:16:00"),
+        record(FREE_WEATHER, free(20.0, "2031-03-09 09:15"), 0, "2031-03-09 02:16:00"),
         record(OPEN_WEATHER, open_weather(300.15), 0),
-        record(OPEN_METEO, meteo(27.0, "2025-05-13T09:30"), 0),
+        record(OPEN_METEO, meteo(27.0, "2031-03-09T09:30"), 0),
     ]
     second = [
-        record(FREE_WEATHER, free(22.0, "2025-05-13 09:45"), 1, "2025-05-13 02:46:00"),
+        record(FREE_WEATHER, free(22.0, "2031-03-09 09:45"), 1, "2031-03-09 02:46:00"),
         record(OPEN_WEATHER, open_weather(300.15), 1),  # repeated reading
-        record(OPEN_METEO, meteo(29.0, "2025-05-13T10:30"), 1, "2025-05-13 03:31:00"),
+        record(OPEN_METEO, meteo(29.0, "2031-03-09T10:30"), 1, "2031-03-09 03:31:00"),
     ]
     for part in (first, second):
         land(spark, landed, *part)
@@ -147,9 +147,9 @@ def test_a_second_checkpoint_deletes_nothing(spark, rows, tmp_path):
         land(spark, tmp_path / name, *records)
         drain(start_all(lambda t: stream_landed(spark, str(tmp_path / name)), store, str(tmp_path / f"c-{name}")))
 
-    run("live", record(OPEN_WEATHER, open_weather(300.0), 0), record(OPEN_WEATHER, open_weather(301.0, dt=1747103500), 1))
+    run("live", record(OPEN_WEATHER, open_weather(300.0), 0), record(OPEN_WEATHER, open_weather(301.0, dt=1930789900), 1))
     # Another query's batch 0 with one new document of the same day.
-    run("backfill", record(OPEN_WEATHER, open_weather(302.0, dt=1747103600), 5))
+    run("backfill", record(OPEN_WEATHER, open_weather(302.0, dt=1930790000), 5))
     temps = sorted(rows(stored(spark, store, OPEN_WEATHER), "current_weather.main.temp"))
     assert temps == [(300.0,), (301.0,), (302.0,)]
     assert stored(spark, store, OPEN_WEATHER).select("run").distinct().count() == 2
@@ -160,10 +160,10 @@ def test_a_provider_that_is_behind_loses_nothing(spark, rows, tmp_path):
     start = lambda: drain(start_hourly_aggregate(
         lambda t: stream_landed(spark, str(landed)), folder, str(tmp_path / "c"), "Asia/Jakarta"
     ))
-    land(spark, landed, record(OPEN_METEO, meteo(27.0, "2025-05-13T15:30"), 0))
+    land(spark, landed, record(OPEN_METEO, meteo(27.0, "2031-03-09T15:30"), 0))
     start()
     # Six hours earlier, from another provider and after the first one's watermark has passed.
-    land(spark, landed, record(FREE_WEATHER, free(20.0, "2025-05-13 09:15"), 0, "2025-05-13 02:16:00"))
+    land(spark, landed, record(FREE_WEATHER, free(20.0, "2031-03-09 09:15"), 0, "2031-03-09 02:16:00"))
     start()
     hours = rows(spark.read.parquet(f"{folder}/summary"), "timestamp", "avg_temperature_c")
     assert sorted((t.hour, v) for t, v in hours) == [(2, 20.0), (8, 27.0)]
