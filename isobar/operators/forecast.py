@@ -239,6 +239,9 @@ def holdout_forecast(
     forecast_length: int = 24,
     normalise: bool = False,
     parity: bool = False,
+    daily: int = 2,
+    yearly: int = 0,
+    ridge: float = 1e-6,
 ) -> DataFrame:
     """Test rows of every series with their forecast: `(series, ds, y, yhat)`.
 
@@ -261,7 +264,7 @@ def holdout_forecast(
             .withColumn("y", F.try_divide(F.col("y") - F.col("_m"), F.col("_s")))
             .drop("_m", "_s")
         )
-    predicted = RegressorForecast(names, series).fit(train).predict(test)
+    predicted = RegressorForecast(names, series, daily, yearly, ridge).fit(train).predict(test)
     if normalise:
         predicted = join_per_key(predicted, back, series, "inner").withColumn(
             "yhat", F.col("yhat") * F.col("_s") + F.col("_m")

@@ -365,6 +365,34 @@ def score_forecast(spark, sf):
     return forecast.score(rows, "value", "k", ["event_type"]).withColumns({c: r6(c) for c in ("rmse", "mae", "mape")})
 
 
+def _hourly_regressors(spark, sf):
+    return events(spark, sf).groupBy(F.col("event_type").alias("series"), hour_of("ts").alias("datetime")).agg(
+        F.avg("value").alias("temperature_2m"), F.avg(payload_k()).alias("relative_humidity_2m")
+    )
+
+
+@query(
+    "forecast_one_regressor",
+    f"""WITH h AS (SELECT event_type AS series, date_trunc('hour', ts) AS ds, avg(value) AS y, avg({SQL_K}) AS x,
+        (epoch(date_trunc('hour', ts)) - 1705276800) / 31557600.0 AS t FROM events GROUP BY ALL),
+    m AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY ds DESC) <= 24 AS is_test FROM h),
+    l AS (SELECT series, avg(y) AS level FROM m WHERE NOT is_test GROUP BY series),
+    r AS (SELECT m.*, level, y - level AS c FROM m JOIN l USING (series)),
+    a AS (SELECT avg(t) AS mt, avg(x) AS mx, avg(c) AS mc FROM r WHERE NOT is_test),
+    q AS (SELECT sum((t - mt) ** 2) AS tt, sum((x - mx) ** 2) AS xx, sum((t - mt) * (x - mx)) AS tx,
+        sum((t - mt) * (c - mc)) AS tc, sum((x - mx) * (c - mc)) AS xc FROM r, a WHERE NOT is_test),
+    b AS (SELECT (tc * xx - xc * tx) / (tt * xx - tx * tx) AS bt, (xc * tt - tc * tx) / (tt * xx - tx * tx) AS bx FROM q)
+    SELECT series, ds, round(y, 6) AS y, round(level + mc + bt * (t - mt) + bx * (x - mx), 5) AS yhat
+    FROM r, a, b WHERE is_test""",
+)
+def forecast_one_regressor(spark, sf):
+    """Hold-out forecast with a trend and one regressor: its normal equations have a closed form."""
+    tested = forecast.holdout_forecast(
+        _hourly_regressors(spark, sf), "temperature_2m", ["relative_humidity_2m"], "datetime", daily=0, ridge=0.0
+    )
+    return tested.select("series", ntz("ds").alias("ds"), r6("y").alias("y"), F.round("yhat", 5).alias("yhat"))
+
+
 @query("forecast_regressors")
 def forecast_regressors(spark, sf):
     """Hold-out forecast of each provider's hourly mean with payload and activity as regressors."""
