@@ -108,10 +108,12 @@ def null_span_report(spark, sf):
     """SELECT 'doc_id' AS column_name, 'bigint' AS column_type, count(*) AS n_rows, count(doc_id) AS n_values
         FROM documents
     UNION ALL SELECT 'lang', 'string', count(*), count(lang) FROM documents
-    UNION ALL SELECT 'source', 'string', count(*), count(source) FROM documents""",
+    UNION ALL SELECT 'text', 'string', count(*), count(text) FROM documents
+    UNION ALL SELECT 'source', 'string', count(*), count(source) FROM documents
+    UNION ALL SELECT 'n_chars', 'bigint', count(*), count(n_chars) FROM documents""",
 )
 def schema_facts(spark, sf):
-    return quality.schema_facts(table(spark, sf, "documents").select("doc_id", "lang", "source"))
+    return quality.schema_facts(table(spark, sf, "documents"))
 
 
 def _sql_describe(column, source):
