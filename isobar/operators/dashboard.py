@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from isobar.functions.times import hour_of, label, nearest_hour, quarter_hour_of
 from isobar.operators.forecast import forecast
 from isobar.operators.ordered import newest
-from isobar.operators.serving import join_on_time
 
 # Grain -> (history rows, forecast steps, step).
 DASHBOARD_GRAINS = {"hour": (8, 12, "H"), "quarter": (16, 16, "15min")}
@@ -101,15 +100,24 @@ def data_cards(
         raise ValueError("mode is 'quarter' or 'hour'")
     start = nearest_hour("timestamp") if mode == "hour" else quarter_hour_of("timestamp")
 
-    def per_slot(df: DataFrame, name: str, pick) -> DataFrame:
-        return df.groupBy(*keys, start.alias("timestamp")).agg(pick.alias(name))
-
+    # One grouping of all three: a slot counts if each has a row in it.
     parts = [
-        per_slot(temperature, "Temperature", F.avg("value")),
-        per_slot(precipitation, "Precipitation", F.avg("value")),
-        per_slot(icon, "Icon", F.max_by("value", "timestamp")),
+        df.select(*keys, "timestamp", F.struct(F.col("value").alias("v")).alias(name))
+        for df, name in ((temperature, "_t"), (precipitation, "_p"), (icon, "_i"))
     ]
-    cards = reduce(lambda a, b: join_on_time(a, b, "timestamp", keys), parts)
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    there = [F.bool_or(F.col(c).isNotNull()).alias(f"{c}_there") for c in ("_t", "_p", "_i")]
+    cards = (
+        together.groupBy(*keys, start.alias("timestamp"))
+        .agg(
+            F.avg("_t.v").alias("Temperature"),
+            F.avg("_p.v").alias("Precipitation"),
+            F.max_by("_i.v", F.when(F.col("_i").isNotNull(), F.col("timestamp"))).alias("Icon"),
+            *there,
+        )
+        .filter("_t_there AND _p_there AND _i_there")
+        .drop("_t_there", "_p_there", "_i_there")
+    )
     return newest(cards, slicing, keys, ["timestamp"]).select(
         *keys, "timestamp", label("timestamp").alias("Hour"), "Temperature", "Precipitation", "Icon"
     )
