@@ -117,7 +117,7 @@ def without_spans(texts: pa.Array, spots: pa.Array) -> pa.Array:
     )
 
 
-def drop_repeated_spans(documents: DataFrame, sentences: int = 3, enough: int = 30, least: int = 12, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def drop_repeated_spans(documents: DataFrame, sentences: int = 3, enough: int = 20, least: int = 12, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, text without repeated spans, n_sentences, n_removed, removed (code points, in pairs)."""
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("t", F.xxhash64("text"))

@@ -16,7 +16,7 @@ def split(text):
     return out
 
 
-def expected(rows, sentences=3, enough=30, least=12):
+def expected(rows, sentences=3, enough=20, least=12):
     seen = defaultdict(set)
     cut = {(i, t): split(t) for i, t in rows}
     for (i, t), s in cut.items():
