@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 
 SLICE = 1 << 20
+#: Most texts of a slice, so that a place among them fits into 16 bits.
+TEXTS = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _U = np.uint64
 
@@ -92,7 +94,7 @@ def slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, np.
     first, n = 0, len(offset) - 1
     while first < n:
         end = int(np.searchsorted(offset, offset[first] + limit, "right")) - 1
-        end = min(n, max(first + 1, end))
+        end = min(n, first + TEXTS, max(first + 1, end))
         yield first, end, raw[offset[first] : offset[end]], offset[first : end + 1] - offset[first]
         first = end
 
