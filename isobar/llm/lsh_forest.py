@@ -11,11 +11,14 @@ a spanning forest of the links it found and a number of links per class, so what
 their pairs. Buckets with the same members in several trees are compared once, and a link is counted in the first tree in which
 its ends meet.
 
-Buckets of more than `crowd` classes, as thousands of near copies make them, are thinned first: all their classes are compared
-with a few pivots. What is then linked to the first pivot, over any links, is one group. Only classes outside it go on, with
-those inside that one of them may still be linked to: by the triangle inequality of the Jaccard distance, two classes whose
-distances from a pivot differ by more than the link distance have no link. So no group is lost, and a crowd of copies costs a
-few comparisons each.
+Buckets of more than `crowd` classes, as thousands of near copies make them, are cut into wider blocks, as far as these hold at
+most `BLOCK_GRAMS` shingles; the number of pairs compared still grows with the square of a bucket's classes.
+
+Where only groups are asked for, such buckets are thinned first: all their classes are compared with a few pivots. What is then
+linked to the first pivot, over any links, is one group. Only classes outside it go on, with those inside that one of them may
+still be linked to: by the triangle inequality of the Jaccard distance, two classes whose distances from a pivot differ by more
+than the link distance have no link. So no group is lost, and a crowd of copies costs a few comparisons each. Links are not
+counted then.
 
 Defined results: texts of fewer words than a shingle are one shingle; null and empty texts, and others without words, are
 alike only if they are equal; rows with one id count each; a null id is no class id, unless all ids of a group are null; an
@@ -39,6 +42,8 @@ from isobar.llm.textarrays import NORMAL_WORDS, grams, mix, words
 _MASK = np.uint64((1 << 48) - 1)
 _SHIFT = np.uint64(48)
 _EDGE = 1e-9
+#: Most shingles of a block of a crowded bucket, unless `block` classes have more.
+BLOCK_GRAMS = 2_000_000
 
 
 def matched_depth(similarity: float, depth: int, trees: int, recall: float) -> int:
@@ -170,7 +175,7 @@ def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.n
     out = np.zeros((len(left), len(right)), np.float32)
     for first in range(0, int(shared.sum()), 4096):
         a, b = np.searchsorted(column, [first, first + 4096])
-        part = np.zeros((len(sets), 4096), np.float32)
+        part = np.zeros((len(sets), min(4096, int(shared.sum()) - first)), np.float32)
         part[owner[a:b], column[a:b] - first] = 1
         out += part[left] @ part[right].T
     return out
@@ -208,9 +213,9 @@ def _verify_blocks(similarity: float):
         met = np.zeros(hit.shape, bool)
         for t in range(tree):
             met |= labels[left, t][:, None] == labels[right, t][None, :]
-        whole, value = np.zeros((len(cid), len(cid)), bool), np.zeros((len(cid), len(cid)), np.float64)
-        whole[np.ix_(left, right)], value[np.ix_(left, right)] = hit, alike
-        whole, value = whole | whole.T, np.maximum(value, value.T)
+        whole = np.zeros((len(cid), len(cid)), bool)
+        whole[np.ix_(left, right)] = hit
+        whole |= whole.T
         new = np.zeros_like(whole)
         new[np.ix_(left, right)] = hit & ~met
         count = (new | new.T).sum(1)
@@ -233,10 +238,15 @@ def _verify_blocks(similarity: float):
     return run
 
 
-def _verified_buckets(members: DataFrame, sets: DataFrame, similarity: float, block: int) -> DataFrame:
-    """(a, b, similarity, null) of links and (a, null, null, n) of numbers of links, from (bucket, tree, n, cid)."""
-    blocks = F.ceil(F.col("n") / block).cast("long")
-    own = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+def _blocks(block: int, crowd: int) -> Column:
+    """Number of blocks of a bucket of n classes and `volume` shingles."""
+    classes, wide = F.col("n") / block, F.greatest(F.col("n") / crowd, F.col("volume") / BLOCK_GRAMS)
+    return F.ceil(F.when(F.col("n") <= crowd, classes).otherwise(F.least(classes, wide))).cast("long")
+
+
+def _verified_buckets(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, similarity, null) of links and (a, null, null, n) of numbers of links, from (bucket, tree, blocks, cid)."""
+    own = members.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")))
     other = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = other.select("bucket", "tree", "cid", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     return (
@@ -268,9 +278,11 @@ def similar_classes(
     pivots: int = 8,
     text: str = "text",
     doc_id: str = "doc_id",
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+    counted: bool = True,
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """(documents, links, degrees): documents as (doc_id, t1, t2, cid, class_size); links between classes as (a, b, similarity),
-    enough of them to join all groups; degrees as (node, n_links), the number of all links of a class."""
+    enough of them to join all groups; degrees as (node, n_links), the number of all links of a class. Without `counted` there
+    are no degrees, and crowded buckets are thinned by pivots."""
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keyed = rows.select("doc_id", "text", *text_key(F.col("text")))
     shape = "doc_id long, t1 long, t2 long, n long, s1 long, s2 long, signature binary"
@@ -283,16 +295,20 @@ def similar_classes(
     classes = staged(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     d = matched_depth(similarity, depth, trees, recall)
-    tree = classes.filter("n > 0").select("cid", "signature", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    tree = classes.filter("n > 0").select("cid", "n", "signature", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
     part = F.substring("signature", F.col("tree") * (4 * depth) + 1, F.lit(4 * d))
-    whole = tree.select("cid", "tree", F.xxhash64("tree", part).alias("bucket"))
+    whole = tree.select("cid", "tree", F.col("n").alias("size"), F.xxhash64("tree", part).alias("bucket"))
     sized = whole.groupBy("bucket", "tree").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("cid")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(3), "cid")).alias("x2")
+        F.count("*").alias("n"),
+        F.sum("size").alias("volume"),
+        F.bit_xor(F.xxhash64("cid")).alias("x1"),
+        F.bit_xor(F.xxhash64(F.lit(3), "cid")).alias("x2"),
     )
     # Of buckets with the same members, those of the first tree.
     first = F.min(F.struct("tree", "bucket")).alias("f")
-    sizes = staged(sized.filter("n > 1").groupBy("n", "x1", "x2").agg(first).select("f.tree", "f.bucket", "n"), "buckets")
-    members = staged(_of(whole.drop("tree"), sizes), "members")
+    sizes = sized.filter("n > 1").groupBy("n", "volume", "x1", "x2").agg(first)
+    sizes = staged(sizes.select("f.tree", "f.bucket", "n", _blocks(block, crowd).alias("blocks")), "buckets")
+    members = staged(_of(whole.drop("tree", "size"), sizes), "members")
 
     new = classes.join(members.select("cid").distinct(), "cid").select("cid", "least.doc_id", "least.t1", "least.t2")
     new = staged(new, "involved")
@@ -302,20 +318,18 @@ def similar_classes(
     sets = found.mapInArrow(_sets(words_per_gram, trees, depth, d), "cid long, grams binary, labels binary")
     sets = staged(sets.dropDuplicates(["cid"]), "sets")
 
+    rest, pivot_links = members.select("bucket", "tree", "blocks", "cid"), None
     crowded = members.filter(F.col("n") > crowd)
-    rest, pivot_links = members.filter(F.col("n") <= crowd), None
-    if not crowded.isEmpty():
+    if not counted and not crowded.isEmpty():
         thinned, pivot_links = _thin(crowded.select("bucket", "tree", "cid"), sets.select("cid", "grams"), similarity, crowd, pivots)
-        rest = rest.select("bucket", "tree", "n", "cid").unionByName(thinned)
-    told = staged(_verified_buckets(rest, sets, similarity, block), "told")
+        rest = members.filter(F.col("n") <= crowd).select("bucket", "tree", "blocks", "cid")
+        rest = rest.unionByName(thinned.select("bucket", "tree", F.ceil(F.col("n") / block).cast("long").alias("blocks"), "cid"))
+    told = staged(_verified_buckets(rest, sets, similarity), "told")
     links = told.filter("b IS NOT NULL").select("a", "b", "similarity")
-    degree = told.filter("n IS NOT NULL").select(F.col("a").alias("node"), "n")
     if pivot_links is not None:
         links = links.unionAll(pivot_links)
-        ends = pivot_links.select(F.col("a").alias("node")).unionAll(pivot_links.select(F.col("b").alias("node")))
-        degree = degree.unionAll(ends.withColumn("n", F.lit(1).cast("long")))
     links = staged(links.dropDuplicates(["a", "b"]), "links")
-    degree = degree.groupBy("node").agg(F.sum("n").alias("n_links"))
+    degree = told.filter("n IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links")) if counted else None
     joined = slim.join(classes.select("n", "s1", "s2", "cid", "class_size"), ["n", "s1", "s2"])
     return joined.select("doc_id", "t1", "t2", "cid", "class_size"), links, degree
 
@@ -358,22 +372,27 @@ def _thin(open_: DataFrame, sets: DataFrame, similarity: float, crowd: int, pivo
         open_ = staged(reach.filter(F.col("out") | (F.col("slack") >= -far - _EDGE)).select("bucket", "tree", "cid"), "open")
 
 
-def jaccard_groups(documents: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, t1, t2 (hash of the text), class_id, class_size, n_links, group_id.
-
-    `class_id` and `group_id` are the smallest ids of the documents with equal shingle sets and of the linked group. `n_links`
-    is the number of classes found similar to the document's; in a crowd, pivots may stand for some of them.
-    """
+def _grouped(documents: DataFrame, **options) -> DataFrame:
+    """doc_id, t1, t2, cid, class_id, class_size, group_id and root of each document, and n_links if links are counted."""
     rows, links, degree = similar_classes(documents, **options)
     roots = components(links)
     per_class = rows.groupBy("cid").agg(F.min("doc_id").alias("class_id"))
     placed = per_class.join(roots, F.col("cid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cid")).drop("node")
     least = placed.groupBy("root").agg(F.min("class_id").alias("group_id"))
-    placed = staged(placed.join(least, "root").join(degree, F.col("cid") == F.col("node"), "left").drop("node"), "groups")
-    joined = rows.join(placed, "cid")
-    return joined.select(
-        "doc_id", "t1", "t2", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "group_id", "root"
-    )
+    placed = placed.join(least, "root")
+    if degree is not None:
+        placed = placed.join(degree, F.col("cid") == F.col("node"), "left").drop("node")
+    return rows.join(staged(placed, "groups"), "cid")
+
+
+def jaccard_groups(documents: DataFrame, **options) -> DataFrame:
+    """One row per document: doc_id, t1, t2 (hash of the text), class_id, class_size, n_links, group_id.
+
+    `class_id` and `group_id` are the smallest ids of the documents with equal shingle sets and of the linked group. `n_links`
+    is the number of classes found similar to the document's, each counted once.
+    """
+    n_links = F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+    return _grouped(documents, **options).select("doc_id", "t1", "t2", "class_id", "class_size", n_links, "group_id", "root")
 
 
 def one_per_group(documents: DataFrame, **options) -> DataFrame:
@@ -383,7 +402,7 @@ def one_per_group(documents: DataFrame, **options) -> DataFrame:
     """
     text, doc_id = options.get("text", "text"), options.get("doc_id", "doc_id")
     names = ["doc_id", "t1", "t2"]
-    keys = staged(jaccard_groups(documents, **options).groupBy("root", *names).agg(F.count("*").alias("n")), "keys")
+    keys = staged(_grouped(documents, counted=False, **options).groupBy("root", *names).agg(F.count("*").alias("n")), "keys")
     own = F.struct(F.col("doc_id").isNull().alias("none"), *names)
     kept = keys.groupBy("root").agg(F.min(own).alias("kept")).select("root", F.col("kept.doc_id").alias("k0"), F.col("kept.t1").alias("k1"), F.col("kept.t2").alias("k2"))
     stays = F.col("doc_id").eqNullSafe(F.col("k0")) & (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2"))

@@ -83,6 +83,27 @@ def test_crowded_buckets_lose_no_group(spark, pivots):
     assert not wrong
 
 
+def test_crowded_buckets_count_all_links(spark):
+    texts = list(dict.fromkeys(near_copies(120, 90, 4, 21) + near_copies(90, 40, 3, 22)))
+    rows = [(k, t) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    _, links, _ = groups_of(rows)
+    # So many trees that no link is missed; block and crowd only deal out the work.
+    for block, crowd in ((384, 2048), (7, 25)):
+        got = {r.doc_id: r.n_links for r in jaccard_groups(df, block=block, crowd=crowd, trees=48).collect()}
+        assert got == {k: links[t] for k, t in rows}
+    assert max(links.values()) > 25
+
+
+@pytest.mark.parametrize("pivots", [1, 3])
+def test_one_per_group_of_crowded_buckets(spark, pivots):
+    texts = near_copies(120, 60, 5, 31) + near_copies(120, 60, 5, 32)
+    rows = [(k, t) for k, t in enumerate(texts)]
+    want, _, _ = groups_of(rows)
+    kept = one_per_group(spark.createDataFrame(rows, "doc_id long, text string"), block=7, crowd=25, pivots=pivots, trees=24)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+
+
 def test_links_are_exact_similarities(spark):
     rows = [(k, t) for k, t in enumerate(near_copies(60, 10, 3, 5))]
     documents, links, _ = similar_classes(spark.createDataFrame(rows, "doc_id long, text string"))
