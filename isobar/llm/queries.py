@@ -109,7 +109,7 @@ def lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_sentence_spans")
 def sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = drop_repeated_spans(table(spark, sf_dir, "documents"))
+    clean = drop_repeated_spans(table(spark, sf_dir, "documents"), whole=True)
     return clean.select(
         "doc_id",
         F.col("n_sentences").cast("long"),

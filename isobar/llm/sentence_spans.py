@@ -1,14 +1,16 @@
 """Substring dedup by sliding sentence spans.
 
 A run starts at every sentence of a text and goes on for `sentences` sentences, or until it has `enough` words if that comes
-first, but never has fewer than `least` words. Runs of all documents are hashed and joined; of the runs with one hash the
-first, by id, text and place, stays. Every sentence that any other one covers is removed, with the space after it.
+first, but never has fewer than `least` words. With `whole` there are also the runs that do not end at `enough` words, and a
+text without such a run is one run: so a repeated passage goes to its end, and so do later copies of short texts. Runs of all
+documents are hashed and joined; of the runs with one hash the first, by id, text and place, stays. Every sentence that any
+other one covers is removed, with the space after it.
 
 A sentence ends at a word that ends with a full stop, exclamation or question mark, or at the end of a line.
 
 Defined results: null and empty texts have no sentences and stay empty; a null id comes after all others; rows equal in id and
 text are one document and get the same result; a run repeated inside one document loses its later copies; sentences after the
-last whole run of a text are only removed as part of earlier runs; an empty table gives an empty result; other columns are
+last whole run of a longer text are only removed as part of earlier runs; an empty table gives an empty result; other columns are
 ignored.
 """
 
@@ -48,17 +50,23 @@ def sentence_starts(w: Words) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
-def runs(w: Words, sentences: int, enough: int, least: int) -> tuple[np.ndarray, ...]:
+def runs(w: Words, sentences: int, enough: int, least: int, whole: bool) -> tuple[np.ndarray, ...]:
     """(text, first sentence, end sentence, hash) of the runs; sentences count from 0 in each text."""
     start = sentence_starts(w)
     doc = w.doc[start]
     edge = np.append(start, len(w.start))
     first_of = np.searchsorted(doc, np.arange(w.n + 1))
     at = np.arange(len(start))
-    end = np.minimum(at + sentences, np.searchsorted(edge, start + enough))
-    end = np.maximum(end, np.searchsorted(edge, start + least))
-    whole = end <= first_of[doc + 1]
-    at, end, doc = at[whole], end[whole], doc[whole]
+    enough_at, least_at = np.searchsorted(edge, start + enough), np.searchsorted(edge, start + least)
+    fixed = np.maximum(at + sentences, least_at)
+    bounded = np.maximum(np.minimum(at + sentences, enough_at), least_at)
+    end = bounded
+    if whole:
+        fixed = np.where((at == first_of[doc]) & (fixed > first_of[doc + 1]), first_of[doc + 1], fixed)
+        more = fixed != bounded
+        at, end, doc = np.append(at, at[more]), np.append(bounded, fixed[more]), np.append(doc, doc[more])
+    inside = end <= first_of[doc + 1]
+    at, end, doc = at[inside], end[inside], doc[inside]
     n = len(w.hash) + 1
     so_far = np.concatenate((np.zeros(1, np.uint64), np.cumsum(w.hash * powers(n)[: n - 1])))
     a, b = edge[at], edge[end]
@@ -66,11 +74,11 @@ def runs(w: Words, sentences: int, enough: int, least: int) -> tuple[np.ndarray,
     return doc, at - first_of[doc], end - first_of[doc], hashed
 
 
-def _runs_of(sentences: int, enough: int, least: int):
+def _runs_of(sentences: int, enough: int, least: int, whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for w in words(batch.column("text"), PLAIN_WORDS):
-                doc, a, b, hashed = runs(w, sentences, enough, least)
+                doc, a, b, hashed = runs(w, sentences, enough, least, whole)
                 place = pa.array(w.first + doc)
                 columns = [pa.array(hashed.view(np.int64)), batch.column("doc_id").take(place), batch.column("t").take(place)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array((a << 32) | b)], ["run", "doc_id", "t", "spot"])
@@ -117,11 +125,13 @@ def without_spans(texts: pa.Array, spots: pa.Array) -> pa.Array:
     )
 
 
-def drop_repeated_spans(documents: DataFrame, sentences: int = 3, enough: int = 20, least: int = 12, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def drop_repeated_spans(
+    documents: DataFrame, sentences: int = 3, enough: int = 20, least: int = 12, text: str = "text", doc_id: str = "doc_id", whole: bool = False
+) -> DataFrame:
     """One row per document: doc_id, text without repeated spans, n_sentences, n_removed, removed (code points, in pairs)."""
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("t", F.xxhash64("text"))
-    found = rows.mapInArrow(_runs_of(sentences, enough, least), "run long, doc_id long, t long, spot long")
+    found = rows.mapInArrow(_runs_of(sentences, enough, least, whole), "run long, doc_id long, t long, spot long")
     again = staged(found.groupBy("run").agg(F.count("*").alias("n")).filter("n > 1").select("run"), "repeated")
     few = again.count() <= BROADCAST_ROWS
     hits = staged(found.join(F.broadcast(again) if few else again, "run"), "runs")

@@ -64,5 +64,16 @@ def test_removed_places_are_code_points(spark):
     assert row.text == "Éé ü. End." and "".join(text[a:b] for a, b in pairs) == PASSAGE + " "
 
 
+def test_runs_of_three_sentences_go_whole(spark):
+    # Sentences of 15, 15 and 4 words; what follows the copy differs.
+    passage = " ".join(f"a{k}" for k in range(15)) + ". " + " ".join(f"b{k}" for k in range(15)) + ". Short tail of it."
+    rows = [(1, f"{passage} First goes on here."), (2, f"New start. {passage} Second ends there.")]
+    rows += [(3, "Two short. Sentences here."), (4, "Two short. Sentences here."), (5, "Few words"), (6, "few words")]
+    got = {r.doc_id: r for r in drop_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), whole=True).collect()}
+    assert got[2].text == "New start. Second ends there." and got[2].n_removed == 3
+    assert [got[k].n_removed for k in (1, 3, 4, 5, 6)] == [0, 0, 2, 0, 1]
+    assert got[4].text == got[6].text == ""
+
+
 def test_empty_table(spark):
     assert drop_repeated_spans(spark.createDataFrame([], "doc_id long, text string")).count() == 0
