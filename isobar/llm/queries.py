@@ -18,7 +18,7 @@ from isobar.llm.sentence_spans import drop_repeated_spans
 from isobar.llm.spaced_seeds import with_hits
 from isobar.llm.toxicity import contract_split, fit_toxicity, score_column
 from isobar.llm.warc import pages_from_records, read_warc, write_warc
-from isobar.llm.winnowing import as_string, compare_with_edited, likeness
+from isobar.llm.winnowing import as_string, compare_with_edited
 from isobar.queries.registry import table
 from isobar.session import shared_folder
 
@@ -128,8 +128,8 @@ def winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("edited", 256).alias("edited_sha256"),
         as_string("own").alias("fingerprint"),
         as_string("new").alias("edited_fingerprint"),
-        likeness("own_h", "new_h").alias("near_edited"),
-        likeness("own_h", "next_own_h").alias("near_next"),
+        "near_edited",
+        "near_next",
     )
 
 

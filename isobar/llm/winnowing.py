@@ -3,7 +3,8 @@
 The tokens of a text are its words; a text of fewer than `short` code points, or of words of over 16 on average, has its code
 points as tokens. Every `gram` tokens in a row are hashed. Of each `window` hashes in a row the smallest is picked, the
 rightmost of equal ones; the picks with their places are the fingerprint. So any stretch of `window` + `gram` - 1 tokens that
-two texts share (of the same kind of token) gives a common pick, and picks are dense by 2 / (`window` + 1).
+two texts share (of the same kind of token) gives a common pick, and picks are dense by 2 / (`window` + 1). Texts of different
+kinds are compared by their code points.
 
 Defined results: null and empty texts have an empty fingerprint, and two of these are wholly alike; fewer tokens than a gram
 are one gram, fewer grams than a window one window; an empty table gives an empty result; extra columns are ignored. For
@@ -22,22 +23,31 @@ PLACE_BITS = 28
 MOST_BUCKETS = 4096
 
 
-def with_fingerprint(df: DataFrame, text: str, name: str, gram: int = 5, window: int = 16, short: int = 200) -> DataFrame:
-    """Adds `name`_h and `name`_p, the hashes and places picked. Steps that a lambda looks into are columns of their own,
-    so that each is evaluated once."""
+def _by_points(text: str, words: str, short: int) -> str:
+    """Whether a text has its code points as tokens."""
+    return f"(char_length({text}) < {short} OR 16 * size({words}) < char_length({text}))"
+
+
+def with_fingerprint(
+    df: DataFrame, text: str, name: str, gram: int = 5, window: int = 16, short: int = 200, points: bool = False
+) -> DataFrame:
+    """Adds `name`_h and `name`_p, the hashes and places picked, and `name`_c, whether they are of code points; with `points`
+    they always are. Steps that a lambda looks into are columns of their own, so that each is evaluated once."""
     if window & (window - 1):
         raise ValueError("window has to be a power of two")
     last = (1 << PLACE_BITS) - 1
     hashed = ", ".join(f"get(_h, i + {j})" for j in range(gram))
     steps = {
         "_w": rf"array_remove(split({text}, '[\\x20\\x09-\\x0D]+'), '')",
-        "_h": f"transform(CASE WHEN char_length({text}) < {short} OR 16 * size(_w) < char_length({text}) "
+        f"{name}_c": "true" if points else _by_points(text, "_w", short),
+        "_h": f"transform(CASE WHEN {name}_c "
         f"THEN array_remove(split({text}, ''), '') ELSE _w END, x -> xxhash64(x))",
         "_g": f"CASE WHEN size(_h) >= {gram} THEN transform(sequence(0, size(_h) - {gram}), i -> xxhash64({hashed})) "
         "WHEN size(_h) > 0 THEN array(xxhash64(_h)) ELSE CAST(array() AS array<bigint>) END",
         "_m": f"transform(_g, (x, i) -> shiftleft(x & {(1 << 35) - 1}L, {PLACE_BITS}) | CAST({last} - i AS BIGINT))",
     }
-    df = df.withColumn("_w", F.expr(steps["_w"])).withColumn("_h", F.expr(steps["_h"])).drop("_w")
+    df = df.withColumn("_w", F.expr(steps["_w"])).withColumn(f"{name}_c", F.expr(steps[f"{name}_c"]))
+    df = df.withColumn("_h", F.expr(steps["_h"])).drop("_w")
     df = df.withColumn("_g", F.expr(steps["_g"])).drop("_h").withColumn("_m", F.expr(steps["_m"]))
     # Minima over windows of 2, 4, 8 ... hashes; a shorter text has one window.
     few = f"size(_g) < {window}"
@@ -59,6 +69,18 @@ def likeness(a: str, b: str) -> Column:
     return F.when(both == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / both)
 
 
+def _alike(df: DataFrame, name: str, a: tuple[str, str], b: tuple[str, str], **options) -> DataFrame:
+    """Adds the likeness of two texts, given as text and fingerprint. If one is winnowed by words and the other by code points,
+    the former's code points are winnowed too and compared."""
+    (a_text, a_name), (b_text, b_name) = a, b
+    words = F.when(F.col(f"{a_name}_c") == F.col(f"{b_name}_c"), None).when(F.col(f"{a_name}_c"), F.col(b_text)).otherwise(F.col(a_text))
+    # Few texts have another kind than their partner; the others are empty here.
+    df = with_fingerprint(df.withColumn("_v", F.coalesce(words, F.lit(""))), "_v", "_x", points=True, **options)
+    same = F.col(f"{a_name}_c") == F.col(f"{b_name}_c")
+    value = F.when(same, likeness(f"{a_name}_h", f"{b_name}_h")).when(F.col(f"{a_name}_c"), likeness(f"{a_name}_h", "_x_h"))
+    return df.withColumn(name, value.otherwise(likeness("_x_h", f"{b_name}_h"))).drop("_v", "_x_h", "_x_p", "_x_c")
+
+
 def as_string(name: str) -> Column:
     """place:hash, comma-joined, in order of place."""
     return F.expr(f"array_join(zip_with({name}_p, {name}_h, (p, h) -> concat(p, ':', lower(hex(h)))), ',')")
@@ -112,14 +134,19 @@ def with_next(
 def compare_with_edited(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """Fingerprints of each text and of the text with its last half replaced from the next document, and their likeness."""
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    paired = with_next(rows, "doc_id", "text", lambda df: with_fingerprint(df, "text", "own", **options), ["text", "own_h"])
+    paired = with_next(rows, "doc_id", "text", lambda df: with_fingerprint(df, "text", "own", **options), ["text", "own_h", "own_c"])
     half = F.floor(F.char_length("text") / 2).cast("int")
+    paired = _alike(paired, "near_next", ("text", "own"), ("next_text", "next_own"), **options)
     edited = paired.select(
         "doc_id",
+        "text",
         F.char_length("text").cast("long").alias("n_chars"),
         "own_h",
         "own_p",
+        "own_c",
         "next_own_h",
+        "near_next",
         F.concat(F.substring("text", F.lit(1), F.char_length("text") - half), F.substring("next_text", F.lit(1), half)).alias("edited"),
     )
-    return with_fingerprint(edited, "edited", "new", **options)
+    fingerprinted = with_fingerprint(edited, "edited", "new", **options)
+    return _alike(fingerprinted, "near_edited", ("text", "own"), ("edited", "new"), **options).drop("text")

@@ -56,6 +56,16 @@ def test_edited_texts_and_likeness(spark):
         assert row.edited == want[row.doc_id]
 
 
+def test_texts_across_the_border_are_compared(spark):
+    long = " ".join(f"word{k:03d}" for k in range(26))[:201]
+    other = " ".join(str(k * 7919 % 10007) for k in range(1, 90))[:300]
+    rows = [(2, long), (1, long[:199]), (4, other), (3, "y" * 12)]
+    got = {r.doc_id: r for r in compare_with_edited(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[2].own_c != got[1].own_c and got[2].near_next > 0.9
+    # 300 code points become 150 and 12 by the edit, so half of the picks stay.
+    assert got[4].own_c != got[4].new_c and got[4].near_edited > 0.3
+
+
 def test_order_with_nulls_and_repeats(spark):
     rows = [(None, None), (None, "ab"), (5, "x"), (5, "xy z"), (5, "xy z"), (9, "abc def")]
     got = compare_with_edited(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "edited").collect()
