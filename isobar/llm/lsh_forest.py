@@ -1,9 +1,9 @@
 """N-gram Jaccard join by a MinHash LSH forest.
 
 A document is its set of `words_per_gram`-word shingles. Documents with equal sets are one class and are compared once. The
-signature of a class is dealt to `trees` trees; a tree sorts the classes by their `depth` minimum hashes, so that classes with a
-common prefix are neighbours. The matched prefix starts at the whole depth and is shortened until the chance to meet in some
-tree, at the wanted similarity, reaches `recall`.
+signature of a class is dealt to `trees` trees of `depth` minimum hashes. This is banding of a fixed depth: the prefix that has to
+match is the longest one of at most `depth` at which the chance to meet in some tree, at the wanted similarity, reaches `recall`,
+worked out from these numbers and not from the data. Pairs that meet in no tree are not found.
 
 Classes that share such a prefix are candidates, and all pairs of a bucket are verified on the whole shingle sets. A bucket is
 cut into blocks of about `block` classes; each pair of blocks is one group, which multiplies the sets as a matrix and gives back
