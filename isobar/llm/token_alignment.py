@@ -195,11 +195,13 @@ def align(texts: list[str], paths: tuple[str, str]) -> dict[str, list]:
         return out
     end_a, end_b = np.cumsum(first.size[flat_a]), np.cumsum(second.size[flat_b])
     cuts = shared_ends(end_a, end_b, np.cumsum(n_a)[docs] - 1)
-    last_b = np.searchsorted(end_b, end_a[cuts])  # place in B of every shared end
+    reached = np.searchsorted(end_b, end_a)  # the token of B that holds the last byte of each token of A
+    last_b = reached[cuts]  # place in B of every shared end
     doc_a, doc_b = np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)
     out["n_groups"] = np.bincount(doc_a[cuts], minlength=n)
     # The text of groups: A's ids of a group, then B's.
-    group_a, group_b = np.searchsorted(cuts, np.arange(len(flat_a))), np.searchsorted(last_b, np.arange(len(flat_b)))
+    group_a = np.repeat(np.arange(len(cuts)), np.diff(cuts, prepend=-1))
+    group_b = np.repeat(np.arange(len(cuts)), np.diff(last_b, prepend=-1))
     before_b = np.concatenate(([0], last_b[:-1] + 1))
     size = (len(first.within), len(second.within))
     code = np.empty(len(flat_a) + len(flat_b), np.int64)
@@ -212,10 +214,11 @@ def align(texts: list[str], paths: tuple[str, str]) -> dict[str, list]:
     edge = offset[np.concatenate(([0], np.cumsum(n_a + n_b)))]
     for k in docs:
         out["groups_sha256"][k] = hashlib.sha256(data[edge[k] : edge[k + 1] - 1]).hexdigest()
-    # Links: each token of A with the tokens of B from the one that ends after its start to the one that reaches its end.
-    low = np.searchsorted(end_b, end_a - first.size[flat_a], "right")
-    high = np.searchsorted(end_b, end_a, "left")
-    many = high - low + 1
+    # Links: each token of A with the tokens of B from the one that holds its first byte to the one that holds its last.
+    after = reached.copy()
+    after[cuts] += 1
+    low = np.concatenate(([0], after[:-1]))
+    many = reached - low + 1
     pair = (np.repeat(flat_a, many) << SHIFT) | flat_b[_runs(low, many)]
     owner = np.repeat(doc_a, many)
     out["n_links"] = np.bincount(owner, minlength=n)
