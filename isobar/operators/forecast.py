@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from isobar.operators.joins import join_per_key
 from isobar.operators.ordered import newest, split_newest
+from isobar.session import shared_root
 
 # Step of a frequency in seconds.
 STEP_SECONDS = {"H": 3600, "h": 3600, "15min": 900}
@@ -209,7 +210,9 @@ class RegressorForecast:
     def fit(self, train: DataFrame) -> RegressorForecast:
         _need_columns(train, "ds", "y", *self.series, *self.regressors)
         known = train.na.drop(subset=["ds", "y", *self.regressors])
-        self.levels = known.groupBy(*self.series).agg(F.avg("y").alias("_level"))
+        # Kept: fit and predict both use it.
+        shared_root(train.sparkSession)
+        self.levels = known.groupBy(*self.series).agg(F.avg("y").alias("_level")).checkpoint()
         centered = join_per_key(known, self.levels, self.series, "inner").withColumn("_y", F.col("y") - F.col("_level"))
         regression = LinearRegression(
             featuresCol="features", labelCol="_y", predictionCol="_p", solver="normal", regParam=self.ridge
@@ -242,10 +245,12 @@ def holdout_forecast(
     daily: int = 2,
     yearly: int = 0,
     ridge: float = 1e-6,
+    model=None,
 ) -> DataFrame:
     """Test rows of every series with their forecast: `(series, ds, y, yhat)`.
 
-    The last `forecast_length` rows are held out, and the regressors of the future come from them.
+    `model` has `fit` and `predict` like `RegressorForecast`, which is the default; `SeriesRegression` gives every series
+    its own coefficients. The last `forecast_length` rows are held out, and the regressors of the future come from them.
     With `normalise` the target is z-scored first and scaled back at the end, by the statistics of
     the training rows, or under `parity` by those of the test rows as well.
     """
@@ -264,7 +269,8 @@ def holdout_forecast(
             .withColumn("y", F.try_divide(F.col("y") - F.col("_m"), F.col("_s")))
             .drop("_m", "_s")
         )
-    predicted = RegressorForecast(names, series, daily, yearly, ridge).fit(train).predict(test)
+    model = model or RegressorForecast(names, series, daily, yearly, ridge)
+    predicted = model.fit(train).predict(test)
     if normalise:
         predicted = join_per_key(predicted, back, series, "inner").withColumn(
             "yhat", F.col("yhat") * F.col("_s") + F.col("_m")

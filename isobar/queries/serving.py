@@ -391,17 +391,3 @@ def forecast_one_regressor(spark, sf):
         _hourly_regressors(spark, sf), "temperature_2m", ["relative_humidity_2m"], "datetime", daily=0, ridge=0.0
     )
     return tested.select("series", ntz("ds").alias("ds"), r6("y").alias("y"), F.round("yhat", 5).alias("yhat"))
-
-
-@query("forecast_regressors")
-def forecast_regressors(spark, sf):
-    """Hold-out forecast of each provider's hourly mean with payload and activity as regressors."""
-    hourly = events(spark, sf).groupBy(F.col("event_type").alias("series"), hour_of("ts").alias("datetime")).agg(
-        F.avg("value").alias("temperature_2m"),
-        F.avg(payload_k()).alias("relative_humidity_2m"),
-        F.count(F.lit(1)).cast("double").alias("n"),
-    )
-    tested = forecast.holdout_forecast(
-        hourly, "temperature_2m", ["relative_humidity_2m", "n"], "datetime", normalise=True
-    )
-    return forecast.score(tested, keys=["series"])
