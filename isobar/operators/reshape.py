@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 from functools import partial
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -214,17 +215,21 @@ def flatten_by_path(
     df: DataFrame,
     separator: str = "_",
     items: Mapping[str, int] | None = None,
+    most_columns: int = 5000,
 ) -> DataFrame:
     """Columns named by their path: `a_b_c`, `list_0_b`; lists of plain values as text.
 
     Every element of every list of structs gets columns, also of lists inside lists; rows with fewer
     have nulls. A column set has to be fixed before the data is read: the longest lengths are found
-    first (`list_lengths`, one more pass), unless `items` gives the length of each list.
+    first (`list_lengths`, one more pass), unless `items` gives the length of each list. A list so long
+    that there would be more than `most_columns` columns is an error; `sources.variants.leaves` takes it.
     """
     lengths = dict(items or {})
     if any(separator.join(path) not in lengths for path, _ in _list_sizes(df.schema)):
         lengths = list_lengths(df, separator) | lengths
-    columns = _path_columns(df.schema, F.col, "", separator, lengths)
+    columns = list(islice(_path_columns(df.schema, F.col, "", separator, lengths), most_columns + 1))
+    if len(columns) > most_columns:
+        raise ValueError(f"more than {most_columns} columns; lists of {max(lengths.values())} elements belong into rows")
     return df.select(*[column.alias(name) for name, column in columns])
 
 
