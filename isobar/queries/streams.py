@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,39 +14,43 @@ from isobar.queries.feed import SQL_DOCS, SQL_ID, message_log
 from isobar.queries.registry import events, ntz, query, r6, r8, table
 from isobar.schemas import COMMON_MEASURES, TOPICS
 from isobar.session import shared_folder
+from isobar.streaming.closing import means, open_hours, saved_rows, start_closing_hours
 from isobar.streaming.hourly import start_hourly_aggregate
 from isobar.streaming.ingest import distinct_within, ingest_batch, start_all
 from isobar.streaming.stores import document_schema, read_documents, upsert_folder
 from isobar.streaming.windows import start_upserts, windowed_means
 
 
-def land(df: DataFrame, ts: str, folder: str, files: int, *by: str) -> None:
-    """Writes the rows in as many files, one after the other in time order, so that a stream can take them in turn."""
+def thirds(df: DataFrame, ts: str, parts: int = 3) -> list[DataFrame]:
+    """The rows by time, in parts of equal width; the last one holds the end."""
     low, high = df.agg(F.min(ts), F.max(ts)).first()
-    width = (high - low) / files
-    for k in range(files):
-        # The last file holds the end.
-        part = df.filter(F.col(ts) >= F.lit(low + k * width))
-        if k + 1 < files:
-            part = part.filter(F.col(ts) < F.lit(low + (k + 1) * width))
-        part.coalesce(1).write.mode("append").partitionBy(*by).parquet(folder)
+    if low is None:
+        return [df]
+    edges = [low + k * (high - low) / parts for k in range(1, parts)]
+    tests = [F.lit(True), *[F.col(ts) >= F.lit(e) for e in edges]]
+    before = [*[F.col(ts) < F.lit(e) for e in edges], F.lit(True)]
+    return [df.filter(a & b) for a, b in zip(tests, before, strict=True)]
 
 
-def in_turn(spark, schema, path: str) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(path)
+def drain_in_turn(parts: Sequence[DataFrame], folder: str, start: Callable[[], list], *by: str) -> None:
+    """Lands one part after the other, with all tasks, and lets the queries drain each before the next one comes.
 
+    The queries go on from their checkpoints, so every part is a batch that comes later than the one before.
+    """
+    for part in parts:
+        part.write.mode("append").partitionBy(*by).parquet(folder)
+        _drain(*start())
 
-def log_by_topic(spark, sf, folder: str, files: int):
-    """The message log landed by topic; gives the stream of one topic, a file per batch."""
-    log = message_log(spark, sf)
-    if files > 1:
-        land(log, "timestamp", folder, files, "topic")
-    else:
-        log.write.partitionBy("topic").parquet(folder)
+
+def landed(spark, schema, path: str) -> DataFrame:
+    return spark.readStream.schema(schema).parquet(path)
+
+
+def by_topic(spark, log: DataFrame, folder: str):
+    """Gives the stream of one topic of a log that is landed by topic."""
 
     def read(topic: str) -> DataFrame:
-        schema = log.drop("topic").schema
-        rows = in_turn(spark, schema, f"{folder}/topic={topic}") if files > 1 else spark.readStream.schema(schema).parquet(f"{folder}/topic={topic}")
+        rows = landed(spark, log.drop("topic").schema, f"{folder}/topic={topic}")
         return rows.withColumn("topic", F.lit(topic)).select(*log.columns)
 
     return read
@@ -61,12 +67,15 @@ def _drain(*queries) -> None:
     FROM events GROUP BY ALL""",
 )
 def windowed_mean_stream(spark, sf):
-    """Hourly means of a drained stream of several files, kept current in a keyed folder by update mode."""
+    """Hourly means of a stream that is drained in three parts, kept current in a keyed folder by update mode."""
     folder = shared_folder(spark, "windows")
     rows = events(spark, sf).select("event_type", "ts", "value")
-    land(rows, "ts", f"{folder}/in", 3)
-    means = windowed_means(in_turn(spark, rows.schema, f"{folder}/in"), "ts", ["event_type"], ["value"])
-    _drain(start_upserts(means, f"{folder}/table", f"{folder}/checkpoint", ["event_type", "timestamp"], ["n"]))
+
+    def start():
+        means = windowed_means(landed(spark, rows.schema, f"{folder}/in"), "ts", ["event_type"], ["value"])
+        return [start_upserts(means, f"{folder}/table", f"{folder}/checkpoint", ["event_type", "timestamp"], ["n"])]
+
+    drain_in_turn(thirds(rows, "ts"), f"{folder}/in", start)
     return spark.read.parquet(f"{folder}/table").select(
         "event_type", ntz("timestamp").alias("timestamp"), r8("value").alias("value"), "n"
     )
@@ -88,8 +97,9 @@ def _stored(spark, sf, folder) -> DataFrame:
 def stream_ingest(spark, sf):
     """Three ingest queries over one log; first write per id wins."""
     folder = shared_folder(spark, "ingest")
-    log = log_by_topic(spark, sf, f"{folder}/log", 1)
-    _drain(*start_all(log, folder, f"{folder}/checkpoints", F.col("timestamp")))
+    log = message_log(spark, sf)
+    log.write.partitionBy("topic").parquet(f"{folder}/log")
+    _drain(*start_all(by_topic(spark, log, f"{folder}/log"), folder, f"{folder}/checkpoints", F.col("timestamp")))
     return _stored(spark, sf, folder)
 
 
@@ -129,14 +139,14 @@ def restarted_ingest(spark, sf):
 def distinct_within_watermark(spark, sf):
     """Copies dropped by bounded state alone, in a stream."""
     folder = shared_folder(spark, "distinct")
-    log = log_by_topic(spark, sf, f"{folder}/log", 3)("open-weather")
-    docs = provider_documents(log, "open-weather", F.col("timestamp"))
-    stream = (
-        distinct_within(docs, "2 hours").select("_id").writeStream.format("parquet")
-        .option("path", f"{folder}/ids").option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True).start()
-    )
-    _drain(stream)
+    log = message_log(spark, sf).filter("topic = 'open-weather'")
+
+    def start():
+        docs = provider_documents(by_topic(spark, log, f"{folder}/log")("open-weather"), "open-weather", F.col("timestamp"))
+        ids = distinct_within(docs, "2 hours").select("_id").writeStream.format("parquet").option("path", f"{folder}/ids")
+        return [ids.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()]
+
+    drain_in_turn(thirds(log, "timestamp"), f"{folder}/log", start, "topic")
     return spark.read.parquet(f"{folder}/ids")
 
 
@@ -144,8 +154,11 @@ def distinct_within_watermark(spark, sf):
 def hourly_aggregate_stream(spark, sf):
     """The hourly aggregate over providers, from a drained stream of messages."""
     folder = shared_folder(spark, "hourly")
-    log = log_by_topic(spark, sf, f"{folder}/log", 3)
-    _drain(*start_hourly_aggregate(log, folder, f"{folder}/checkpoint", JAKARTA))
+    log = message_log(spark, sf)
+    read = by_topic(spark, log, f"{folder}/log")
+    drain_in_turn(
+        thirds(log, "timestamp"), f"{folder}/log", lambda: start_hourly_aggregate(read, folder, f"{folder}/checkpoint", JAKARTA), "topic"
+    )
     summary = spark.read.parquet(f"{folder}/summary").drop("event_date")
     return summary.withColumns(
         {"timestamp": ntz("timestamp"), **{f"avg_{c}": r6(f"avg_{c}") for c in COMMON_MEASURES}}
@@ -166,3 +179,33 @@ def upsert_folder_latest(spark, sf):
     upsert_folder(keyed.filter(~early).drop("event_type"), folder, ["user_id", "timestamp"], ["ts"])
     upsert_folder(keyed.filter(early).drop("event_type"), folder, ["user_id", "timestamp"], ["ts"])
     return spark.read.parquet(folder).select("user_id", ntz("timestamp").alias("timestamp"), "value")
+
+
+@query(
+    "late_rows_kept",
+    """WITH e AS (SELECT event_type, value, event_id % 10 = 0 AS behind, ts, date_trunc('hour', ts) AS timestamp FROM events),
+    w AS (SELECT max(ts) FILTER (NOT behind) - INTERVAL 1 HOUR AS passed, max(ts) - INTERVAL 1 HOUR AS last FROM e),
+    k AS (SELECT event_type, timestamp, value, CASE WHEN behind AND timestamp + INTERVAL 1 HOUR <= passed THEN 'late'
+        WHEN timestamp + INTERVAL 1 HOUR <= last THEN 'closed' ELSE 'open' END AS kind FROM e, w)
+    SELECT kind, event_type, timestamp, round(avg(value), 8) AS value, count(*) AS n FROM k GROUP BY ALL""",
+)
+def late_rows_kept(spark, sf):
+    """A stream of three parts, the last of which holds a tenth of all times: what is in closed hours, late, or still open."""
+    folder = shared_folder(spark, "closing")
+    rows = events(spark, sf).select("event_id", "event_type", "ts", "value")
+    behind = F.col("event_id") % 10 == 0
+    middle = F.lit("2024-01-16").cast("timestamp")
+    parts = [rows.filter(~behind & (F.col("ts") < middle)), rows.filter(~behind & (F.col("ts") >= middle)), rows.filter(behind)]
+    keys, values = ["event_type"], ["value"]
+
+    def start():
+        source = landed(spark, rows.schema, f"{folder}/in")
+        return [start_closing_hours(source, "ts", keys, values, f"{folder}/out", f"{folder}/checkpoint", "1 hour")]
+
+    drain_in_turn(parts, f"{folder}/in", start)
+    fields = [rows.schema[k] for k in keys]
+    kinds = {k: saved_rows(spark, f"{folder}/out", fields, values, k) for k in ("closed", "late")}
+    kinds["open"] = open_hours(spark, f"{folder}/checkpoint", keys, values)
+    found = [means(df, keys, values).withColumn("kind", F.lit(k)) for k, df in kinds.items()]
+    out = found[0].unionByName(found[1]).unionByName(found[2])
+    return out.withColumns({"timestamp": ntz("timestamp"), "value": r8("value")})
