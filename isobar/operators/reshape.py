@@ -138,6 +138,11 @@ RESHAPERS = {
 }
 
 
+def message_id(topic: str) -> Column:
+    """The `_id` that the topic's documents get, over parsed records."""
+    return binary_text_id(zoned_text("envelope.data.dt")) if topic == OPEN_WEATHER else _record_id(False)
+
+
 def provider_documents(records: DataFrame, topic: str, created_at: Column | None = None) -> DataFrame:
     """Documents of one topic's good records, each with the columns its id was made from."""
     return RESHAPERS[topic](good_records(parse_envelopes(records, topic)), created_at)

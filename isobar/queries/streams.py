@@ -15,6 +15,7 @@ from isobar.queries.registry import events, ntz, query, r6, r8, table
 from isobar.schemas import COMMON_MEASURES, TOPICS
 from isobar.session import shared_folder
 from isobar.streaming.closing import means, open_hours, saved_rows, start_closing_hours
+from isobar.streaming.first_write import start_first_write
 from isobar.streaming.hourly import start_hourly_aggregate
 from isobar.streaming.ingest import distinct_within, ingest_batch, start_all
 from isobar.streaming.stores import document_schema, read_documents, upsert_folder
@@ -132,6 +133,30 @@ def restarted_ingest(spark, sf):
     return _stored(spark, sf, folder)
 
 
+@query("ids_in_state", _SQL_STORED)
+def ids_in_state(spark, sf):
+    """First write wins without reading the store: a log in two parts, then all of it again but its first quarter by a query with a
+    new checkpoint, whose state starts from the stored ids."""
+    folder = shared_folder(spark, "first")
+    log = message_log(spark, sf)
+    last = log.agg(F.max("offset")).first()[0]
+    offset = F.col("offset")
+
+    def start(source: str, checkpoint: str, known: bool):
+        read = by_topic(spark, log, f"{folder}/{source}")
+        stored = _stored(spark, sf, folder).withColumnRenamed("offset", "o") if known else None
+        return [
+            start_first_write(
+                read(t), t, folder, f"{folder}/{checkpoint}", stored.filter(F.col("topic") == t) if known else None, created_at=F.col("timestamp")
+            )
+            for t in TOPICS
+        ]
+
+    drain_in_turn([log.filter(offset <= last // 2), log.filter(offset > last // 2)], f"{folder}/log", lambda: start("log", "c1", False), "topic")
+    drain_in_turn([log.filter(offset > last // 4)], f"{folder}/again", lambda: start("again", "c2", True), "topic")
+    return _stored(spark, sf, folder)
+
+
 @query(
     "distinct_within_watermark",
     f"SELECT {SQL_ID} AS _id FROM {SQL_DOCS} WHERE topic = 'open-weather'",

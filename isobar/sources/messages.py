@@ -75,7 +75,7 @@ def parse_envelopes(records: DataFrame, topic: str) -> DataFrame:
 REQUIRED = ("location", "current", "dt")
 
 
-def _is_good(parsed: DataFrame) -> Column:
+def is_good(parsed: DataFrame) -> Column:
     """Well-formed JSON that names its provider and holds the required parts of its payload."""
     payload = parsed.schema["envelope"].dataType["data"].dataType
     present = ["provider", *[f"data.{name}" for name in REQUIRED if name in payload.names]]
@@ -84,12 +84,12 @@ def _is_good(parsed: DataFrame) -> Column:
 
 
 def good_records(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(_is_good(parsed))
+    return parsed.filter(is_good(parsed))
 
 
 def rejected_records(parsed: DataFrame) -> DataFrame:
     """What `good_records` leaves out, as raw text for the quarantine sink."""
-    return parsed.filter(~_is_good(parsed)).select(
+    return parsed.filter(~is_good(parsed)).select(
         "topic",
         "partition",
         "offset",
