@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from isobar.operators import ordered, quality
+from isobar.operators import ordered, quality, sketches
 from isobar.operators.project import cast_column, without_rows
 from isobar.operators.forecast import context_rows
 from isobar.plans.quality import null_report, null_spans
 from isobar.queries.registry import SQL_GAPPED, events, gapped_events, query, r6, table
+from isobar.session import shared_folder
 
 _GAPPED = ("event_id", "value", "props")
 
@@ -235,3 +236,59 @@ def cast_text(spark, sf):
         F.col("o_orderstatus").alias("status"),
     )
     return cast_column(cast_column(rows, "priority", "double"), "status", "double")
+
+
+_SQL_FACTS = f"""SELECT CAST(ts AS DATE) AS day, 'value' AS column_name, value AS x FROM {SQL_GAPPED}
+    UNION ALL SELECT CAST(ts AS DATE), 'user_id', CAST(user_id AS DOUBLE) FROM {SQL_GAPPED}"""
+
+
+def _kept_days(spark, sf):
+    """The facts of every day, made in two goes as if the second half had come later."""
+    rows, folder = gapped_events(spark, sf), shared_folder(spark, "facts")
+    day = F.to_date("ts")
+    days = sorted(r[0] for r in rows.select(day).distinct().collect())
+    for part in (days[: len(days) // 2], days[len(days) // 2 :]):
+        sketches.keep_facts(rows, day, folder, part, ["value", "user_id"])
+    return sketches.kept_facts(spark, folder)
+
+
+@query(
+    "daily_facts",
+    f"""SELECT day, column_name, count(*) AS n_rows, count(x) AS n_values, round(avg(x), 6) AS mean, min(x) AS min, max(x) AS max
+    FROM ({_SQL_FACTS}) GROUP BY day, column_name""",
+)
+def daily_facts(spark, sf):
+    """Facts kept per day and column; a later day leaves the others as they are."""
+    kept = _kept_days(spark, sf)
+    return kept.select("day", "column_name", "n_rows", "n_values", r6("mean").alias("mean"), "min", "max")
+
+
+@query(
+    "profile_of_span",
+    f"""SELECT day >= DATE '2024-01-15' AS late, column_name, count(*) AS n_rows, count(x) AS n_values,
+        round(100.0 * (count(*) - count(x)) / count(*), 6) AS pct_null, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std,
+        min(x) AS min, max(x) AS max, TRUE AS close_median, TRUE AS close_distinct FROM ({_SQL_FACTS}) GROUP BY ALL""",
+)
+def profile_of_span(spark, sf):
+    """Profiles of two spans merged from kept days; the estimates are held against the rows."""
+    late = F.col("day") >= F.lit("2024-01-15").cast("date")
+    merged = sketches.merged_profile(_kept_days(spark, sf).withColumn("late", late), (0.5,), ["late"])
+    rows = gapped_events(spark, sf).withColumn("day", F.to_date("ts"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in ("value", "user_id")])
+    each = rows.select(late.alias("late"), F.inline(pairs))
+    bounds = merged.select("late", "column_name", F.col("q")[0].alias("median"), "n_distinct")
+    # Two spans of two columns.
+    held = each.join(F.broadcast(bounds), ["late", "column_name"]).groupBy("late", "column_name")
+    held = held.agg(
+        F.count_if(F.col("x") < F.col("median")).alias("below"),
+        F.count_if(F.col("x") <= F.col("median")).alias("upto"),
+        F.count("x").alias("n"),
+        F.count_distinct("x").alias("distinct"),
+    )
+    near = (F.col("below") <= (0.5 + sketches.RANK_ERROR) * F.col("n")) & (F.col("upto") >= (0.5 - sketches.RANK_ERROR) * F.col("n"))
+    same = F.abs(F.col("n_distinct") / F.col("distinct") - 1) < sketches.DISTINCT_ERROR
+    out = merged.join(F.broadcast(held), ["late", "column_name"])
+    return out.select(
+        "late", "column_name", "n_rows", "n_values", r6("pct_null").alias("pct_null"), r6("mean").alias("mean"), r6("std").alias("std"),
+        "min", "max", near.alias("close_median"), same.alias("close_distinct"),
+    )
