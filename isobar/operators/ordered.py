@@ -41,7 +41,9 @@ def with_slices(
         total, longest = sizes.agg(F.sum("_n"), F.max("_n")).first()
         if (longest or 0) <= target_rows:
             return None
-        ranges = max(ranges, math.ceil(total / target_rows))
+    else:
+        total = df.count()
+    ranges = max(ranges, math.ceil(total / target_rows))
     shared_root(spark)
     # Maps have no hash; rows that differ in nothing else may lie in any order.
     hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]

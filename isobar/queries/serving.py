@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from isobar.functions.times import hour_of, quarter_hour_of
@@ -9,6 +11,7 @@ from isobar.operators import dashboard, forecast, serving
 from isobar.operators.project import latest_projection, where_equal
 from isobar.queries.registry import SQL_K, events, ntz, payload_k, query, r6
 from isobar.sources.documents import find, page_after, scan_all, since, until_hour
+from isobar.sources.files import read_table, replace_table
 
 
 @query("latest_row", "SELECT event_id, ts, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 1")
@@ -391,3 +394,13 @@ def forecast_one_regressor(spark, sf):
         _hourly_regressors(spark, sf), "temperature_2m", ["relative_humidity_2m"], "datetime", daily=0, ridge=0.0
     )
     return tested.select("series", ntz("ds").alias("ds"), r6("y").alias("y"), F.round("yhat", 5).alias("yhat"))
+
+
+@query("table_replaced", "SELECT event_id, value FROM events WHERE event_type <> 'click'")
+def table_replaced(spark, sf):
+    """A table of the catalog that is replaced, and scanned in full."""
+    name = f"replaced_{uuid.uuid4().hex}"
+    rows = events(spark, sf)
+    replace_table(rows.select("event_id", F.lit(0.0).alias("old")), name)
+    replace_table(rows.filter("event_type <> 'click'").select("event_id", "value"), name)
+    return read_table(spark, name)

@@ -18,7 +18,9 @@ from isobar.streaming.closing import means, open_hours, saved_rows, start_closin
 from isobar.streaming.first_write import start_first_write
 from isobar.streaming.hourly import start_hourly_aggregate
 from isobar.streaming.ingest import distinct_within, ingest_batch, start_all
+from isobar.streaming.packing import drop_packed, pack_days, read_store
 from isobar.streaming.stores import document_schema, read_documents, upsert_folder
+from isobar.streaming.versions import VersionedTable
 from isobar.streaming.windows import start_upserts, windowed_means
 
 
@@ -234,3 +236,41 @@ def late_rows_kept(spark, sf):
     found = [means(df, keys, values).withColumn("kind", F.lit(k)) for k, df in kinds.items()]
     out = found[0].unionByName(found[1]).unionByName(found[2])
     return out.withColumns({"timestamp": ntz("timestamp"), "value": r8("value")})
+
+
+@query(
+    "published_upserts",
+    """SELECT 1 AS list, user_id, date_trunc('hour', ts) AS timestamp, arg_max(value, ts) AS value
+    FROM events WHERE event_type NOT IN ('click', 'view') GROUP BY ALL
+    UNION ALL SELECT 2, user_id, date_trunc('hour', ts), arg_max(value, ts) FROM events GROUP BY ALL""",
+)
+def published_upserts(spark, sf):
+    """The latest reading per place and hour, published twice: a reader of the first list and one of the second."""
+    rows = events(spark, sf).select("user_id", F.date_trunc("hour", "ts").alias("timestamp"), "ts", "value", "event_type")
+    early = F.col("event_type").isin("click", "view")
+    keyed = rows.drop("event_type")
+    target = VersionedTable(spark, shared_folder(spark, "published"), keyed.schema)
+    target.upsert(rows.filter(~early).drop("event_type"), ["user_id", "timestamp"], ["ts"])
+    first = target.read()
+    target.upsert(rows.filter(early).drop("event_type"), ["user_id", "timestamp"], ["ts"])
+    both = first.withColumn("list", F.lit(1)).unionByName(target.read().withColumn("list", F.lit(2)))
+    return both.select("list", "user_id", ntz("timestamp").alias("timestamp"), "value")
+
+
+@query("packed_ingest", _SQL_STORED)
+def packed_ingest(spark, sf):
+    """A store whose first days are packed between two batches, and a replay of all that was ingested before."""
+    folder = shared_folder(spark, "packed")
+    log = message_log(spark, sf)
+    half = log.agg(F.max("offset")).first()[0] // 2
+    parts = []
+    for topic in TOPICS:
+        store, schema = f"{folder}/{topic}", document_schema(provider_documents(log, topic))
+        ingest_batch(log.filter(F.col("offset") <= half), 0, topic, folder, F.col("timestamp"), "first")
+        days = sorted(r[0] for r in read_store(spark, store, schema).select("id_date").distinct().collect())
+        pack_days(spark, store, schema, days[:-1])
+        drop_packed(spark, store, schema)
+        ingest_batch(log, 0, topic, folder, F.col("timestamp"), "second")
+        docs = read_store(spark, store, schema)
+        parts.append(docs.select(F.lit(topic).alias("topic"), "_id", "offset"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

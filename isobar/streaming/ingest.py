@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from isobar.operators.reshape import RESHAPERS
 from isobar.schemas import TOPICS
 from isobar.sources.messages import good_records, parse_envelopes, rejected_records
+from isobar.streaming.packing import read_store
 from isobar.streaming.stores import run_of, save_new_documents
 
 
@@ -37,7 +38,7 @@ def ingest_batch(
     parsed = parse_envelopes(records, topic).persist()
     try:
         documents = RESHAPERS[topic](good_records(parsed), created_at)
-        save_new_documents(documents, batch_id, f"{store}/{topic}", run)
+        save_new_documents(documents, batch_id, f"{store}/{topic}", run, read_store)
         rejected_records(parsed).write.mode("overwrite").parquet(
             f"{store}/_quarantine/{topic}/run={run}/batch={batch_id}"
         )

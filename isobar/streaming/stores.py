@@ -84,13 +84,14 @@ def run_of(batch: DataFrame, default: str = "batch") -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or default
 
 
-def save_new_documents(documents: DataFrame, batch_id: int, folder: str, run: str = "batch") -> None:
+def save_new_documents(documents: DataFrame, batch_id: int, folder: str, run: str = "batch", read=None) -> None:
     """Adds the documents whose id is not stored yet; the first of each id wins.
 
     An id is made from a time (`id_time`), so copies share its date and only the stored ids of the
     batch's dates are read. Every batch of a run owns a partition of each date and replaces it when it
     is run again, so a retry after a failure leaves no copies. Batch numbers start anew with a new
     checkpoint, and a backfill has its own, so `run` keeps theirs apart: one never replaces the other's.
+    `read` gives what is stored, from session, folder, schema and days; by default the folder's rows.
     """
     spark = documents.sparkSession
     schema = document_schema(documents)
@@ -98,7 +99,8 @@ def save_new_documents(documents: DataFrame, batch_id: int, folder: str, run: st
     counts = rows_per_day(dated, "id_date")
     if not counts:
         return
-    stored = read_folder(spark, folder, schema, "id_date", list(counts)).filter((F.col("run") != run) | (F.col("batch") != batch_id))
+    held = read(spark, folder, schema, list(counts)) if read else read_folder(spark, folder, schema, "id_date", list(counts))
+    stored = held.filter((F.col("run") != run) | (F.col("batch") != batch_id))
     fresh = insert_if_absent(dated, stored, "_id", "partition", "offset")
     spread = spread_by_day(fresh, "id_date", counts, ["_id"])
     owned = spread.withColumns({"run": F.lit(run), "batch": F.lit(batch_id)})
