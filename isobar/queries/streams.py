@@ -19,6 +19,7 @@ from isobar.streaming.first_write import start_first_write
 from isobar.streaming.hourly import start_hourly_aggregate
 from isobar.streaming.ingest import distinct_within, ingest_batch, start_all
 from isobar.streaming.packing import drop_packed, pack_days, read_store
+from isobar.streaming.rates import RateListener, read_rates, start_measured_ingest
 from isobar.streaming.stores import document_schema, read_documents, upsert_folder
 from isobar.streaming.versions import VersionedTable
 from isobar.streaming.windows import start_upserts, windowed_means
@@ -274,3 +275,36 @@ def packed_ingest(spark, sf):
         docs = read_store(spark, store, schema)
         parts.append(docs.select(F.lit(topic).alias("topic"), "_id", "offset"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    "stream_rates",
+    """SELECT 'ingest-' || CASE WHEN event_type IN ('click', 'view') THEN 'free-weather'
+        WHEN event_type IN ('purchase', 'signup') THEN 'open-weather' ELSE 'open-meteo' END AS query,
+        count(*)::BIGINT AS input_rows, count(*) FILTER (event_id % 7 <> 0) AS accepted, count(*) FILTER (event_id % 7 = 0) AS rejected
+    FROM events GROUP BY ALL""",
+)
+def stream_rates(spark, sf):
+    """What ingest reports of a log in which every seventh message is cut short, summed over its batches."""
+    folder = shared_folder(spark, "rates")
+    log = message_log(spark, sf)
+    cut = F.expr("binary(substring(string(value), 1, 20))")
+    log = log.withColumn("value", F.when(F.col("offset") % 7 == 0, cut).otherwise(F.col("value")))
+    listener = RateListener(spark, f"{folder}/rates")
+    read = by_topic(spark, log, f"{folder}/log")
+    spark.streams.addListener(listener)
+    try:
+
+        def start():
+            queries = [start_measured_ingest(read(t), t, folder, f"{folder}/checkpoints", F.col("timestamp")) for t in TOPICS]
+            started.extend(queries)
+            return queries
+
+        started: list = []
+        drain_in_turn([log.filter("offset % 2 = 0"), log.filter("offset % 2 = 1")], f"{folder}/log", start, "topic")
+        if not all(listener.wait(q) for q in started):
+            raise TimeoutError("the batches of a query were not reported")
+    finally:
+        spark.streams.removeListener(listener)
+    rates = read_rates(spark, f"{folder}/rates")
+    return rates.groupBy("query").agg(*[F.sum(c).alias(c) for c in ("input_rows", "accepted", "rejected")])

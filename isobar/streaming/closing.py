@@ -145,7 +145,7 @@ def start_closing_hours(
 
     with keyed_state(readings.sparkSession):
         return (
-            closing_hours(readings, ts, keys, values, delay)
+            observed_hours(closing_hours(readings, ts, keys, values, delay))
             .writeStream.option("checkpointLocation", checkpoint)
             .foreachBatch(save)
             .trigger(**(trigger or {"availableNow": True}))
@@ -153,6 +153,13 @@ def start_closing_hours(
         )
 
 
+def observed_hours(hours: DataFrame) -> DataFrame:
+    """Counts late rows, and the rows of closed hours, as they pass; `rates.RateListener` writes them."""
+    kind = F.col("kind")
+    closed = F.coalesce(F.sum(F.when(kind == "closed", F.col("n"))), F.lit(0))
+    return hours.observe("rates", F.count_if(kind == "late").alias("late"), closed.alias("closed"))
+
+
 def saved_rows(spark: SparkSession, folder: str, keys: Sequence[T.StructField], values: Sequence[str], kind: str) -> DataFrame:
     """Closed hours or late rows that were written; no rows when there are none."""
     schema = T.StructType([*keys, T.StructField("timestamp", T.TimestampType())]).add("ts", "timestamp").add("n", "long")

@@ -32,10 +32,11 @@ def ingest_batch(
 ) -> None:
     """One micro-batch: good records to the topic's documents, the others to its quarantine.
 
-    `run` names whose batch it is; in a stream that is the query, whose id its checkpoint keeps.
+    `run` names whose batch it is; in a stream that is the query, whose id its checkpoint keeps. Records
+    may have been parsed already.
     """
     run = run or run_of(records)
-    parsed = parse_envelopes(records, topic).persist()
+    parsed = (records if "envelope" in records.columns else parse_envelopes(records, topic)).persist()
     try:
         documents = RESHAPERS[topic](good_records(parsed), created_at)
         save_new_documents(documents, batch_id, f"{store}/{topic}", run, read_store)
