@@ -5,7 +5,8 @@ random permutation. A source gives each of its blocks once for every whole time
 rest so many blocks in permuted order as fit; the last of these is cut inside, document by document. The blocks that the
 sources give are exact quotas. A binary tree over the output shards splits the quotas: at each node the left half's share is
 one multivariate hypergeometric draw, so every shard's total is fixed and every mixture of blocks is as likely as by shuffling
-all of them. Shards then take disjoint runs of each source's permuted blocks, and are shuffled inside by a hash.
+all of them. Shards then take disjoint runs of each source's permuted blocks, and are shuffled inside: each copy has a place of
+its own there, a hash of the document, the draw and the shard that has nothing to do with the blocks.
 
 Defined results: a null text has no words; null is a source of its own, after all others; documents without words are never
 drawn; equal rows are drawn each for itself; tables without words have targets of 0; no document is drawn more often than
@@ -122,9 +123,9 @@ def mix(
     source: str = "source",
     doc_id: str = "doc_id",
 ) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken, shards.
+    """One row per document: doc_id, source, size, source_size, target, taken, shards, places.
 
-    `shards` has the output shard of each copy drawn, `spot` the hash by which a shard is shuffled inside.
+    `shards` has the output shard of each copy drawn, `places` its place there (see `shard_rows`); `spot` tells its block.
     """
     spark = documents.sparkSession
     rows = documents.select(
@@ -169,7 +170,7 @@ def mix(
     drawn = F.col("times") * F.col("blocks") + F.col("block")
     whole = F.expr("CASE WHEN times > 0 THEN transform(sequence(0L, times - 1), t -> t * blocks + block) ELSE array() END")
     more = F.when((F.col("block") < F.col("last")) | F.col("extra"), F.array(drawn)).otherwise(F.array().cast("array<bigint>"))
-    copies = placed.select("row", "number", F.explode(F.concat(whole.cast("array<bigint>"), more)).alias("draw"))
+    copies = placed.select("row", "number", "doc_id", "spot", F.explode(F.concat(whole.cast("array<bigint>"), more)).alias("draw"))
 
     quotas = join_counted(sources.filter("source_size > 0"), ends, ["number"]).select(
         "number", (F.col("times") * F.col("blocks") + F.coalesce(F.col("last") + 1, F.lit(0))).alias("quota")
@@ -180,8 +181,9 @@ def mix(
     dealt = runs.select("number", "shard", F.explode(F.sequence("first", F.col("first") + F.col("quota") - 1)).alias("draw"))
     taken = (
         copies.join(dealt, ["number", "draw"])
+        .withColumn("place", F.xxhash64(F.lit(seed + 1), "doc_id", "spot", "draw", "shard"))
         .groupBy("row")
-        .agg(F.count("*").alias("times_taken"), F.sort_array(F.collect_list("shard")).alias("shards"))
+        .agg(F.count("*").alias("times_taken"), F.sort_array(F.collect_list(F.struct("shard", "place"))).alias("copies"))
     )
     result = join_counted(rows, sources.select("source", "source_size", "target"), ["source"]).join(taken, "row", "left")
     return result.select(
@@ -191,6 +193,15 @@ def mix(
         "source_size",
         "target",
         (F.col("size") * F.coalesce("times_taken", F.lit(0))).cast("long").alias("taken"),
-        F.coalesce("shards", F.array().cast("array<bigint>")).alias("shards"),
+        F.coalesce("copies.shard", F.array().cast("array<bigint>")).alias("shards"),
+        F.coalesce("copies.place", F.array().cast("array<bigint>")).alias("places"),
         "spot",
     )
+
+
+def shard_rows(mixed: DataFrame, tasks: int | None = None) -> DataFrame:
+    """(shard, place, doc_id, source) of every copy; each shard's copies lie together, in their shuffled order."""
+    copies = mixed.select("doc_id", "source", F.inline(F.arrays_zip(F.col("shards").alias("shard"), F.col("places").alias("place"))))
+    copies = copies.select("shard", "place", "doc_id", "source")
+    dealt = copies.repartition("shard") if tasks is None else copies.repartition(tasks, "shard")
+    return dealt.sortWithinPartitions("shard", "place", "doc_id")

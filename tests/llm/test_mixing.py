@@ -2,7 +2,7 @@ import brute
 import numpy as np
 import pytest
 
-from isobar.llm.mixing import mix, split_quotas
+from isobar.llm.mixing import mix, shard_rows, split_quotas
 
 
 def level(sizes, weights, share=1.5, limit=2.0):
@@ -75,3 +75,30 @@ def test_empty_tables(spark):
     assert mix(empty).count() == 0
     blank = spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string")
     assert [(r.target, r.taken) for r in mix(blank).collect()] == [(0.0, 0), (0.0, 0)]
+
+
+def test_shards_are_shuffled_inside(spark):
+    """Places tell nothing about blocks, and the sources of a shard lie mixed."""
+    rows = [(i, "w " * 50, f"s{i % 3}") for i in range(6000)]
+    mixed = mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block_words=500, blocks_per_shard=200)
+    spot = {r.doc_id: r.spot for r in mixed.collect()}
+    shards = {}
+    for r in shard_rows(mixed, 4).collect():
+        shards.setdefault(r.shard, []).append((r.place, r.doc_id, r.source))
+    assert len(shards) > 1 and sum(map(len, shards.values())) == sum(len(r.shards) for r in mixed.collect())
+    for copies in shards.values():
+        assert copies == sorted(copies)
+        assert abs(np.corrcoef(np.arange(len(copies)), [spot[d] for _, d, _ in copies])[0, 1]) < 0.1
+        half = len(copies) // 2
+        for source in ("s0", "s1", "s2"):
+            first = sum(s == source for *_, s in copies[:half])
+            both = sum(s == source for *_, s in copies)
+            assert abs(first - both / 2) < 5 * (both / 4) ** 0.5 + 1
+
+
+def test_many_equal_rows(spark):
+    rows = [(1, "same text here", "a")] * 3000 + [(2 + i, "other words in it", "b") for i in range(300)]
+    got = mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block_words=100, blocks_per_shard=8).collect()
+    assert len(got) == 3300 and all(len(r.shards) == len(r.places) <= 2 for r in got)
+    for source, target in {(r.source, r.target) for r in got}:
+        assert abs(sum(r.taken for r in got if r.source == source) - target) <= 4
