@@ -3,14 +3,18 @@
 A mask ignores some of the token positions it spans; the tokens it looks at are hashed together at every position of the test
 items and of the documents. A document position whose hash is one of an item's is a hit, which lays the item along the
 document. Around the hit the tokens are compared one by one: a stretch of `overlap` tokens of which at least `same` parts agree
-is an overlap, so replaced tokens do not hide a passage. Items shorter than `overlap` must agree over their whole length.
+is an overlap, so replaced tokens do not hide a passage. Items shorter than `overlap` must agree as much over their whole length.
+
+No overlap of 13 tokens with two replaced is missed: one of the masks looks at none of any two positions. Shorter items are cut
+into one more run of tokens than may be replaced; one run is whole then, and runs are seeds too. Both were counted out, and hold
+for the default `overlap` and `same`; other values give longer overlaps less than this.
 
 Tokens are runs of letters and digits in lower case. Test items go to the workers in blocks of at most about `block_tokens`
 tokens; each block is one pass over the documents.
 
 Defined results: null and empty texts have no hits; an empty benchmark gives none; items with equal tokens count once, as the
-smallest id; items shorter than the shortest mask have no seeds and are never found; of equal seeds within one item the first
-counts; equal documents get equal hits; other columns stay as they are.
+smallest id; an item of one token is found wherever the token is; all places of a seed that an item repeats count; equal
+documents get equal hits; a column called as the new one is replaced, others stay as they are.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from isobar.llm.textarrays import NORMAL_WORDS, Words, lists, mix, words
 
 #: Fixed masks of six tokens each; 0 is an ignored position.
-MASKS = ("1110111", "11011011", "101101101", "1100101011")
+MASKS = ("1110111", "11011011", "101101101", "1100101011", "11100111")
 FILTER_BITS = 22
 HIT = "array<struct<item: bigint, start: int, end: int, same: int, length: int>>"
 _HIT = pa.struct([("item", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("same", pa.int32()), ("length", pa.int32())])
@@ -57,29 +61,43 @@ class Items:
     item: np.ndarray
     place: np.ndarray
     near: np.ndarray
-    masks: tuple[str, ...]
+    masks: list[tuple[str, int]]
+
 
+def short_runs(length: int, same: float) -> list[tuple[int, int]]:
+    """(first token, tokens) of the runs a short item is cut into: one more than its tokens that may differ."""
+    parts = length - int(np.ceil(same * length - 1e-9)) + 1
+    edges = [k * length // parts for k in range(parts + 1)]
+    return [(a, b - a) for a, b in zip(edges, edges[1:]) if b > a]
 
-def index_items(ids: list, texts: pa.Array, masks: Sequence[str]) -> Items:
+
+def index_items(ids: list, texts: pa.Array, masks: Sequence[str], overlap: int = 13, same: float = 0.8) -> Items:
     """Items with equal tokens must have been reduced to one."""
+    runs: set[int] = set()
     tokens, sizes, found = [], [], []
     for w in words(texts, NORMAL_WORDS, wide=True):
         tokens.append(w.hash)
         sizes.append(w.counts)
+        short = w.counts < overlap
         for number, mask in enumerate(masks):
             at, seed = seeds(w, mask, number)
+            at, seed = at[~short[w.doc[at]]], seed[~short[w.doc[at]]]
             found.append((seed, w.first + w.doc[at], at - w.doc_start[w.doc[at]]))
+        cut = {(int(w.doc_start[k]) + a, n) for k in np.flatnonzero(short & (w.counts > 0)) for a, n in short_runs(int(w.counts[k]), same)}
+        for n in sorted({n for _, n in cut}):
+            runs.add(n)
+            at, seed = seeds(w, "1" * n, len(masks) + n)
+            some = np.isin(at, [a for a, m in cut if m == n])
+            found.append((seed[some], w.first + w.doc[at[some]], at[some] - w.doc_start[w.doc[at[some]]]))
     token = np.concatenate([*tokens, np.zeros(0, np.uint64)])
     begin = np.concatenate(([0], np.cumsum(np.concatenate([*sizes, np.zeros(0, np.int64)]))))
     seed, item, place = (np.concatenate([np.zeros(0, kind), *(x[k] for x in found)]) for k, kind in enumerate((np.uint64, np.int64, np.int64)))
     order = np.lexsort((place, item, seed))
     seed, item, place = seed[order], item[order], place[order]
-    first = np.ones(len(seed), bool)
-    first[1:] = (seed[1:] != seed[:-1]) | (item[1:] != item[:-1])
-    seed, item, place = seed[first], item[first], place[first]
     near = np.zeros(1 << FILTER_BITS, bool)
     near[seed >> np.uint64(64 - FILTER_BITS)] = True
-    return Items(list(ids), token, begin, seed, item, place, near, tuple(masks))
+    used = [*zip(masks, range(len(masks)), strict=True), *(("1" * n, len(masks) + n) for n in sorted(runs))]
+    return Items(list(ids), token, begin, seed, item, place, near, used)
 
 
 def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -90,17 +108,20 @@ def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _lay(w: Words, items: Items) -> np.ndarray:
     """Rows (document, item, token at which the item begins), each once."""
-    found = []
-    for number, mask in enumerate(items.masks):
+    found = [np.zeros((0, 3), np.int64)]
+    for mask, number in items.masks:
         at, seed = seeds(w, mask, number)
         some = items.near[seed >> np.uint64(64 - FILTER_BITS)]
         at, seed = at[some], seed[some]
         low, high = (np.searchsorted(items.seed, seed, side) for side in ("left", "right"))
         hit = high > low
         at, low, size = at[hit], low[hit], (high - low)[hit]
-        which = _spread(low, size)
-        at = np.repeat(at, size)
-        found.append(np.stack([w.doc[at], items.item[which], at - items.place[which]], 1))
+        # In parts, as a seed that text and item repeat has as many hits as the product of both, but few alignments.
+        part = np.cumsum(size) // _CHUNK
+        for k in np.unique(part):
+            own = part == k
+            which, spot = _spread(low[own], size[own]), np.repeat(at[own], size[own])
+            found.append(np.unique(np.stack([w.doc[spot], items.item[which], spot - items.place[which]], 1), axis=0))
     return np.unique(np.concatenate(found), axis=0)
 
 
@@ -185,7 +206,7 @@ def found_column(
     for block in range(blocks):
         some = items.filter(F.col("block") == block).orderBy("item", "normal").select("item", "passage").toArrow()
         if some.num_rows:
-            index = index_items(some["item"].to_pylist(), some["passage"], masks)
+            index = index_items(some["item"].to_pylist(), some["passage"], masks, overlap, same)
             found.append(hits_column(index, text, overlap, same))
     return F.concat(*found) if found else F.array().cast(HIT)
 

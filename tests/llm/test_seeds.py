@@ -1,10 +1,11 @@
 import random
+from itertools import combinations
 
 import brute
 import numpy as np
 import pyarrow as pa
 
-from isobar.llm.spaced_seeds import MASKS, index_items, overlaps, with_hits, without_overlaps
+from isobar.llm.spaced_seeds import MASKS, index_items, overlaps, short_runs, with_hits, without_overlaps
 from isobar.llm.textarrays import NORMAL_WORDS, words
 
 
@@ -19,20 +20,8 @@ def best(text, item, overlap=13, same=0.8):
     return False
 
 
-def seeded(text, item):
-    """Whether some mask looks at equal tokens at one alignment."""
-    t, w = brute.normal(text), brute.normal(item)
-    for shift in range(-len(w) + 1, len(t)):
-        for mask in MASKS:
-            for k in range(len(w) - len(mask) + 1):
-                if 0 <= shift + k and shift + k + len(mask) <= len(t):
-                    if all(m == "0" or t[shift + k + j] == w[k + j] for j, m in enumerate(mask)):
-                        return True
-    return False
-
-
 def test_equals_brute_force(spark):
-    items = [(r[0], r[1]) for r in brute.sample(spark, 12, "benchmark")] + [(500, None), (501, ""), (502, "two words"), (None, "no id item with eight words in it today")]
+    items = [(r[0], r[1]) for r in brute.sample(spark, 12, "benchmark")] + [(500, None), (501, ""), (502, "two words"), (503, "six tokens are in this item"), (None, "no id item with eight words in it today")]
     draw, texts = random.Random(3), [(r[0], r[1]) for r in brute.sample(spark, 25)]
     filler = [w for _, t in texts[:5] for w in t.split()]
     for k in range(60):
@@ -42,6 +31,8 @@ def test_equals_brute_force(spark):
         a, b = draw.randrange(len(filler) - 20), draw.randrange(len(w))
         if k % 3 == 0:
             w = w[b // 2 :]
+        if k % 5 == 0:
+            w = "six tokens are in that item".split() if k % 2 else "here are two words".split()
         texts.append((9000 + k, " ".join([*filler[a : a + 9], *w, *filler[a + 9 : a + 15]]).upper() if k % 2 else " ".join(w)))
     df = brute.awkward(spark, texts)
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -53,7 +44,7 @@ def test_equals_brute_force(spark):
             hit = {h.item for h in r.found}
             for i, t in items:
                 if t:
-                    want = best(r.text, t) and seeded(r.text, t)
+                    want = best(r.text, t)
                     assert (i in hit) == want, (r.doc_id, i)
                     checked += want
     assert checked > 30
@@ -89,3 +80,35 @@ def test_empty_tables_and_columns(spark):
     assert clean.columns == df.columns and clean.count() == df.count()
     assert with_hits(df.limit(0), spark.createDataFrame([(1, "a b c d e f g h")], "item_id long, text string"), name="x").count() == 0
     assert np.all([len(m.replace("0", "")) == 6 for m in MASKS])
+
+
+def test_no_allowed_replacement_hides_an_item():
+    """Every set of replaced tokens that the rule accepts, for items of 1 to 14 tokens."""
+    for n in range(1, 15):
+        item = [f"t{k}" for k in range(n)]
+        index = index_items([1], pa.array([" ".join(item)]), MASKS)
+        window = min(n, 13)
+        for gone in combinations(range(n), window - int(np.ceil(0.8 * window - 1e-9))):
+            text = " ".join("other" if k in gone else t for k, t in enumerate(item))
+            w = next(words(pa.array([f"a b {text} c d"]), NORMAL_WORDS))
+            assert len(overlaps(w, index, 13, 0.8)), (n, gone)
+
+
+def test_runs_of_short_items():
+    assert [short_runs(n, 0.8) for n in (1, 4, 5, 12)] == [[(0, 1)], [(0, 4)], [(0, 2), (2, 3)], [(0, 4), (4, 4), (8, 4)]]
+
+
+def test_repeated_seeds():
+    """All places of a seed count: the passage repeats itself, and only its second half is in the text."""
+    item = "x y z u v w " * 6 + "one two three four five six seven eight nine ten eleven"
+    index = index_items([1], pa.array([item]), MASKS)
+    w = next(words(pa.array(["begin " + " ".join(item.split()[24:])]), NORMAL_WORDS))
+    rows = overlaps(w, index, 13, 0.8)
+    assert max(rows[:, 4]) == 23
+    long = next(words(pa.array(["a " * 20_000]), NORMAL_WORDS))
+    assert len(overlaps(long, index_items([1], pa.array(["a " * 300]), MASKS), 13, 0.8)) > 19_000
+
+
+def test_clashing_column(spark):
+    df = spark.createDataFrame([(1, "some words", "old")], "doc_id long, text string, hits string")
+    assert with_hits(df, spark.createDataFrame([(1, "words")], "item_id long, text string")).first().hits[0].item == 1
