@@ -27,7 +27,7 @@ def test_toxicity_on_held_out_labels(spark):
     labels = spark.read.parquet(f"{DATA}/labels.parquet").select("doc_id", "toxic")
     rows = scored.join(labels, "doc_id").filter("held_out").collect()
     hits = sum(r.predicted == 1 and r.toxic == 1 for r in rows)
-    assert hits / sum(r.predicted for r in rows) > 0.95 and hits / sum(r.toxic for r in rows) > 0.8
+    assert hits / sum(r.predicted for r in rows) > 0.95 and hits / sum(r.toxic for r in rows) > 0.9
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
 
 
@@ -155,3 +155,51 @@ def test_words_of_arrow_slices():
     assert [x.n for x in w] == [5] and w[0].counts.tolist() == [3, 0, 0, 1, 1]
     again = next(words(pa.array(["aB", "x"]), PLAIN_WORDS))
     assert again.hash[0] == w[0].hash[0] and again.hash[1] == w[0].hash[3]
+
+
+def test_label_model_on_counts_equals_single_documents():
+    """Patterns with counts and known classes give what one row per document gives, by plain expectation and maximization."""
+    draw = np.random.default_rng(5)
+    y = draw.random(3000) < 0.25
+    votes = np.stack([np.where(y, draw.random(3000) < a, draw.random(3000) < b) for a, b in ((0.9, 0.1), (0.8, 0.05), (0.6, 0.3))], 1).astype(float)
+    known = draw.random(3000) < 0.4
+    start = np.where(known, y, 0.3).astype(float)
+    rows, back, count = np.unique(np.column_stack((votes, start, known)), axis=0, return_inverse=True, return_counts=True)
+    packed = toxicity.fit_label_model(rows[:, :3], rows[:, 3], [], count=count, known=rows[:, 4] > 0)
+    belief, prior = start.copy(), 0.5
+    for _ in range(25):
+        fires = [[(w @ votes[:, k] + 0.5) / (w.sum() + 1) for k in range(3)] for w in (1 - belief, belief)]
+        prior = belief.mean()
+        left = votes - np.outer(belief, fires[1]) - np.outer(1 - belief, fires[0])
+        spread = left.T @ left
+        related = spread / np.sqrt(np.outer(np.diag(spread), np.diag(spread)))
+        related = np.where(related < 0.05, 0, related) - np.diag(np.diag(related))
+        share = 1 / (1 + np.maximum(related, 0).sum(1))
+        odds = math.log(prior / (1 - prior)) + sum(
+            share[k] * np.where(votes[:, k] > 0, math.log(fires[1][k] / fires[0][k]), math.log((1 - fires[1][k]) / (1 - fires[0][k]))) for k in range(3)
+        )
+        belief = np.where(known, start, 1 / (1 + np.exp(-odds)))
+    assert np.allclose(packed.fires, fires, atol=1e-6) and np.allclose(packed.share, share, atol=1e-6) and packed.prior == pytest.approx(prior, abs=1e-6)
+    assert np.allclose(packed.posterior(votes)[~known], belief[~known], atol=1e-6)
+    assert ((belief > 0.5) == y).mean() > 0.93
+
+
+def test_votes_of_all_documents_are_counted(spark):
+    """Patterns over labelled and unlabelled documents, against a loop over the texts."""
+    groups = {f"list:{n}": toxicity.list_dims(n) for n in toxicity.LISTS}
+    panel = toxicity.Voters(groups, groups["list:insult"])
+    texts = ["you idiot", "You are a MORON!! idiot, stupid", "kill the filth", "a nice day", "", None, "IDIOT SHOUT LOUD NOW", "clown " * 400]
+    df = spark.createDataFrame([(i % 6 if i < 12 else None, texts[i % 8]) for i in range(16)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (0, 0), (1, None), (3, 0), (None, 1)], "doc_id long, label int")
+    vote, label, n = toxicity.count_patterns(df, labels, panel)
+    want = Counter()
+    for r in df.collect():
+        words = set(brute.normal(r.text))
+        bits = [bool(words & set(toxicity.LISTS[k].split())) for k in toxicity.LISTS]
+        times = [brute.normal(r.text).count(x) for x in toxicity.LISTS["insult"].split()]
+        found = sum(t > 0 for t in times)
+        bits += [found >= 2, found >= 4, sum(map(math.log1p, times)) > math.log(12)]
+        bits += toxicity._patterns(pa.array([r.text or ""]))[0].astype(bool).tolist()
+        want[sum(b << k for k, b in enumerate(bits)), {0: 1, 3: 0}.get(r.doc_id, -1)] += 1
+    assert {(v, k): c for v, k, c in zip(vote.tolist(), label.tolist(), n.tolist(), strict=True)} == dict(want)
+    assert panel.matrix(vote).shape == (len(vote), len(panel))
