@@ -16,6 +16,7 @@ from isobar.operators.project import (
     without_rows,
 )
 from isobar.operators.reshape import provider_documents
+from isobar.plans.archives import fill_gap
 from isobar.plans.serving import data_backfill, increment_rows, summary_backfill, update_serving, update_summary
 from isobar.schemas import WEATHER_DATA_DEFAULTS
 from isobar.sources.documents import find, page_after, scan_all
@@ -196,3 +197,25 @@ def test_cards(spark):
     assert [(r["Hour"], r["Temperature"]) for r in text] == [("02-29 05:00", "35.50"), ("02-29 06:00", "38.50")]
     with pytest.raises(ValueError):
         dashboard.data_cards(*parts, slicing=2, mode="day")
+
+
+def test_sorted_rows_come_out_in_order(spark):
+    """Many rows, equal times and nulls, through several sorted partitions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(5000).selectExpr("id", "timestamp_seconds((id * 7919) % 1000) AS ts", "IF(id % 10 = 0, NULL, id % 3) AS k").repartition(9)
+        up = [(r["ts"], r["id"]) for r in serving.sort_by_time(df, "ts", "id").collect()]
+        assert up == sorted(up) and len(up) == 5000
+        down = [(r["ts"], r["id"]) for r in serving.sort_by_time(df, "ts", "id", descending=True).collect()]
+        assert down == up[::-1]
+        nulls = [r["k"] for r in serving.sort_by_time(df, "k").collect()]
+        assert nulls[:500] == [None] * 500 and nulls[500:] == sorted(nulls[500:])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_filled_gap_comes_out_by_district_and_time(spark):
+    history = spark.range(900).selectExpr("concat('d', id % 7) AS district", "timestamp_seconds(id * 3600) AS time", "id AS v")
+    recent = spark.range(800, 1200).selectExpr("concat('d', id % 7) AS district", "timestamp_seconds(id * 3600) AS time", "id AS v")
+    out = [(r["district"], r["time"]) for r in fill_gap(history.repartition(5), recent.repartition(3)).collect()]
+    assert out == sorted(out) and len(out) == 1200
