@@ -1,24 +1,31 @@
 """N-gram Jaccard join by a MinHash LSH forest.
 
 A document is its set of `words_per_gram`-word shingles. Documents with equal sets are one class and are compared once. The
-signature of a class is dealt to `trees` trees of `depth` minimum hashes. This is banding of a fixed depth: the prefix that has to
-match is the longest one of at most `depth` at which the chance to meet in some tree, at the wanted similarity, reaches `recall`,
-worked out from these numbers and not from the data. Pairs that meet in no tree are not found.
-
-Classes that share such a prefix are candidates, and all pairs of a bucket are verified on the whole shingle sets. A bucket is
-cut into blocks of about `block` classes; each pair of blocks is one group, which multiplies the sets as a matrix and gives back
-a spanning forest of the links it found and a number of links per class, so what leaves it grows with its classes and not with
-their pairs. Buckets with the same members in several trees are compared once, and a link is counted in the first tree in which
-its ends meet.
-
-Buckets of more than `crowd` classes, as thousands of near copies make them, are cut into wider blocks, as far as these hold at
-most `BLOCK_GRAMS` shingles; the number of pairs compared still grows with the square of a bucket's classes.
-
-Where only groups are asked for, such buckets are thinned first: all their classes are compared with a few pivots. What is then
+signature of a class is dealt to `trees` trees of `depth` minimum hashes, its paths. The paths of all classes are sorted, tree by
+tree, into ranges of the whole order; there each path is laid beside its neighbours, and those that share less than `shortest`
+minima with both are in no node with another class and go at once. What is left are the shared nodes of the prefix tries.
+
+The nodes are walked from depth `depth` upwards. A step takes the nodes one level higher, whose prefixes are a minimum shorter, and
+compares only pairs that no earlier step and no earlier tree of this one has brought together. After each step the recall so far is
+measured on the links found: a link of similarity s would have been met with a chance of 1 - (1 - s^d)^trees, so it stands for one
+over that chance of links, found or not. The walk ends at the first depth at which links found over links stood for reaches
+`recall` in every band of similarity that has links (a fourth of the range above the threshold) and over all links and one more,
+at the threshold itself, so that a table with few links is walked further and not less far.
+
+All pairs of a node are verified on the whole shingle sets. A node is cut into blocks; each pair of blocks is one group, which
+multiplies the sets as a matrix and gives back a spanning forest of the links it found, a number of links per class and one per
+narrow band, so what leaves it grows with its classes and not with their pairs. Nodes with the same members in several trees or
+depths are compared once, and a link is counted where its ends first meet.
+
+Blocks have about `block` classes and on average at most `BLOCK_GRAMS` shingles, unless one class has more; those of nodes of more
+than `crowd` classes, as thousands of near copies make them, are wider as far as the shingles allow. The number of pairs compared
+still grows with the square of a node's classes.
+
+Where only groups are asked for, such nodes are thinned first: all their classes are compared with a few pivots. What is then
 linked to the first pivot, over any links, is one group. Only classes outside it go on, with those inside that one of them may
 still be linked to: by the triangle inequality of the Jaccard distance, two classes whose distances from a pivot differ by more
 than the link distance have no link. So no group is lost, and a crowd of copies costs a few comparisons each. Links are not
-counted then.
+counted then, and the recall is measured on those that were compared.
 
 Defined results: texts of fewer words than a shingle are one shingle; null and empty texts, and others without words, are
 alike only if they are equal; rows with one id count each; a null id is no class id, unless all ids of a group are null; an
@@ -28,6 +35,7 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,22 +44,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from isobar.llm.components import components
-from isobar.llm.staging import BROADCAST_ROWS, staged
+from isobar.llm.staging import BROADCAST_ROWS, join_counted, staged
 from isobar.llm.textarrays import NORMAL_WORDS, grams, mix, words
 
 _MASK = np.uint64((1 << 48) - 1)
 _SHIFT = np.uint64(48)
 _EDGE = 1e-9
-#: Most shingles of a block of a crowded bucket, unless `block` classes have more.
+#: Most shingles of a block on average, unless a class has more.
 BLOCK_GRAMS = 2_000_000
+#: Bands of similarity above the threshold: in which links are counted, and in which recall is demanded.
+NARROW, WIDE = 40, 4
+
 
+def chance(similarity: float | np.ndarray, d: int, trees: int) -> float | np.ndarray:
+    """Of two sets of that similarity to share a prefix of d minima in some tree."""
+    return 1 - (1 - similarity**d) ** trees
 
-def matched_depth(similarity: float, depth: int, trees: int, recall: float) -> int:
-    """The longest prefix at which two sets of that similarity meet in some tree with the wanted chance."""
-    for d in range(depth, 1, -1):
-        if 1 - (1 - similarity**d) ** trees >= recall:
-            return d
-    return 1
+
+def measured_recall(links: np.ndarray, similarity: float, d: int, trees: int) -> float:
+    """The least share of links found, over all of them and over each of the `WIDE` bands that have some.
+
+    `links` are their numbers in `NARROW` bands; all of them are one more, at the threshold itself.
+    """
+    low = similarity + (1 - similarity) / NARROW * np.arange(NARROW)
+    met, stood_for = (x.reshape(WIDE, -1).sum(1) for x in (links, links / chance(low, d, trees)))
+    whole = (met.sum() + 1) / (stood_for.sum() + 1 / chance(similarity, d, trees))
+    return float(min([whole, *(met[met > 0] / stood_for[met > 0])]))
 
 
 def text_key(text: Column) -> list[Column]:
@@ -114,28 +132,53 @@ def _signatures(k: int, trees: int, depth: int):
     return run
 
 
-def _sets(k: int, trees: int, depth: int, prefix: int):
-    """Packed shingles of each text, and one number per tree that stands for its prefix."""
+def _shared_paths(depth: int, shortest: int):
+    """Of sorted paths, those that share a prefix of `shortest` minima with a neighbour; the ends of a range may have one beyond it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, before = [], depth
         for batch in batches:
-            out, labels = [], []
+            if not len(batch):
+                continue
+            rows = pa.Table.from_batches([*last, batch]).combine_chunks()
+            tree = rows["tree"].to_numpy()
+            path = np.frombuffer(b"".join(rows["path"].to_pylist()), np.uint32).reshape(-1, depth)
+            same = np.logical_and.accumulate(path[1:] == path[:-1], 1).sum(1) * (tree[1:] == tree[:-1])
+            lcp = np.concatenate(([before], same))
+            keep = np.maximum(lcp[:-1], lcp[1:]) >= shortest
+            yield from rows.slice(0, len(keep)).filter(pa.array(keep)).to_batches()
+            last, before = rows.slice(len(keep)).combine_chunks().to_batches(), int(lcp[-1])
+        yield from last
+
+    return run
+
+
+def _sets(k: int, trees: int, depth: int):
+    """Packed shingles and signature of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, signatures = [], []
             for _, n, doc, gram in gram_sets(batch.column("text"), k):
                 raw = np.ascontiguousarray(gram.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
                 edge = np.searchsorted(doc, np.arange(n + 1))
                 out += [raw[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
                 # Every text here has a shingle.
-                low = _minima(gram, edge[:-1], trees * depth).reshape(n, trees, depth)[:, :, :prefix].astype(np.uint64)
-                label = np.zeros((n, trees), np.uint64)
-                for j in range(prefix):
-                    label = mix(label ^ low[:, :, j]) + np.uint64(j)
-                labels += [row.tobytes() for row in label]
-            columns = [batch.column("cid"), pa.array(out, pa.binary()), pa.array(labels, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["cid", "grams", "labels"])
+                signatures += [row.tobytes() for row in _minima(gram, edge[:-1], trees * depth)]
+            columns = [batch.column("cid"), pa.array(out, pa.binary()), pa.array(signatures, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["cid", "grams", "signature"])
 
     return run
 
 
+def _labels(signature: np.ndarray, d: int) -> np.ndarray:
+    """One number per row and tree that stands for a prefix of d minima."""
+    label = np.zeros(signature.shape[:2], np.uint64)
+    for j in range(d):
+        label = mix(label ^ signature[:, :, j].astype(np.uint64)) + np.uint64(j)
+    return label
+
+
 def _unpack(raw: bytes) -> np.ndarray:
     part = np.frombuffer(raw, np.uint8).reshape(-1, 6)
     return np.concatenate([part, np.zeros((len(part), 2), np.uint8)], 1).view("<u8").ravel()
@@ -197,30 +240,47 @@ def _forest(hit: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _verify_blocks(similarity: float):
+def _met(signature: np.ndarray, left: np.ndarray, right: np.ndarray, tree: int, d: int) -> np.ndarray:
+    """Which pairs share a longer prefix in any tree, or this one in an earlier tree, or are one class."""
+    met = left[:, None] == right[None, :]
+    labels = [_labels(signature[:, :tree], d)]
+    if d < signature.shape[2]:
+        labels.append(_labels(signature, d + 1))
+    for label in labels:
+        for t in range(label.shape[1]):
+            met |= label[left, t][:, None] == label[right, t][None, :]
+    return met
+
+
+def _verify_blocks(similarity: float, trees: int, depth: int, d: int):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("cid")
         cid, tree = table["cid"].to_numpy(), int(table["tree"][0].as_py())
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        sets = [_unpack(x.as_py()) for x in table["grams"]]
-        labels = np.stack([np.frombuffer(x.as_py(), np.uint64) for x in table["labels"]])
+        signature = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint32).reshape(-1, trees, depth)
         block = table["own"].to_numpy()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        common = _common(sets, left, right)
-        size = np.array([len(x) for x in sets])
-        alike = common / (size[left][:, None] + size[right][None, :] - common)
-        hit = (alike >= similarity - _EDGE) & (left[:, None] != right[None, :])
-        met = np.zeros(hit.shape, bool)
-        for t in range(tree):
-            met |= labels[left, t][:, None] == labels[right, t][None, :]
-        whole = np.zeros((len(cid), len(cid)), bool)
-        whole[np.ix_(left, right)] = hit
-        whole |= whole.T
-        new = np.zeros_like(whole)
-        new[np.ix_(left, right)] = hit & ~met
-        count = (new | new.T).sum(1)
-        edges = np.array(_forest(whole), np.int64).reshape(-1, 2)
-        linked = np.flatnonzero(count)
+        new = ~_met(signature, left, right, tree, d)
+        some, other = new.any(1), new.any(0)
+        left, right, new = left[some], right[other], new[some][:, other]
+        # Only classes with a pair that has not met are unpacked.
+        used = np.union1d(left, right)
+        cid, sets = cid[used], [_unpack(table["grams"][int(x)].as_py()) for x in used]
+        left, right = np.searchsorted(used, left), np.searchsorted(used, right)
+        size = np.array([len(x) for x in sets], np.int64)
+        links, count, bands = np.zeros((len(used), len(used)), bool), np.zeros(len(used), np.int64), np.zeros(NARROW, np.int64)
+        if len(used):
+            common = _common(sets, left, right)
+            alike = common / (size[left][:, None] + size[right][None, :] - common)
+            hit = (alike >= similarity - _EDGE) & new
+            links[np.ix_(left, right)] = hit
+            links |= links.T
+            count = links.sum(1)
+            band = ((alike[hit] - similarity + _EDGE) / (1 - similarity) * NARROW).astype(int)
+            # Inside one block each pair is there twice.
+            bands = np.bincount(np.clip(band, 0, NARROW - 1), minlength=NARROW) // (2 if i == j else 1)
+        edges = np.array(_forest(links), np.int64).reshape(-1, 2)
+        linked, counted = np.flatnonzero(count), np.flatnonzero(bands)
         # The float of the matrix is not the quotient of the numbers; that is made again for the links told.
         a, b = np.sort(cid[edges], 1).T if len(edges) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         exact = [len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in edges]
@@ -228,10 +288,10 @@ def _verify_blocks(similarity: float):
         none = [None] * len(linked)
         return pa.table(
             {
-                "a": pa.array(np.concatenate([a, cid[linked]])),
-                "b": pa.array([*b.tolist(), *none], pa.int64()),
-                "similarity": pa.array([*quotient, *none], pa.float64()),
-                "n": pa.array([*[None] * len(a), *count[linked].tolist()], pa.int64()),
+                "a": pa.array([*a.tolist(), *cid[linked].tolist(), *[None] * len(counted)], pa.int64()),
+                "b": pa.array([*b.tolist(), *none, *counted.tolist()], pa.int64()),
+                "similarity": pa.array([*quotient, *none, *[None] * len(counted)], pa.float64()),
+                "n": pa.array([*[None] * len(a), *count[linked].tolist(), *bands[counted].tolist()], pa.int64()),
             }
         )
 
@@ -240,20 +300,17 @@ def _verify_blocks(similarity: float):
 
 def _blocks(block: int, crowd: int) -> Column:
     """Number of blocks of a bucket of n classes and `volume` shingles."""
-    classes, wide = F.col("n") / block, F.greatest(F.col("n") / crowd, F.col("volume") / BLOCK_GRAMS)
-    return F.ceil(F.when(F.col("n") <= crowd, classes).otherwise(F.least(classes, wide))).cast("long")
+    classes = F.when(F.col("n") <= crowd, F.col("n") / block).otherwise(F.col("n") / crowd)
+    return F.ceil(F.least("n", F.greatest(classes, F.col("volume") / BLOCK_GRAMS))).cast("long")
 
 
-def _verified_buckets(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(a, b, similarity, null) of links and (a, null, null, n) of numbers of links, from (bucket, tree, blocks, cid)."""
+def _verified_buckets(members: DataFrame, sets: DataFrame, verify) -> DataFrame:
+    """From (bucket, tree, blocks, cid): (a, b, similarity, null) of links, (a, null, null, n) of numbers of links and (null, b,
+    null, n) of those in a band."""
     own = members.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")))
     other = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = other.select("bucket", "tree", "cid", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    return (
-        dealt.join(sets, "cid")
-        .groupBy("bucket", "i", "j")
-        .applyInArrow(_verify_blocks(similarity), "a long, b long, similarity double, n long")
-    )
+    return dealt.join(sets, "cid").groupBy("bucket", "i", "j").applyInArrow(verify, "a long, b long, similarity double, n long")
 
 
 def _sized(bucketed: DataFrame) -> DataFrame:
@@ -272,17 +329,19 @@ def similar_classes(
     words_per_gram: int = 5,
     trees: int = 16,
     depth: int = 8,
-    recall: float = 0.99,
+    recall: float = 0.998,
+    shortest: int = 4,
     block: int = 384,
     crowd: int = 2048,
     pivots: int = 8,
     text: str = "text",
     doc_id: str = "doc_id",
     counted: bool = True,
-) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """(documents, links, degrees): documents as (doc_id, t1, t2, cid, class_size); links between classes as (a, b, similarity),
-    enough of them to join all groups; degrees as (node, n_links), the number of all links of a class. Without `counted` there
-    are no degrees, and crowded buckets are thinned by pivots."""
+) -> tuple[DataFrame, DataFrame, DataFrame | None, tuple[int, float]]:
+    """(documents, links, degrees, reached): documents as (doc_id, t1, t2, cid, class_size); links between classes as (a, b,
+    similarity), enough of them to join all groups; degrees as (node, n_links), the number of all links of a class; the depth at
+    which the walk ended, and the recall measured there. Without `counted` there are no degrees, and crowded buckets are thinned
+    by pivots."""
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keyed = rows.select("doc_id", "text", *text_key(F.col("text")))
     shape = "doc_id long, t1 long, t2 long, n long, s1 long, s2 long, signature binary"
@@ -294,56 +353,91 @@ def similar_classes(
     classes = slim.groupBy("n", "s1", "s2").agg(first, F.count("*").alias("class_size"), F.first("signature").alias("signature"))
     classes = staged(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
-    d = matched_depth(similarity, depth, trees, recall)
     tree = classes.filter("n > 0").select("cid", "n", "signature", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    part = F.substring("signature", F.col("tree") * (4 * depth) + 1, F.lit(4 * d))
-    whole = tree.select("cid", "tree", F.col("n").alias("size"), F.xxhash64("tree", part).alias("bucket"))
-    sized = whole.groupBy("bucket", "tree").agg(
-        F.count("*").alias("n"),
-        F.sum("size").alias("volume"),
-        F.bit_xor(F.xxhash64("cid")).alias("x1"),
-        F.bit_xor(F.xxhash64(F.lit(3), "cid")).alias("x2"),
-    )
-    # Of buckets with the same members, those of the first tree.
-    first = F.min(F.struct("tree", "bucket")).alias("f")
-    sizes = sized.filter("n > 1").groupBy("n", "volume", "x1", "x2").agg(first)
-    sizes = staged(sizes.select("f.tree", "f.bucket", "n", _blocks(block, crowd).alias("blocks")), "buckets")
-    members = staged(_of(whole.drop("tree", "size"), sizes), "members")
-
-    new = classes.join(members.select("cid").distinct(), "cid").select("cid", "least.doc_id", "least.t1", "least.t2")
+    part = F.substring("signature", F.col("tree") * (4 * depth) + 1, F.lit(4 * depth))
+    paths = tree.select("tree", part.alias("path"), "cid", F.col("n").alias("size"))
+    paths = paths.repartitionByRange("tree", "path", "cid").sortWithinPartitions("tree", "path")
+    trie = staged(paths.mapInArrow(_shared_paths(depth, shortest), "tree int, path binary, cid long, size long"), "trie")
+
+    seen, sets, told, known = [], [], [], None
+    bands, d, reached = np.zeros(NARROW), depth, 1.0
+    for d in range(depth, shortest - 1, -1):
+        whole = trie.select("cid", "tree", "size", F.xxhash64("tree", F.substring("path", 1, 4 * d)).alias("bucket"))
+        sized = whole.groupBy("bucket", "tree").agg(
+            F.count("*").alias("n"),
+            F.sum("size").alias("volume"),
+            F.bit_xor(F.xxhash64("cid")).alias("x1"),
+            F.bit_xor(F.xxhash64(F.lit(3), "cid")).alias("x2"),
+        )
+        # Of nodes with the same members, those of the first tree of the deepest step.
+        same = ["n", "volume", "x1", "x2"]
+        sizes = sized.filter("n > 1").groupBy(*same).agg(F.min(F.struct("tree", "bucket")).alias("f"))
+        if seen:
+            sizes = sizes.join(_all(seen), same, "left_anti")
+        sizes = staged(sizes.select(*same, "f.tree", "f.bucket", _blocks(block, crowd).alias("blocks")), "buckets")
+        seen.append(sizes.select(*same))
+        if not sizes.isEmpty():
+            members = staged(_of(whole.drop("tree", "size"), sizes.drop("volume", "x1", "x2")), "members")
+            sets.append(_new_sets(keyed, classes, members, sets, _sets(words_per_gram, trees, depth)))
+            held, rest = _all(sets), members.select("bucket", "tree", "blocks", "cid")
+            crowded = members.filter(F.col("n") > crowd)
+            if not counted and not crowded.isEmpty():
+                thinned, known = _thin(crowded.select("bucket", "tree", "cid"), held.select("cid", "grams"), similarity, crowd, pivots, known)
+                rest = members.filter(F.col("n") <= crowd).select("bucket", "tree", "blocks", "cid")
+                rest = rest.unionByName(thinned.select("bucket", "tree", F.ceil(F.col("n") / block).cast("long").alias("blocks"), "cid"))
+            verify = _verify_blocks(similarity, trees, depth, d)
+            told.append(staged(_verified_buckets(rest, held, verify), "told"))
+            for r in told[-1].filter("a IS NULL").groupBy("b").agg(F.sum("n").alias("n")).collect():
+                bands[r.b] += r.n
+        by_pivots = np.zeros(NARROW)
+        if known is not None:
+            band = F.floor((F.col("similarity") - similarity + _EDGE) / (1 - similarity) * NARROW)
+            for r in known.filter(F.col("similarity") >= similarity - _EDGE).groupBy(band.alias("b")).count().collect():
+                by_pivots[min(r.b, NARROW - 1)] = r["count"]
+        reached = measured_recall(bands + by_pivots, similarity, d, trees)
+        if reached >= recall:
+            break
+
+    none = documents.sparkSession.createDataFrame([], "a long, b long, similarity double, n long")
+    told = _all([none, *told])
+    links = told.filter("a IS NOT NULL AND b IS NOT NULL").select("a", "b", "similarity")
+    if known is not None:
+        links = links.unionAll(known.filter(F.col("similarity") >= similarity - _EDGE))
+    links = staged(links.dropDuplicates(["a", "b"]), "links")
+    degree = told.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links")) if counted else None
+    joined = slim.join(classes.select("n", "s1", "s2", "cid", "class_size"), ["n", "s1", "s2"])
+    return joined.select("doc_id", "t1", "t2", "cid", "class_size"), links, degree, (d, reached)
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionAll, frames)
+
+
+def _new_sets(keyed: DataFrame, classes: DataFrame, members: DataFrame, sets: list[DataFrame], pack) -> DataFrame:
+    """(cid, grams, signature) of the members whose sets are not held yet, each from the text of one document."""
+    wanted = members.select("cid").distinct()
+    if sets:
+        wanted = wanted.join(_all(sets).select("cid"), "cid", "left_anti")
+    new = classes.join(wanted, "cid").select("cid", "least.doc_id", "least.t1", "least.t2")
     new = staged(new, "involved")
     few = new.count() <= BROADCAST_ROWS
     same = [keyed[c].eqNullSafe(new[c]) for c in ("doc_id", "t1", "t2")]
     found = keyed.join(F.broadcast(new) if few else new, same).select("cid", keyed["text"])
-    sets = found.mapInArrow(_sets(words_per_gram, trees, depth, d), "cid long, grams binary, labels binary")
-    sets = staged(sets.dropDuplicates(["cid"]), "sets")
-
-    rest, pivot_links = members.select("bucket", "tree", "blocks", "cid"), None
-    crowded = members.filter(F.col("n") > crowd)
-    if not counted and not crowded.isEmpty():
-        thinned, pivot_links = _thin(crowded.select("bucket", "tree", "cid"), sets.select("cid", "grams"), similarity, crowd, pivots)
-        rest = members.filter(F.col("n") <= crowd).select("bucket", "tree", "blocks", "cid")
-        rest = rest.unionByName(thinned.select("bucket", "tree", F.ceil(F.col("n") / block).cast("long").alias("blocks"), "cid"))
-    told = staged(_verified_buckets(rest, sets, similarity), "told")
-    links = told.filter("b IS NOT NULL").select("a", "b", "similarity")
-    if pivot_links is not None:
-        links = links.unionAll(pivot_links)
-    links = staged(links.dropDuplicates(["a", "b"]), "links")
-    degree = told.filter("n IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links")) if counted else None
-    joined = slim.join(classes.select("n", "s1", "s2", "cid", "class_size"), ["n", "s1", "s2"])
-    return joined.select("doc_id", "t1", "t2", "cid", "class_size"), links, degree
+    return staged(found.mapInArrow(pack, "cid long, grams binary, signature binary").dropDuplicates(["cid"]), "sets")
 
 
-def _thin(open_: DataFrame, sets: DataFrame, similarity: float, crowd: int, pivots: int) -> tuple[DataFrame, DataFrame]:
-    """What is left of crowded buckets when no group can be lost by leaving out the others, and the links found on the way."""
-    known, left, far = None, None, 1 - similarity
+def _thin(
+    open_: DataFrame, sets: DataFrame, similarity: float, crowd: int, pivots: int, known: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """What is left of crowded buckets when no group can be lost by leaving out the others, and the pairs compared so far."""
+    left, far = None, 1 - similarity
     while True:
         sizes = staged(_sized(open_), "buckets")
         done = _of(open_, sizes.filter(F.col("n") <= crowd)).select("bucket", "tree", "n", "cid")
         left = done if left is None else left.unionAll(done)
         crowded = staged(_of(open_, sizes.filter(F.col("n") > crowd).select("bucket")), "crowded")
         if crowded.isEmpty():
-            return left, known.filter(F.col("similarity") >= similarity - _EDGE)
+            return left, known
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("cid"))
         chosen = crowded.withColumn("rank", rank).filter(F.col("rank") <= pivots)
         chosen = staged(chosen.select("bucket", F.col("cid").alias("pivot"), "rank"), "pivots")
@@ -372,27 +466,35 @@ def _thin(open_: DataFrame, sets: DataFrame, similarity: float, crowd: int, pivo
         open_ = staged(reach.filter(F.col("out") | (F.col("slack") >= -far - _EDGE)).select("bucket", "tree", "cid"), "open")
 
 
-def _grouped(documents: DataFrame, **options) -> DataFrame:
-    """doc_id, t1, t2, cid, class_id, class_size, group_id and root of each document, and n_links if links are counted."""
-    rows, links, degree = similar_classes(documents, **options)
-    roots = components(links)
-    per_class = rows.groupBy("cid").agg(F.min("doc_id").alias("class_id"))
-    placed = per_class.join(roots, F.col("cid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cid")).drop("node")
-    least = placed.groupBy("root").agg(F.min("class_id").alias("group_id"))
-    placed = placed.join(least, "root")
+def _grouped(documents: DataFrame, **options) -> tuple[DataFrame, tuple[int, float]]:
+    """doc_id, t1, t2, class_size, class_id, group_id and root of each document, and n_links if links are counted; what was reached.
+
+    Only documents that share a class or a group are joined with it; the others are their own.
+    """
+    rows, links, degree, reached = similar_classes(documents, **options)
+    per_class = rows.groupBy("cid", "class_size").agg(F.min("doc_id").alias("class_id"))
+    placed = join_counted(per_class, components(links).withColumnRenamed("node", "cid"), ["cid"])
+    placed = staged(placed.filter("class_size > 1 OR root IS NOT NULL").withColumn("root", F.coalesce("root", "cid")), "placed")
+    placed = join_counted(placed, placed.groupBy("root").agg(F.min("class_id").alias("group_id")), ["root"])
     if degree is not None:
-        placed = placed.join(degree, F.col("cid") == F.col("node"), "left").drop("node")
-    return rows.join(staged(placed, "groups"), "cid")
+        placed = join_counted(placed, degree.withColumnRenamed("node", "cid"), ["cid"])
+    own = {"class_id": F.col("doc_id"), "group_id": F.col("doc_id"), "root": F.col("cid")}
+    found = join_counted(rows, placed.drop("class_size").withColumn("shared", F.lit(True)), ["cid"])
+    return found.withColumns({c: F.when(F.col("shared"), F.col(c)).otherwise(x) for c, x in own.items()}).drop("cid", "shared"), reached
 
 
 def jaccard_groups(documents: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, t1, t2 (hash of the text), class_id, class_size, n_links, group_id.
+    """One row per document: doc_id, t1, t2 (hash of the text), class_id, class_size, n_links, group_id, root, matched_depth,
+    measured_recall.
 
     `class_id` and `group_id` are the smallest ids of the documents with equal shingle sets and of the linked group. `n_links`
-    is the number of classes found similar to the document's, each counted once.
+    is the number of classes found similar to the document's, each counted once. The last two are the same in all rows: the
+    length of prefix at which the walk ended, and the share of links found that was measured there.
     """
+    grouped, (d, reached) = _grouped(documents, **options)
     n_links = F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
-    return _grouped(documents, **options).select("doc_id", "t1", "t2", "class_id", "class_size", n_links, "group_id", "root")
+    told = [F.lit(d).alias("matched_depth"), F.lit(reached).alias("measured_recall")]
+    return grouped.select("doc_id", "t1", "t2", "class_id", "class_size", n_links, "group_id", "root", *told)
 
 
 def one_per_group(documents: DataFrame, **options) -> DataFrame:
@@ -402,12 +504,14 @@ def one_per_group(documents: DataFrame, **options) -> DataFrame:
     """
     text, doc_id = options.get("text", "text"), options.get("doc_id", "doc_id")
     names = ["doc_id", "t1", "t2"]
-    keys = staged(_grouped(documents, counted=False, **options).groupBy("root", *names).agg(F.count("*").alias("n")), "keys")
+    grouped, _ = _grouped(documents, counted=False, **options)
+    keys = staged(grouped.groupBy("root", *names).agg(F.count("*").alias("n")), "keys")
     own = F.struct(F.col("doc_id").isNull().alias("none"), *names)
-    kept = keys.groupBy("root").agg(F.min(own).alias("kept")).select("root", F.col("kept.doc_id").alias("k0"), F.col("kept.t1").alias("k1"), F.col("kept.t2").alias("k2"))
+    kept = keys.groupBy("root").agg(F.min(own).alias("kept"), F.sum("n").alias("of")).filter("of > 1")
+    kept = kept.select("root", F.col("kept.doc_id").alias("k0"), F.col("kept.t1").alias("k1"), F.col("kept.t2").alias("k2"))
     stays = F.col("doc_id").eqNullSafe(F.col("k0")) & (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2"))
     # Most documents are neither removed nor repeated; only the others are joined.
-    others = keys.join(kept, "root").withColumn("stays", stays).filter("NOT stays OR n > 1")
+    others = join_counted(keys, kept, ["root"], "inner").withColumn("stays", stays).filter("NOT stays OR n > 1")
     others = staged(others.select(*[F.col(c).alias(f"_key_{c}") for c in names], "stays"), "others")
     few = others.count() <= BROADCAST_ROWS
     others = F.broadcast(others) if few else others

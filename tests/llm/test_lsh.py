@@ -2,10 +2,12 @@ import itertools
 import random
 
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from isobar.llm.components import components
-from isobar.llm.lsh_forest import jaccard_groups, matched_depth, one_per_group, similar_classes
+from isobar.llm.lsh_forest import NARROW, _shared_paths, chance, jaccard_groups, measured_recall, one_per_group, similar_classes
 
 
 def groups_of(rows):
@@ -106,7 +108,7 @@ def test_one_per_group_of_crowded_buckets(spark, pivots):
 
 def test_links_are_exact_similarities(spark):
     rows = [(k, t) for k, t in enumerate(near_copies(60, 10, 3, 5))]
-    documents, links, _ = similar_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    documents, links, _, _ = similar_classes(spark.createDataFrame(rows, "doc_id long, text string"))
     of = {r.cid: r.doc_id for r in documents.collect()}
     sets = {i: brute.shingles(t) for i, t in rows}
     found = {(of[r.a], of[r.b]): r.similarity for r in links.collect()}
@@ -129,10 +131,63 @@ def test_one_per_group(spark):
         assert i == (min(ids) if ids else None)
 
 
-def test_depth_is_the_longest_that_reaches_the_recall():
-    d = matched_depth(0.8, 8, 16, 0.99)
-    assert 1 - (1 - 0.8**d) ** 16 >= 0.99 > 1 - (1 - 0.8 ** (d + 1)) ** 16
-    assert matched_depth(0.8, 8, 1, 0.9999) == 1
+def test_recall_is_told_from_links():
+    none = np.zeros(NARROW)
+    # Without links the threshold itself counts.
+    assert measured_recall(none, 0.8, 8, 16) == pytest.approx(chance(0.8, 8, 16))
+    low, high = none.copy(), none.copy()
+    low[0], high[-1] = 1e6, 1e6
+    assert measured_recall(low, 0.8, 6, 16) == pytest.approx(chance(0.8, 6, 16), abs=1e-6)
+    # The worst band decides, not the mean.
+    assert measured_recall(low + 100 * high, 0.8, 6, 16) == pytest.approx(chance(0.8, 6, 16), abs=1e-6)
+    assert measured_recall(low, 0.8, 5, 16) > measured_recall(low, 0.8, 6, 16)
+
+
+def test_paths_of_shared_nodes():
+    draw = np.random.default_rng(6)
+    rows = sorted((int(t), draw.integers(0, 3, 4).astype(">u4").tobytes(), k) for k, t in enumerate(draw.integers(0, 3, 120)))
+    batches = [rows[:1], rows[1:2], [], rows[2:50], rows[50:]]
+    names = {"tree": pa.int32(), "path": pa.binary(), "cid": pa.int64()}
+    packed = [pa.record_batch([pa.array(c, t) for c, t in zip(zip(*b), names.values())], list(names)) for b in batches if b]
+    for shortest in (2, 3, 4):
+        got = [r["cid"] for b in _shared_paths(4, shortest)(iter(packed)) for r in b.to_pylist()]
+        of = lambda r: (r[0], r[1][: 4 * shortest])
+        want = [r[2] for k, r in enumerate(rows) if sum(of(r) == of(x) for x in rows) > 1 or k in (0, len(rows) - 1)]
+        assert got == want
+
+
+@pytest.mark.parametrize("words, edits, deeper", [(300, 1, True), (90, 8, False)])
+def test_the_walk_ends_where_the_links_let_it(spark, words, edits, deeper):
+    """Links far above the threshold need no short prefixes; links near it do."""
+    texts = [t for seed in range(8) for t in near_copies(words, 20, edits, 60 + seed)]
+    rows = [(k, t) for k, t in enumerate(dict.fromkeys(texts))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_groups(df).collect()
+    _, links, _ = groups_of(rows)
+    found, there = sum(r.n_links for r in got), sum(links[t] for _, t in rows)
+    assert got[0].measured_recall >= 0.998 and found >= 0.995 * there
+    assert (got[0].matched_depth > 6) == deeper
+
+
+def test_recall_against_brute_force(spark):
+    """Every document whose id is divisible by 100 against all rows: the links of all sets by an exact search."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    sets = {r.doc_id: frozenset(brute.shingles(r.text or "")) for r in docs.collect()}
+    class_of = {}
+    for i in sorted(sets):
+        class_of.setdefault(sets[i], i)
+    holders = {}
+    for s in class_of:
+        for g in s:
+            holders.setdefault(g, []).append(s)
+    want = {}
+    for i in sets:
+        if i % 100 == 0 and sets[i]:
+            near = {z for g in sets[i] for z in holders[g] if z != sets[i]}
+            want[i] = sum(len(sets[i] & z) >= 0.8 * len(sets[i] | z) for z in near)
+    got = {r.doc_id: r.n_links for r in jaccard_groups(docs).filter("doc_id % 100 = 0").collect()}
+    assert all(got[i] <= n for i, n in want.items())
+    assert sum(got[i] for i in want) >= 0.99 * sum(want.values())
 
 
 def test_components(spark):
