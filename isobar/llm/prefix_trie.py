@@ -14,7 +14,7 @@ saves is credited to that conversation, and a node sums its members' credits. De
 
 Positions and digests of a conversation that is longer than `target_rows` turns are made in range slices and stitched.
 
-Defined results: turns are in the order of `turn`, null first, equal ones by role and then by a hash; a null role or text is
+Defined results: turns are in the order of `turn`, null first, equal ones by role and then by text; a null role or text is
 empty; rows without an id belong to no conversation; repeated rows are turns of their own; columns other than the four named
 are ignored; an empty table has no nodes, not even a root. Sums over one conversation's own shared nodes run in one task.
 """
@@ -48,11 +48,12 @@ def turns_in_order(conversations: DataFrame, conv_id: str, turn: str, role: str,
         F.col(conv_id).cast("long").alias("c"),
         F.col(turn).alias("turn"),
         who.alias("role"),
+        what.alias("text"),
         F.xxhash64(F.lit(1), who, what).alias("h1"),
         F.xxhash64(F.lit(2), who, what).alias("h2"),
         F.octet_length(what).cast("long").alias("size"),
     ).filter("c IS NOT NULL")
-    placed = with_row_index(rows, "turn", ["role", "h1", "h2"], ["c"], out="at", target_rows=target_rows)
+    placed = with_row_index(rows, "turn", ["role", "text"], ["c"], out="at", target_rows=target_rows)
     return placed.select("c", "at", "h1", "h2", "size")
 
 
@@ -286,6 +287,8 @@ def trie_nodes(prefixes: DataFrame, lengths: DataFrame, most_cells: int = MOST_C
     # A node has what its smallest member saves from here on, and all that its other members save.
     further = Window.partitionBy("conv_id").orderBy(F.desc("depth")).rowsBetween(Window.unboundedPreceding, 0)
     own = nodes.filter("n_convs > 1").select("p1", "p2", F.sum(saves).over(further).alias("own"), "conv_id")
+    # Where the sketch did not prove that a node has one member, the member may be credited with savings above the node.
+    own = own.unionAll(nodes.filter("n_convs = 1").select("p1", "p2", F.lit(0).cast("long"), "conv_id"))
     own = own.join(credit.select(F.col("c").alias("conv_id"), "saved"), "conv_id", "left")
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     members = shared.select("c", "p1", "p2").join(credit, "c")

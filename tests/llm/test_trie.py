@@ -70,6 +70,20 @@ def test_nodes_equal_a_plain_trie(spark, rows, heads, settings):
     assert Counter(rows(got)) == plain(rebuilt(data, heads))
 
 
+def test_equal_turns_and_roles_are_ordered_by_text(spark, rows):
+    texts = ["b", "a", "é", "Z", None, "ab", ""]
+    data = [(c, (c + k) % 2 or None, "user", texts[(c * k + k) % 7]) for c in range(40) for k in range(6)]
+    got = conversation_trie(frame(spark, data), heads=HEADS)
+    assert Counter(rows(got)) == plain(rebuilt(data))
+
+
+def test_a_full_sketch_gives_the_same_sums(spark, rows):
+    """Nodes of one member that the sketch does not prove, below nodes where that member is credited."""
+    data = [(c, t, "user", f"{c // 2} {t}" if t < 3 else f"{c} {t}") for c in range(3000) for t in range(7)]
+    got = conversation_trie(frame(spark, data), most_cells=1)
+    assert Counter(rows(got)) == plain(rebuilt(data, False))
+
+
 def test_one_large_group(spark, rows):
     data = [(c, t, "user", f"turn {t}") for c in range(3000) for t in range(4)]
     got = Counter(rows(conversation_trie(frame(spark, data))))
