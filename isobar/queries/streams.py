@@ -147,11 +147,13 @@ def ids_in_state(spark, sf):
 
     def start(source: str, checkpoint: str, known: bool):
         read = by_topic(spark, log, f"{folder}/{source}")
-        stored = _stored(spark, sf, folder).withColumnRenamed("offset", "o") if known else None
+
+        def ids(topic: str):
+            schema = document_schema(provider_documents(log, topic))
+            return read_documents(spark, f"{folder}/{topic}", schema).select("_id", "id_time")
+
         return [
-            start_first_write(
-                read(t), t, folder, f"{folder}/{checkpoint}", stored.filter(F.col("topic") == t) if known else None, created_at=F.col("timestamp")
-            )
+            start_first_write(read(t), t, folder, f"{folder}/{checkpoint}", ids(t) if known else None, created_at=F.col("timestamp"))
             for t in TOPICS
         ]
 

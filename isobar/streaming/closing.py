@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
-from isobar.streaming.stores import read_folder
+from isobar.streaming.stores import read_folder, state_partitions
 
 HOUR_MS = 3_600_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -24,12 +24,13 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 @contextmanager
 def keyed_state(spark: SparkSession):
-    """Queries that are started inside keep their state in RocksDB, which state of several variables needs."""
+    """Queries that are started inside keep their state in RocksDB, which state of several variables needs, one store per core."""
     name = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(name, None)
     spark.conf.set(name, ROCKSDB)
     try:
-        yield
+        with state_partitions(spark):
+            yield
     finally:
         spark.conf.set(name, before) if before else spark.conf.unset(name)
 

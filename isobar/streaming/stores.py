@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -18,6 +19,22 @@ from isobar.session import shared_root
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Queries that are started inside shuffle into one partition per core, or the session's number if that is less.
+
+    Every partition of a stateful operator is a store of its own, which each batch opens and commits, however few rows it has, and
+    streams with state do not merge small partitions. More partitions than cores add only to that. A checkpoint keeps its number.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), max(spark.sparkContext.defaultParallelism, 1))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def read_folder(
     spark: SparkSession,
     folder: str,

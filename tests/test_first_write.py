@@ -4,7 +4,7 @@ from messages import FREE_WEATHER, OPEN_METEO, OPEN_WEATHER, free, log, meteo, o
 from isobar.operators.reshape import message_id, provider_documents
 from isobar.schemas import TOPICS
 from isobar.sources.messages import parse_envelopes, stream_landed
-from isobar.streaming.first_write import start_first_write
+from isobar.streaming.first_write import SHARES, start_first_write
 from isobar.streaming.stores import document_schema, read_documents
 
 
@@ -97,3 +97,19 @@ def test_time_to_live(spark, rows, tmp_path):
     assert sorted(rows(read_documents(spark, f"{store}/{OPEN_WEATHER}", schema), TEMP)) == [(301.0,), (303.0,), (304.0,), (305.0,)]
     state = spark.read.format("statestore").option("path", f"{tmp_path}/c/{OPEN_WEATHER}").option("stateVarName", "seen").load()
     assert state.count() == 3
+
+
+def test_ids_of_an_hour_share_states(spark, rows, store, tmp_path):
+    """State has a row per bucket and not per id, in as many stores as there are cores at most."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        store.put(*[record(OPEN_WEATHER, open_weather(300.0 + k, dt=1930788000 + k % 60), k) for k in range(120)])
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "24"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(rows(store.read(), "offset")) == [(k,) for k in range(60)]
+    state = spark.read.format("statestore").option("path", f"{tmp_path}/c1/{OPEN_WEATHER}").option("stateVarName", "seen")
+    assert state.load().count() == 60
+    assert state.option("flattenCollectionTypes", "false").load().count() <= SHARES
+    assert '"spark.sql.shuffle.partitions":"8"' in (tmp_path / "c1" / OPEN_WEATHER / "offsets" / "0").read_text()
