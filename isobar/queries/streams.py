@@ -20,7 +20,7 @@ from isobar.streaming.hourly import start_hourly_aggregate
 from isobar.streaming.ingest import distinct_within, ingest_batch, start_all
 from isobar.streaming.packing import drop_packed, pack_days, read_store
 from isobar.streaming.rates import RateListener, read_rates, start_measured_ingest
-from isobar.streaming.stores import document_schema, read_documents, upsert_folder
+from isobar.streaming.stores import document_schema, read_documents, state_partitions, upsert_folder
 from isobar.streaming.versions import VersionedTable
 from isobar.streaming.windows import start_upserts, windowed_means
 
@@ -174,7 +174,8 @@ def distinct_within_watermark(spark, sf):
     def start():
         docs = provider_documents(by_topic(spark, log, f"{folder}/log")("open-weather"), "open-weather", F.col("timestamp"))
         ids = distinct_within(docs, "2 hours").select("_id").writeStream.format("parquet").option("path", f"{folder}/ids")
-        return [ids.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()]
+        with state_partitions(spark):
+            return [ids.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()]
 
     drain_in_turn(thirds(log, "timestamp"), f"{folder}/log", start, "topic")
     return spark.read.parquet(f"{folder}/ids")

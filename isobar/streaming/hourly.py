@@ -20,6 +20,7 @@ from isobar.streaming.stores import (
     replace_partitions,
     rows_per_day,
     spread_by_day,
+    state_partitions,
     upsert_folder,
 )
 from isobar.streaming.windows import windowed_means
@@ -94,14 +95,15 @@ def start_hourly_aggregate(
     """
 
     def start(topic: str) -> StreamingQuery:
-        return (
-            provider_windows(read(topic), topic, zone, delay)
-            .writeStream.queryName(f"hourly-{topic}")
-            .outputMode("update")
-            .option("checkpointLocation", f"{checkpoints}/{topic}")
-            .foreachBatch(lambda df, _: publish_hours(df, topic, folder))
-            .trigger(**(trigger or {"availableNow": True}))
-            .start()
-        )
+        windows = provider_windows(read(topic), topic, zone, delay)
+        with state_partitions(windows.sparkSession):
+            return (
+                windows.writeStream.queryName(f"hourly-{topic}")
+                .outputMode("update")
+                .option("checkpointLocation", f"{checkpoints}/{topic}")
+                .foreachBatch(lambda df, _: publish_hours(df, topic, folder))
+                .trigger(**(trigger or {"availableNow": True}))
+                .start()
+            )
 
     return [start(topic) for topic in TOPICS]

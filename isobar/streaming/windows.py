@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from isobar.streaming.stores import upsert_folder
+from isobar.streaming.stores import state_partitions, upsert_folder
 
 
 def windowed_means(
@@ -32,22 +32,24 @@ def start_upserts(
     means: DataFrame, folder: str, checkpoint: str, keys: Sequence[str], version: Sequence[str], **trigger
 ) -> StreamingQuery:
     """Runs in update mode: each batch's changed rows replace the stored ones of the same key."""
-    return (
-        means.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, _: upsert_folder(df, folder, keys, version))
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    with state_partitions(means.sparkSession):
+        return (
+            means.writeStream.outputMode("update")
+            .option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda df, _: upsert_folder(df, folder, keys, version))
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
 
 
 def start_append(means: DataFrame, folder: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Runs in append mode: only windows the watermark has closed are written, once."""
-    return (
-        means.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", folder)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    with state_partitions(means.sparkSession):
+        return (
+            means.writeStream.outputMode("append")
+            .format("parquet")
+            .option("path", folder)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )

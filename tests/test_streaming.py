@@ -228,3 +228,17 @@ def test_missing_store_is_empty(spark, tmp_path):
 def test_counts_stay_with_the_rows(spark):
     means = windowed_means(spark.createDataFrame([("a", at(1), 1.0), ("a", at(1, 30), 2.0)], READINGS), "ts", ["p"], ["x"], delay=None)
     assert [(r["x"], r["n"]) for r in means.select("x", F.col("n")).collect()] == [(1.5, 2)]
+
+
+def test_a_query_with_state_has_no_more_stores_than_cores(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        land(spark, tmp_path / "in", record(FREE_WEATHER, free(20.0), 0))
+        queries = start_hourly_aggregate(lambda t: stream_landed(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "c"), "Asia/Jakarta")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "24"
+        drain(queries)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for topic in TOPICS:
+        assert '"spark.sql.shuffle.partitions":"8"' in (tmp_path / "c" / topic / "offsets" / "0").read_text()
