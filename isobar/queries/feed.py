@@ -70,6 +70,12 @@ def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_records(events(spark, sf_dir))
 
 
+def spread_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with its messages made and read in tasks of equal size: rows of events are small, and a whole file of them, or the
+    part that an offset range leaves of it, may be a few tasks of many messages."""
+    return as_records(events(spark, sf_dir).repartition("event_id"))
+
+
 def _stored(log: DataFrame, topic: str) -> DataFrame:
     made = provider_documents(log, topic, F.col("timestamp"))
     return first_write_wins(made, "_id", "partition", "offset").drop("id_time", "partition", "offset")

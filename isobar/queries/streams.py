@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from isobar.functions.times import JAKARTA
 from isobar.operators.reshape import provider_documents
 from isobar.queries.documents import SQL_AGGREGATE
-from isobar.queries.feed import SQL_DOCS, SQL_ID, message_log
+from isobar.queries.feed import SQL_DOCS, SQL_ID, message_log, spread_log
 from isobar.queries.registry import events, ntz, query, r6, r8, table
 from isobar.schemas import COMMON_MEASURES, TOPICS
 from isobar.session import shared_folder
@@ -111,7 +111,7 @@ def stream_ingest(spark, sf):
 def replayed_ingest(spark, sf):
     """The same log ingested twice, one batch of it again as after a failure: nothing is added."""
     folder = shared_folder(spark, "replay")
-    log = message_log(spark, sf)
+    log = spread_log(spark, sf)
     for batch_id, topics in ((0, TOPICS), (1, TOPICS), (0, TOPICS[1:2])):
         for topic in topics:
             ingest_batch(log, batch_id, topic, folder, F.col("timestamp"))
@@ -123,7 +123,7 @@ def restarted_ingest(spark, sf):
     """A log ingested in two batches, then by a query with a new checkpoint, in other batches and without
     its first part, which the log no longer holds: what was stored stays."""
     folder = shared_folder(spark, "restart")
-    log = message_log(spark, sf)
+    log = spread_log(spark, sf)
     last = log.agg(F.max("offset")).first()[0]
     offset = F.col("offset")
     half, gone = last // 2, last // 4
@@ -265,7 +265,7 @@ def published_upserts(spark, sf):
 def packed_ingest(spark, sf):
     """A store whose first days are packed between two batches, and a replay of all that was ingested before."""
     folder = shared_folder(spark, "packed")
-    log = message_log(spark, sf)
+    log = spread_log(spark, sf)
     half = log.agg(F.max("offset")).first()[0] // 2
     parts = []
     for topic in TOPICS:

@@ -98,6 +98,22 @@ def rejected_records(parsed: DataFrame) -> DataFrame:
     )
 
 
+def parsed_once(parsed: DataFrame) -> DataFrame:
+    """What a batch needs of its parsed records when it keeps them: envelopes of the good, raw values of the others.
+
+    `good_records` and `rejected_records` of it are those of `parsed`; a message is held in one form and not in two.
+    """
+    good = is_good(parsed)
+    return parsed.select(
+        "topic",
+        "partition",
+        "offset",
+        "timestamp",
+        F.when(~good, F.col("value")).alias("value"),
+        F.when(good, F.col("envelope")).alias("envelope"),
+    )
+
+
 def envelope_records(
     payloads: DataFrame,
     topic: str | Column,

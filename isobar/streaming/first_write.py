@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from isobar.operators.reshape import RESHAPERS, message_id, message_id_time
-from isobar.sources.messages import good_records, is_good, parse_envelopes, rejected_records
+from isobar.sources.messages import good_records, is_good, parse_envelopes, parsed_once, rejected_records
 from isobar.streaming.closing import keyed_state
 from isobar.streaming.stores import replace_partitions, rows_per_day, run_of, spread_by_day
 
@@ -138,7 +138,7 @@ def save_first(batch: DataFrame, batch_id: int, topic: str, store: str, created_
     A batch owns a partition of each date, so running it again replaces its own rows only.
     """
     run = run or run_of(batch)
-    parsed = parse_envelopes(batch, topic).persist()
+    parsed = parsed_once(parse_envelopes(batch, topic)).persist()
     try:
         dated = RESHAPERS[topic](good_records(parsed), created_at).withColumn("id_date", F.to_date("id_time"))
         counts = rows_per_day(dated, "id_date")

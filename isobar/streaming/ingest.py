@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from isobar.operators.reshape import RESHAPERS
 from isobar.schemas import TOPICS
-from isobar.sources.messages import good_records, parse_envelopes, rejected_records
+from isobar.sources.messages import good_records, parse_envelopes, parsed_once, rejected_records
 from isobar.streaming.packing import read_store
 from isobar.streaming.stores import run_of, save_new_documents
 
@@ -36,7 +36,7 @@ def ingest_batch(
     may have been parsed already.
     """
     run = run or run_of(records)
-    parsed = (records if "envelope" in records.columns else parse_envelopes(records, topic)).persist()
+    parsed = parsed_once(records if "envelope" in records.columns else parse_envelopes(records, topic)).persist()
     try:
         documents = RESHAPERS[topic](good_records(parsed), created_at)
         save_new_documents(documents, batch_id, f"{store}/{topic}", run, read_store)

@@ -6,15 +6,19 @@ from pyspark.sql import functions as F
 
 from isobar.operators.aggregate import hourly_means
 from isobar.operators.reshape import provider_documents
+from isobar.operators.serving import insert_if_absent
 from isobar.plans.hourly import hourly_aggregate
 from isobar.schemas import TOPICS
-from isobar.sources.messages import kafka_options, stream_landed
+from isobar.sources.messages import good_records, kafka_options, parse_envelopes, parsed_once, rejected_records, stream_landed
 from isobar.streaming.hourly import start_hourly_aggregate
 from isobar.streaming.ingest import ingest_batch, keep_running, start_all
 from isobar.streaming.stores import (
     document_schema,
+    new_documents,
     read_documents,
+    rows_and_crowds,
     rows_per_day,
+    save_new_documents,
     spread_by_day,
     upsert_folder,
 )
@@ -242,3 +246,62 @@ def test_a_query_with_state_has_no_more_stores_than_cores(spark, tmp_path):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     for topic in TOPICS:
         assert '"spark.sql.shuffle.partitions":"8"' in (tmp_path / "c" / topic / "offsets" / "0").read_text()
+
+
+DATED = "_id STRING, id_time TIMESTAMP, id_date DATE, partition INT, offset LONG, text STRING"
+
+
+def dated(spark, *ids):
+    return spark.createDataFrame([(i, t, t.date(), p, o, f"{i} {o}") for i, t, p, o in ids], DATED)
+
+
+def copies(spark, n=600):
+    """Ids of four days, each of them three times, the first of them last; one id is null."""
+    ids = [(f"i{k % (n // 3)}" if k % (n // 3) else None, at(k % 20, day=1 + k % (n // 3) % 4), 0, n - k) for k in range(n)]
+    return dated(spark, *ids)
+
+
+def test_new_documents_are_shuffled_once(spark, rows):
+    incoming = copies(spark)
+    held = dated(spark, *[(f"i{k}", at(1, day=1 + k % 4), 0, 0) for k in range(0, 200, 2)])
+    counts = rows_per_day(incoming, "id_date")
+    fresh = new_documents(incoming, held, counts)
+    want = insert_if_absent(incoming, held, "_id", "partition", "offset")
+    key = ("text", "id_date", "offset")
+    assert sorted(rows(fresh, *key)) == sorted(rows(want, *key)) and fresh.count() == 101
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(fresh).count("Exchange") == 1
+    one_day = fresh.withColumn("t", F.spark_partition_id()).groupBy("t", "id_date").count()
+    assert one_day.count() <= int(spark.conf.get("spark.sql.shuffle.partitions")) + 4
+
+
+def test_crowded_ids_are_cut_before_the_shuffle(spark, rows, tmp_path, monkeypatch):
+    incoming = copies(spark)
+    hot = dated(spark, *[("hot", at(3), 0, 1000 + k) for k in range(300)]).unionByName(incoming)
+    columns = ("_id", "offset")
+    save = lambda df, name: save_new_documents(df.drop("id_date"), 0, str(tmp_path / name))
+    show = lambda name: sorted(rows(spark.read.parquet(str(tmp_path / name)), *columns), key=str)
+    save(hot, "whole")
+    monkeypatch.setattr("isobar.streaming.stores.CROWD", 50)
+    assert rows_and_crowds(hot)[1] and not rows_and_crowds(incoming.filter("id_time > TIMESTAMP '2030-01-01'"))[1]
+    assert rows_and_crowds(hot)[0] == rows_per_day(hot, "id_date")
+    save(hot, "cut")
+    assert show("whole") == show("cut") and len(show("cut")) == 201 and ("hot", 1000) in show("cut")
+
+
+def test_full_days_have_tasks_of_their_own(spark):
+    df = spark.sql("SELECT id, date_add(DATE '2024-01-01', CAST(id % 4 AS INT)) AS d FROM range(8000)")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = spread_by_day(df, "d", rows_per_day(df, "d"), ["id"]).withColumn("t", F.spark_partition_id())
+    most = spread.groupBy("t").count().agg(F.max("count")).first()[0]
+    assert tasks < 4 or most < 2.2 * 8000 / tasks
+
+
+def test_a_batch_keeps_each_message_in_one_form(spark, rows):
+    empty = record(FREE_WEATHER, "", 2)
+    records = log(spark, record(FREE_WEATHER, free(20.0), 0), record(FREE_WEATHER, "{broken", 1), (None, None, *empty[2:]))
+    parsed = parse_envelopes(records, FREE_WEATHER)
+    kept = parsed_once(parsed)
+    assert sorted(rows(kept.selectExpr("offset", "value IS NULL AS v", "envelope IS NULL AS e"))) == [(0, True, False), (1, False, True), (2, True, True)]
+    assert sorted(rows(rejected_records(kept), "offset", "value")) == sorted(rows(rejected_records(parsed), "offset", "value")) == [(1, "{broken"), (2, None)]
+    assert rows(good_records(kept), "offset", "envelope") == rows(good_records(parsed), "offset", "envelope")
