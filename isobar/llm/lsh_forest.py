@@ -24,8 +24,10 @@ still grows with the square of a node's classes.
 Where only groups are asked for, such nodes are thinned first: all their classes are compared with a few pivots. What is then
 linked to the first pivot, over any links, is one group. Only classes outside it go on, with those inside that one of them may
 still be linked to: by the triangle inequality of the Jaccard distance, two classes whose distances from a pivot differ by more
-than the link distance have no link. So no group is lost, and a crowd of copies costs a few comparisons each. Links are not
-counted then, and the recall is measured on those that were compared.
+than the link distance have no link. So no group is lost, and a crowd of copies costs a few comparisons each. A node is thinned
+again only while at most half of it is left, so the rounds grow with the logarithm of the largest node. What is left then is
+compared in blocks, but for the blocks that hold classes of one group already found. Links are not counted then, and the recall is
+measured on those that were compared.
 
 Defined results: texts of fewer words than a shingle are one shingle; null and empty texts, and others without words, are
 alike only if they are equal; rows with one id count each; a null id is no class id, unless all ids of a group are null; an
@@ -304,19 +306,43 @@ def _blocks(block: int, crowd: int) -> Column:
     return F.ceil(F.least("n", F.greatest(classes, F.col("volume") / BLOCK_GRAMS))).cast("long")
 
 
+def _numbers(until: Column) -> Column:
+    return F.sequence(F.lit(0).cast("long"), until - 1)
+
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """From (bucket, tree, blocks, cid): the block of each, and all blocks, which it is compared with."""
+    own = F.pmod(F.xxhash64("cid"), F.col("blocks"))
+    return members.select("bucket", "tree", "cid", own.alias("own"), _numbers(F.col("blocks")).alias("others"))
+
+
+def _in_group_blocks(members: DataFrame, roots: DataFrame, block: int, crowd: int) -> DataFrame:
+    """As `_in_blocks`, from (bucket, tree, size, cid) and the groups known: one of at least `block` classes of a bucket has blocks of
+    its own, which are not compared with each other."""
+    rooted = members.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    groups = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("size").alias("volume"))
+    groups = staged(groups.withColumn("alone", F.when(F.col("n") >= block, F.col("root"))), "groups")
+    parts = groups.groupBy("bucket", "alone").agg(F.sum("n").alias("n"), F.sum("volume").alias("volume"))
+    parts = parts.select("bucket", F.col("alone").alias("part"), _blocks(block, crowd).alias("blocks"))
+    whole = Window.partitionBy("bucket")
+    until = F.sum("blocks").over(whole.orderBy(F.asc_nulls_first("part")).rowsBetween(Window.unboundedPreceding, 0))
+    parts = parts.select("*", (until - F.col("blocks")).alias("first"), F.sum("blocks").over(whole).alias("all"))
+    large = groups.filter("alone IS NOT NULL").select("bucket", "root", "alone")
+    placed = join_counted(join_counted(rooted, large, ["bucket", "root"]).withColumnRenamed("alone", "part"), parts, ["bucket", "part"])
+    begin, end = F.col("first"), F.col("first") + F.col("blocks")
+    others = F.filter(_numbers(F.col("all")), lambda x: F.col("part").isNull() | (x < begin) | (x >= end))
+    own = begin + F.pmod(F.xxhash64("cid"), F.col("blocks"))
+    return placed.select("bucket", "tree", "cid", own.alias("own"), others.alias("others"))
+
+
 def _verified_buckets(members: DataFrame, sets: DataFrame, verify) -> DataFrame:
-    """From (bucket, tree, blocks, cid): (a, b, similarity, null) of links, (a, null, null, n) of numbers of links and (null, b,
+    """From (bucket, tree, cid, own, others): (a, b, similarity, null) of links, (a, null, null, n) of numbers of links and (null, b,
     null, n) of those in a band."""
-    own = members.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")))
-    other = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    other = members.withColumn("other", F.explode("others"))
     dealt = other.select("bucket", "tree", "cid", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     return dealt.join(sets, "cid").groupBy("bucket", "i", "j").applyInArrow(verify, "a long, b long, similarity double, n long")
 
 
-def _sized(bucketed: DataFrame) -> DataFrame:
-    return bucketed.groupBy("bucket").agg(F.count("*").alias("n"))
-
-
 def _of(bucketed: DataFrame, buckets: DataFrame) -> DataFrame:
     """The members of some buckets, with the buckets' columns."""
     few = buckets.count() <= BROADCAST_ROWS
@@ -377,16 +403,16 @@ def similar_classes(
         sizes = staged(sizes.select(*same, "f.tree", "f.bucket", _blocks(block, crowd).alias("blocks")), "buckets")
         seen.append(sizes.select(*same))
         if not sizes.isEmpty():
-            members = staged(_of(whole.drop("tree", "size"), sizes.drop("volume", "x1", "x2")), "members")
+            members = staged(_of(whole.drop("tree"), sizes.drop("volume", "x1", "x2")), "members")
             sets.append(_new_sets(keyed, classes, members, sets, _sets(words_per_gram, trees, depth)))
-            held, rest = _all(sets), members.select("bucket", "tree", "blocks", "cid")
+            held, dealt = _all(sets), _in_blocks(members)
             crowded = members.filter(F.col("n") > crowd)
             if not counted and not crowded.isEmpty():
-                thinned, known = _thin(crowded.select("bucket", "tree", "cid"), held.select("cid", "grams"), similarity, crowd, pivots, known)
-                rest = members.filter(F.col("n") <= crowd).select("bucket", "tree", "blocks", "cid")
-                rest = rest.unionByName(thinned.select("bucket", "tree", F.ceil(F.col("n") / block).cast("long").alias("blocks"), "cid"))
+                open_ = crowded.select("bucket", "tree", "size", "cid")
+                thinned, known, roots = _thin(open_, held.select("cid", "grams"), similarity, crowd, pivots, known)
+                dealt = _in_blocks(members.filter(F.col("n") <= crowd)).unionByName(_in_group_blocks(thinned, roots, block, crowd))
             verify = _verify_blocks(similarity, trees, depth, d)
-            told.append(staged(_verified_buckets(rest, held, verify), "told"))
+            told.append(staged(_verified_buckets(dealt, held, verify), "told"))
             for r in told[-1].filter("a IS NULL").groupBy("b").agg(F.sum("n").alias("n")).collect():
                 bands[r.b] += r.n
         by_pivots = np.zeros(NARROW)
@@ -428,16 +454,24 @@ def _new_sets(keyed: DataFrame, classes: DataFrame, members: DataFrame, sets: li
 
 def _thin(
     open_: DataFrame, sets: DataFrame, similarity: float, crowd: int, pivots: int, known: DataFrame | None
-) -> tuple[DataFrame, DataFrame]:
-    """What is left of crowded buckets when no group can be lost by leaving out the others, and the pairs compared so far."""
-    left, far = None, 1 - similarity
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What is left of crowded buckets when no group can be lost by leaving out the others, the pairs compared so far, and the groups
+    that these make, as (cid, root).
+
+    A bucket is done when it is no longer crowded, or when its last round left more than half of it.
+    """
+    left, roots, far = None, None, 1 - similarity
+    open_ = open_.withColumn("was", F.lit(None).cast("long"))
     while True:
-        sizes = staged(_sized(open_), "buckets")
-        done = _of(open_, sizes.filter(F.col("n") <= crowd)).select("bucket", "tree", "n", "cid")
+        sizes = open_.groupBy("bucket").agg(F.count("*").alias("n"), F.max("was").alias("was"))
+        over = (F.col("n") <= crowd) | F.coalesce(2 * F.col("n") > F.col("was"), F.lit(False))
+        sizes = staged(sizes.select("bucket", "n", over.alias("over")), "buckets")
+        open_ = open_.drop("was")
+        done = _of(open_, sizes.filter("over")).select("bucket", "tree", "size", "cid")
         left = done if left is None else left.unionAll(done)
-        crowded = staged(_of(open_, sizes.filter(F.col("n") > crowd).select("bucket")), "crowded")
+        crowded = staged(_of(open_, sizes.filter("NOT over").select("bucket", F.col("n").alias("was"))), "crowded")
         if crowded.isEmpty():
-            return left, known
+            return left, known, roots
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("cid"))
         chosen = crowded.withColumn("rank", rank).filter(F.col("rank") <= pivots)
         chosen = staged(chosen.select("bucket", F.col("cid").alias("pivot"), "rank"), "pivots")
@@ -458,12 +492,13 @@ def _thin(
         away = away.select(F.col("a").alias("pivot"), F.col("b").alias("cid"), "away").unionAll(
             away.select(F.col("b").alias("pivot"), F.col("a").alias("cid"), "away")
         )
-        placed = _of(rooted.select("bucket", "tree", "cid", "out"), chosen.select("bucket", "pivot"))
+        kept = ["bucket", "tree", "size", "was", "cid"]
+        placed = _of(rooted.select(*kept, "out"), chosen.select("bucket", "pivot"))
         placed = staged(placed.join(away, ["pivot", "cid"]), "placed")
         least = placed.filter("out").groupBy("bucket", "pivot").agg(F.min("away").alias("least"))
         slack = F.min(F.col("away") - F.col("least")).alias("slack")
-        reach = placed.join(least, ["bucket", "pivot"]).groupBy("bucket", "tree", "cid", "out").agg(slack)
-        open_ = staged(reach.filter(F.col("out") | (F.col("slack") >= -far - _EDGE)).select("bucket", "tree", "cid"), "open")
+        reach = placed.join(least, ["bucket", "pivot"]).groupBy(*kept, "out").agg(slack)
+        open_ = staged(reach.filter(F.col("out") | (F.col("slack") >= -far - _EDGE)).select(*kept), "open")
 
 
 def _grouped(documents: DataFrame, **options) -> tuple[DataFrame, tuple[int, float]]:

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from isobar.llm import lsh_forest
 from isobar.llm.components import components
 from isobar.llm.lsh_forest import NARROW, _shared_paths, chance, jaccard_groups, measured_recall, one_per_group, similar_classes
 
@@ -106,6 +107,21 @@ def test_one_per_group_of_crowded_buckets(spark, pivots):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
 
 
+def test_rounds_of_a_crowd_that_hardly_links(spark, monkeypatch):
+    """Copies with so many edits that few are linked: a round takes little from a node, and there are few rounds all the same."""
+    texts = near_copies(120, 90, 9, 41) + near_copies(120, 60, 3, 42)
+    rows = [(k, t) for k, t in enumerate(texts)]
+    want, _, _ = groups_of(rows)
+    assert len(set(want.values())) > 20
+    begun, staged = [], lsh_forest.staged
+    monkeypatch.setattr(lsh_forest, "staged", lambda df, name="stage": begun.append(name) or staged(df, name))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = one_per_group(df, block=7, crowd=10, pivots=1, depth=3, shortest=2, recall=1.0, trees=48)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+    # At most two depths, of nodes of at most 150 classes.
+    assert 1 <= begun.count("pivots") <= 2 * 4
+
+
 def test_links_are_exact_similarities(spark):
     rows = [(k, t) for k, t in enumerate(near_copies(60, 10, 3, 5))]
     documents, links, _, _ = similar_classes(spark.createDataFrame(rows, "doc_id long, text string"))
