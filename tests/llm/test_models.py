@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from isobar.llm import kneser_ney, ordinal, toxicity
+from isobar.llm import kneser_ney, ordinal, sparse_logistic, toxicity
 from isobar.llm.features import split_by_crc
 from isobar.llm.queries import QUERIES
 from isobar.llm.textarrays import mix
@@ -203,3 +203,59 @@ def test_votes_of_all_documents_are_counted(spark):
         want[sum(b << k for k, b in enumerate(bits)), {0: 1, 3: 0}.get(r.doc_id, -1)] += 1
     assert {(v, k): c for v, k, c in zip(vote.tolist(), label.tolist(), n.tolist(), strict=True)} == dict(want)
     assert panel.matrix(vote).shape == (len(vote), len(panel))
+
+
+def test_toxicity_is_learned_from_every_labelled_row(spark):
+    """A toxic word of few documents, which come last of 9,000 in the order of a hash of the id."""
+    ids = spark.range(9000).orderBy(F.xxhash64(F.lit(7), "id"), "id").collect()
+    rows = [(r.id, f"plain text number {k % 7}" + " zorpy" * (k >= 8960), int(k >= 8960)) for k, r in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit_toxicity(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    clean, toxic = model.score(pa.array(["plain text number 3", "plain text number 3 zorpy"])).to_pylist()
+    assert clean < 0.1 and toxic > 0.9
+
+
+def test_classifier_has_a_row_of_every_training_document(spark):
+    """One of each id, of the first text in order; documents without an id or a label count by their posterior."""
+    groups = {f"list:{n}": toxicity.list_dims(n) for n in toxicity.LISTS}
+    panel, dims = toxicity.Voters(groups, groups["list:insult"]), np.unique(np.concatenate(list(groups.values())))
+    rows = [(1, "you idiot idiot"), (1, "a nice day"), (2, "kill the filth"), (3, ""), (None, "clown"), (None, "clown"), (4, "scum scum")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    by_id = toxicity.labels_by_id(spark.createDataFrame([(1, 1), (1, 0), (2, 0), (9, 1)], "doc_id long, label int"))
+    voted = toxicity._votes_and_features(df, toxicity.repeated_ids(df), panel, dims)
+    model = toxicity.LabelModel(np.full((2, len(panel)), 0.5), np.ones(len(panel)), 0.3)
+    blocks = toxicity._classifier_rows(voted, by_id, model, panel, 0.05)
+    found = []
+    for start, place, value, target, worth in sparse_logistic._blocks(iter(blocks.toArrow().to_batches())):
+        for k in range(len(target)):
+            own = slice(start[k], start[k + 1])
+            found.append((round(target[k], 6), worth[k], len(place[own]), round(float(value[own].sum()), 3)))
+    n = {w: len({d for _, dim in toxicity.key_dims(next(toxicity.normal_words(pa.array([w])))) for d in dim} & set(dims.tolist())) for w in ("clown", "kill", "filth", "scum")}
+    one, two = math.log(2), math.log(3)
+    want = [(1, 1.0, 0, 0.0), (0, 1.0, n["kill"] + n["filth"], round((n["kill"] + n["filth"]) * one, 3)), (0.3, 0.05, 0, 0.0)]
+    want += [(0.3, 0.05, n["clown"], round(n["clown"] * one, 3))] * 2 + [(0.3, 0.05, n["scum"], round(n["scum"] * two, 3))]
+    assert sorted(found) == sorted(want)
+
+
+def test_sparse_logistic_equals_newton(spark):
+    """Rows in many blocks and tasks, against Newton steps on the whole matrix."""
+    draw = np.random.default_rng(3)
+    count = draw.integers(0, 3, (600, 12)) * (draw.random((600, 12)) < 0.5)
+    x, worth = np.log1p(count), draw.choice([1.0, 0.05], 600)
+    target = 1 / (1 + np.exp(-(x @ draw.normal(size=12) * 2 - 0.5)))
+    found = [np.column_stack((np.flatnonzero(c), c[c > 0])).astype(np.int32).tobytes() for c in count]
+    df = spark.createDataFrame([(f, float(t), float(w)) for f, t, w in zip(found, target, worth, strict=True)], "found binary, target double, worth double")
+
+    def run(batches):
+        for b in batches:
+            yield from sparse_logistic.pack(b.column(0).to_pylist(), b.column(1).to_numpy(), b.column(2).to_numpy())
+
+    blocks = sparse_logistic.packed(df.repartition(7), run)
+    weight, bias = sparse_logistic.fit_logistic(blocks, 12, 1e-3, left=1e-9)
+    both, want, ridge = np.column_stack((x, np.ones(600))), np.zeros(13), np.diag([1e-3] * 12 + [0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-both @ want))
+        slope = both.T @ (worth * (p - target)) / worth.sum() + ridge @ want
+        want -= np.linalg.solve((both * (worth * p * (1 - p))[:, None]).T @ both / worth.sum() + ridge, slope)
+    assert np.allclose([*weight, bias], want, atol=1e-3)
+    assert sparse_logistic.fit_logistic(blocks.limit(0), 12, 1e-3)[1] == 0
